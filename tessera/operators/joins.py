@@ -1,0 +1,22 @@
+"""Joins whose broadcast side is measured, not assumed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default cap for an explicitly broadcast side: rows per coin-level table.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded probe: the
+    job stops reading once it has seen ``max_rows + 1`` rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df``
+    unchanged (sort-merge join; AQE may still switch at runtime once the
+    shuffled size is known)."""
+    return F.broadcast(df) if fits(df, max_rows) else df
