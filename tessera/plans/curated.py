@@ -101,19 +101,20 @@ def market_global_daily(raw_global: DataFrame, strict: bool = True) -> DataFrame
 def trending_latest(raw_trending: DataFrame) -> DataFrame:
     """V7: the coins of the newest trending run (rows at max ingestion_time).
 
-    ``max`` is a one-row aggregate (partial per task); the filter on the
-    newest ``dt`` lets the scan skip all older day partitions.
+    Both maxima are scalar sub-queries (one-row aggregates, partial per
+    task); the one on the stored ``dt`` column becomes a partition filter,
+    so the final scan reads only the newest day.
     """
-    newest = raw_trending.agg(F.max("ingestion_time").alias("t"), F.max("dt").alias("d"))
-    runs = raw_trending.join(F.broadcast(newest),  # one row by construction
-                             (raw_trending["dt"] == newest["d"]) & (raw_trending["ingestion_time"] == newest["t"]))
+    newest_day = raw_trending.select(F.max("dt")).scalar()
+    newest_run = raw_trending.select(F.max("ingestion_time")).scalar()
+    runs = raw_trending.where((F.col("dt") == newest_day) & (F.col("ingestion_time") == newest_run))
     p = "payload"
     return runs.select(
         json_value(p, "$.item.id").alias("coin_id"),
         json_value(p, "$.item.name").alias("name"),
         strict_cast(json_value(p, "$.item.market_cap_rank"), "bigint").alias("market_cap_rank"),
         strict_cast(json_value(p, "$.item.score"), "double").alias("score"),
-        raw_trending["ingestion_time"].alias("ingestion_time"),
+        "ingestion_time",
     )
 
 

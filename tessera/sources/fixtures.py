@@ -103,7 +103,7 @@ def raw_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- metadata
 def metadata_document() -> Column:
-    words = F.split(F.col("p_name"), " ")
+    words = F.split(F.col("p_name"), " ")  # two words; F.get gives NULL past the end
     base = F.to_json(F.struct(
         F.col("p_size").cast("string").alias("id"),
         F.lower(F.col("p_brand")).alias("symbol"),
@@ -119,8 +119,8 @@ def metadata_document() -> Column:
              .when(t == "LARGE", F.concat(F.lit(',"categories":"'), t, F.lit('"')))   # not an array
              .when(t == "SMALL", F.lit(',"categories":[]'))                      # empty
              .when(t == "PROMO", F.concat(F.lit(',"categories":'),
-                                          F.to_json(F.array(words[1], F.lit(None).cast("string"), F.col("p_brand")))))
-             .otherwise(F.concat(F.lit(',"categories":'), F.to_json(F.array(t, words[0])))))
+                                          F.to_json(F.array(F.get(words, 1), F.lit(None).cast("string"), F.col("p_brand")))))
+             .otherwise(F.concat(F.lit(',"categories":'), F.to_json(F.array(t, F.get(words, 0))))))
     # splice the categories member in before the closing brace
     return F.concat(base.substr(F.lit(1), F.length(base) - 1), cats, F.lit("}"))
 

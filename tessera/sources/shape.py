@@ -120,7 +120,7 @@ def simple_price_rows(responses: DataFrame, body: str = "body", keep: tuple[str,
     rows = coins.select(*keep, "coin_id", F.explode("metrics").alias("metric", "value"))
     cur = F.split(F.col("metric"), "_", 2)
     return rows.select(*keep, "coin_id", "metric", cur[0].alias("currency"),
-                       F.coalesce(F.element_at(cur, 2), F.lit("price")).alias("measure"), "value")
+                       F.coalesce(F.get(cur, 1), F.lit("price")).alias("measure"), "value")
 
 
 # ------------------------------------------------------------------- T3
