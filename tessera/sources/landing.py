@@ -58,19 +58,23 @@ def candle_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"), "ingestion_time")
 
 
-def write_landing(rows: DataFrame, root: str, endpoint: str, run_id: Column | None = None) -> bool:
+def write_landing(rows: DataFrame, root: str, endpoint: str, cadence: str = "hour",
+                  run_id: Column | None = None) -> bool:
     """Append one endpoint's rows to the landing zone.
 
     Empty input writes nothing and returns False (no empty object). The
-    run directory is derived from each row's ``ingestion_time`` (one run =
-    one time stamp), so a multi-run backfill is one job.
+    run directory is the job slot of each row's ``ingestion_time`` at the
+    scheduler's ``cadence`` (hourly job: one directory per hour), so a
+    multi-run backfill is one job and the directory count grows with the
+    time span, not with the rows. Every line keeps its exact time.
     """
     if rows.isEmpty():
         return False
     lines = candle_lines(rows) if "open_time" in rows.columns else document_lines(rows)
-    rid = run_id if run_id is not None else run_id_for("ingestion_time")
+    slot = F.date_trunc(cadence, "ingestion_time")
+    rid = run_id if run_id is not None else run_id_for(slot)
     out = lines.select("value", F.to_date("ingestion_time").alias("dt"),
-                       F.concat(run_stamp("ingestion_time"), F.lit("_"), rid).alias("run"))
+                       F.concat(run_stamp(slot), F.lit("_"), rid).alias("run"))
     # REBALANCE: hash on the directory keys, but AQE merges small runs into
     # one file and splits a hot run over several tasks (O8, skew-safe)
     (out.hint("rebalance", "dt", "run")
