@@ -32,16 +32,23 @@ def json_value(payload: Column | str, path: str, scalar_guard: bool = True) -> C
 
     Missing path, JSON null, object or array -> NULL. ``get_json_object``
     alone returns JSON text for objects/arrays; the guard asks the parsed
-    value for its kind instead of looking at the first character (a string
-    ``"[x"`` is a scalar). Within one projection Spark evaluates the shared
-    ``try_parse_json(payload)`` once per row (subexpression elimination).
+    value for its kind instead of trusting the first character (a string
+    ``"[x"`` is a scalar). The probe parses the document again, so it only
+    runs when the text *could* be a container (starts with ``{`` or ``[``);
+    it sits in a CASE branch, which subexpression elimination leaves lazy.
     """
     p = _col(payload)
     text = F.get_json_object(p, path)
     if not scalar_guard:
         return text
-    kind = json_kind(p, path)
-    return F.when(kind.rlike("^(OBJECT|ARRAY)"), F.lit(None).cast("string")).otherwise(text)
+    container = json_kind(p, path).rlike("^(OBJECT|ARRAY)")
+    probe = F.when(container, F.lit(None).cast("string")).otherwise(text)
+    return F.when(_may_be_container(text), probe).otherwise(text)
+
+
+def _may_be_container(text: Column) -> Column:
+    head = F.substring(text, 1, 1)
+    return (head == "{") | (head == "[")
 
 
 def strict_cast(text: Column | str, to: str) -> Column:
@@ -81,7 +88,9 @@ def string_array(payload: Column | str, path: str) -> Column:
     """
     p = _col(payload)
     raw = F.get_json_object(p, path)
-    is_array = json_kind(p, path).startswith("ARRAY")
+    # only text starting with "[" can be an array; the kind probe then tells
+    # an array from a string holding array-like text
+    is_array = F.when(F.substring(raw, 1, 1) == "[", json_kind(p, path).startswith("ARRAY"))
     arr = F.when(is_array, F.from_json(raw, "array<string>"))
     return F.coalesce(F.array_compact(arr), F.array().cast("array<string>"))
 

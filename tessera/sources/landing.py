@@ -1,8 +1,12 @@
 """Landing zone: immutable NDJSON per endpoint, day and run.
 
-Layout: ``<root>/<endpoint>/dt=YYYY-MM-DD/run=<YYYYMMDDTHHMMSS>_<run_id>/part-….txt``.
-Spark names its own files, so the run stamp of the reference's object name
-becomes a second partition directory. Each line is the reference's row:
+Layout: ``<root>/<endpoint>/dt=YYYY-MM-DD/part-….txt``. Spark names its own
+files; every append (one scheduled run) adds new files to the day
+directory. The reference's object name ``<YYYYMMDDTHHMMSS>_<run_id>`` is
+not needed as a directory: every line carries its exact ``ingestion_time``
+and the run id is a function of the run slot (``landing_path`` and
+``run_id_for`` give both as columns). One directory per day keeps the file
+count proportional to days, not runs (O8). Each line is the reference's row:
 ``{"ingestion_time": "<iso +00:00>", "payload": <the document itself>}``
 (document rows) or the flat candle row.
 
@@ -58,27 +62,20 @@ def candle_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"), "ingestion_time")
 
 
-def write_landing(rows: DataFrame, root: str, endpoint: str, cadence: str = "hour",
-                  run_id: Column | None = None) -> bool:
+def write_landing(rows: DataFrame, root: str, endpoint: str) -> bool:
     """Append one endpoint's rows to the landing zone.
 
-    Empty input writes nothing and returns False (no empty object). The
-    run directory is the job slot of each row's ``ingestion_time`` at the
-    scheduler's ``cadence`` (hourly job: one directory per hour), so a
-    multi-run backfill is one job and the directory count grows with the
-    time span, not with the rows. Every line keeps its exact time.
+    Empty input writes nothing and returns False (no empty object). A
+    multi-run backfill is one job; each row lands in its UTC day.
     """
     if rows.isEmpty():
         return False
     lines = candle_lines(rows) if "open_time" in rows.columns else document_lines(rows)
-    slot = F.date_trunc(cadence, "ingestion_time")
-    rid = run_id if run_id is not None else run_id_for(slot)
-    out = lines.select("value", F.to_date("ingestion_time").alias("dt"),
-                       F.concat(run_stamp(slot), F.lit("_"), rid).alias("run"))
-    # REBALANCE: hash on the directory keys, but AQE merges small runs into
-    # one file and splits a hot run over several tasks (O8, skew-safe)
-    (out.hint("rebalance", "dt", "run")
-        .write.mode("append").partitionBy("dt", "run").text(f"{root.rstrip('/')}/{endpoint}"))
+    out = lines.select("value", F.to_date("ingestion_time").alias("dt"))
+    # REBALANCE: hash on the day, but AQE merges small days into one file
+    # and splits a hot day over several tasks (O8, skew-safe)
+    (out.hint("rebalance", "dt")
+        .write.mode("append").partitionBy("dt").text(f"{root.rstrip('/')}/{endpoint}"))
     return True
 
 
@@ -99,10 +96,15 @@ def replay(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
     return df.select(*RAW_SCHEMAS[endpoint].fieldNames(), F.to_date("ingestion_time").alias("dt"))
 
 
-def landing_inventory(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
-    """Rows per landed day partition (what a lifecycle rule would see)."""
+def landing_inventory(spark: SparkSession, root: str, endpoint: str, cadence: str = "hour") -> DataFrame:
+    """Rows and runs per landed day partition (what a lifecycle rule sees).
+
+    A run is a job slot at the scheduler's ``cadence``, read from each
+    line's ``ingestion_time``.
+    """
     df = spark.read.text(f"{root.rstrip('/')}/{endpoint}")
-    return df.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("run").alias("n_runs"))
+    slot = F.date_trunc(cadence, F.get_json_object("value", "$.ingestion_time").cast("timestamp"))
+    return df.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(slot).alias("n_runs"))
 
 
 def retention(partitions: DataFrame, days: int, as_of: Column | None = None) -> DataFrame:
