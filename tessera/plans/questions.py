@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import format_figure
-from ..operators.joins import checked_broadcast
 from ..operators.series import previous_value, resample_daily
 
 PRICE_COLUMNS = ("coin_id", "symbol", "name", "current_price_usd", "market_cap_usd", "market_cap_rank")
@@ -72,12 +71,17 @@ def coin_last_week(ohlc: DataFrame, days: int = 7, coin_ids: Sequence[str] | Non
     """Q4: candles of the last ``days`` days of each coin's data.
 
     The anchor is the newest candle of that coin (the data's "now"). Anchors
-    come from a grouped max (one row per coin) joined back — broadcast only
-    after its row count is checked — so a hot coin is never one window task.
+    come from a grouped max (one row per coin, map-side combined) joined
+    back, so a hot coin is never one window task. The join strategy is
+    decided by AQE from the *measured* size of the anchor table: broadcast
+    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise a
+    sort-merge join whose hot keys AQE's skew join splits. Both branches
+    share the de-duplication exchange (exchange reuse), so the raw candles
+    are scanned and shuffled once.
     """
     src = ohlc if coin_ids is None else ohlc.where(F.col("coin_id").isin(list(coin_ids)))
     anchors = src.groupBy("coin_id").agg(F.max("open_time").alias("anchor"))
-    joined = src.join(checked_broadcast(anchors), "coin_id")
+    joined = src.join(anchors, "coin_id")
     return (joined.where(F.col("open_time") > F.col("anchor") - F.expr(f"INTERVAL {int(days)} DAYS"))
                   .select("coin_id", "open_time", "open", "high", "low", "close"))
 
@@ -148,10 +152,12 @@ def prices_with_dim(prices: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def candles_with_dim(ohlc: DataFrame, dim: DataFrame) -> DataFrame:
-    """Q8: daily series of coins that have metadata, with name and tags."""
+    """Q8: daily series of coins that have metadata, with name and tags.
+    The dimension side is one row per coin; AQE broadcasts it when its
+    measured size allows."""
     daily = resample_daily(ohlc)
     d = dim.select("coin_id", "name", F.size("categories").alias("n_categories"))
-    return daily.join(checked_broadcast(d), "coin_id").select("coin_id", "name", "day", "close", "n_categories")
+    return daily.join(d, "coin_id").select("coin_id", "name", "day", "close", "n_categories")
 
 
 def volume_by_category(prices: DataFrame, dim: DataFrame) -> DataFrame:
@@ -167,11 +173,12 @@ def compare_coins(ohlc: DataFrame, coin_ids: Sequence[str] | None = None) -> Dat
     """Q11: daily closes side by side on a common scale (first close = 100).
 
     With ``coin_ids`` the comparison is restricted to those coins; the first
-    close per coin is a grouped aggregate joined back (checked broadcast).
+    close per coin is a grouped aggregate joined back (strategy chosen by
+    AQE from the measured size, as in ``coin_last_week``).
     """
     daily = resample_daily(ohlc if coin_ids is None else ohlc.where(F.col("coin_id").isin(list(coin_ids))))
     first = daily.groupBy("coin_id").agg(F.min_by("close", "day").alias("first_close"))
-    return (daily.join(checked_broadcast(first), "coin_id")
+    return (daily.join(first, "coin_id")
                  .select("coin_id", "day", "close",
                          F.round(F.col("close") / F.col("first_close") * 100, 6).alias("index_100")))
 
