@@ -362,7 +362,12 @@ def q_bad_payloads(s, d):
                 .when((et == "view") & (v < 2), F.regexp_replace(doc, '"current_price":[^,]*', '"current_price":"abc"'))
                 .otherwise(doc))
     raw = ev.select(F.col("ts").cast("timestamp").alias("ingestion_time"), payload.alias("payload"))
-    return ntz(bad_payloads(raw, numeric_paths=("$.current_price",)))
+    # quarantine scans a stored raw table (payload is a column there, not an
+    # expression Catalyst would inline into every JSON probe)
+    path = shared_dir(s, "raw", "coin_markets")
+    LD.append_raw(raw, path)
+    stored = s.read.parquet(path)
+    return ntz(bad_payloads(stored, numeric_paths=("$.current_price",)))
 
 
 def q_adhoc_readonly(s, d):
