@@ -53,7 +53,7 @@ def _version_path(root: str, version: int) -> str:
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     try:
-        row = spark.read.json(f"{root.rstrip('/')}/_current").first()
+        row = spark.read.schema("version long").json(f"{root.rstrip('/')}/_current").first()
     except Exception:  # noqa: BLE001 — no snapshot yet
         return None
     return None if row is None else int(row["version"])
