@@ -110,7 +110,7 @@ def q_json_value(s, d):
 
 
 def q_strict_cast(s, d):
-    ev = _events(s, d).select("event_id", "props", FX.market_document(FX.table(s, d, "events")).alias("doc"))
+    ev = _events(s, d).select("event_id", "props", FX.market_document().alias("doc"))
     return ev.select("event_id", strict_cast(json_value("props", "$.k"), "bigint").alias("k"),
                      strict_cast(json_value("doc", "$.current_price"), "double").alias("price"))
 
@@ -143,7 +143,7 @@ def q_latest_per_key(s, d):
 # ------------------------------------------------------------ shaping (S)
 def q_document_rows(s, d):
     ev = _events(s, d)
-    doc = FX.market_document(ev)
+    doc = FX.market_document()
     x = ev.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), doc.alias("doc"),
                   F.expr("event_id div 8").alias("bucket"))
     # list responses (bounded: 8 events each); error events come as single objects
@@ -172,6 +172,16 @@ def q_ohlc_rows(s, d):
     return ntz(FX.raw_ohlc(s, d).drop("dt"))
 
 
+def q_responses_scan(s, d):
+    """S1 -> S4 from files: OHLC bodies landed one per line, scanned back
+    with their context, then shaped into candle rows."""
+    ensure_utc(s)
+    root = shared_dir(s, "responses")
+    S.write_responses(FX.ohlc_bodies(s, d), root, "coin_ohlc", keep=("coin_id", "ingestion_time"))
+    bodies = S.read_responses(s, f"{root}/coin_ohlc", "coin_id string, ingestion_time timestamp")
+    return ntz(S.ohlc_rows(bodies))
+
+
 def q_trim_payload(s, d):
     raw = FX.raw_metadata(s, d)
     return ntz(raw.select("ingestion_time", S.trim_payload("payload", METADATA_MEMBERS).alias("payload")))
@@ -255,7 +265,7 @@ def _load_batch_lines(s, d) -> DataFrame:
     value, trailing garbage — each on a data-defined set of events."""
     ev = _events(s, d)
     t = F.col("ts").cast("timestamp")
-    doc = FX.market_document(ev)
+    doc = FX.market_document()
     et, v = F.col("event_type"), F.col("value")
     good = F.concat(F.lit('{"ingestion_time":"'), iso_utc(t), F.lit('","payload":'), doc, F.lit("}"))
     line = (F.when((et == "click") & (v > 450), F.concat(F.lit('{"extra":1,'), good.substr(F.lit(2), F.length(good))))
@@ -354,7 +364,7 @@ def q_incremental_load(s, d):
 # ------------------------------------------------------------ tools (T)
 def q_bad_payloads(s, d):
     ev = _events(s, d)
-    doc = FX.market_document(ev)
+    doc = FX.market_document()
     et, v = F.col("event_type"), F.col("value")
     payload = (F.when((et == "purchase") & (v < 2), F.concat(doc, F.lit(" x")))
                 .when((et == "signup") & (v < 2), F.concat(doc, F.lit("}")))
@@ -401,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "document_rows": q_document_rows,
     "unwrap_envelope": q_unwrap_envelope,
     "ohlc_rows": q_ohlc_rows,
+    "responses_scan": q_responses_scan,
     "trim_payload": q_trim_payload,
     "ndjson_roundtrip": q_ndjson_roundtrip,
     "landing_path": q_landing_path,

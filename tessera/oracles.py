@@ -128,6 +128,7 @@ SELECT CAST(CAST(epoch_ms(ms) AS DATE) + v AS TIMESTAMP) + INTERVAL 6 HOUR AS in
        CAST(user_id AS VARCHAR) AS coin_id, epoch_ms(ms) AS open_time, open, high, low,
        CASE WHEN v = 1 THEN open ELSE close END AS close
 FROM c, (VALUES (1), (2)) AS t(v)"""
+o["responses_scan"] = o["ohlc_rows"]
 o["trim_payload"] = """
 SELECT TIMESTAMP '2024-01-01 00:00:00' + to_minutes(p_partkey) AS ingestion_time,
        '{"id":"' || p_size || '","symbol":"' || lower(p_brand) || '","name":"' || p_name

@@ -48,7 +48,8 @@ def _num(c: Column) -> Column:
 
 
 # ---------------------------------------------------------------- markets
-def market_document(ev: DataFrame) -> Column:
+def market_document() -> Column:
+    """Market document of one event (columns of ``events``)."""
     return F.to_json(F.struct(
         F.col("user_id").cast("string").alias("id"),
         F.col("event_type").alias("symbol"),
@@ -67,7 +68,7 @@ def market_document(ev: DataFrame) -> Column:
 
 def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return _with_dt(ev.select(_utc().alias("ingestion_time"), market_document(ev).alias("payload")))
+    return _with_dt(ev.select(_utc().alias("ingestion_time"), market_document().alias("payload")))
 
 
 # ----------------------------------------------------------------- global

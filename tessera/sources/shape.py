@@ -18,6 +18,35 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# ------------------------------------------------------------------ S1
+def write_responses(responses: DataFrame, root: str, endpoint: str, keep: tuple[str, ...] = ()) -> None:
+    """Land raw API bodies, one response per line, with their request
+    context (``keep``: e.g. coin id, request time) as JSON members and the
+    UTC day as directory. Bodies are embedded as JSON, not re-encoded."""
+    ctx = F.to_json(F.struct(*keep)) if keep else F.lit("{}")
+    line = F.concat(ctx.substr(F.lit(1), F.length(ctx) - 1),
+                    F.lit(',"body":' if keep else '"body":'), F.col("body"), F.lit("}"))
+    (responses.select(line.alias("value"), F.to_date("ingestion_time").alias("dt"))
+              .hint("rebalance", "dt")
+              .write.mode("append").partitionBy("dt").text(f"{root.rstrip('/')}/{endpoint}"))
+
+
+def read_responses(spark, path: str, context_schema: str = "", wholetext: bool = False) -> DataFrame:
+    """Scan landed API bodies — one row per response.
+
+    ``wholetext=True`` reads one response per file (a raw body as fetched);
+    otherwise one response per line as written by ``write_responses``, whose
+    context members are typed by ``context_schema`` (DDL) and the body kept
+    as JSON text. The source file is kept for lineage.
+    """
+    if wholetext:
+        df = spark.read.text(path, wholetext=True)
+        return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
+    schema = ", ".join(x for x in (context_schema, "body string") if x)
+    df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return df.withColumn("source_file", F.col("_metadata.file_path"))
+
+
 # ------------------------------------------------------------------ S2
 def unwrap_envelope(body: Column | str, member: str) -> Column:
     """``response["data"]`` / ``response["coins"]``: the member as JSON text.

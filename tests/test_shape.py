@@ -129,3 +129,18 @@ def test_iso_utc_microseconds_only_when_present(spark):
     df = spark.createDataFrame([(TS,), (TS.replace(microsecond=1500),)], "t timestamp")
     assert [r[0] for r in df.select(iso_utc("t")).collect()] == [
         "2026-06-26T12:00:00+00:00", "2026-06-26T12:00:00.001500+00:00"]
+
+
+def test_read_responses_line_and_wholetext(spark, tmp_path):
+    resp = spark.createDataFrame([("bitcoin", TS, "[[1719403200000, 1, 2, 0.5, 1.5]]"),
+                                  ("eth", TS, "[[1719403200000, 3, 4, 2.5, 3.5]]")],
+                                 "coin_id string, ingestion_time timestamp, body string")
+    S.write_responses(resp, str(tmp_path), "coin_ohlc", keep=("coin_id", "ingestion_time"))
+    back = S.read_responses(spark, str(tmp_path / "coin_ohlc"), "coin_id string, ingestion_time timestamp")
+    rows = {r["coin_id"]: r for r in S.ohlc_rows(back).collect()}
+    assert rows["eth"]["close"] == 3.5 and rows["bitcoin"]["open"] == 1.0
+    one = tmp_path / "raw_body.json"
+    one.write_text('{"data":\n  {"active_cryptocurrencies": 12000}\n}\n')
+    whole = S.read_responses(spark, str(one), wholetext=True).first()
+    assert whole["source_file"].endswith("raw_body.json")
+    assert json.loads(whole["body"])["data"]["active_cryptocurrencies"] == 12000
