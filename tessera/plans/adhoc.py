@@ -39,13 +39,25 @@ def readonly_session(spark: SparkSession,
     return s
 
 
+def plan_text(df: DataFrame, mode: str = "extended") -> str:
+    """The text ``df.explain(mode)`` prints (parsed, analysed, optimised and
+    physical plans for ``extended``)."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
+
+
 def adhoc_readonly(session: SparkSession, query: str) -> DataFrame:
     """Run ``query`` read-only in ``session``; raises on writes or code."""
     q = query.strip().rstrip(";").strip()
     if ";" in q:
         raise ReadOnlyViolation("one statement only")
     df = session.sql("SELECT * FROM (\n" + q + "\n) q")
-    plan = df._jdf.queryExecution().analyzed().toString().lower()
+    plan = plan_text(df).lower()
     for tok in FORBIDDEN_PLAN_TOKENS:
         if tok.lower() in plan:
             raise ReadOnlyViolation(f"query uses {tok.rstrip('(')}")

@@ -62,21 +62,34 @@ def candle_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"), "ingestion_time")
 
 
-def write_landing(rows: DataFrame, root: str, endpoint: str) -> bool:
-    """Append one endpoint's rows to the landing zone.
-
-    Empty input writes nothing and returns False (no empty object). A
-    multi-run backfill is one job; each row lands in its UTC day.
+def write_landing(rows: DataFrame, root: str, endpoint: str) -> int:
+    """Append one endpoint's rows to the landing zone (S8); returns the
+    number of rows written.
+
+    One pass: the row count is an observation on the write itself (no
+    separate emptiness probe that would compute the input twice). Empty
+    input creates no day directory and no data file. A multi-run backfill
+    is one job; each row lands in its UTC day.
     """
-    if rows.isEmpty():
-        return False
+    from pyspark.sql import Observation
+
     lines = candle_lines(rows) if "open_time" in rows.columns else document_lines(rows)
-    out = lines.select("value", F.to_date("ingestion_time").alias("dt"))
+    obs = Observation(f"landing_{endpoint}")
+    out = lines.select("value", F.to_date("ingestion_time").alias("dt")).observe(obs, F.count(F.lit(1)).alias("n"))
     # REBALANCE: hash on the day, but AQE merges small days into one file
     # and splits a hot day over several tasks (O8, skew-safe)
     (out.hint("rebalance", "dt")
         .write.mode("append").partitionBy("dt").text(f"{root.rstrip('/')}/{endpoint}"))
-    return True
+    return observed_count(obs)
+
+
+def observed_count(obs, name: str = "n") -> int:
+    """Row count observed on a write; an input with no partitions reports
+    no metrics at all, which means nothing was written."""
+    try:
+        return int(obs.get.get(name, 0) or 0)
+    except Exception:  # noqa: BLE001 — empty metrics row
+        return 0
 
 
 def read_landing(spark: SparkSession, root: str, endpoint: str, with_partitions: bool = True) -> DataFrame:

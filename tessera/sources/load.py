@@ -75,7 +75,8 @@ def load_ndjson(spark: SparkSession, path: str, table: str, raw_path: str) -> in
     obs = Observation(f"load_{table}")
     out = rows.withColumn("dt", F.to_date("ingestion_time")).observe(obs, F.count(F.lit(1)).alias("n"))
     append_raw(out, raw_path)
-    return int(obs.get.get("n", 0))
+    from .landing import observed_count
+    return observed_count(obs)
 
 
 def append_raw(rows: DataFrame, raw_path: str) -> None:

@@ -20,8 +20,12 @@ from ..operators.latest import latest_by
 from ..sources.load import strict_rows
 
 
+# Backlog is consumed in bounded micro-batches (availableNow honours it).
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def _landing_stream(spark: SparkSession, landing_root: str, endpoint: str,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

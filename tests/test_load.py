@@ -26,10 +26,11 @@ def test_landing_path_layout(spark):
         "coin_markets/dt=2026-06-26/20260626T120000_ab12cd34.ndjson"
 
 
-def test_empty_batch_writes_nothing(spark, tmp_path):
+def test_empty_batch_writes_no_object(spark, tmp_path):
     assert L.write_landing(spark.createDataFrame([], "ingestion_time timestamp, payload string"),
-                           str(tmp_path), "trending") is False
-    assert not (tmp_path / "trending").exists()
+                           str(tmp_path), "trending") == 0
+    assert not [p for p in tmp_path.rglob("*") if p.is_file() and not p.name.startswith(("_", "."))]
+    assert L.write_landing(_docs(spark, 3), str(tmp_path), "trending") == 3
 
 
 def test_replay_equals_appended_rows(spark, tmp_path):
