@@ -69,32 +69,39 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                       key_path: str = "$.id") -> None:
+                       current: int | None, key_path: str = "$.id") -> int | None:
     """snapshot ∪ batch -> latest per key -> new version directory -> switch.
 
-    Writing version ``batch_id`` with overwrite makes a retried batch
-    idempotent; readers only ever see a complete version because the
-    pointer is switched after the write commits.
+    ``current`` is the version the snapshot is at (read once when the
+    stream starts). Writing version ``batch_id`` with overwrite makes a
+    retried batch idempotent, and a batch at or below ``current`` was
+    already applied and is skipped; readers only ever see a complete
+    version because the pointer is switched after the write commits.
+    Returns the version the snapshot is at afterwards.
     """
-    cur = current_version(spark, root)
-    if cur is not None and cur >= batch_id:   # batch already applied (retry)
-        return
+    if current is not None and current >= batch_id:
+        return current
     docs = batch.select(json_value("payload", key_path).alias("coin_id"), "ingestion_time", "payload")
-    snap = None if cur is None else spark.read.parquet(_version_path(root, cur))
+    snap = None if current is None else spark.read.parquet(_version_path(root, current))
     both = docs if snap is None else snap.select(*_SNAPSHOT_COLS).unionByName(docs)
     merged = latest_by(both, ["coin_id"], [F.desc("ingestion_time")], tie_break=[F.desc("payload")])
     merged.write.mode("overwrite").parquet(_version_path(root, batch_id))
     spark.createDataFrame([(batch_id,)], "version long").coalesce(1) \
          .write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
+    return batch_id
 
 
 def materialize_latest(spark: SparkSession, landing_root: str, endpoint: str, snapshot_root: str,
                        checkpoint: str) -> int | None:
     """V6: keep a materialised newest-document-per-coin snapshot up to date
     from the landing stream; returns the current version."""
+    state = {"version": current_version(spark, snapshot_root)}
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id, state["version"])
+
     rows = _landing_stream(spark, landing_root, endpoint)
-    q = (rows.writeStream
-             .foreachBatch(lambda df, bid: merge_latest_batch(df.sparkSession, snapshot_root, df, bid))
+    q = (rows.writeStream.foreachBatch(apply)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return current_version(spark, snapshot_root)
+    return state["version"]
