@@ -28,17 +28,22 @@ def _latest_documents(raw: DataFrame, key_path: str = "$.id", key: str = "coin_i
     return latest_by(docs, [key], [F.desc("ingestion_time")], tie_break=[F.desc("payload")])
 
 
-def latest_prices(raw_markets: DataFrame, strict: bool = True) -> DataFrame:
+def latest_prices(raw_markets: DataFrame, strict: bool = True, as_of_latest_snapshot: bool = False) -> DataFrame:
     """V1: newest market document per coin, typed.
 
     Newest row *per coin*, not the newest snapshot: a coin that left the
-    listing keeps its old price and rank. ``strict`` (default) fails the
-    query on a non-numeric price like a plain CAST; ``strict=False`` turns
-    it into NULL. ``last_updated`` is always lenient (SAFE.TIMESTAMP).
+    listing keeps its old price and rank. ``as_of_latest_snapshot=True``
+    keeps only coins present in the newest run (H6; the newest run time is
+    a scalar sub-query). ``strict`` (default) fails the query on a
+    non-numeric price like a plain CAST; ``strict=False`` turns it into
+    NULL. ``last_updated`` is always lenient (SAFE.TIMESTAMP).
     """
     cast = strict_cast if strict else (lambda c, t: c.try_cast(t))
     p = "payload"
-    return _latest_documents(raw_markets).select(
+    latest = _latest_documents(raw_markets)
+    if as_of_latest_snapshot:
+        latest = latest.where(F.col("ingestion_time") == raw_markets.select(F.max("ingestion_time")).scalar())
+    return latest.select(
         "coin_id",
         json_value(p, "$.symbol").alias("symbol"),
         json_value(p, "$.name").alias("name"),

@@ -105,3 +105,11 @@ def test_trending_latest_is_the_newest_run(spark):
                        (5, {"item": {"id": "pepe", "market_cap_rank": 30}}),
                        (5, {"item": {"id": "wif", "market_cap_rank": 40}})])
     assert sorted(r["coin_id"] for r in V.trending_latest(raw).collect()) == ["pepe", "wif"]
+
+
+def test_as_of_latest_snapshot_drops_coins_that_left_the_listing(spark):
+    raw = _raw(spark, [(0, {"id": "gone", "current_price": 1, "market_cap_rank": 1}),
+                       (5, {"id": "btc", "current_price": 2, "market_cap_rank": 1}),
+                       (5, {"id": "eth", "current_price": 3, "market_cap_rank": 2})])
+    assert V.latest_prices(raw).count() == 3
+    assert sorted(r["coin_id"] for r in V.latest_prices(raw, as_of_latest_snapshot=True).collect()) == ["btc", "eth"]
