@@ -74,8 +74,16 @@ def dim_coin(raw_metadata: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def ohlc_timeseries(raw_ohlc: DataFrame) -> DataFrame:
-    """V3: newest version of each candle ``(coin_id, open_time)``."""
-    latest = latest_by(raw_ohlc, ["coin_id", "open_time"], [F.desc("ingestion_time")],
+    """V3: newest version of each candle ``(coin_id, open_time)``.
+
+    ``coin_id`` and ``open_time`` are REQUIRED in the raw table; stating it
+    as a filter (a no-op on loaded data) lets the optimizer know the keys
+    are never NULL, so queries that use the series twice (anchor + join
+    back, lag carry) get identical sub-plans and reuse one exchange instead
+    of computing the series twice.
+    """
+    keyed = raw_ohlc.where(F.col("coin_id").isNotNull() & F.col("open_time").isNotNull())
+    latest = latest_by(keyed, ["coin_id", "open_time"], [F.desc("ingestion_time")],
                        tie_break=[F.desc("close"), F.desc("open"), F.desc("high"), F.desc("low")])
     return latest.select("coin_id", "open_time", "open", "high", "low", "close")
 
