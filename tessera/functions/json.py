@@ -100,7 +100,7 @@ def iso_utc(ts: Column | str) -> Column:
     microseconds only when non-zero (S5). Session zone must be UTC."""
     t = _col(ts)
     whole = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.unix_micros(t.cast("timestamp")) % F.lit(1_000_000)
+    micros = F.pmod(F.unix_micros(t.cast("timestamp")), F.lit(1_000_000))
     frac = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(F.lit(""))
     return F.concat(whole, frac, F.lit("+00:00"))
 

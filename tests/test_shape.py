@@ -144,3 +144,14 @@ def test_read_responses_line_and_wholetext(spark, tmp_path):
     whole = S.read_responses(spark, str(one), wholetext=True).first()
     assert whole["source_file"].endswith("raw_body.json")
     assert json.loads(whole["body"])["data"]["active_cryptocurrencies"] == 12000
+
+
+def test_iso_utc_before_1970(spark):
+    df = spark.createDataFrame([(dt.datetime(1969, 12, 31, 23, 59, 59, 250000, tzinfo=dt.timezone.utc),)], "t timestamp")
+    assert df.select(iso_utc("t")).first()[0] == "1969-12-31T23:59:59.250000+00:00"
+
+
+def test_ndjson_keeps_non_ascii(spark):
+    df = spark.createDataFrame([("Société Générale",)], "name string")
+    line = S.to_ndjson_lines(df).first()["value"]
+    assert line == '{"name":"Société Générale"}'
