@@ -41,3 +41,8 @@ def test_callers_views_are_invisible(ro):
 def test_breaking_out_of_the_wrapper_still_only_queries(ro):
     df = adhoc_readonly(ro, "select 1 AS a) q union all select * from (select 2 AS a")
     assert sorted(r[0] for r in df.collect()) == [1, 2]
+
+
+def test_inner_order_is_kept(ro):
+    got = [r[0] for r in adhoc_readonly(ro, "SELECT coin_id FROM latest_prices ORDER BY coin_id DESC").collect()]
+    assert got == [4, 3, 2, 1, 0]
