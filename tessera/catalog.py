@@ -339,9 +339,9 @@ def q_materialized_latest(s, d):
     ensure_utc(s)
     root, slices = _stream_landing(s, d)
     snap, ckpt = shared_dir(s, "snapshot"), shared_dir(s, "ckpt")
-    for part in slices:
+    for i, part in enumerate(slices):
         L.write_landing(part, root, "coin_markets")
-        ST.materialize_latest(s, root, "coin_markets", snap, ckpt)
+        ST.materialize_latest(s, root, "coin_markets", snap, ckpt, fresh=(i == 0))
     latest = ST.read_snapshot(s, snap)
     p = "payload"
     return ntz(latest.select("coin_id",

@@ -92,10 +92,11 @@ def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_i
 
 
 def materialize_latest(spark: SparkSession, landing_root: str, endpoint: str, snapshot_root: str,
-                       checkpoint: str) -> int | None:
+                       checkpoint: str, fresh: bool = False) -> int | None:
     """V6: keep a materialised newest-document-per-coin snapshot up to date
-    from the landing stream; returns the current version."""
-    state = {"version": current_version(spark, snapshot_root)}
+    from the landing stream; returns the current version. ``fresh=True``
+    declares a new, empty snapshot root (no pointer to read yet)."""
+    state = {"version": None if fresh else current_version(spark, snapshot_root)}
 
     def apply(df: DataFrame, batch_id: int) -> None:
         state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id, state["version"])
