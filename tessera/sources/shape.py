@@ -47,6 +47,19 @@ def read_responses(spark, path: str, context_schema: str = "", wholetext: bool =
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
+# ------------------------------------------------------------------ S16
+def stamp_run(responses: DataFrame, ts, run_id: str | None = None) -> DataFrame:
+    """One time stamp and one run id for every row of a run.
+
+    Both are literals fixed by the caller (never ``uuid()`` or
+    ``current_timestamp()`` per row), so a retried task writes the same
+    values; without ``run_id`` it is derived from the stamp (8 hex).
+    """
+    t = F.lit(ts).cast("timestamp")
+    rid = F.lit(run_id) if run_id is not None else F.substring(F.md5(t.cast("string")), 1, 8)
+    return responses.withColumn("ingestion_time", t).withColumn("run_id", rid)
+
+
 # ------------------------------------------------------------------ S2
 def unwrap_envelope(body: Column | str, member: str) -> Column:
     """``response["data"]`` / ``response["coins"]``: the member as JSON text.

@@ -61,3 +61,21 @@ def test_daily_fan_out_only_for_top_n_coins(spark):
     candles = spark.createDataFrame([(f"coin{i}", base, 1.0) for i in range(10)], "coin_id string, open_time timestamp, close double")
     picked = candles.join(F.broadcast(top_ids(prices, 2)), "coin_id", "left_semi")
     assert sorted(r["coin_id"] for r in picked.collect()) == ["coin0", "coin1"]
+
+
+def test_compare_coins_wide_pivot(spark):
+    base = dt.datetime(2024, 6, 26)
+    rows = [(c, base + dt.timedelta(days=d), 1.0, 1.0, 1.0, float(10 * (d + 1) * k))
+            for k, c in ((1, "btc"), (2, "eth"), (3, "sol")) for d in range(3)]
+    df = spark.createDataFrame(rows, "coin_id string, open_time timestamp, open double, high double, low double, close double")
+    wide = Q.compare_coins(df, ["btc", "eth"], wide=True).orderBy("day").collect()
+    assert [r["btc"] for r in wide] == [100.0, 200.0, 300.0] and wide[0]["eth"] == 100.0
+    assert "sol" not in wide[0].asDict()
+
+
+def test_stamp_run_is_one_literal_per_run(spark):
+    from tessera.sources.shape import stamp_run
+
+    df = stamp_run(spark.range(5), dt.datetime(2026, 6, 26, 12, 0), None)
+    assert df.select("ingestion_time", "run_id").distinct().count() == 1
+    assert len(df.first()["run_id"]) == 8
