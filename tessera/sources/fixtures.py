@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_utc
+
 # Fixed values of the fixture rules.
 CANDLE_MS = 4 * 3600 * 1000          # 4-hour candles
 RUN_HOUR_OFFSET = 6                   # daily job runs at 06:00 UTC
@@ -29,6 +31,9 @@ METADATA_EPOCH_S = 1704067200         # 2024-01-01T00:00:00Z
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; pins the session zone to UTC first (all day and
+    epoch arithmetic of the fixtures is UTC, H4)."""
+    ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
