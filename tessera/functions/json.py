@@ -117,7 +117,7 @@ def is_single_json_document(text: Column | str) -> Column:
     """
     t = _col(text)
     as_item = F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1
-    as_value = F.size(F.json_object_keys(F.concat(F.lit('{"x":'), t, F.lit("}")))) == 1
+    as_value = F.array_size(F.json_object_keys(F.concat(F.lit('{"x":'), t, F.lit("}")))) == 1
     return t.isNotNull() & F.coalesce(as_item, F.lit(False)) & F.coalesce(as_value, F.lit(False))
 
 

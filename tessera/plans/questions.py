@@ -148,7 +148,7 @@ def prices_with_dim(prices: DataFrame, dim: DataFrame) -> DataFrame:
     d = dim.select("coin_id", "categories", F.col("name").alias("dim_name"))
     return (prices.join(d, "coin_id", "left")
                   .select("coin_id", "name", "current_price_usd", "market_cap_rank",
-                          F.coalesce(F.size("categories"), F.lit(0)).alias("n_categories"), "categories"))
+                          F.coalesce(F.array_size("categories"), F.lit(0)).alias("n_categories"), "categories"))
 
 
 def candles_with_dim(ohlc: DataFrame, dim: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def candles_with_dim(ohlc: DataFrame, dim: DataFrame) -> DataFrame:
     The dimension side is one row per coin; AQE broadcasts it when its
     measured size allows."""
     daily = resample_daily(ohlc)
-    d = dim.select("coin_id", "name", F.size("categories").alias("n_categories"))
+    d = dim.select("coin_id", "name", F.array_size("categories").alias("n_categories"))
     return daily.join(d, "coin_id").select("coin_id", "name", "day", "close", "n_categories")
 
 

@@ -23,7 +23,7 @@ def _line_checks(lines: DataFrame, schema: T.StructType, value: str = "value") -
     v = F.col(value)
     well_formed = is_single_json_document(v) & F.json_object_keys(v).isNotNull()
     keys = F.json_object_keys(v)
-    unknown = F.size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), allowed)) > 0
+    unknown = F.array_size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), allowed)) > 0
     parsed = F.from_json(v, schema)
     missing = F.lit(False)
     for name in required_fields(schema):

@@ -104,7 +104,7 @@ def ohlc_rows(responses: DataFrame, body: str = "body", coin: str = "coin_id",
     c = F.col("__c")
     exploded = responses.select(F.col(ts).alias("ingestion_time"), F.col(coin).alias("coin_id"),
                                 F.explode(F.from_json(F.col(body), "array<array<double>>")).alias("__c"))
-    checked = F.when(F.size(c) >= 5, c).otherwise(
+    checked = F.when(F.array_size(c) >= 5, c).otherwise(
         F.raise_error(F.concat(F.lit("short candle for coin "), F.col("coin_id"))))
     return (exploded.select("ingestion_time", "coin_id", checked.alias("__c"))
                     .select("ingestion_time", "coin_id",
