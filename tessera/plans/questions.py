@@ -97,19 +97,26 @@ def price_range(ohlc: DataFrame) -> DataFrame:
     return agg.withColumn("change_pct", F.round((F.col("last_close") / F.col("first_open") - 1) * 100, 6))
 
 
-def price_change(ohlc: DataFrame) -> DataFrame:
-    """Candle-to-candle change of the close (lag over each series)."""
-    x = previous_value(ohlc, ["coin_id"], "open_time", "close", "prev_close")
+def price_change(ohlc: DataFrame, bucket: str = "day") -> DataFrame:
+    """Candle-to-candle change of the close (lag over each series).
+
+    ``bucket`` sizes the skew-safe lag's window groups (``day`` holds six
+    4-hour candles; use ``hour`` for dense irregular series).
+    """
+    x = previous_value(ohlc, ["coin_id"], "open_time", "close", "prev_close",
+                       bucket=F.date_trunc(bucket, "open_time"))
     return x.select("coin_id", "open_time", "close", "prev_close",
                     F.round(F.col("close") - F.col("prev_close"), 9).alias("change"))
 
 
-def volatility(ohlc: DataFrame) -> DataFrame:
+def volatility(ohlc: DataFrame, bucket: str = "day") -> DataFrame:
     """Q5: sample standard deviation of simple returns per coin.
 
-    Returns with a zero or missing previous close are left out.
+    Returns with a zero or missing previous close are left out; ``bucket``
+    as in ``price_change``.
     """
-    x = previous_value(ohlc, ["coin_id"], "open_time", "close", "prev_close")
+    x = previous_value(ohlc, ["coin_id"], "open_time", "close", "prev_close",
+                       bucket=F.date_trunc(bucket, "open_time"))
     r = x.where(F.col("prev_close").isNotNull() & (F.col("prev_close") != 0)) \
          .select("coin_id", (F.col("close") / F.col("prev_close") - 1).alias("ret"))
     return r.groupBy("coin_id").agg(F.count(F.lit(1)).alias("n_returns"),

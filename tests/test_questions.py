@@ -79,3 +79,23 @@ def test_stamp_run_is_one_literal_per_run(spark):
     df = stamp_run(spark.range(5), dt.datetime(2026, 6, 26, 12, 0), None)
     assert df.select("ingestion_time", "run_id").distinct().count() == 1
     assert len(df.first()["run_id"]) == 8
+
+
+def test_price_change_bucket_width_does_not_change_the_answer(spark):
+    base = dt.datetime(2024, 6, 26)
+    rows = [("a", base + dt.timedelta(minutes=37 * i), float(i % 13 + 1)) for i in range(300)]
+    df = spark.createDataFrame(rows, "coin_id string, open_time timestamp, close double")
+    by_day = sorted(map(tuple, Q.price_change(df, "day").collect()))
+    by_hour = sorted(map(tuple, Q.price_change(df, "hour").collect()))
+    assert by_day == by_hour and sum(1 for r in by_day if r[3] is None) == 1
+
+
+def test_category_count_is_zero_not_minus_one_without_ansi(spark):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        p = spark.createDataFrame([("a", "A", 1.0, 1)], "coin_id string, name string, current_price_usd double, market_cap_rank bigint")
+        d = spark.createDataFrame([("b", "B", ["x"])], "coin_id string, name string, categories array<string>")
+        assert Q.prices_with_dim(p, d).first()["n_categories"] == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
