@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -294,20 +294,13 @@ def q_markets_page(s, d):
              .select("coin_id", "market_cap_usd", "market_cap_rank"))
 
 
-def top_ids(p: DataFrame, n: int) -> DataFrame:
-    """Ids of the ``n`` largest coins by market cap."""
-    return p.orderBy(F.desc("market_cap_usd"), "coin_id").limit(n).select("coin_id")
-
-
 def q_top_ids(s, d):
     p = prices(s, d)
     return p.orderBy(F.desc("market_cap_usd"), "coin_id").limit(TOP_N).select("coin_id", "market_cap_usd")
 
 
 def q_top_n_candles(s, d):
-    ids = top_ids(prices(s, d), TOP_N)
-    # at most TOP_N rows: a proven bound, so the semi-join is broadcast
-    return ntz(ohlc(s, d).join(F.broadcast(ids), "coin_id", "left_semi"))
+    return ntz(Q.top_n_candles(prices(s, d), ohlc(s, d), TOP_N))
 
 
 def q_raw_peek(s, d):
@@ -323,7 +316,7 @@ def q_parametrised_view(s, d):
     return ntz(V.parametrised_view(s, "latest_prices", "raw_coin_markets"))
 
 
-def _stream_landing(s, d) -> tuple[str, list[Column]]:
+def _stream_landing(s, d) -> tuple[str, list[DataFrame]]:
     """Land the market documents in three time slices (three scheduled runs)."""
     raw = FX.raw_markets(s, d).drop("dt")
     lo, hi = raw.select(F.min("ingestion_time"), F.max("ingestion_time")).first()

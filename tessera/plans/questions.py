@@ -35,6 +35,19 @@ def formatted_top(prices: DataFrame, n: int = 5, decimals: int = 2) -> DataFrame
                       format_figure("market_cap_usd", decimals).alias("market_cap_usd"))
 
 
+# ------------------------------------------------------------------- S14
+def top_ids(prices: DataFrame, n: int) -> DataFrame:
+    """Ids of the ``n`` largest coins by market cap (the daily run's list)."""
+    return prices.orderBy(F.desc("market_cap_usd"), "coin_id").limit(n).select("coin_id")
+
+
+def top_n_candles(prices: DataFrame, ohlc: DataFrame, n: int) -> DataFrame:
+    """Candles of the ``n`` largest coins only (the daily fan-out). The id
+    list has at most ``n`` rows — a bound by construction — so the
+    semi-join broadcasts it and the candle side is never shuffled."""
+    return ohlc.join(F.broadcast(top_ids(prices, n)), "coin_id", "left_semi")
+
+
 # ------------------------------------------------------------------- Q2 / Q3 / Q10
 def _coin_categories(dim: DataFrame) -> DataFrame:
     return dim.select("coin_id", F.explode("categories").alias("category"))

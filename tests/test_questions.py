@@ -54,12 +54,10 @@ def test_daily_candles_resample(spark):
 
 def test_daily_fan_out_only_for_top_n_coins(spark):
     # the daily run fetches candles and metadata only for the N largest coins
-    from tessera.catalog import top_ids
-
     prices = spark.createDataFrame([(f"coin{i}", float(1000 - i)) for i in range(10)], "coin_id string, market_cap_usd double")
     base = dt.datetime(2024, 6, 26)
     candles = spark.createDataFrame([(f"coin{i}", base, 1.0) for i in range(10)], "coin_id string, open_time timestamp, close double")
-    picked = candles.join(F.broadcast(top_ids(prices, 2)), "coin_id", "left_semi")
+    picked = Q.top_n_candles(prices, candles, 2)
     assert sorted(r["coin_id"] for r in picked.collect()) == ["coin0", "coin1"]
 
 
