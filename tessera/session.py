@@ -36,6 +36,36 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_initial_partitions: int = 200_000) -> dict[str, str]:
+    """SQL settings sized for an input of ``input_bytes``.
+
+    Shuffles start with one partition per ``target_partition_bytes`` of
+    input (AQE then coalesces small ones and splits skewed ones towards the
+    same advisory size); scans split files at the same size. For 100 TB
+    this gives ~400k, capped at 200k initial partitions.
+    """
+    parts = max(8, min(max_initial_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, **kw) -> dict[str, str]:
+    """Set ``scale_settings`` on the session (runtime SQL confs only)."""
+    conf = scale_settings(input_bytes, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All day boundaries are UTC days; pin the session zone (H4)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

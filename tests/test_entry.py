@@ -28,3 +28,12 @@ def test_no_python_udf_on_data_path(spark, name):
 def test_scan_prunes_columns(spark):
     plan = E.queries()["latest_per_key"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_scale_settings_grow_with_input():
+    from tessera.session import scale_settings
+
+    small, huge = scale_settings(10 << 20), scale_settings(100 * (1 << 40))
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert huge["spark.sql.shuffle.partitions"] == "200000"
+    assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
