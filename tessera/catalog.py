@@ -316,9 +316,9 @@ def q_parametrised_view(s, d):
     return ntz(V.parametrised_view(s, "latest_prices", "raw_coin_markets"))
 
 
-def _stream_landing(s, d) -> tuple[str, list[DataFrame]]:
-    """Land the market documents in three time slices (three scheduled runs)."""
-    raw = FX.raw_markets(s, d).drop("dt")
+def _stream_landing(s, d, endpoint: str = "coin_markets") -> tuple[str, list[DataFrame]]:
+    """Land one raw table in three time slices (three scheduled runs)."""
+    raw = FX.RAW_BUILDERS[endpoint](s, d).drop("dt")
     lo, hi = raw.select(F.min("ingestion_time"), F.max("ingestion_time")).first()
     span = (hi - lo) / 3
     cuts = [lo + span, lo + 2 * span]
@@ -328,19 +328,23 @@ def _stream_landing(s, d) -> tuple[str, list[DataFrame]]:
     return shared_dir(s, "landing"), [raw.where(c) for c in slices]
 
 
-def q_materialized_latest(s, d):
+def _materialized(s, d, endpoint: str) -> DataFrame:
     ensure_utc(s)
-    root, slices = _stream_landing(s, d)
+    root, slices = _stream_landing(s, d, endpoint)
     snap, ckpt = shared_dir(s, "snapshot"), shared_dir(s, "ckpt")
     for i, part in enumerate(slices):
-        L.write_landing(part, root, "coin_markets")
-        ST.materialize_latest(s, root, "coin_markets", snap, ckpt, fresh=(i == 0))
-    latest = ST.read_snapshot(s, snap)
-    p = "payload"
-    return ntz(latest.select("coin_id",
-                             strict_cast(json_value(p, "$.current_price"), "double").alias("current_price_usd"),
-                             strict_cast(json_value(p, "$.market_cap_rank"), "bigint").alias("market_cap_rank"),
-                             "ingestion_time"))
+        L.write_landing(part, root, endpoint)
+        ST.materialize_latest(s, root, endpoint, snap, ckpt, fresh=(i == 0))
+    return ST.read_snapshot(s, snap)
+
+
+def q_materialized_latest(s, d):
+    latest = V.latest_prices(_materialized(s, d, "coin_markets"))
+    return ntz(latest.select("coin_id", "current_price_usd", "market_cap_rank", "ingestion_time"))
+
+
+def q_materialized_ohlc(s, d):
+    return ntz(V.ohlc_timeseries(_materialized(s, d, "coin_ohlc")))
 
 
 def q_incremental_load(s, d):
@@ -393,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "trending_latest": _view("trending_latest"),
     "parametrised_view": q_parametrised_view,
     "materialized_latest": q_materialized_latest,
+    "materialized_ohlc": q_materialized_ohlc,
     # window / functions
     "latest_per_key": q_latest_per_key,
     "json_value": q_json_value,

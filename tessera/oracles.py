@@ -98,6 +98,7 @@ SELECT CAST(user_id AS VARCHAR) AS coin_id, 'Coin ' || CAST(user_id AS VARCHAR)
        date_trunc('hour', ts) AS ingestion_time
 FROM events WHERE date_trunc('hour', ts) = (SELECT max(date_trunc('hour', ts)) FROM events)"""
 o["parametrised_view"] = o["latest_prices"]
+o["materialized_ohlc"] = o["ohlc_timeseries"]
 o["materialized_latest"] = PRICES + """
 SELECT coin_id, current_price_usd, market_cap_rank, ingestion_time FROM latest_prices"""
 

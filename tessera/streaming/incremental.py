@@ -48,7 +48,25 @@ def incremental_load(spark: SparkSession, landing_root: str, endpoint: str, raw_
 
 
 # ------------------------------------------------------------------ V6
-_SNAPSHOT_COLS = ("coin_id", "ingestion_time", "payload")
+# Business key and tie-break of each raw table (the curated
+# views' partitioning).
+SNAPSHOT_KEYS = {
+    "coin_markets": (("coin_id",), ("payload",)),
+    "coin_metadata": (("coin_id",), ("payload",)),
+    "trending": (("coin_id",), ("payload",)),
+    "market_global": (("dt",), ("payload",)),
+    "coin_ohlc": (("coin_id", "open_time"), ("close", "open", "high", "low")),
+}
+
+
+def _keyed(batch: DataFrame, endpoint: str) -> DataFrame:
+    """Raw rows with their business key columns (documents: ``$.id``)."""
+    if endpoint == "coin_ohlc":
+        return batch.where(F.col("coin_id").isNotNull() & F.col("open_time").isNotNull())
+    if endpoint == "market_global":
+        return batch.withColumn("dt", F.to_date("ingestion_time"))
+    path = "$.item.id" if endpoint == "trending" else "$.id"
+    return batch.withColumn("coin_id", json_value("payload", path))
 
 
 def _version_path(root: str, version: int) -> str:
@@ -64,27 +82,30 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest raw row per business key, as of the current version.
+    Feed it to the matching curated view function (idempotent de-dup)."""
     v = current_version(spark, root)
     return None if v is None else spark.read.parquet(_version_path(root, v))
 
 
 def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                       current: int | None, key_path: str = "$.id") -> int | None:
+                       current: int | None, endpoint: str = "coin_markets") -> int | None:
     """snapshot ∪ batch -> latest per key -> new version directory -> switch.
 
     ``current`` is the version the snapshot is at (read once when the
     stream starts). Writing version ``batch_id`` with overwrite makes a
     retried batch idempotent, and a batch at or below ``current`` was
     already applied and is skipped; readers only ever see a complete
-    version because the pointer is switched after the write commits.
-    Returns the version the snapshot is at afterwards.
+    version because the pointer is switched after the write commits. The
+    merge cost grows with the number of keys, not with the history.
     """
     if current is not None and current >= batch_id:
         return current
-    docs = batch.select(json_value("payload", key_path).alias("coin_id"), "ingestion_time", "payload")
+    keys, tie = SNAPSHOT_KEYS[endpoint]
+    docs = _keyed(batch, endpoint)
     snap = None if current is None else spark.read.parquet(_version_path(root, current))
-    both = docs if snap is None else snap.select(*_SNAPSHOT_COLS).unionByName(docs)
-    merged = latest_by(both, ["coin_id"], [F.desc("ingestion_time")], tie_break=[F.desc("payload")])
+    both = docs if snap is None else snap.unionByName(docs)
+    merged = latest_by(both, list(keys), [F.desc("ingestion_time")], tie_break=[F.desc(c) for c in tie])
     merged.write.mode("overwrite").parquet(_version_path(root, batch_id))
     spark.createDataFrame([(batch_id,)], "version long").coalesce(1) \
          .write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
@@ -93,13 +114,14 @@ def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_i
 
 def materialize_latest(spark: SparkSession, landing_root: str, endpoint: str, snapshot_root: str,
                        checkpoint: str, fresh: bool = False) -> int | None:
-    """V6: keep a materialised newest-document-per-coin snapshot up to date
-    from the landing stream; returns the current version. ``fresh=True``
-    declares a new, empty snapshot root (no pointer to read yet)."""
+    """V6: keep a materialised newest-row-per-key snapshot of one raw table
+    up to date from the landing stream; returns the current version.
+    ``fresh=True`` declares a new, empty snapshot root (no pointer yet)."""
     state = {"version": None if fresh else current_version(spark, snapshot_root)}
 
     def apply(df: DataFrame, batch_id: int) -> None:
-        state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id, state["version"])
+        state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id,
+                                              state["version"], endpoint)
 
     rows = _landing_stream(spark, landing_root, endpoint)
     q = (rows.writeStream.foreachBatch(apply)
