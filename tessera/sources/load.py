@@ -99,9 +99,12 @@ def mode_summary(raw: dict[str, DataFrame], mode: str = "all", run: Column | Non
     endpoint before the single left join.
     """
     endpoints = MODES[mode]
-    run_col = run if run is not None else F.to_date("ingestion_time")
     counts = None
     for e in endpoints:
+        # default run = UTC day; the stored partition column when present
+        # (no per-row computation, only the partition value is read)
+        day = F.col("dt") if "dt" in raw[e].columns else F.to_date("ingestion_time")
+        run_col = run if run is not None else day
         c = raw[e].groupBy(run_col.alias("run")).agg(F.count(F.lit(1)).alias("rows")) \
                   .withColumn("endpoint", F.lit(e))
         counts = c if counts is None else counts.unionByName(c)
