@@ -282,6 +282,26 @@ def q_strict_load_report(s, d):
     return LD.strict_load_report(lines, "coin_markets", batch="dt")
 
 
+def q_ingest_run_summary(s, d):
+    """S12 end to end: one 'all' run over responses derived from the whole
+    tables — shaped, landed and strictly loaded per endpoint."""
+    from .sources.ingest import ingest_run
+
+    ev = _events(s, d)
+    doc = FX.market_document()
+    bucketed = ev.select(F.expr("event_id div 8").alias("b"), F.struct("event_id", doc.alias("doc")).alias("k"))
+    markets = (bucketed.groupBy("b").agg(F.sort_array(F.collect_list("k")).alias("ks"))
+                       .select(F.concat(F.lit("["), F.concat_ws(",", F.col("ks.doc")), F.lit("]")).alias("body")))
+    glob = ev.select(F.concat(F.lit('{"data":'), FX.global_document(), F.lit("}")).alias("body"))
+    trending = FX.raw_trending(s, d).select(F.concat(F.lit('{"coins":['), F.col("payload"), F.lit("]}")).alias("body"))
+    ohlc_bodies = FX.ohlc_bodies(s, d).select("coin_id", "body")
+    meta = FX.raw_metadata(s, d).select(F.col("payload").alias("body"))
+    responses = {"coin_markets": markets, "market_global": glob, "trending": trending,
+                 "coin_ohlc": ohlc_bodies, "coin_metadata": meta}
+    summary = ingest_run(s, responses, "all", FX.RUN_TS, shared_dir(s, "landing"), shared_dir(s, "raw"))
+    return s.createDataFrame(sorted(summary.items()), "endpoint string, rows bigint")
+
+
 def q_mode_summary(s, d):
     ensure_utc(s)
     return LD.mode_summary(FX.raw_tables(s, d), "all").withColumnRenamed("run", "run_day")
@@ -417,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "strict_load_report": q_strict_load_report,
     "raw_day_counts": q_raw_day_counts,
     "mode_summary": q_mode_summary,
+    "ingest_run_summary": q_ingest_run_summary,
     "markets_page": q_markets_page,
     "top_ids": q_top_ids,
     "top_n_candles": q_top_n_candles,

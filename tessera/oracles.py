@@ -172,6 +172,12 @@ o["mode_summary"] = CANDLES + """, counts AS (
 SELECT r.run_day, e.endpoint, coalesce(c.n, 0) AS rows
 FROM runs r CROSS JOIN (VALUES ('coin_markets'), ('market_global'), ('trending'), ('coin_ohlc'), ('coin_metadata')) AS e(endpoint)
 LEFT JOIN counts c ON c.run_day = r.run_day AND c.endpoint = e.endpoint"""
+o["ingest_run_summary"] = CANDLES + """
+SELECT 'coin_markets' AS endpoint, count(*) AS rows FROM events
+UNION ALL SELECT 'market_global', count(*) FROM events
+UNION ALL SELECT 'trending', count(*) FROM events
+UNION ALL SELECT 'coin_ohlc', 2 * count(*) FROM c
+UNION ALL SELECT 'coin_metadata', count(*) FROM part"""
 o["markets_page"] = PRICES + """
 SELECT coin_id, market_cap_usd, market_cap_rank FROM latest_prices
 ORDER BY market_cap_usd DESC, coin_id LIMIT 20 OFFSET 40"""

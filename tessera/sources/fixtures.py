@@ -28,6 +28,7 @@ from ..session import ensure_utc
 CANDLE_MS = 4 * 3600 * 1000          # 4-hour candles
 RUN_HOUR_OFFSET = 6                   # daily job runs at 06:00 UTC
 METADATA_EPOCH_S = 1704067200         # 2024-01-01T00:00:00Z
+RUN_TS = "2026-06-26T12:00:00Z"       # stamp of the one-run backfill
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
