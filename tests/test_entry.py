@@ -37,3 +37,26 @@ def test_scale_settings_grow_with_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert huge["spark.sql.shuffle.partitions"] == "200000"
     assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_view_join_reuses_window_partitioning(spark):
+    from tessera.plans.adhoc import plan_text
+
+    prev = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold"),
+            spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["prices_with_dim"](spark, SF0001)
+        df.collect()
+        tree = plan_text(df, "formatted").split("\n\n")[0].split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in tree
+        exchanges = [ln for ln in tree.splitlines() if ln.strip().startswith("+- Exchange")
+                     or ln.strip().startswith(":- Exchange") or "- Exchange" in ln]
+        assert len(exchanges) == 2        # one per de-duplication window, none for the join
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev[0])
+        if prev[1] is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev[1])
