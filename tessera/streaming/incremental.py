@@ -69,6 +69,19 @@ def _keyed(batch: DataFrame, endpoint: str) -> DataFrame:
     return batch.withColumn("coin_id", json_value("payload", path))
 
 
+# Documents are spread over this many key-hash parts; candles use their day.
+DOCUMENT_PARTS = 16
+
+
+def _part(endpoint: str):
+    """Snapshot partition of a keyed row: candles by UTC day of the candle
+    (a daily batch restates only the last days), documents by key hash."""
+    if endpoint == "coin_ohlc":
+        return F.date_format("open_time", "yyyy-MM-dd")
+    keys, _ = SNAPSHOT_KEYS[endpoint]
+    return F.pmod(F.xxhash64(*keys), F.lit(DOCUMENT_PARTS)).cast("string")
+
+
 def _version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version:010d}"
 
@@ -81,32 +94,59 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if row is None else int(row["version"])
 
 
+def _manifest(spark: SparkSession, root: str, version: int) -> dict[str, int]:
+    """part -> version holding it (one row per part: bounded by days or
+    DOCUMENT_PARTS, metadata only)."""
+    rows = spark.read.schema("part string, version long").json(f"{root.rstrip('/')}/_manifest/v={version:010d}")
+    return {r["part"]: int(r["version"]) for r in rows.collect()}
+
+
+def _paths(root: str, manifest: dict[str, int], parts=None) -> list[str]:
+    return [f"{_version_path(root, v)}/part={p}" for p, v in sorted(manifest.items())
+            if parts is None or p in parts]
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest raw row per business key, as of the current version.
     Feed it to the matching curated view function (idempotent de-dup)."""
     v = current_version(spark, root)
-    return None if v is None else spark.read.parquet(_version_path(root, v))
+    if v is None:
+        return None
+    paths = _paths(root, _manifest(spark, root, v))
+    return spark.read.option("basePath", root).parquet(*paths).drop("v", "part")
 
 
 def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
                        current: int | None, endpoint: str = "coin_markets") -> int | None:
-    """snapshot ∪ batch -> latest per key -> new version directory -> switch.
-
-    ``current`` is the version the snapshot is at (read once when the
-    stream starts). Writing version ``batch_id`` with overwrite makes a
-    retried batch idempotent, and a batch at or below ``current`` was
-    already applied and is skipped; readers only ever see a complete
-    version because the pointer is switched after the write commits. The
-    merge cost grows with the number of keys, not with the history.
+    """(touched parts of the snapshot) ∪ batch -> latest per key -> new
+    version of those parts only -> new manifest -> switch.
+
+    Only the partitions the batch touches are read and rewritten (candles:
+    the days a daily run restates), so the cost per batch does not grow with
+    the history. ``current`` is the version the snapshot is at (read once
+    when the stream starts); a batch at or below it was already applied and
+    is skipped; rewriting version ``batch_id`` is idempotent; readers switch
+    only after the new parts and manifest are committed.
     """
     if current is not None and current >= batch_id:
         return current
     keys, tie = SNAPSHOT_KEYS[endpoint]
-    docs = _keyed(batch, endpoint)
-    snap = None if current is None else spark.read.parquet(_version_path(root, current))
-    both = docs if snap is None else snap.unionByName(docs)
+    docs = _keyed(batch, endpoint).withColumn("part", _part(endpoint))
+    touched = {r["part"] for r in docs.select("part").distinct().collect()}   # bounded: parts
+    if not touched:
+        return current
+    manifest = {} if current is None else _manifest(spark, root, current)
+    old_paths = _paths(root, manifest, touched)
+    both = docs
+    if old_paths:
+        old = (spark.read.option("basePath", root).parquet(*old_paths).drop("v")
+                    .withColumn("part", F.col("part").cast("string")))   # inferred int/date
+        both = old.unionByName(docs)
     merged = latest_by(both, list(keys), [F.desc("ingestion_time")], tie_break=[F.desc(c) for c in tie])
-    merged.write.mode("overwrite").parquet(_version_path(root, batch_id))
+    merged.write.mode("overwrite").partitionBy("part").parquet(_version_path(root, batch_id))
+    manifest.update({p: batch_id for p in touched})
+    spark.createDataFrame(sorted(manifest.items()), "part string, version long").coalesce(1) \
+         .write.mode("overwrite").json(f"{root.rstrip('/')}/_manifest/v={batch_id:010d}")
     spark.createDataFrame([(batch_id,)], "version long").coalesce(1) \
          .write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
     return batch_id

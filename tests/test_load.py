@@ -123,3 +123,22 @@ def test_latest_is_idempotent(spark):
     once = latest_by(docs, ["coin_id"], [F.desc("ingestion_time")], [F.desc("payload")])
     twice = latest_by(once, ["coin_id"], [F.desc("ingestion_time")], [F.desc("payload")])
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_candle_snapshot_rewrites_only_touched_days(spark, tmp_path):
+    land, snap, ck = str(tmp_path / "land"), str(tmp_path / "snap"), str(tmp_path / "ck")
+
+    def candles(day, close):
+        t = dt.datetime(2026, 6, day, 4, 0)
+        return spark.createDataFrame([(t + dt.timedelta(hours=20), "btc", t, 1.0, 2.0, 0.5, close)],
+                                     "ingestion_time timestamp, coin_id string, open_time timestamp, "
+                                     "open double, high double, low double, close double")
+
+    L.write_landing(candles(1, 1.0).unionByName(candles(2, 2.0)), land, "coin_ohlc")
+    ST.materialize_latest(spark, land, "coin_ohlc", snap, ck, fresh=True)
+    L.write_landing(candles(3, 3.0), land, "coin_ohlc")
+    v = ST.materialize_latest(spark, land, "coin_ohlc", snap, ck)
+    manifest = ST._manifest(spark, snap, v)
+    assert manifest["2026-06-03"] == v and manifest["2026-06-01"] < v and manifest["2026-06-02"] < v
+    closes = sorted(r["close"] for r in ST.read_snapshot(spark, snap).collect())
+    assert closes == [1.0, 2.0, 3.0]
