@@ -69,17 +69,17 @@ def _keyed(batch: DataFrame, endpoint: str) -> DataFrame:
     return batch.withColumn("coin_id", json_value("payload", path))
 
 
-# Documents are spread over this many key-hash parts; candles use their day.
-DOCUMENT_PARTS = 16
+# Document snapshots are one part: every listing restates all coins, so a
+# batch touches every key anyway and the part count would only add files.
+DOCUMENT_PART = "all"
 
 
 def _part(endpoint: str):
     """Snapshot partition of a keyed row: candles by UTC day of the candle
-    (a daily batch restates only the last days), documents by key hash."""
+    (a daily batch restates only the last days); documents in one part."""
     if endpoint == "coin_ohlc":
         return F.date_format("open_time", "yyyy-MM-dd")
-    keys, _ = SNAPSHOT_KEYS[endpoint]
-    return F.pmod(F.xxhash64(*keys), F.lit(DOCUMENT_PARTS)).cast("string")
+    return F.lit(DOCUMENT_PART)
 
 
 def _version_path(root: str, version: int) -> str:
@@ -117,7 +117,8 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                       current: int | None, endpoint: str = "coin_markets") -> int | None:
+                       current: int | None, endpoint: str = "coin_markets",
+                       manifest: dict[str, int] | None = None) -> int | None:
     """(touched parts of the snapshot) ∪ batch -> latest per key -> new
     version of those parts only -> new manifest -> switch.
 
@@ -126,16 +127,22 @@ def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_i
     the history. ``current`` is the version the snapshot is at (read once
     when the stream starts); a batch at or below it was already applied and
     is skipped; rewriting version ``batch_id`` is idempotent; readers switch
-    only after the new parts and manifest are committed.
+    only after the new parts and manifest are committed. ``manifest`` is the
+    current version's part map when the caller already holds it (it is
+    updated in place).
     """
     if current is not None and current >= batch_id:
         return current
     keys, tie = SNAPSHOT_KEYS[endpoint]
     docs = _keyed(batch, endpoint).withColumn("part", _part(endpoint))
-    touched = {r["part"] for r in docs.select("part").distinct().collect()}   # bounded: parts
-    if not touched:
-        return current
-    manifest = {} if current is None else _manifest(spark, root, current)
+    if endpoint == "coin_ohlc":   # days restated by this batch (bounded: days)
+        touched = {r["part"] for r in docs.select("part").distinct().collect()}
+        if not touched:
+            return current
+    else:
+        touched = {DOCUMENT_PART}
+    if manifest is None:
+        manifest = {} if current is None else _manifest(spark, root, current)
     old_paths = _paths(root, manifest, touched)
     both = docs
     if old_paths:
@@ -157,11 +164,20 @@ def materialize_latest(spark: SparkSession, landing_root: str, endpoint: str, sn
     """V6: keep a materialised newest-row-per-key snapshot of one raw table
     up to date from the landing stream; returns the current version.
     ``fresh=True`` declares a new, empty snapshot root (no pointer yet)."""
-    state = {"version": None if fresh else current_version(spark, snapshot_root)}
+    version = None if fresh else current_version(spark, snapshot_root)
+    state = {"version": version,
+             "manifest": {} if version is None else _manifest(spark, snapshot_root, version)}
 
     def apply(df: DataFrame, batch_id: int) -> None:
-        state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id,
-                                              state["version"], endpoint)
+        # the micro-batch is read more than once (touched days, merge): keep
+        # it cached for this batch only (bounded by maxFilesPerTrigger; a
+        # lost block is recomputed from the landed files)
+        df.persist()
+        try:
+            state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id,
+                                                  state["version"], endpoint, state["manifest"])
+        finally:
+            df.unpersist()
 
     rows = _landing_stream(spark, landing_root, endpoint)
     q = (rows.writeStream.foreachBatch(apply)
