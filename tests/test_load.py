@@ -142,3 +142,18 @@ def test_candle_snapshot_rewrites_only_touched_days(spark, tmp_path):
     assert manifest["2026-06-03"] == v and manifest["2026-06-01"] < v and manifest["2026-06-02"] < v
     closes = sorted(r["close"] for r in ST.read_snapshot(spark, snap).collect())
     assert closes == [1.0, 2.0, 3.0]
+
+
+def test_scratch_space_lives_under_the_checkpoint_dir(spark):
+    from tessera.session import shared_dir
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    p = shared_dir(spark, "probe")
+    assert base and p.replace("file:", "").startswith(base.replace("file:", "").rstrip("/"))
+    assert p != shared_dir(spark, "probe")          # a fresh folder per call
+
+
+def test_landing_has_one_directory_per_utc_day(spark, tmp_path):
+    n = L.write_landing(_docs(spark, 60, hours=2), str(tmp_path), "coin_markets")   # 5 days of runs
+    days = sorted(p.name for p in (tmp_path / "coin_markets").iterdir() if p.name.startswith("dt="))
+    assert n == 60 and days == [f"dt=2026-06-{d}" for d in range(26, 31)] + ["dt=2026-07-01"]
