@@ -10,6 +10,8 @@ over at most five endpoints on the driver; all row work is Spark's.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,17 +48,18 @@ def ingest_run(spark: SparkSession, responses: dict[str, DataFrame], mode: str,
             continue
         rows = shape_endpoint(stamp_run(src, ts, run_id), endpoint)
         rows = rows.select(*(c for c in rows.columns if c != "run_id"))
-        if write_landing(rows, landing_root, endpoint) == 0:
+        # this attempt's lines are written once to their own staging folder
+        # ("_" prefix: invisible to landing listings); the landing zone gets
+        # a copy of them and the load reads exactly them, so a retried run
+        # never loads an earlier attempt's lines and shaping runs once
+        stage = f"{landing_root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+        if write_landing(rows, stage, endpoint) == 0:
             summary[endpoint] = 0          # nothing landed: nothing to load
             continue
-        # load what was landed (as the reference loads its object): the
-        # run's day partition only, lines of this run's stamp only — the
-        # shaping is not computed a second time
-        stamp = F.lit(ts).cast("timestamp")
-        landed = spark.read.text(f"{landing_root.rstrip('/')}/{endpoint}")
-        lines = (landed.where(F.col("dt") == F.to_date(stamp))
-                       .where(F.get_json_object("value", "$.ingestion_time").cast("timestamp") == stamp)
-                       .select("value"))
+        lines = spark.read.text(f"{stage}/{endpoint}")
+        (lines.hint("rebalance", "dt").write.mode("append").partitionBy("dt")
+              .text(f"{landing_root.rstrip('/')}/{endpoint}"))
+        lines = lines.select("value")
         obs = Observation(f"run_{endpoint}")
         typed = strict_rows(lines, endpoint).observe(obs, F.count(F.lit(1)).alias("n"))
         append_raw(typed, f"{raw_root.rstrip('/')}/{endpoint}")
