@@ -2,9 +2,9 @@
 
 URL_FILTER = r"""
 with u as (
-  select page_id, coalesce(url, '') as u, strpos(coalesce(url, ''), '://') as at from pages
+  select page_id, coalesce(url, '') as u, strpos(coalesce(url, ''), '://') as i from pages
 ), r as (
-  select page_id, case when at > 0 then substr(u, at + 3) else '' end as rest from u
+  select page_id, case when i > 0 then substr(u, i + 3) else '' end as rest from u
 ), s as (
   select page_id, regexp_extract(rest, '^([^/?#]*)', 1) as h0, rest from r
 ), p as (
@@ -22,4 +22,46 @@ select page_id, host, path,
 from p
 """
 
-ORACLES = {"op7_url_filter": URL_FILTER}
+# Runs of at most ten lines, since a line has a word: the shortest from each line on and to each line.
+LINE_DEDUP = r"""
+with raw as (
+  select distinct doc_id, text from documents
+), l0 as (
+  select doc_id, text, unnest(string_split(text, chr(10))) as s, generate_subscripts(string_split(text, chr(10)), 1) as line
+  from raw
+), l as (
+  select doc_id, text, s, line, row_number() over (partition by doc_id, text order by line) as pos,
+         len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) as words
+  from l0 where regexp_matches(s, '[^\x20\x09-\x0D]')
+), a as (
+  select *, list(s) over f as fs, list(words) over f as fw, list(s) over b as bs, list(words) over b as bw
+  from l window f as (partition by doc_id, text order by pos rows between current row and 9 following),
+                b as (partition by doc_id, text order by pos rows between 9 preceding and current row)
+), n as (
+  select doc_id, text, pos, fs, bs,
+         (select min(i) from range(1, len(fw) + 1) r(i) where list_sum(list_slice(fw, 1, i)) >= 10) as fn,
+         (select min(i) from range(1, len(bw) + 1) r(i) where list_sum(list_slice(bw, -i, -1)) >= 10) as bn
+  from a
+), w as (
+  select doc_id, text, pos, fn as run, list_slice(fs, 1, fn) as k from n where fn is not null
+  union
+  select doc_id, text, pos - bn + 1, bn, list_slice(bs, -bn, -1) from n where bn is not null
+), c as (
+  select *, row_number() over (partition by k order by doc_id nulls first, text, pos) as r from w
+), gone as (
+  select distinct doc_id, text, unnest(range(pos, pos + run)) as pos from c where r > 1
+), kept as (
+  select l0.doc_id, l0.text, count(distinct g.pos) as n_removed,
+         coalesce(string_agg(l0.s, chr(10) order by l0.line) filter (g.pos is null), '') as kept
+  from l0 left join l using (doc_id, text, line) left join gone g on g.doc_id = l.doc_id and g.text = l.text and g.pos = l.pos
+  group by all
+)
+select d.doc_id, (select count(*) from l where l.doc_id = d.doc_id and l.text = d.text) as n_lines,
+       k.n_removed, length(k.kept) as n_chars, md5(k.kept) as text_md5
+from documents d join kept k using (doc_id, text)
+"""
+
+ORACLES = {
+    "op6_line_dedup": LINE_DEDUP,
+    "op7_url_filter": URL_FILTER,
+}

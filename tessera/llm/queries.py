@@ -6,14 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, quality_rules, url_filter
-from tessera.llm.scratch import documents, written
+from tessera.llm import line_dedup, packing, quality_rules, toxicity, url_filter
+from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fitted on labelled rows outside the held-out third."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, documents(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    return toxicity.score(docs, model).select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score",
+                                              "predicted")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with later copies of repeated line runs cut out."""
+    return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"),
+        F.md5("text").alias("text_md5"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL under the fixed rules."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -40,6 +55,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,

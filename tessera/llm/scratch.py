@@ -176,3 +176,22 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int):
         got = np.where(left > j, words[np.minimum(pos + j, max(len(words) - 1, 0))], np.uint64(0)) if len(words) else h
         h = h * np.uint64(0xD6E8FEB86659FD93) + got + np.uint64(j + 1)
     return mixed(h), at
+
+
+def appended(df: DataFrame, text: str, ddl: str, make) -> DataFrame:
+    """``df`` with the columns of ``ddl`` that ``make(text array)`` returns, in order.
+
+    A column of ``df`` with the name of a new column gives way to it.
+    """
+    from pyspark.sql.types import StructType
+
+    new = StructType.fromDDL(ddl)
+    # A working name for the text, so that a column that gives way can still be read.
+    kept = [c for c in df.columns if c not in new.names]
+    out = StructType([df.schema[c] for c in kept] + new.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *make(batch.column(len(kept)))], names=out.names)
+
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("__text__")).mapInArrow(run, out)
