@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import line_dedup, packing, quality_rules, toxicity, url_filter
+from tessera.llm import line_dedup, ngram_join, packing, quality_rules, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -14,6 +14,11 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return ngram_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "class_size")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; fitted on labelled rows outside the held-out third."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -55,6 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,

@@ -178,16 +178,17 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int):
     return mixed(h), at
 
 
-def appended(df: DataFrame, text: str, ddl: str, make) -> DataFrame:
+def appended(df: DataFrame, text: str, ddl: str, make, keep_text: bool = True) -> DataFrame:
     """``df`` with the columns of ``ddl`` that ``make(text array)`` returns, in order.
 
-    A column of ``df`` with the name of a new column gives way to it.
+    A column of ``df`` with the name of a new column gives way to it, and
+    the text column goes unless ``keep_text``.
     """
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(ddl)
-    # A working name for the text, so that a column that gives way can still be read.
-    kept = [c for c in df.columns if c not in new.names]
+    # The text travels under a working name, so that a column that gives way can still be read.
+    kept = [c for c in df.columns if c not in new.names and (keep_text or c != text)]
     out = StructType([df.schema[c] for c in kept] + new.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
