@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import line_dedup, ngram_join, packing, quality_rules, toxicity, url_filter
+from tessera.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -41,6 +41,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's matches of benchmark items within the allowed edits."""
+    return decontamination.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 ids."""
     pieces = packing.tokenized_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
@@ -64,6 +69,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
