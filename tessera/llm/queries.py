@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, toxicity, url_filter
+from tessera.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -27,6 +27,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "predicted")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes outside repeated 200-byte strings."""
+    found = suffix_dedup.repeated_spans(documents(spark, sf_dir), keep="none")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    kept = (F.when(F.size("spans") == 0, F.col("text_sha256"))
+            .otherwise(F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256)))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        kept.alias("kept_sha256"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with later copies of repeated line runs cut out."""
     return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
@@ -67,6 +77,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_decontamination": op8_decontamination,
