@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, toxicity, url_filter
+from tessera.llm import decontamination, html_text, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -27,6 +27,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "predicted")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_main_text(documents(spark, sf_dir, "pages"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes outside repeated 200-byte strings."""
     found = suffix_dedup.repeated_spans(documents(spark, sf_dir), keep="none")
@@ -77,6 +82,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
+    "op3_html_text": op3_html_text,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
