@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, html_text, line_dedup, ngram_join, packing, quality_rules, suffix_dedup, toxicity, url_filter
+from tessera.llm import decontamination, html_text, line_dedup, ngram_join, packing, quality_rules, recurrent_lm, suffix_dedup, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -32,6 +32,14 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(documents(spark, sf_dir, "pages"))
 
 
+def op4_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and recurrent log10 probability of every document; a seventh is held out."""
+    docs = documents(spark, sf_dir)
+    held_out = crc_mod("doc_id", 7) == 2
+    return recurrent_lm.score(docs, ~held_out).select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes outside repeated 200-byte strings."""
     found = suffix_dedup.repeated_spans(documents(spark, sf_dir), keep="none")
@@ -83,6 +91,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_html_text": op3_html_text,
+    "op4_recurrent_lm": op4_recurrent_lm,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
