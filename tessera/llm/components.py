@@ -28,12 +28,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         seen = sums
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        nxt = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        dropped(cur)
+        # Written before they are joined: the join then splits the rows of a node with very many edges.
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = written(large.distinct(), "edges")
+        lower = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nxt = written(small.unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        for old in (cur, least, large, lower):
+            dropped(old)
         cur = nxt
     return cur.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         cur.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()

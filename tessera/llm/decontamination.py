@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import STEP_BYTES, mixed, span_hashes, text_steps, word_spans, written
+from tessera.llm.scratch import STEP_BYTES, as_row, from_row, mixed, span_hashes, text_steps, word_spans, written
 
 #: Allowed edits as a part of the item's words.
 EDITS = 0.2
@@ -306,8 +306,9 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
     A repeated key with several texts goes only for the texts that leak.
     """
-    marked = docs.select(F.struct(F.col(key).alias("k"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("m")).alias("id"),
+    marked = docs.select(F.struct(F.col(key).alias("k"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
+                                  .alias("m")).alias("id"),
                          F.col(text).alias("text"))
     gone = find_leaks(marked, benchmark, "id", "text", **how).select("id.k", "id.m").distinct()
-    same = docs[key].eqNullSafe(gone["k"]) & (F.md5(F.coalesce(docs[text], F.lit(""))) == gone["m"])
-    return docs.join(gone, same, "left_anti")
+    rows = as_row(docs, k0=F.col(key), m0=F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return from_row(rows.join(gone, F.expr("k0 <=> k and m0 = m"), "left_anti"), docs.columns)

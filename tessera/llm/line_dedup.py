@@ -32,7 +32,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import written
+from tessera.llm.scratch import as_row, from_row, written
 
 #: A run of at least so many words that occurs twice is a copy.
 MIN_WORDS = 10
@@ -96,8 +96,8 @@ def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     named = named.alias("w").join(b, F.expr("w.d <=> a.d and w.t <=> a.t and w.tail = a.pos and w.k = a.k")).select(
         *[F.col(f"w.{c}") for c in [*same, "pos", "run", "ra"]], F.col("a.r").alias("rb"))
     named = written(named, "line-runs")
-    firsts = (named.groupBy("run", "ra", "rb").agg(F.min(F.struct("d", "t", "pos")).alias("first"), F.count("*").alias("n"))
-              .where("n > 1"))
+    firsts = written(named.groupBy("run", "ra", "rb").agg(
+        F.min(F.struct("d", "t", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1"), "line-firsts")
     later = named.join(firsts, ["run", "ra", "rb"]).where(
         "not (d <=> first.d and t <=> first.t and pos <=> first.pos)").select("d", "t", "pos", "run")
     return written(later, "line-copies")
@@ -107,14 +107,15 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     """``docs`` with later copies cut out of ``text``, and n_lines, n_removed (lines with a word)."""
     copies = repeated_runs(docs, key, text, min_words)
     gone = (copies.select("d", "t", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("run") - 1)).alias("pos"))
-            .distinct().groupBy("d", "t").agg(F.collect_list("pos").alias("__gone")))
-    x = docs.drop(*({"n_lines", "n_removed"} - {key, text})).withColumn("__t", F.xxhash64(F.col(text)))
-    y = x.join(gone, F.expr(f"`{key}` <=> d and __t <=> t"), "left").drop("d", "t", "__t")
-    y = y.withColumn("__lines", F.split(F.col(text).cast("string"), "\n"))
-    y = y.withColumn("__full", F.expr(r"filter(sequence(0, size(__lines) - 1), i -> rlike(__lines[i], '[^\\x20\\x09-\\x0D]'))"))
-    y = y.withColumn("__kept", F.expr("array_except(sequence(0, size(__lines) - 1), transform(__gone, p -> __full[p]))"))
-    left = F.expr("array_join(transform(__kept, i -> __lines[i]), '\n')")
-    y = y.withColumn(text, F.when(F.col("__gone").isNotNull(), left).otherwise(F.col(text)))
-    y = y.withColumn("n_lines", F.coalesce(F.when(F.col("__lines").isNotNull(), F.size("__full")), F.lit(0)).cast("long"))
-    y = y.withColumn("n_removed", F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__gone")), F.lit(0)).cast("long"))
-    return y.drop("__lines", "__full", "__kept", "__gone")
+            .distinct().groupBy("d", "t").agg(F.collect_list("pos").alias("gone")))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    x = as_row(docs, k=F.col(key), t0=F.col(text).cast("string"), h=F.xxhash64(F.col(text)))
+    y = x.join(gone, F.expr("k <=> d and h <=> t"), "left")
+    y = y.withColumn("lines", F.split("t0", "\n"))
+    y = y.withColumn("full", F.expr(r"filter(sequence(0, size(lines) - 1), i -> rlike(lines[i], '[^\\x20\\x09-\\x0D]'))"))
+    y = y.withColumn("kept", F.expr("array_except(sequence(0, size(lines) - 1), transform(gone, p -> full[p]))"))
+    left = F.expr("array_join(transform(kept, i -> lines[i]), '\n')")
+    return from_row(y, columns, **{
+        text: F.when(F.col("gone").isNotNull(), left).otherwise(F.col("t0")),
+        "n_lines": F.coalesce(F.when(F.col("lines").isNotNull(), F.size("full")), F.lit(0)).cast("long"),
+        "n_removed": F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("long")})

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.scratch import appended, mixed, shingle_hashes, text_steps, word_hashes, written
+from tessera.llm.scratch import appended, as_row, from_row, mixed, shingle_hashes, text_steps, word_hashes, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
                                                F.max("shingles").alias("shingles"), F.first("prefixes").alias("prefixes")),
                     "nodes")
     shared = nodes.select("node", F.explode("prefixes").alias("p"))
-    hubs = shared.groupBy("p").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    hubs = written(shared.groupBy("p").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
     stars = shared.join(hubs, "p").where("node <> hub").select("node", "hub").distinct()
     groups = written(components(stars, "node", "hub").withColumnRenamed("label", "comp")
                      .join(nodes.drop("prefixes"), "node"), "candidates")
@@ -238,10 +238,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) ->
     """
     found = written(near_duplicates(docs, key, text, **how), "classes")
     least = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("text_md5").alias("node")))
-    winners = found.groupBy("class_md5").agg(least.alias("w")).select(F.col("w.key").alias("__key"),
-                                                                    F.col("w.node").alias("__node"))
-    x = docs.withColumn("__m", F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    kept = x.join(winners, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__m") == F.col("__node")), "left_semi")
+    winners = found.groupBy("class_md5").agg(least.alias("w")).select(F.col("w.key").alias("wk"), F.col("w.node").alias("wn"))
+    rows = as_row(docs, k=F.col(key), m=F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    kept = rows.join(winners, F.expr("k <=> wk and m = wn"), "left_semi")
     if found.groupBy(key, "text_md5").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
-        kept = kept.dropDuplicates([key, "__m"])
-    return kept.drop("__m")
+        kept = kept.dropDuplicates(["k", "m"])
+    return from_row(kept, docs.columns)

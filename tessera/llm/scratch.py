@@ -187,7 +187,6 @@ def appended(df: DataFrame, text: str, ddl: str, make, keep_text: bool = True) -
     from pyspark.sql.types import StructType
 
     new = StructType.fromDDL(ddl)
-    # The text travels under a working name, so that a column that gives way can still be read.
     kept = [c for c in df.columns if c not in new.names and (keep_text or c != text)]
     out = StructType([df.schema[c] for c in kept] + new.fields)
 
@@ -195,4 +194,17 @@ def appended(df: DataFrame, text: str, ddl: str, make, keep_text: bool = True) -
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *make(batch.column(len(kept)))], names=out.names)
 
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("__text__")).mapInArrow(run, out)
+    # Columns travel by place, so that no name can clash with the text's.
+    placed = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
+    return df.select(*placed, F.col(text).cast("string").alias("t")).mapInArrow(run, out)
+
+
+def as_row(df: DataFrame, **work) -> DataFrame:
+    """``df`` as one struct column ``row`` beside work columns, whose names then clash with none of its own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in work.items()])
+
+
+def from_row(df: DataFrame, columns: list[str], **changed) -> DataFrame:
+    """The columns of ``row`` again, some replaced, further ones appended."""
+    return df.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in columns],
+                     *[v.alias(c) for c, v in changed.items() if c not in columns])
