@@ -48,50 +48,69 @@ class Test:
         return f"{self.figure} {'>' if self.above else '<='} {self.threshold:.6g}"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body (or a filter on its result) names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _count_chars(text: Column, pattern: str) -> Column:
     return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
+def _repeated_words(names: Column) -> Column:
+    """Number of words in windows whose name occurs twice, from the window names in order."""
+    def covered(order: Column) -> Column:
+        # Starts of windows that equal a neighbour in the order of names, ascending.
+        twice = F.filter(order, lambda x, k: ((k > 0) & (F.get(order, k - 1)["h"] == x["h"]))
+                         | (F.get(order, k + 1)["h"] == x["h"]))
+        starts = F.array_sort(F.transform(twice, lambda x: x["i"]))
+        # Each window adds what lies before the next one's start, at most its own length.
+        return _let(starts, lambda r: F.aggregate(
+            F.zip_with(r, F.slice(r, F.lit(2), F.greatest(F.size(r), F.lit(1))),
+                       lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))),
+            F.lit(0).cast("long"), lambda s, x: s + x))
+
+    # Only texts with a repeated name pay for the sort.
+    ordered = F.array_sort(F.transform(names, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(names)) < F.size(names), _let(ordered, covered)).otherwise(F.lit(0).cast("long"))
+
+
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the ratios FIGURES."""
-    df = docs.withColumn("__t", F.coalesce(F.col(text).cast("string"), F.lit("")))
-    df = df.withColumn("__w", F.filter(F.split("__t", WORD_SPACE), lambda w: w != ""))
-    df = df.withColumn("__lines", F.filter(F.split("__t", "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")))
-    df = df.withColumn("n_words", F.size("__w").cast("long"))
-    # A window is named by the hash of its words; only texts with a repeated name pay for the sort.
-    df = df.withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
-    df = df.withColumn("__g", F.when(F.size("__h") >= WINDOW, F.expr(
-        f"transform(sequence(1, size(__h) - {WINDOW - 1}), i -> xxhash64(slice(__h, i, {WINDOW})))"))
-        .otherwise(F.expr("cast(array() as array<bigint>)")))
-    df = df.withColumn("__d", F.size(F.array_distinct("__g")))
-    # Positions of the windows that some other window of the text equals, ascending.
-    df = df.withColumn("__s", F.when(F.col("__d") < F.size("__g"), F.expr(
-        "array_sort(transform(__g, (h, i) -> named_struct('h', h, 'i', i)))")))
-    df = df.withColumn("__r", F.when(F.col("__s").isNotNull(), F.expr(
-        "array_sort(transform(filter(zip_with(__s, sequence(0, size(__s) - 1), (x, k) -> named_struct('i', x.i, 'm', "
-        "(k > 0 and __s[k - 1].h = x.h) or (k < size(__s) - 1 and __s[k + 1].h = x.h))), y -> y.m), y -> y.i))")))
-    # Words covered: each window adds what lies before the next one's start, at most its own length.
-    df = df.withColumn("n_repeat_words", F.when(F.col("__r").isNotNull(), F.expr(
-        f"aggregate(zip_with(__r, slice(__r, 2, size(__r)), (a, b) -> least({WINDOW}, coalesce(b - a, {WINDOW}))), "
-        "0L, (s, x) -> s + x)")).otherwise(F.lit(0).cast("long")))
-    df = df.withColumn("word_chars", F.expr("aggregate(__w, 0L, (s, w) -> s + char_length(w))"))
-    df = df.withColumn("n_symbols", _count_chars(F.col("__t"), r"[#*$%&|<>]"))
-    df = df.withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
-    words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
-    lines = F.greatest(F.size("__lines"), F.lit(1))
-    df = df.withColumns({
-        "symbol_ratio": F.col("n_symbols") / words,
-        "repeat_ratio": F.col("n_repeat_words") / words,
-        "dup_line_ratio": F.col("n_dup_lines") / lines,
-        "word_length": F.col("word_chars") / words,
-        "upper_ratio": _count_chars(F.col("__t"), r"\p{Lu}+") / chars,
-        "digit_ratio": _count_chars(F.col("__t"), r"[0-9]+") / chars,
-        "mark_ratio": _count_chars(F.col("__t"), r"[!\"'(),.:;?]+") / chars,
-        "bang_ratio": _count_chars(F.col("__t"), r"!+") / words,
-        "distinct_ratio": F.size(F.array_distinct("__h")) / words,
-        "line_words": F.col("n_words") / lines,
-    })
-    return df.drop("__t", "__w", "__lines", "__h", "__g", "__d", "__s", "__r")
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+
+    def of_words(w: Column) -> Column:
+        def of_hashes(h: Column) -> Column:
+            # A window is named by the hash of its words' hashes.
+            names = F.when(F.size(h) >= WINDOW, F.transform(
+                F.sequence(F.lit(1), F.greatest(F.size(h) - (WINDOW - 1), F.lit(1))),
+                lambda i: F.xxhash64(F.slice(h, i, F.lit(WINDOW))))).otherwise(F.expr("cast(array() as array<bigint>)"))
+            return F.struct(F.size(h).cast("long").alias("n"), F.size(F.array_distinct(h)).alias("distinct"),
+                            _let(names, _repeated_words).alias("repeated"))
+
+        return F.struct(_let(F.transform(w, lambda x: F.xxhash64(x)), of_hashes).alias("h"),
+                        F.aggregate(w, F.lit(0).cast("long"), lambda s, x: s + F.char_length(x)).alias("chars"))
+
+    lines = F.filter(F.split(t, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
+    df = docs.withColumn("__f", F.struct(
+        _let(F.filter(F.split(t, WORD_SPACE), lambda w: w != ""), of_words).alias("w"),
+        _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct"))).alias("l"),
+        _count_chars(t, r"[#*$%&|<>]").alias("symbols"), _count_chars(t, r"\p{Lu}+").alias("upper"),
+        _count_chars(t, r"[0-9]+").alias("digits"), _count_chars(t, r"[!\"'(),.:;?]+").alias("marks"),
+        _count_chars(t, r"!+").alias("bangs")))
+    f = F.col("__f")
+    n_words, word_chars = f["w"]["h"]["n"], f["w"]["chars"]
+    words, chars = F.greatest(n_words, F.lit(1)), F.greatest(word_chars, F.lit(1))
+    n_lines = F.greatest(f["l"]["n"], F.lit(1))
+    dups = (f["l"]["n"] - f["l"]["distinct"]).cast("long")
+    return df.withColumns({
+        "n_words": n_words, "word_chars": word_chars, "n_symbols": f["symbols"], "n_dup_lines": dups,
+        "n_repeat_words": f["w"]["h"]["repeated"],
+        "symbol_ratio": f["symbols"] / words, "repeat_ratio": f["w"]["h"]["repeated"] / words,
+        "dup_line_ratio": dups / n_lines, "word_length": word_chars / words, "upper_ratio": f["upper"] / chars,
+        "digit_ratio": f["digits"] / chars, "mark_ratio": f["marks"] / chars, "bang_ratio": f["bangs"] / words,
+        "distinct_ratio": f["w"]["h"]["distinct"] / words, "line_words": n_words / n_lines,
+    }).drop("__f")
 
 
 def _gain(p: int, n: int, p0: int, n0: int) -> float:
@@ -202,9 +221,18 @@ def rules_column(rules: list[list[Test]], default: bool = True) -> Column:
     return out.otherwise(F.lit(default))
 
 
+def base_failed(least_words: int = 10, most_repeated: int = 20) -> Column:
+    """Too few words, or more than ``most_repeated`` percent of them in repeated windows."""
+    return (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
+
+
 def learned_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> list[list[Test]]:
-    """Rules from the documents that ``labels`` (key, quality) covers; quality 0 is bad."""
-    marked = labels.select(F.col(key), (1 - F.col("quality")).alias("bad")).where("bad is not null")
+    """Rules from the documents that ``labels`` (key, quality) covers; quality 0 is bad.
+
+    Rows that the base rule fails are not learned from: the list judges the others.
+    """
+    marked = labels.select(F.col(key), (1 - F.col("quality")).alias("bad")).where(f"bad is not null and `{key}` is not null")
     marked = marked.groupBy(key).agg(F.max("bad").alias("bad"))
     rows = docs.select(F.col(key), F.col(text).alias("text")).join(marked, key)
-    return learn_rules(written(text_statistics(rows).drop("text"), "rule-rows"), key=key)
+    stats = written(text_statistics(rows).drop("text"), "rule-rows")
+    return learn_rules(stats.where(~base_failed()), key=key)

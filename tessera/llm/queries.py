@@ -81,8 +81,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "quality-figures")
     marked = (documents(spark, sf_dir, "labels").where("quality is not null and doc_id is not null")
               .groupBy("doc_id").agg(F.max(1 - F.col("quality")).alias("bad")))
-    rules = quality_rules.learn_rules(stats.join(marked, "doc_id"))
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = quality_rules.base_failed()
+    rules = quality_rules.learn_rules(stats.where(~failed).join(marked, "doc_id"))
     return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         failed.alias("base_failed"), (~failed & quality_rules.rules_column(rules)).alias("kept"))
 

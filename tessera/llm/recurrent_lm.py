@@ -52,7 +52,7 @@ ROUNDS = 3
 TRAIN_SHARE = 0.25
 RATE = 0.1
 #: Words whose counts are sent to the tasks (12 bytes each, in a table twice as large).
-LOOKUP_WORDS = 1 << 20
+LOOKUP_WORDS = 1 << 19
 END_KEY = -1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -153,9 +153,12 @@ def vocabulary(counts: DataFrame, lookup_words: int = LOOKUP_WORDS) -> Vocabular
         if total > lookup_words:
             break
         least = r["c"]
-    top = words.where(F.col("c") >= least).toPandas() if least is not None else pd.DataFrame({"h": [], "c": []})
-    top = top.astype("int64").sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
-    keys, c = top["h"].to_numpy(), top["c"].to_numpy()
+    keys = c = np.zeros(0, np.int64)
+    if least is not None:
+        top = words.where(F.col("c") >= least).toArrow()           # at most lookup_words rows of 16 bytes
+        keys, c = top.column("h").to_numpy(), top.column("c").to_numpy()
+        order = np.lexsort((keys, -c))
+        keys, c = keys[order], c[order]
     known = SYMBOLS - 1 - SIGNATURES
     symbols = np.zeros(len(keys), np.int32)
     symbols[:known] = np.arange(len(keys[:known])) + 1 + SIGNATURES
