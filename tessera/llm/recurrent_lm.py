@@ -8,13 +8,13 @@ next one, P(class | state) P(symbol | class, state). A word behind a
 signature has its smoothed share of that signature's training tokens, so
 every text has a probability.
 
-Training is truncated backpropagation through time in numpy: lanes of whole
+Training is truncated backpropagation through time in numpy: lanes of
 documents in windows of ``WINDOW`` tokens, the state carried from window to
 window and reset at each document. Output biases start at the counts, so the
 untrained model is the unigram model. Each round, every task trains a copy on
 its own documents; the copies are averaged by their tokens, level by level in
 tasks, never all at the driver. Documents are trained on in the share
-``train_share``, picked by a hash of key and text: the training set grows with
+``train_share``, picked by a hash of the key: the training set grows with
 the input, while counts, vocabulary and scores use all documents.
 
 Scoring carries the state through the whole text. Counts of at most
@@ -47,9 +47,11 @@ CLASSES = 64
 SYMBOLS = CLASSES * CLASSES
 SIGNATURES = 64
 WINDOW = 32
-TRAIN_LANES, SCORE_LANES = 128, 512
-ROUNDS = 3
-TRAIN_SHARE = 0.25
+TRAIN_LANES, SCORE_LANES = 64, 512
+ROUNDS = 2
+TRAIN_SHARE = 0.2
+#: Training reads a longer document as consecutive spans (scoring never does).
+TRAIN_SPAN = 1024
 RATE = 0.1
 #: Words whose counts are sent to the tasks (12 bytes each, in a table twice as large).
 LOOKUP_WORDS = 1 << 19
@@ -123,7 +125,7 @@ class Vocabulary:
     def symbols_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(symbol, row or -1): symbol 0 is the end, 1 to 64 are signatures, then words."""
         rows = self.lookup.find(keys)
-        out = np.where(rows >= 0, self.symbols[rows], 0)
+        out = np.append(self.symbols, 0)[rows]                 # row -1: none
         return np.where(out > SIGNATURES, out, 1 + (keys & (SIGNATURES - 1))), rows
 
 
@@ -208,37 +210,52 @@ def unpacked(data: bytes) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
     np.negative(x, out=x)
-    np.exp(np.minimum(x, 80, out=x), out=x)
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
 
 def step(model, h, symbols):
     """One step of the unit: the next state, and what its gradient needs."""
-    x = model["x"][symbols]
-    hu = h @ model["u"] + model["b"]
+    x = model["x"].take(symbols, axis=0)
+    hu = h @ model["u"]
+    hu += model["b"]
     gates = _sigmoid(x[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
-    r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    n = 2 * _sigmoid(2 * (x[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])) - 1
-    return n + z * (h - n), (r, z, n, hu[:, 2 * HIDDEN:])
+    r, z, hun = gates[:, :HIDDEN], gates[:, HIDDEN:], hu[:, 2 * HIDDEN:]
+    n = r * hun
+    n += x[:, 2 * HIDDEN:]
+    n *= 2
+    _sigmoid(n)
+    n *= 2
+    n -= 1
+    return n + z * (h - n), (r, z, n, hun)
+
+
+_ONES = np.ones(CLASSES, np.float32)
 
 
 def _log_softmax(logits: np.ndarray, target: np.ndarray):
-    logits -= logits.max(1, keepdims=True)
+    """Log probability of the targets, exponentials and their sums; float32 holds 64 of e**80."""
+    np.minimum(logits, 80, out=logits)
     at = logits[np.arange(len(target)), target]
-    e = np.exp(logits)
-    total = e.sum(1)
+    e = np.exp(logits, out=logits)
+    total = e @ _ONES
     return at - np.log(total), e, total
 
 
 def output(model, h, targets, gradient: bool = False):
     """Natural log probability of each target symbol; with its gradients if asked for."""
     place = model["place"][targets]
+    order = np.argsort(place // CLASSES, kind="stable")
+    h, place = h.take(order, axis=0), place[order]
     classes, slots = place // CLASSES, place % CLASSES
-    order = np.argsort(classes, kind="stable")
-    cut = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    logp, e, total = _log_softmax(h @ model["wc"] + model["bc"], classes)
+    cut = np.searchsorted(classes, np.arange(CLASSES + 1))
+    logits = h @ model["wc"]
+    logits += model["bc"]
+    logp, e, total = _log_softmax(logits, classes)
     dh = None
     grads: dict[str, np.ndarray] = {}
     if gradient:
@@ -248,18 +265,25 @@ def output(model, h, targets, gradient: bool = False):
         dh = e @ model["wc"].T
         grads["ww"], grads["bw"] = np.zeros_like(model["ww"]), np.zeros_like(model["bw"])
     for c in range(CLASSES):
-        idx = order[cut[c]:cut[c + 1]]
-        if not len(idx):
+        lo, hi = cut[c], cut[c + 1]
+        if lo == hi:
             continue
-        hc = h[idx]
-        lp, e, total = _log_softmax(hc @ model["ww"][c] + model["bw"][c], slots[idx])
-        logp[idx] += lp
+        logits = h[lo:hi] @ model["ww"][c]
+        logits += model["bw"][c]
+        lp, e, total = _log_softmax(logits, slots[lo:hi])
+        logp[lo:hi] += lp
         if gradient:
             e /= total[:, None]
-            e[np.arange(len(idx)), slots[idx]] -= 1
-            grads["ww"][c], grads["bw"][c] = hc.T @ e, e.sum(0)
-            dh[idx] += e @ model["ww"][c].T
-    return logp, dh, grads
+            e[np.arange(hi - lo), slots[lo:hi]] -= 1
+            grads["ww"][c], grads["bw"][c] = h[lo:hi].T @ e, e.sum(0)
+            dh[lo:hi] += e @ model["ww"][c].T
+    back = np.empty_like(logp)
+    back[order] = logp
+    if gradient:
+        d = np.empty_like(dh)
+        d[order] = dh
+        dh = d
+    return back, dh, grads
 
 
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[np.ndarray]:
@@ -339,6 +363,8 @@ class Trainer:
 
     def learn(self, symbols: np.ndarray, offset: np.ndarray, lanes: int = TRAIN_LANES, window: int = WINDOW) -> None:
         m = self.model
+        offset = np.unique(np.concatenate([offset, *(np.arange(a, b, TRAIN_SPAN) for a, b in zip(offset, offset[1:])
+                                                     if b - a > TRAIN_SPAN)]))
         grid, fresh, sizes = _grid(symbols, offset, lanes_of(np.diff(offset), lanes))
         h = np.zeros((len(sizes), HIDDEN), np.float32)
         before = np.zeros(len(sizes), np.int32)
@@ -413,7 +439,7 @@ def train(docs: DataFrame, vocab: Vocabulary, training, rounds: int = ROUNDS, sh
     sc = docs.sparkSession.sparkContext
     shared_vocab = sc.broadcast(vocab)
     model = new_model(vocab)
-    pick = F.pmod(F.xxhash64(F.lit("train"), "__key", "__text"), F.lit(1_000_000))
+    pick = F.pmod(F.xxhash64(F.lit("train"), F.col("__key").cast("string")), F.lit(1_000_000))
     for k in range(rounds):
         part = docs.where(training & (pick >= int(1e6 * share * k / rounds)) & (pick < int(1e6 * share * (k + 1) / rounds)))
         shared = sc.broadcast(packed(model))
@@ -494,9 +520,9 @@ def score(docs: DataFrame, training, key: str = "doc_id", text: str = "text", ro
     scored = work.select("__key", "__train", "__text").mapInArrow(
         run, f"key {kind}, trained boolean, n_tokens long, n_known long, base double, p double, rare array<long>")
     scored = written(scored.withColumn("rid", F.monotonically_increasing_id()), "scores")
-    rare = scored.select("rid", F.explode("rare").alias("h")).groupBy("rid", "h").agg(F.count("*").alias("n"))
+    rare = scored.select("rid", F.explode("rare").alias("h"))
     found = rare.join(counts.where(F.col("h") != END_KEY), "h")          # words that training never had add nothing
-    more = found.groupBy("rid").agg(F.sum("n").alias("known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("log"))
+    more = found.groupBy("rid").agg(F.count("*").alias("known"), F.sum(F.log10(F.col("c") + 1)).alias("log"))
     out = scored.drop("rare").join(more, "rid", "left")
     log = F.coalesce("log", F.lit(0.0))
     return out.select(F.col("key").alias(key), "trained", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),

@@ -104,6 +104,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
         key = (key << np.uint64(8 * size)) | moved
         size *= 2
     rank = np.unique(key, return_inverse=True)[1].astype(np.uint64)
+    rank_at = None
     while size < length:
         step = min(size, length - size)
         where = starts if size + step == length else np.arange(n - step)
@@ -114,7 +115,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
             rank_at = got
         else:
             rank = np.concatenate([got, np.zeros(step, np.uint64)])
-    if size == 8 == length or length <= 8:
+    if rank_at is None:                                 # the numbers above were long enough
         rank_at = rank[starts]
     order = np.argsort(rank_at, kind="stable")
     return order, rank_at

@@ -1,0 +1,105 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from llm_cases import awkward, empty, sentence, words
+from tessera.llm import ngram_join as N
+from tessera.llm.components import components
+
+
+def brute(rows, n=5, threshold=0.8):
+    """Links and class of each row by all pairs."""
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append(frozenset(tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset([("", t or "")]))
+    link, parent = Counter(), list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (rows[i][1] or "") == (rows[j][1] or "") or (words(rows[i][1]) and both >= threshold * (len(sets[i]) + len(sets[j]) - both) - 1e-9):
+                link[i] += 1
+                link[j] += 1
+                parent[find(i)] = find(j)
+    members = defaultdict(list)
+    for i, (k, _) in enumerate(rows):
+        members[find(i)].append(k)
+    least = {r: min((k for k in ks if k is not None), default=None) for r, ks in members.items()}
+    return [(rows[i][0], least[find(i)], link[i], len(members[find(i)])) for i in range(len(rows))]
+
+
+def near_copies(seed=1, base=30, copies=6, edits=(0, 1, 2, 4, 8)):
+    rng = random.Random(seed)
+    rows = []
+    for b in range(base):
+        text = sentence(rng, rng.choice([3, 5, 12, 60, 150])).split()
+        for _ in range(rng.randrange(1, copies)):
+            w = list(text)
+            for _ in range(rng.choice(edits)):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(10 ** 6)}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+def result(df):
+    return sorted(((r["doc_id"], r["class_id"], r["n_links"], r["class_size"]) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("blocks", [None, 7])
+def test_equals_all_pairs(spark, monkeypatch, blocks):
+    rows = near_copies() + [(1000 + i, t) for i, t in enumerate([None, "", "", " ", "a b", "a b", "a  b"])]
+    if blocks:                                   # components of several blocks
+        monkeypatch.setattr(N, "BLOCK_NODES", blocks)
+        rng = random.Random(9)
+        text = sentence(rng, 200).split()
+        for i in range(40):
+            w = list(text)
+            w[rng.randrange(200)] = f"z{i}"
+            rows.append((2000 + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(N.near_duplicates(df)) == sorted(brute(rows), key=str)
+
+
+def test_awkward_rows_and_empty_table(spark):
+    docs = awkward(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert result(N.near_duplicates(docs)) == sorted(brute(rows), key=str)
+    assert N.near_duplicates(empty(spark)).count() == 0
+    kept = N.keep_one(docs)
+    assert kept.columns == docs.columns
+    texts = [r["text"] for r in kept.collect()]
+    classes = {c for _, c, _, _ in brute(rows)}
+    assert len(texts) == len({r["class_md5"] for r in N.near_duplicates(docs).collect()}) and len(classes) <= len(texts)
+    assert N.keep_one(empty(spark)).count() == 0
+
+
+def test_prefix_is_shortened_until_the_recall_is_reached():
+    d = N.prefix_depth(0.8, 16, 8, 0.995)
+    assert 1 - (1 - 0.8 ** d) ** 16 >= 0.995 > 1 - (1 - 0.8 ** (d + 1)) ** 16
+    assert N.prefix_depth(1.0, 16, 8, 0.995) == 8 and N.prefix_depth(0.1, 2, 8, 0.995) == 1
+
+
+def test_shared_counts_equal_set_sizes():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (0, 1, 5, 30, 60, 60) + (40,) * 30]
+    got = N.shared_counts(sets)
+    for i in range(len(sets)):
+        for j in range(i):
+            assert got[i, j] == got[j, i] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    edges = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(60)] + [("s0", f"s{i}") for i in range(1, 40)] + [
+        ("x", "x"), ("a", "b"), ("b", "c"), ("c", "a"), ("a", "b"), (None, "q"), ("q", None)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert {got[f"p{i:03d}"] for i in range(61)} == {"p000"} and {got[f"s{i}"] for i in range(40)} == {"s0"}
+    assert got["a"] == got["b"] == got["c"] == "a" and "x" not in got and "q" not in got
