@@ -49,7 +49,7 @@ SIGNATURES = 64
 WINDOW = 32
 TRAIN_LANES, SCORE_LANES = 64, 512
 ROUNDS = 2
-TRAIN_SHARE = 0.2
+TRAIN_SHARE = 0.4
 #: Training reads a longer document as consecutive spans (scoring never does).
 TRAIN_SPAN = 1024
 RATE = 0.1
