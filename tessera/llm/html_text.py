@@ -3,16 +3,19 @@
 A page becomes a list of text lines, one for each block of text, with where it
 stands: in boilerplate (menus, headers, footers, sidebars, notices, adverts,
 forms, comments, by element, role or class name), in running text of an
-``article``, or elsewhere. Pages are sorted by host and URL path with a range
-shuffle, so neighbours share the longest path prefix; each page is aligned
-with its nearest neighbour by the longest common subsequence of their lines,
-and the shared lines are deleted: they belong to the template. Running text of
+``article``, or elsewhere. The pages of a host are sorted by URL path, so
+neighbours share the longest path prefix; each page is aligned with its
+nearest neighbour by the longest common subsequence of their lines, and the
+shared lines are deleted: they belong to the template. Running text of
 an ``article`` is never template, however often it occurs elsewhere (two pages
 may carry the same article), and a neighbour that shares nearly every line
 is a copy, which says nothing about the template: the other neighbour is used.
 
-A page's neighbours are sought in its range partition, in a window of three
-pages; a host of any size is spread over partitions.
+A host of more than ``part_pages`` pages is dealt by a hash of the page into
+parts of about that size, within which neighbours are sought; a task streams
+its parts in a window of three pages, so a host of any size is spread over
+tasks. The table of large hosts has at most ``MOST_HOSTS`` rows (the part size
+grows if need be) and is broadcast.
 
 Edge cases: null or empty html gives empty text; a null url, or one without
 a host, has no neighbour and only the markup decides; very long pages are
@@ -50,7 +53,10 @@ BOILERPLATE_NAMES = frozenset(
     "recommended teaser teasers comment comments discussion disqus replies respond pagination pager widget widgets "
     "toolbar alert paywall copyright".split())
 #: A neighbour that leaves less than this part of a page's characters is a copy of it.
-COPY_REST = 0.1
+COPY_REST = 0.05
+
+#: Pages of a host that are sorted together, and the most hosts that are dealt into parts.
+PART_PAGES, MOST_HOSTS = 512, 100_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
                     r"(?:((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^>]*(?:>|\Z))", re.S)
@@ -244,7 +250,8 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
+                      part_pages: int = PART_PAGES) -> DataFrame:
     """One row per row of ``pages``: key, url, text, n_chars."""
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -252,9 +259,11 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.col(html).cast("string").alias("x"),
                         F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("host"),
                         F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path"))
-    rows = rows.withColumn("r", F.monotonically_increasing_id())            # rows equal in all else can part
-    order = ["host", "path", "u", "k", "r"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    size = max(part_pages, -(-pages.count() // MOST_HOSTS))
+    large = rows.groupBy("host").agg(F.ceil(F.count("*") / size).alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("k", "u", F.length("x")), F.coalesce("parts", F.lit(1)))
+    rows = rows.join(F.broadcast(large), "host", "left").withColumn("part", part)
+    rows = rows.repartition("host", "part").sortWithinPartitions("host", "part", "path", "u", "k")
     schema = StructType([StructField(key, pages.schema[key].dataType), StructField(url, pages.schema[url].dataType),
                          StructField("text", StringType()), StructField("n_chars", LongType())])
 
@@ -262,8 +271,8 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
         def each():
             for batch in batches:
                 for i in range(batch.num_rows):
-                    source, host, path = (batch.column(c)[i].as_py() for c in (2, 3, 4))
-                    yield batch.column(0)[i], batch.column(1)[i], read_page(source or ""), host, path
+                    source, host, part, path = (batch.column(c)[i].as_py() for c in (2, 3, 4, 5))
+                    yield batch.column(0)[i], batch.column(1)[i], read_page(source or ""), host and (host, part), path
 
         def made(done):
             texts = [x[2] for x in done]
@@ -290,4 +299,4 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
         if done:
             yield made(done)
 
-    return rows.select("k", "u", "x", "host", "path").mapInArrow(run, schema)
+    return rows.select("k", "u", "x", "host", "part", "path").mapInArrow(run, schema)
