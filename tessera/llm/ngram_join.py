@@ -43,7 +43,7 @@ WORDS = 5
 THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
-RECALL = 0.995
+RECALL = 0.9995
 #: Nodes and shingles in a block; a verification task holds two blocks.
 BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 22
 
