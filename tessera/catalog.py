@@ -12,13 +12,14 @@ integers leave as ``bigint``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.json import (iso_utc, json_value, safe_timestamp, strict_cast, string_array)
+from .functions.json import (cast_number, iso_utc, json_value, safe_timestamp, strict_cast, string_array)
 from .operators.latest import latest_by
 from .plans import adhoc as A
 from .plans import curated as V
@@ -29,6 +30,7 @@ from .sources import fixtures as FX
 from .sources import landing as L
 from .sources import load as LD
 from .sources import shape as S
+from .sources.ingest import ingest_run
 from .streaming import incremental as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +40,7 @@ TOP_N = 5
 PAGE_SIZE, PAGE = 20, 3
 LAST_DAYS = 7
 RETENTION_DAYS = 10
-NEWS_PER_PAGE = 5
+NEWS_PER_PAGE = 25
 CATEGORY = "MEDIUM"
 METADATA_MEMBERS = ("id", "symbol", "name", "market_cap_rank", "categories")
 ADHOC_SQL = ("SELECT coin_id, current_price_usd, market_cap_rank FROM latest_prices "
@@ -84,6 +86,21 @@ def global_daily(s, d):
     return V.market_global_daily(FX.raw_global(s, d))
 
 
+# Where the raw tables of (application, data) are stored: written once, read by many queries.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(s, d, endpoint: str) -> DataFrame:
+    """A raw table as stored: Parquet by day."""
+    ensure_utc(s)
+    at = (s.sparkContext.applicationId, d, endpoint)
+    if at not in _STORED:
+        path = shared_dir(s, "stored", endpoint)
+        LD.append_raw(FX.RAW_BUILDERS[endpoint](s, d).drop("dt"), path)
+        _STORED[at] = path
+    return LD.read_raw(s, _STORED[at])
+
+
 def _view(name: str) -> Query:
     src, build = V.VIEW_BUILDERS[name]
     return lambda s, d: (ensure_utc(s), ntz(build(FX.RAW_BUILDERS[src](s, d))))[1]
@@ -110,9 +127,13 @@ def q_json_value(s, d):
 
 
 def q_strict_cast(s, d):
-    ev = _events(s, d).select("event_id", "props", FX.market_document().alias("doc"))
-    return ev.select("event_id", strict_cast(json_value("props", "$.k"), "bigint").alias("k"),
-                     strict_cast(json_value("doc", "$.current_price"), "double").alias("price"))
+    ev = _events(s, d).select("event_id", "event_type", "value", "props", FX.market_document().alias("doc"))
+    # Java's type suffixes are no numbers
+    suffix = F.when(F.col("event_type") == "view", F.lit("d")).when(F.col("event_type") == "click", F.lit("f")).otherwise("")
+    return (ev.withColumn("text", F.concat(F.col("value").cast("string"), suffix))
+              .select("event_id", strict_cast(json_value("props", "$.k"), "bigint").alias("k"),
+                      strict_cast(json_value("doc", "$.current_price"), "double").alias("price"),
+                      cast_number("text", "double").alias("guarded")))
 
 
 def q_safe_timestamp(s, d):
@@ -168,10 +189,32 @@ def q_unwrap_envelope(s, d):
                         strict_cast(json_value("doc", "$.market_cap_percentage.btc"), "double").alias("btc_dominance_pct"))
 
 
+def q_document_items(s, d):
+    """Items of mixed kinds: numbers, strings (some that look like JSON), null and objects keep their kind."""
+    ev = _events(s, d)
+    kind = F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))
+    body = F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit(","), kind, F.lit(',null,"[x","{\\"a\\":1}",{"id":'),
+                    kind, F.lit("}]"))
+    rows = S.document_rows(ev.select("event_id", F.col("ts").cast("timestamp").alias("ingestion_time"), body.alias("body")),
+                           keep=("event_id",))
+    return rows.select("event_id", "payload")
+
+
 def q_ohlc_rows(s, d):
     return ntz(FX.raw_ohlc(s, d).drop("dt"))
 
 
+def q_ohlc_quarantine(s, d):
+    """Bodies that are no list of candles, as rows; the others' candles are counted beside them."""
+    coin = F.col("coin_id").cast("bigint") % 7
+    body = (F.when(coin == 0, F.concat("body", F.lit("x"))).when(coin == 1, F.lit('{"error":"rate limit"}'))
+             .when(coin == 2, F.regexp_replace("body", r"^\[\[(\d+),[^,]*", '[[$1,"n/a"')).otherwise(F.col("body")))
+    good, bad = S.ohlc_quarantine(FX.ohlc_bodies(s, d).withColumn("body", body))
+    counts = good.groupBy("coin_id", "ingestion_time").agg(F.count(F.lit(1)).alias("n_candles"))
+    rows = counts.withColumn("error", F.lit(None).cast("string")).unionByName(bad.withColumn("n_candles", F.lit(0).cast("long")))
+    return ntz(rows.select("coin_id", "ingestion_time", "n_candles", "error"))
+
+
 def q_responses_scan(s, d):
     """S1 -> S4 from files: OHLC bodies landed one per line, scanned back
     with their context, then shaped into candle rows."""
@@ -184,7 +227,7 @@ def q_responses_scan(s, d):
 
 def q_trim_payload(s, d):
     raw = FX.raw_metadata(s, d)
-    return ntz(raw.select("ingestion_time", S.trim_payload("payload", METADATA_MEMBERS).alias("payload")))
+    return ntz(S.trim_documents(raw.select("ingestion_time", "payload"), METADATA_MEMBERS))
 
 
 def q_simple_price_rows(s, d):
@@ -192,7 +235,9 @@ def q_simple_price_rows(s, d):
     v = F.col("value")
     metrics = F.create_map(F.lit("usd"), v, F.lit("usd_market_cap"), v * 1000, F.lit("usd_24h_vol"), v * 10,
                            F.lit("usd_24h_change"), v - 250, F.lit("eur"), v * 0.9)
-    body = F.to_json(F.create_map(F.col("user_id").cast("string"), metrics))
+    good = F.to_json(F.create_map(F.col("user_id").cast("string"), metrics))
+    kind = F.col("event_id") % 50
+    body = (F.when(kind == 7, F.concat(good, F.lit("x"))).when(kind == 8, F.lit('{"error":"rate limit"}')).otherwise(good))
     return S.simple_price_rows(ev.select("event_id", body.alias("body")), keep=("event_id",))
 
 
@@ -208,8 +253,10 @@ def q_news_articles(s, d):
         F.concat(F.lit("desk-"), F.col("lang")).alias("author")))
     arr = F.to_json(articles)
     body = (F.when(F.col("lang") == "en", F.concat(F.lit('{"data":'), arr, F.lit("}")))
-             .when(F.col("lang") == "de", F.lit('{"status":"ok"}'))
              .otherwise(arr))
+    kind = F.col("doc_id") % 50
+    body = (F.when(kind == 7, F.concat(body, F.lit("]"))).when(kind == 8, F.lit('{"error":"rate limit"}'))
+             .when(kind == 9, F.lit('{"status":"ok"}')).otherwise(body))
     out = S.news_articles(docs.select("doc_id", body.alias("body")), NEWS_PER_PAGE, keep=("doc_id",))
     return ntz(out)
 
@@ -227,37 +274,61 @@ def q_ndjson_roundtrip(s, d):
 def q_landing_path(s, d):
     raw = FX.raw_trending(s, d)
     runs = raw.select("ingestion_time").distinct()
-    rid = L.run_id_for("ingestion_time")
+    rid = F.substring(F.md5(F.col("ingestion_time").cast("string")), 1, 8)     # a backfill names its runs by their time
     return ntz(runs.select("ingestion_time", rid.alias("run_id"),
                            L.landing_path("trending", "ingestion_time", rid).alias("path")))
 
 
-def _landed(s, d, endpoint: str) -> str:
+def _landed(s, d, endpoint: str, runs: int = 1) -> str:
+    """The endpoint's rows landed by a number of runs (by the hour of the row)."""
     root = shared_dir(s, "landing")
-    L.write_landing(FX.RAW_BUILDERS[endpoint](s, d).drop("dt"), root, endpoint)
+    rows = stored(s, d, endpoint).drop("dt")
+    for i in range(runs):
+        L.land_run(rows.where(F.hour("ingestion_time") % runs == i), root, endpoint, f"20260626T12000{i}_backfill")
     return root
 
 
 def q_landing_counts(s, d):
-    root = _landed(s, d, "trending")
-    return L.landing_inventory(s, root, "trending")
+    return L.landing_inventory(s, _landed(s, d, "trending", 3), "trending")
+
+
+def q_landed_runs(s, d):
+    """Every landed line of a run with the folder, run and time it carries; the run is written twice, as a retry does."""
+    ev = _events(s, d)
+    bodies = ev.select(F.concat(F.lit("["), FX.market_document(), F.lit("]")).alias("body"))
+    land, raw = shared_dir(s, "landing"), shared_dir(s, "raw")
+    ts = dt.datetime.fromisoformat(FX.RUN_TS)
+    for _ in range(2):
+        run = ingest_run(s, {"coin_markets": bodies}, "hourly", ts, land, raw, "0a1b2c3d")
+    lines = s.read.text(run.uris["coin_markets"]).select("value", F.col("_metadata.file_path").alias("file"))
+    return ntz(lines.select(
+        json_value("value", "$.payload.id").alias("coin_id"),
+        F.regexp_extract("file", r"([^/]*/dt=[^/]*/run=[^/]*)/[^/]*$", 1).alias("folder"), F.lit(run.run_id).alias("run_id"),
+        F.get_json_object("value", "$.ingestion_time").cast("timestamp").alias("ingestion_time"),
+        F.lit(run.rows["coin_markets"]).cast("bigint").alias("run_rows")))
 
 
 def q_replay(s, d):
-    root = _landed(s, d, "coin_markets")
-    return ntz(_market_fields(L.replay(s, root, "coin_markets"), keep=("dt",)))
+    root, path = _landed(s, d, "coin_markets", 2), shared_dir(s, "raw")
+    L.land_run(stored(s, d, "coin_markets").drop("dt").where(F.hour("ingestion_time") % 2 == 1), root, "coin_markets",
+               "20260626T120001_backfill")                              # a retry
+    LD.append_raw(stored(s, d, "coin_markets").drop("dt").limit(1000), path)     # what the rebuild replaces
+    LD.rebuild_raw(s, root, "coin_markets", path)
+    return ntz(_market_fields(LD.read_raw(s, path), keep=("dt",)))
 
 
 def q_raw_day_counts(s, d):
-    path = shared_dir(s, "raw", "coin_markets")
-    LD.append_raw(FX.raw_markets(s, d), path)
-    return LD.raw_day_counts(s.read.parquet(path))
+    return LD.raw_day_counts(stored(s, d, "coin_markets"))
 
 
 def q_retention(s, d):
+    return L.retention(L.landed_days(s, _landed(s, d, "coin_markets"), "coin_markets"), RETENTION_DAYS)
+
+
+def q_expired_landing(s, d):
     root = _landed(s, d, "coin_markets")
-    inv = L.landing_inventory(s, root, "coin_markets").select("dt", "n_rows")
-    return L.retention(inv, RETENTION_DAYS)
+    L.expire_landing(s, root, "coin_markets", RETENTION_DAYS)
+    return L.landing_inventory(s, root, "coin_markets").select("dt", "n_rows")
 
 
 def _load_batch_lines(s, d) -> DataFrame:
@@ -271,6 +342,7 @@ def _load_batch_lines(s, d) -> DataFrame:
     line = (F.when((et == "click") & (v > 450), F.concat(F.lit('{"extra":1,'), good.substr(F.lit(2), F.length(good))))
              .when((et == "view") & (v < 5), F.concat(F.lit('{"payload":'), doc, F.lit("}")))
              .when((et == "purchase") & (v < 2), F.concat(good, F.lit(" x")))
+             .when((et == "signup") & (v < 5), F.concat(F.lit('{"ingestion_time":"soon","payload":'), doc, F.lit("}")))
              .otherwise(good))
     return ev.select(line.alias("value"), F.to_date(t).alias("dt"))
 
@@ -282,11 +354,22 @@ def q_strict_load_report(s, d):
     return LD.strict_load_report(lines, "coin_markets", batch="dt")
 
 
+def q_strict_candle_report(s, d):
+    """Landed candle lines with a defect of each kind, per day of the candle."""
+    c = FX.candles(s, d)
+    slot = F.expr(f"bucket_ms div {FX.CANDLE_MS}") % 50
+    when = iso_utc(F.timestamp_millis("bucket_ms"))
+    open_ = F.when(slot == 0, F.lit('"abc"')).when(slot == 4, F.lit("null")).otherwise(F.col("open").cast("string"))
+    coin = F.when(slot == 2, F.lit("")).otherwise(F.concat(F.lit('"coin_id":"'), F.col("user_id").cast("string"), F.lit('",')))
+    line = F.concat(F.lit('{"ingestion_time":"'), when, F.lit('",'), coin, F.lit('"open_time":"'), when, F.lit('","open":'), open_,
+                    F.when(slot == 1, F.lit(',"volume":1')).otherwise(""), F.lit(',"close":'), F.col("close").cast("string"),
+                    F.lit("}"), F.when(slot == 3, F.lit("}")).otherwise(""))
+    return LD.strict_load_report(c.select(line.alias("value"), F.col("candle_day").alias("dt")), "coin_ohlc", batch="dt")
+
+
 def q_ingest_run_summary(s, d):
     """S12 end to end: one 'all' run over responses derived from the whole
     tables — shaped, landed and strictly loaded per endpoint."""
-    from .sources.ingest import ingest_run
-
     ev = _events(s, d)
     doc = FX.market_document()
     bucketed = ev.select(F.expr("event_id div 8").alias("b"), F.struct("event_id", doc.alias("doc")).alias("k"))
@@ -298,8 +381,8 @@ def q_ingest_run_summary(s, d):
     meta = FX.raw_metadata(s, d).select(F.col("payload").alias("body"))
     responses = {"coin_markets": markets, "market_global": glob, "trending": trending,
                  "coin_ohlc": ohlc_bodies, "coin_metadata": meta}
-    summary = ingest_run(s, responses, "all", FX.RUN_TS, shared_dir(s, "landing"), shared_dir(s, "raw"))
-    return s.createDataFrame(sorted(summary.items()), "endpoint string, rows bigint")
+    run = ingest_run(s, responses, "all", dt.datetime.fromisoformat(FX.RUN_TS), shared_dir(s, "landing"), shared_dir(s, "raw"))
+    return s.createDataFrame(sorted(run.rows.items()), "endpoint string, rows bigint")
 
 
 def q_mode_summary(s, d):
@@ -309,14 +392,15 @@ def q_mode_summary(s, d):
 
 # ------------------------------------------------------------ paging / top ids
 def q_markets_page(s, d):
-    p = prices(s, d)
-    return (p.orderBy(F.desc("market_cap_usd"), "coin_id").offset((PAGE - 1) * PAGE_SIZE).limit(PAGE_SIZE)
-             .select("coin_id", "market_cap_usd", "market_cap_rank"))
+    return Q.markets_page(prices(s, d), PAGE_SIZE, PAGE)
 
 
-def q_top_ids(s, d):
+def q_markets_after(s, d):
     p = prices(s, d)
-    return p.orderBy(F.desc("market_cap_usd"), "coin_id").limit(TOP_N).select("coin_id", "market_cap_usd")
+    before = Q.markets_page(p, PAGE_SIZE, PAGE - 1).collect()
+    if not before:                       # the listing ended earlier
+        return Q.markets_page(p, PAGE_SIZE, PAGE)
+    return Q.markets_after(p, before[-1]["market_cap_usd"], before[-1]["coin_id"], PAGE_SIZE)
 
 
 def q_top_n_candles(s, d):
@@ -324,9 +408,22 @@ def q_top_n_candles(s, d):
 
 
 def q_raw_peek(s, d):
-    raw = FX.raw_markets(s, d)
-    newest = raw.orderBy(F.desc("ingestion_time"), F.desc("payload")).limit(5)
-    return ntz(_market_fields(newest))
+    return ntz(_market_fields(LD.raw_peek(stored(s, d, "coin_markets"), 5)))
+
+
+def q_trending_latest(s, d):
+    return ntz(V.trending_latest(stored(s, d, "trending")))
+
+
+def q_dominance_latest(s, d):
+    raw = stored(s, d, "market_global")
+    newest = raw.where(F.col("dt") == LD.newest_day(raw))             # the one day the answer needs
+    return ntz(Q.dominance_latest(V.market_global_daily(newest)))
+
+
+def q_bulk_volume(s, d):
+    per = Q.volume_by_category(FX.line_volumes(s, d), dim(s, d))
+    return ntz(per.withColumn("total_volume_usd", F.col("total_volume_usd").cast("double")))
 
 
 # ------------------------------------------------------------ views (V)
@@ -337,24 +434,22 @@ def q_parametrised_view(s, d):
 
 
 def _stream_landing(s, d, endpoint: str = "coin_markets") -> tuple[str, list[DataFrame]]:
-    """Land one raw table in three time slices (three scheduled runs)."""
-    raw = FX.RAW_BUILDERS[endpoint](s, d).drop("dt")
-    lo, hi = raw.select(F.min("ingestion_time"), F.max("ingestion_time")).first()
-    span = (hi - lo) / 3
-    cuts = [lo + span, lo + 2 * span]
-    slices = [F.col("ingestion_time") <= F.lit(cuts[0]),
-              (F.col("ingestion_time") > F.lit(cuts[0])) & (F.col("ingestion_time") <= F.lit(cuts[1])),
-              F.col("ingestion_time") > F.lit(cuts[1])]
-    return shared_dir(s, "landing"), [raw.where(c) for c in slices]
+    """One raw table in three slices of whole days (three scheduled runs)."""
+    raw = stored(s, d, endpoint)
+    days = sorted(r["dt"] for r in raw.select("dt").distinct().collect())
+    cuts = [days[i * (len(days) - 1) // 3] for i in (1, 2)]
+    day = F.col("dt")
+    slices = [day <= F.lit(cuts[0]), (day > F.lit(cuts[0])) & (day <= F.lit(cuts[1])), day > F.lit(cuts[1])]
+    return shared_dir(s, "landing"), [raw.where(c).drop("dt") for c in slices]
 
 
 def _materialized(s, d, endpoint: str) -> DataFrame:
     ensure_utc(s)
     root, slices = _stream_landing(s, d, endpoint)
     snap, ckpt = shared_dir(s, "snapshot"), shared_dir(s, "ckpt")
-    for i, part in enumerate(slices):
+    for part in slices:
         L.write_landing(part, root, endpoint)
-        ST.materialize_latest(s, root, endpoint, snap, ckpt, fresh=(i == 0))
+        ST.materialize_latest(s, root, endpoint, snap, ckpt)
     return ST.read_snapshot(s, snap)
 
 
@@ -367,6 +462,11 @@ def q_materialized_ohlc(s, d):
     return ntz(V.ohlc_timeseries(_materialized(s, d, "coin_ohlc")))
 
 
+def _materialized_view(name: str) -> Query:
+    src, build = V.VIEW_BUILDERS[name]
+    return lambda s, d: ntz(build(_materialized(s, d, src)))
+
+
 def q_incremental_load(s, d):
     ensure_utc(s)
     root, slices = _stream_landing(s, d)
@@ -375,7 +475,7 @@ def q_incremental_load(s, d):
         L.write_landing(part, root, "coin_markets")
         ST.incremental_load(s, root, "coin_markets", raw_path, ckpt)
     ST.incremental_load(s, root, "coin_markets", raw_path, ckpt)   # nothing new: adds 0
-    return ntz(_market_fields(s.read.parquet(raw_path), keep=("dt",)))
+    return ntz(_market_fields(LD.read_raw(s, raw_path), keep=("dt",)))
 
 
 # ------------------------------------------------------------ tools (T)
@@ -393,8 +493,7 @@ def q_bad_payloads(s, d):
     # expression Catalyst would inline into every JSON probe)
     path = shared_dir(s, "raw", "coin_markets")
     LD.append_raw(raw, path)
-    stored = s.read.parquet(path)
-    return ntz(bad_payloads(stored, numeric_paths=("$.current_price",)))
+    return ntz(bad_payloads(LD.read_raw(s, path), numeric_paths=("$.current_price",)))
 
 
 def q_adhoc_readonly(s, d):
@@ -414,10 +513,13 @@ QUERIES: dict[str, Query] = {
     "dim_coin": _view("dim_coin"),
     "ohlc_timeseries": _view("ohlc_timeseries"),
     "market_global_daily": _view("market_global_daily"),
-    "trending_latest": _view("trending_latest"),
+    "trending_latest": q_trending_latest,
     "parametrised_view": q_parametrised_view,
     "materialized_latest": q_materialized_latest,
     "materialized_ohlc": q_materialized_ohlc,
+    "materialized_dim": _materialized_view("dim_coin"),
+    "materialized_global": _materialized_view("market_global_daily"),
+    "materialized_trending": _materialized_view("trending_latest"),
     # window / functions
     "latest_per_key": q_latest_per_key,
     "json_value": q_json_value,
@@ -427,22 +529,29 @@ QUERIES: dict[str, Query] = {
     "iso_utc": q_iso_utc,
     # shaping, sources, sinks
     "document_rows": q_document_rows,
+    "document_items": q_document_items,
     "unwrap_envelope": q_unwrap_envelope,
     "ohlc_rows": q_ohlc_rows,
+    "ohlc_quarantine": q_ohlc_quarantine,
     "responses_scan": q_responses_scan,
     "trim_payload": q_trim_payload,
     "ndjson_roundtrip": q_ndjson_roundtrip,
     "landing_path": q_landing_path,
     "landing_counts": q_landing_counts,
+    "landed_runs": q_landed_runs,
     "strict_load_report": q_strict_load_report,
+    "strict_candle_report": q_strict_candle_report,
     "raw_day_counts": q_raw_day_counts,
     "mode_summary": q_mode_summary,
     "ingest_run_summary": q_ingest_run_summary,
     "markets_page": q_markets_page,
-    "top_ids": q_top_ids,
+    "markets_after": q_markets_after,
+    "top_ids": lambda s, d: Q.top_ids(prices(s, d), TOP_N),
     "top_n_candles": q_top_n_candles,
+    "top_n_metadata": lambda s, d: ntz(Q.top_n_metadata(prices(s, d), dim(s, d), TOP_N)),
     "replay": q_replay,
     "retention": q_retention,
+    "expired_landing": q_expired_landing,
     "incremental_load": q_incremental_load,
     "raw_peek": q_raw_peek,
     # question catalogue
@@ -455,11 +564,12 @@ QUERIES: dict[str, Query] = {
     "price_change": lambda s, d: ntz(Q.price_change(ohlc(s, d))),
     "volatility": lambda s, d: ntz(Q.volatility(ohlc(s, d))),
     "daily_candles": lambda s, d: ntz(Q.daily_candles(ohlc(s, d))),
-    "dominance_latest": lambda s, d: ntz(Q.dominance_latest(global_daily(s, d))),
+    "dominance_latest": q_dominance_latest,
     "macro_trend": lambda s, d: ntz(Q.macro_trend(global_daily(s, d))),
     "prices_with_dim": lambda s, d: ntz(Q.prices_with_dim(prices(s, d), dim(s, d))),
     "candles_with_dim": lambda s, d: ntz(Q.candles_with_dim(ohlc(s, d), dim(s, d))),
     "volume_by_category": lambda s, d: ntz(Q.volume_by_category(prices(s, d), dim(s, d))),
+    "bulk_volume_by_category": q_bulk_volume,
     "category_dominance": lambda s, d: ntz(Q.category_dominance(dim(s, d), prices(s, d))),
     "compare_coins": lambda s, d: ntz(Q.compare_coins(ohlc(s, d))),
     "candle_coverage": lambda s, d: ntz(Q.candle_coverage(ohlc(s, d))),

@@ -12,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What text a strict cast reads as a number (Spark alone also
+# takes Java's type suffixes: '1.5d', '2f', '3L').
+_FLOAT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 # Fixed value: the ISO date prefix a "safe" timestamp must start with.
 _ISO_DATE_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 
@@ -51,6 +55,13 @@ def _may_be_container(text: Column) -> Column:
     return (head == "{") | (head == "[")
 
 
+def cast_number(text: Column | str, to: str) -> Column:
+    """The number that ``text`` spells, NULL for any other text."""
+    t = _col(text)
+    pattern = _FLOAT if to in ("double", "float") else _INTEGER
+    return F.when(t.rlike(pattern), t.try_cast(to))
+
+
 def strict_cast(text: Column | str, to: str) -> Column:
     """``CAST(x AS FLOAT64/INT64)``: bad text fails the query (ANSI cast).
 
@@ -58,17 +69,12 @@ def strict_cast(text: Column | str, to: str) -> Column:
     session's ANSI flag, so the semantics do not depend on configuration.
     """
     t = _col(text)
-    casted = t.try_cast(to)
+    casted = cast_number(t, to)
     return F.when(t.isNotNull() & casted.isNull(),
                   F.raise_error(F.concat(F.lit(f"cannot cast to {to}: "), t))
                   ).otherwise(casted)
 
 
-def lenient_cast(text: Column | str, to: str) -> Column:
-    """``SAFE_CAST``: bad text becomes NULL."""
-    return _col(text).try_cast(to)
-
-
 def safe_timestamp(text: Column | str) -> Column:
     """``SAFE.TIMESTAMP(x)``: ISO text -> timestamp, anything else -> NULL.
 

@@ -1 +1 @@
-"""Relational building blocks: latest-per-key, size-checked joins, series ops."""
+"""Relational building blocks: latest-per-key and series operators."""

@@ -43,7 +43,10 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: str, value: str, o
     # the time span of the series, not by its volume
     w_b = Window.partitionBy(*keys).orderBy(_B) if keys else Window.orderBy(_B)
     carry = last.select(*keys, _B, F.lag("__last").over(w_b).alias("__carry"))
-    joined = x.join(carry, [*keys, _B], "left")
+    # null-safe: rows with a NULL key are a series like any other
+    carry = carry.toDF(*[f"__k{i}" for i in range(len(keys) + 1)], "__carry")
+    same = [x[k].eqNullSafe(carry[f"__k{i}"]) for i, k in enumerate([*keys, _B])]
+    joined = x.join(carry, same, "left").drop(*[f"__k{i}" for i in range(len(keys) + 1)])
     return (joined.withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev_in")))
                   .drop(_B, "__prev_in", "__first", "__carry"))
 

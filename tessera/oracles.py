@@ -24,12 +24,12 @@ WITH m AS (
 
 DIM = """
 WITH p AS (
-  SELECT *, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey DESC) AS rn FROM part
+  SELECT *, row_number() OVER (PARTITION BY (p_partkey + 1) // 2 ORDER BY p_partkey DESC) AS rn FROM part
 ), dim_coin AS (
-  SELECT CAST(p_size AS VARCHAR) AS coin_id, lower(p_brand) AS symbol, p_name AS name,
+  SELECT CAST((p_partkey + 1) // 2 AS VARCHAR) AS coin_id, lower(p_brand) AS symbol, p_name AS name,
          CAST(p_size AS BIGINT) AS market_cap_rank,
          CASE WHEN p_type IN ('ECONOMY', 'LARGE', 'SMALL') THEN CAST([] AS VARCHAR[])
-              WHEN p_type = 'PROMO' THEN [split_part(p_name, ' ', 2), p_brand]
+              WHEN p_type = 'PROMO' THEN [split_part(p_name, ' ', 2), p_brand, split_part(p_name, ' ', 2)]
               ELSE [p_type, split_part(p_name, ' ', 1)] END AS categories,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(p_partkey) AS metadata_ingested_at
   FROM p WHERE rn = 1
@@ -65,7 +65,7 @@ DAILY = """, daily AS (
 
 CATEGORIES = """
   CASE WHEN p_type = 'ECONOMY' OR p_type = 'LARGE' OR p_type = 'SMALL' THEN CAST([] AS VARCHAR[])
-       WHEN p_type = 'PROMO' THEN [split_part(p_name, ' ', 2), p_brand]
+       WHEN p_type = 'PROMO' THEN [split_part(p_name, ' ', 2), p_brand, split_part(p_name, ' ', 2)]
        ELSE [p_type, split_part(p_name, ' ', 1)] END"""
 
 ISO = ("strftime({t}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us({t}) % 1000000 <> 0 "
@@ -110,7 +110,8 @@ WHERE rn = 1"""
 o["json_value"] = """
 SELECT event_id, json_extract_string(props, '$.k') AS k_text, CAST(NULL AS VARCHAR) AS root_value FROM events"""
 o["strict_cast"] = """
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value AS price FROM events"""
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value AS price,
+       CASE WHEN event_type NOT IN ('view', 'click') THEN value END AS guarded FROM events"""
 o["safe_timestamp"] = """
 SELECT event_id, CASE WHEN event_type IN ('error', 'view') THEN NULL ELSE ts END AS parsed FROM events"""
 o["string_array"] = f"""
@@ -132,12 +133,12 @@ FROM c, (VALUES (1), (2)) AS t(v)"""
 o["responses_scan"] = o["ohlc_rows"]
 o["trim_payload"] = """
 SELECT TIMESTAMP '2024-01-01 00:00:00' + to_minutes(p_partkey) AS ingestion_time,
-       '{"id":"' || p_size || '","symbol":"' || lower(p_brand) || '","name":"' || p_name
+       '{"id":"' || (p_partkey + 1) // 2 || '","symbol":"' || lower(p_brand) || '","name":"' || p_name
        || '","market_cap_rank":' || p_size
        || CASE p_type WHEN 'ECONOMY' THEN ''
                       WHEN 'LARGE' THEN ',"categories":"LARGE"'
                       WHEN 'SMALL' THEN ',"categories":[]'
-                      WHEN 'PROMO' THEN ',"categories":["' || split_part(p_name, ' ', 2) || '",null,"' || p_brand || '"]'
+                      WHEN 'PROMO' THEN ',"categories":["' || split_part(p_name, ' ', 2) || '",null,"' || p_brand || '","' || split_part(p_name, ' ', 2) || '"]'
                       ELSE ',"categories":["' || p_type || '","' || split_part(p_name, ' ', 1) || '"]' END
        || '}' AS payload
 FROM part"""
@@ -149,15 +150,16 @@ SELECT h AS ingestion_time, substr(md5(CAST(h AS VARCHAR)), 1, 8) AS run_id,
        || substr(md5(CAST(h AS VARCHAR)), 1, 8) || '.ndjson' AS path
 FROM (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events)"""
 o["landing_counts"] = """
-SELECT CAST(ts AS DATE) AS dt, count(*) AS n_rows, count(DISTINCT date_trunc('hour', ts)) AS n_runs
+SELECT CAST(ts AS DATE) AS dt, count(*) AS n_rows, count(DISTINCT hour(ts) % 3) AS n_runs
 FROM events GROUP BY 1"""
 o["strict_load_report"] = """
 SELECT CAST(ts AS DATE) AS dt, count(*) AS n_rows,
        count(*) FILTER (WHERE event_type = 'purchase' AND value < 2) AS n_malformed,
        count(*) FILTER (WHERE event_type = 'click' AND value > 450) AS n_unknown_field,
        count(*) FILTER (WHERE event_type = 'view' AND value < 5) AS n_missing_required,
+       count(*) FILTER (WHERE event_type = 'signup' AND value < 5) AS n_bad_type,
        count(*) FILTER (WHERE (event_type = 'purchase' AND value < 2) OR (event_type = 'click' AND value > 450)
-                           OR (event_type = 'view' AND value < 5)) = 0 AS accepted
+                           OR (event_type IN ('view', 'signup') AND value < 5)) = 0 AS accepted
 FROM events GROUP BY 1"""
 o["raw_day_counts"] = "SELECT CAST(ts AS DATE) AS dt, count(*) AS n_rows FROM events GROUP BY 1"
 o["mode_summary"] = CANDLES + """, counts AS (
@@ -182,15 +184,15 @@ o["markets_page"] = PRICES + """
 SELECT coin_id, market_cap_usd, market_cap_rank FROM latest_prices
 ORDER BY market_cap_usd DESC, coin_id LIMIT 20 OFFSET 40"""
 o["top_ids"] = PRICES + """
-SELECT coin_id, market_cap_usd FROM latest_prices ORDER BY market_cap_usd DESC, coin_id LIMIT 5"""
+SELECT coin_id FROM latest_prices ORDER BY market_cap_usd DESC, coin_id LIMIT 5"""
 o["top_n_candles"] = _with(PRICES, OHLC) + """
 SELECT * FROM ohlc_timeseries
 WHERE coin_id IN (SELECT coin_id FROM latest_prices ORDER BY market_cap_usd DESC, coin_id LIMIT 5)"""
 o["replay"] = "SELECT ts AS ingestion_time, CAST(ts AS DATE) AS dt, CAST(user_id AS VARCHAR) AS coin_id, " \
               "value AS current_price_usd FROM events"
 o["retention"] = """
-SELECT dt, n_rows, CASE WHEN dt > (SELECT max(CAST(ts AS DATE)) FROM events) - 10 THEN 'keep' ELSE 'expire' END AS action
-FROM (SELECT CAST(ts AS DATE) AS dt, count(*) AS n_rows FROM events GROUP BY 1)"""
+SELECT dt, CASE WHEN dt > (SELECT max(CAST(ts AS DATE)) FROM events) - 10 THEN 'keep' ELSE 'expire' END AS action
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS dt FROM events)"""
 o["incremental_load"] = o["replay"]
 o["raw_peek"] = _market_rows() + " FROM events ORDER BY ts DESC LIMIT 5"
 
@@ -203,8 +205,8 @@ o["formatted_top"] = PRICES + """, top AS (
 SELECT coin_id, market_cap_rank, format('{:,.2f}', current_price_usd) AS price_usd,
        format('{:,.2f}', market_cap_usd) AS market_cap_usd FROM top"""
 o["category_counts"] = DIM + """
-SELECT category, count(DISTINCT coin_id) AS n_coins
-FROM (SELECT coin_id, unnest(categories) AS category FROM dim_coin) GROUP BY category"""
+SELECT category, count(*) AS n_coins
+FROM (SELECT DISTINCT coin_id, unnest(categories) AS category FROM dim_coin) GROUP BY category"""
 o["coins_in_category"] = DIM + """
 SELECT coin_id, symbol, name, market_cap_rank FROM dim_coin WHERE list_contains(categories, 'MEDIUM')"""
 o["coin_last_week"] = OHLC + """
@@ -243,12 +245,12 @@ SELECT c.coin_id, d.name, c.day, c.close, len(d.categories) AS n_categories
 FROM daily c JOIN dim_coin d USING (coin_id)"""
 o["volume_by_category"] = _with(PRICES, DIM) + """
 SELECT category, count(DISTINCT coin_id) AS n_coins, round(sum(total_volume_usd), 2) AS total_volume_usd
-FROM (SELECT coin_id, unnest(categories) AS category FROM dim_coin) c JOIN latest_prices USING (coin_id)
+FROM (SELECT DISTINCT coin_id, unnest(categories) AS category FROM dim_coin) c JOIN latest_prices USING (coin_id)
 GROUP BY category"""
 o["category_dominance"] = _with(PRICES, DIM) + """
 SELECT category, count(DISTINCT coin_id) AS n_coins, round(sum(market_cap_usd), 2) AS market_cap_usd,
        round(count(DISTINCT coin_id) / (SELECT count(DISTINCT coin_id) FROM dim_coin), 6) AS coin_share
-FROM (SELECT coin_id, unnest(categories) AS category FROM dim_coin) c LEFT JOIN latest_prices USING (coin_id)
+FROM (SELECT DISTINCT coin_id, unnest(categories) AS category FROM dim_coin) c LEFT JOIN latest_prices USING (coin_id)
 GROUP BY category"""
 o["compare_coins"] = OHLC + DAILY + """
 SELECT coin_id, day, close,
@@ -261,26 +263,36 @@ FROM ohlc_timeseries GROUP BY coin_id"""
 
 # ---------------------------------------------------------------- tools
 o["simple_price_rows"] = """
+SELECT event_id, NULL AS coin_id, NULL AS metric, NULL AS currency, NULL AS measure, CAST(NULL AS DOUBLE) AS value,
+       CASE event_id % 50 WHEN 7 THEN 'malformed JSON document' ELSE 'rate limit' END AS error
+FROM events WHERE event_id % 50 IN (7, 8)
+UNION ALL
 SELECT event_id, CAST(user_id AS VARCHAR) AS coin_id, m.metric, m.currency, m.measure,
        CASE m.metric WHEN 'usd' THEN value WHEN 'usd_market_cap' THEN value * 1000
                      WHEN 'usd_24h_vol' THEN value * 10 WHEN 'usd_24h_change' THEN value - 250
-                     ELSE value * 0.9 END AS value
+                     ELSE value * 0.9 END AS value, NULL AS error
 FROM events, (VALUES ('usd', 'usd', 'price'), ('usd_market_cap', 'usd', 'market_cap'),
                      ('usd_24h_vol', 'usd', '24h_vol'), ('usd_24h_change', 'usd', '24h_change'),
-                     ('eur', 'eur', 'price')) AS m(metric, currency, measure)"""
+                     ('eur', 'eur', 'price')) AS m(metric, currency, measure)
+WHERE event_id % 50 NOT IN (7, 8)"""
 o["price_lookup"] = PRICES + """
 SELECT r.request_id, p.coin_id, p.current_price_usd, p.market_cap_usd, p.total_volume_usd, p.price_change_pct_24h
 FROM (SELECT DISTINCT c_custkey AS request_id, CAST(k AS VARCHAR) AS coin_id
       FROM customer, unnest([c_custkey, c_nationkey]) AS t(k)) r
 JOIN latest_prices p USING (coin_id)"""
 o["news_articles"] = """
-WITH d AS (SELECT doc_id, lang, source, string_split(text, chr(10)) AS lines FROM documents WHERE lang <> 'de'),
+WITH d AS (SELECT doc_id, lang, source, string_split(text, chr(10)) AS lines FROM documents
+      WHERE doc_id % 50 NOT IN (7, 8, 9)),
 a AS (SELECT doc_id, lang, source, unnest(lines) AS title, generate_subscripts(lines, 1) - 1 AS pos FROM d)
 SELECT doc_id, pos, title, lang AS description,
        'https://news.invalid/' || doc_id || '/' || pos AS url,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(doc_id), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS published_at,
-       CASE WHEN lang = 'fr' THEN 'desk-fr' ELSE source END AS source
-FROM a WHERE pos < 5"""
+       CASE WHEN lang = 'fr' THEN 'desk-fr' ELSE source END AS source, NULL AS error
+FROM a WHERE pos < 25
+UNION ALL
+SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE doc_id % 50 WHEN 7 THEN 'malformed JSON document' ELSE 'rate limit' END
+FROM documents WHERE doc_id % 50 IN (7, 8)"""
 o["bad_payloads"] = """
 SELECT ts AS ingestion_time,
        CASE WHEN event_type IN ('purchase', 'signup', 'click') THEN NULL ELSE CAST(user_id AS VARCHAR) END AS coin_id,
@@ -290,3 +302,40 @@ SELECT ts AS ingestion_time,
 FROM events WHERE value < 2 AND event_type IN ('purchase', 'signup', 'click', 'view')"""
 o["adhoc_readonly"] = PRICES + """
 SELECT coin_id, current_price_usd, market_cap_rank FROM latest_prices ORDER BY market_cap_rank, coin_id LIMIT 10"""
+
+# ---------------------------------------------------------------- runs, defects, daily fan-out, bulk
+o["materialized_dim"] = o["dim_coin"]
+o["materialized_global"] = o["market_global_daily"]
+o["materialized_trending"] = o["trending_latest"]
+o["document_items"] = """
+SELECT event_id, unnest([CAST(event_id AS VARCHAR), '"' || event_type || '"', NULL, '"[x"', '"{\\"a\\":1}"',
+                         '{"id":"' || event_type || '"}']) AS payload FROM events"""
+o["ohlc_quarantine"] = CANDLES + """, b AS (
+  SELECT user_id, CAST(CAST(epoch_ms(ms) AS DATE) + v AS TIMESTAMP) + INTERVAL 6 HOUR AS ingestion_time, count(*) AS n
+  FROM c, (VALUES (1), (2)) AS t(v) GROUP BY 1, 2)
+SELECT CAST(user_id AS VARCHAR) AS coin_id, ingestion_time, CASE WHEN user_id % 7 IN (0, 1, 2) THEN 0 ELSE n END AS n_candles,
+       CASE user_id % 7 WHEN 0 THEN 'malformed JSON document' WHEN 1 THEN 'not a list of candles'
+                        WHEN 2 THEN 'short candle or a figure that is no number' END AS error
+FROM b"""
+o["landed_runs"] = """
+SELECT CAST(user_id AS VARCHAR) AS coin_id, 'coin_markets/dt=2026-06-26/run=20260626T120000_0a1b2c3d' AS folder,
+       '0a1b2c3d' AS run_id, TIMESTAMP '2026-06-26 12:00:00' AS ingestion_time, (SELECT count(*) FROM events) AS run_rows
+FROM events"""
+o["strict_candle_report"] = CANDLES + """, s AS (
+  SELECT CAST(epoch_ms(ms) AS DATE) AS dt, (ms // 14400000) % 50 AS slot FROM c)
+SELECT dt, count(*) AS n_rows, count(*) FILTER (WHERE slot = 3) AS n_malformed, count(*) FILTER (WHERE slot = 1) AS n_unknown_field,
+       count(*) FILTER (WHERE slot = 2) AS n_missing_required, count(*) FILTER (WHERE slot = 0) AS n_bad_type,
+       count(*) FILTER (WHERE slot < 4) = 0 AS accepted
+FROM s GROUP BY 1"""
+o["markets_after"] = o["markets_page"]
+o["top_n_metadata"] = _with(PRICES, DIM) + """
+SELECT * FROM dim_coin
+WHERE coin_id IN (SELECT coin_id FROM latest_prices ORDER BY market_cap_usd DESC, coin_id LIMIT 5)"""
+o["expired_landing"] = """
+SELECT CAST(ts AS DATE) AS dt, count(*) AS n_rows FROM events
+WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - 10 GROUP BY 1"""
+o["bulk_volume_by_category"] = DIM + """, v AS (
+  SELECT CAST((l_partkey + 1) // 2 AS VARCHAR) AS coin_id, sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS vol
+  FROM lineitem GROUP BY 1)
+SELECT category, count(*) AS n_coins, CAST(sum(vol) AS DOUBLE) AS total_volume_usd
+FROM (SELECT DISTINCT coin_id, unnest(categories) AS category FROM dim_coin) c JOIN v USING (coin_id) GROUP BY category"""

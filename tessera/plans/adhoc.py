@@ -2,20 +2,25 @@
 
 The caller's query runs in a *separate* session (``newSession``) that
 knows only the curated views, with file-path tables switched off, wrapped
-as a sub-query so that only a query (no DDL/DML/SET, no ``;``) parses.
-Before any action, the analysed plan is inspected for JVM reflection and
-script transforms. This guards against mistakes; it is not a security
+as a sub-query so that only one query (no DDL/DML/SET) parses; a ``;`` is left
+to the parser, which takes it inside a literal. Before any action, the query
+without its literals and comments is searched for JVM reflection, and the
+analysed plan for script transforms. This guards against mistakes; it is not a security
 boundary.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Plan fragments that mean "runs code or a process".
-FORBIDDEN_PLAN_TOKENS = ("reflect(", "java_method(", "ScriptTransformation")
+# What runs code or a process.
+_CODE = re.compile(r"`?\b(reflect|try_reflect|java_method)\b`?\s*\(", re.I)
+_PROCESS = "ScriptTransformation"
+# String literals, then comments: neither holds code.
+_LITERAL = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", re.S)
 
 
 class ReadOnlyViolation(ValueError):
@@ -54,11 +59,18 @@ def plan_text(df: DataFrame, mode: str = "extended") -> str:
 def adhoc_readonly(session: SparkSession, query: str) -> DataFrame:
     """Run ``query`` read-only in ``session``; raises on writes or code."""
     q = query.strip().rstrip(";").strip()
-    if ";" in q:
-        raise ReadOnlyViolation("one statement only")
+    code = _CODE.search(_LITERAL.sub(" ", q))
+    if code:
+        raise ReadOnlyViolation(f"query uses {code.group(1)}")
     df = session.sql("SELECT * FROM (\n" + q + "\n) q")
-    plan = plan_text(df).lower()
-    for tok in FORBIDDEN_PLAN_TOKENS:
-        if tok.lower() in plan:
-            raise ReadOnlyViolation(f"query uses {tok.rstrip('(')}")
+    if _runs_process(df._jdf.queryExecution().analyzed()):
+        raise ReadOnlyViolation("query uses a script transform")
     return df
+
+
+def _runs_process(plan) -> bool:
+    """Whether a node of the analysed plan, sub-queries' included, is a script transform."""
+    if plan.nodeName() == _PROCESS:
+        return True
+    nodes = [plan.children(), plan.innerChildren(), plan.subqueries()]
+    return any(_runs_process(n.apply(i)) for n in nodes for i in range(n.size()) if hasattr(n.apply(i), "nodeName"))

@@ -1,7 +1,7 @@
 """Curated "latest version" views over the raw tables (V1–V5, V7).
 
 Each view is a function ``raw DataFrame -> DataFrame`` (never materialised
-by default; see ``streaming.materialized`` for the incremental snapshot).
+by default; see ``streaming.incremental`` for the incremental snapshot).
 
 Plan shape, per view: scan raw -> project the key (one JSON extraction) ->
 partial WindowGroupLimit -> Exchange hashpartitioning(key) -> final
@@ -16,11 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json import json_value, safe_timestamp, strict_cast, string_array
+from ..functions.json import cast_number, json_value, safe_timestamp, strict_cast, string_array
 from ..operators.latest import latest_by
-
-# The curated view names served to ad hoc SQL.
-CURATED_VIEWS = ("latest_prices", "dim_coin", "ohlc_timeseries", "market_global_daily")
+from ..sources.load import newest_day
 
 
 def _latest_documents(raw: DataFrame, key_path: str = "$.id", key: str = "coin_id") -> DataFrame:
@@ -38,7 +36,7 @@ def latest_prices(raw_markets: DataFrame, strict: bool = True, as_of_latest_snap
     non-numeric price like a plain CAST; ``strict=False`` turns it into
     NULL. ``last_updated`` is always lenient (SAFE.TIMESTAMP).
     """
-    cast = strict_cast if strict else (lambda c, t: c.try_cast(t))
+    cast = strict_cast if strict else cast_number
     p = "payload"
     latest = _latest_documents(raw_markets)
     if as_of_latest_snapshot:
@@ -61,7 +59,7 @@ def latest_prices(raw_markets: DataFrame, strict: bool = True, as_of_latest_snap
 def dim_coin(raw_metadata: DataFrame, strict: bool = True) -> DataFrame:
     """V2: newest metadata document per coin; categories without NULLs,
     never NULL itself (missing / not an array -> empty array)."""
-    cast = strict_cast if strict else (lambda c, t: c.try_cast(t))
+    cast = strict_cast if strict else cast_number
     p = "payload"
     return _latest_documents(raw_metadata).select(
         "coin_id",
@@ -95,7 +93,7 @@ def market_global_daily(raw_global: DataFrame, strict: bool = True) -> DataFrame
     (= DATE(ingestion_time)), so a filter on the day prunes partitions
     through the window (O3).
     """
-    cast = strict_cast if strict else (lambda c, t: c.try_cast(t))
+    cast = strict_cast if strict else cast_number
     p = "payload"
     src = raw_global if "dt" in raw_global.columns else raw_global.withColumn("dt", F.to_date("ingestion_time"))
     latest = latest_by(src.select("dt", "ingestion_time", "payload"), ["dt"],
@@ -114,13 +112,11 @@ def market_global_daily(raw_global: DataFrame, strict: bool = True) -> DataFrame
 def trending_latest(raw_trending: DataFrame) -> DataFrame:
     """V7: the coins of the newest trending run (rows at max ingestion_time).
 
-    Both maxima are scalar sub-queries (one-row aggregates, partial per
-    task); the one on the stored ``dt`` column becomes a partition filter,
-    so the final scan reads only the newest day.
+    The newest day comes from the stored ``dt`` alone and prunes both other
+    scans: the newest run is sought within that day.
     """
-    newest_day = raw_trending.select(F.max("dt")).scalar()
-    newest_run = raw_trending.select(F.max("ingestion_time")).scalar()
-    runs = raw_trending.where((F.col("dt") == newest_day) & (F.col("ingestion_time") == newest_run))
+    day = raw_trending.where(F.col("dt") == newest_day(raw_trending))
+    runs = day.where(F.col("ingestion_time") == day.select(F.max("ingestion_time")).scalar())
     p = "payload"
     return runs.select(
         json_value(p, "$.item.id").alias("coin_id"),
@@ -140,10 +136,6 @@ VIEW_BUILDERS = {
 }
 
 
-def curated_views(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: build(raw[src]) for name, (src, build) in VIEW_BUILDERS.items() if src in raw}
-
-
 def parametrised_view(spark: SparkSession, view: str, raw_table: str) -> DataFrame:
     """V5: a view over a raw table *named at run time*.
 
@@ -154,10 +146,3 @@ def parametrised_view(spark: SparkSession, view: str, raw_table: str) -> DataFra
     raw = spark.sql("SELECT * FROM IDENTIFIER(:raw)", args={"raw": raw_table})
     return build(raw)
 
-
-def register_views(spark: SparkSession, raw: dict[str, DataFrame]) -> list[str]:
-    """Register every curated view as a temp view; returns the names."""
-    views = curated_views(raw)
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return list(views)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import is_single_json_document, json_value
+from ..functions.json import cast_number, is_single_json_document, json_value
 
 # Quarantine reasons.
 MALFORMED = "malformed JSON document"
@@ -32,6 +32,6 @@ def bad_payloads(raw: DataFrame, key_path: str = "$.id", numeric_paths: tuple[st
     reason = F.when(~well_formed, F.lit(MALFORMED)).when(key.isNull(), F.lit(MISSING_ID))
     for path in numeric_paths:
         t = json_value(p, path)
-        reason = reason.when(t.isNotNull() & t.try_cast("double").isNull(), F.lit(f"{NOT_NUMERIC} at {path}"))
+        reason = reason.when(t.isNotNull() & cast_number(t, "double").isNull(), F.lit(f"{NOT_NUMERIC} at {path}"))
     return (raw.select("ingestion_time", F.when(well_formed, key).alias("coin_id"), reason.alias("error"))
                .where(F.col("error").isNotNull()))

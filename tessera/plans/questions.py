@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.json import format_figure
@@ -42,20 +42,41 @@ def top_ids(prices: DataFrame, n: int) -> DataFrame:
 
 
 def top_n_candles(prices: DataFrame, ohlc: DataFrame, n: int) -> DataFrame:
-    """Candles of the ``n`` largest coins only (the daily fan-out). The id
-    list has at most ``n`` rows — a bound by construction — so the
-    semi-join broadcasts it and the candle side is never shuffled."""
-    return ohlc.join(F.broadcast(top_ids(prices, n)), "coin_id", "left_semi")
+    """Candles of the ``n`` largest coins only (the daily fan-out). Spark
+    broadcasts the id list if it is small; ``n`` is the caller's."""
+    return ohlc.join(top_ids(prices, n), "coin_id", "left_semi")
+
+
+def top_n_metadata(prices: DataFrame, dim: DataFrame, n: int) -> DataFrame:
+    """Metadata of the ``n`` largest coins only (the daily fan-out)."""
+    return dim.join(top_ids(prices, n), "coin_id", "left_semi")
+
+
+# ------------------------------------------------------------------- S13
+def markets_page(prices: DataFrame, per_page: int = 20, page: int = 1) -> DataFrame:
+    """One page of the market listing, largest market cap first. A far page
+    sorts all rows before it; ``markets_after`` does not."""
+    ordered = prices.orderBy(F.desc_nulls_last("market_cap_usd"), "coin_id")
+    return ordered.offset((page - 1) * per_page).limit(per_page).select("coin_id", "market_cap_usd", "market_cap_rank")
+
+
+def markets_after(prices: DataFrame, market_cap_usd: float, coin_id: str, per_page: int = 20) -> DataFrame:
+    """The page that follows the row with this market cap and id (keyset
+    paging: each task keeps one page, however far the listing has come)."""
+    cap = F.col("market_cap_usd")
+    after = (cap < F.lit(market_cap_usd)) | ((cap == F.lit(market_cap_usd)) & (F.col("coin_id") > F.lit(coin_id))) | cap.isNull()
+    return markets_page(prices.where(after), per_page)
 
 
 # ------------------------------------------------------------------- Q2 / Q3 / Q10
 def _coin_categories(dim: DataFrame) -> DataFrame:
-    return dim.select("coin_id", F.explode("categories").alias("category"))
+    """(coin, category) pairs; a category that a coin lists twice counts once."""
+    return dim.select("coin_id", F.explode(F.array_distinct("categories")).alias("category"))
 
 
 def category_counts(dim: DataFrame) -> DataFrame:
     """Q2: categories and the number of distinct coins in each."""
-    return _coin_categories(dim).groupBy("category").agg(F.countDistinct("coin_id").alias("n_coins"))
+    return _coin_categories(dim).groupBy("category").agg(F.count("coin_id").alias("n_coins"))
 
 
 def coins_in_category(dim: DataFrame, category: str) -> DataFrame:
@@ -72,9 +93,9 @@ def category_dominance(dim: DataFrame, prices: DataFrame) -> DataFrame:
     """
     per = (_coin_categories(dim).join(prices.select("coin_id", "market_cap_usd"), "coin_id", "left")
            .groupBy("category")
-           .agg(F.countDistinct("coin_id").alias("n_coins"),
+           .agg(F.count("coin_id").alias("n_coins"),
                 F.round(F.sum("market_cap_usd"), 2).alias("market_cap_usd")))
-    total = dim.select(F.countDistinct("coin_id")).scalar()
+    total = dim.select(F.count("coin_id")).scalar()             # one row per coin
     return (per.withColumn("coin_share", F.round(F.col("n_coins") / total, 6))
                .orderBy(F.desc("n_coins"), F.desc_nulls_last("market_cap_usd"), "category"))
 
@@ -152,10 +173,8 @@ def dominance_latest(global_daily: DataFrame) -> DataFrame:
 
 def macro_trend(global_daily: DataFrame) -> DataFrame:
     """Q7: the macro series by day with the change of total market cap
-    against the previous available day (bucketed by month, so no single
-    task ever holds the whole series)."""
-    x = previous_value(global_daily, [], "day", "total_market_cap_usd", "prev_market_cap",
-                       bucket=F.trunc("day", "month"))
+    against the previous available day. One row per calendar day: a plain lag."""
+    x = global_daily.withColumn("prev_market_cap", F.lag("total_market_cap_usd").over(Window.orderBy("day")))
     return x.select("day", "total_market_cap_usd", "btc_dominance_pct",
                     F.round(F.col("total_market_cap_usd") - F.col("prev_market_cap"), 2).alias("market_cap_change"))
 
@@ -181,10 +200,10 @@ def candles_with_dim(ohlc: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def volume_by_category(prices: DataFrame, dim: DataFrame) -> DataFrame:
-    """Q9: 24h volume summed per category."""
+    """Q9: 24h volume summed per category; ``prices`` has one row per coin."""
     cats = _coin_categories(dim)
     vol = cats.join(prices.select("coin_id", "total_volume_usd"), "coin_id")
-    return vol.groupBy("category").agg(F.countDistinct("coin_id").alias("n_coins"),
+    return vol.groupBy("category").agg(F.count("coin_id").alias("n_coins"),
                                        F.round(F.sum("total_volume_usd"), 2).alias("total_volume_usd"))
 
 

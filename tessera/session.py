@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -21,14 +20,16 @@ RECOMMENDED_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "tessera") -> SparkSession:
-    """Session for tests and the bench (a cluster brings its own)."""
+def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tessera",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """Session for the bench (a cluster brings its own); scratch tables go to
+    ``checkpoint_dir``, a fresh private folder by default."""
     b = SparkSession.builder.master(master).appName(app)
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.driver.memory", "16g")
+          .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="tessera-ckpt-"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -36,36 +37,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_initial_partitions: int = 200_000) -> dict[str, str]:
-    """SQL settings sized for an input of ``input_bytes``.
-
-    Shuffles start with one partition per ``target_partition_bytes`` of
-    input (AQE then coalesces small ones and splits skewed ones towards the
-    same advisory size); scans split files at the same size. For 100 TB
-    this gives ~400k, capped at 200k initial partitions.
-    """
-    parts = max(8, min(max_initial_partitions, -(-int(input_bytes) // target_partition_bytes)))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-    }
-
-
-def apply_scale_settings(spark: SparkSession, input_bytes: int, **kw) -> dict[str, str]:
-    """Set ``scale_settings`` on the session (runtime SQL confs only)."""
-    conf = scale_settings(input_bytes, **kw)
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    return conf
-
-
 def ensure_utc(spark: SparkSession) -> None:
     """All day boundaries are UTC days; pin the session zone (H4)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -73,7 +44,7 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh directory under the cluster's shared checkpoint folder.
+    """A fresh path under the cluster's shared checkpoint folder.
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
     and Spark runs in local mode (tests) is a private folder created and
@@ -89,8 +60,4 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(base)
-    base = base.rstrip("/")
-    path = "/".join([base, "tessera", *parts, uuid.uuid4().hex[:12]])
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return "/".join([base.rstrip("/"), "tessera", *parts, uuid.uuid4().hex[:12]])

@@ -9,9 +9,11 @@ the expected answer from the base columns without parsing JSON.
 * market_global <- events   (nested document per event; some non-scalar
                              and null members on purpose)
 * trending      <- events   (hourly runs; run time = hour of the event)
-* coin_metadata <- part     (coin = p_size; many versions per coin; the
+* coin_metadata <- part     (two parts are two versions of one coin; the
                              categories member missing / not an array /
-                             empty / with null items depending on p_type)
+                             empty / with null and repeated items depending
+                             on p_type)
+* coin volumes  <- lineitem (a line trades the coin of its part)
 * coin_ohlc     <- events   (4-hour candles; every candle ingested by two
                              daily runs: provisional close first, final
                              close the day after)
@@ -109,10 +111,22 @@ def raw_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- metadata
+def part_coin(key: str) -> Column:
+    """The coin of a part: two parts in a row are two versions of one coin."""
+    return F.expr(f"cast(({key} + 1) div 2 as string)")
+
+
+def line_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traded volume per coin from all order lines (exact decimals)."""
+    lines = table(spark, sf_dir, "lineitem")
+    return (lines.groupBy(part_coin("l_partkey").alias("coin_id"))
+                 .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total_volume_usd")))
+
+
 def metadata_document() -> Column:
     words = F.split(F.col("p_name"), " ")  # two words; F.get gives NULL past the end
     base = F.to_json(F.struct(
-        F.col("p_size").cast("string").alias("id"),
+        part_coin("p_partkey").alias("id"),
         F.lower(F.col("p_brand")).alias("symbol"),
         F.col("p_name").alias("name"),
         F.col("p_size").cast("bigint").alias("market_cap_rank"),
@@ -126,7 +140,8 @@ def metadata_document() -> Column:
              .when(t == "LARGE", F.concat(F.lit(',"categories":"'), t, F.lit('"')))   # not an array
              .when(t == "SMALL", F.lit(',"categories":[]'))                      # empty
              .when(t == "PROMO", F.concat(F.lit(',"categories":'),
-                                          F.to_json(F.array(F.get(words, 1), F.lit(None).cast("string"), F.col("p_brand")))))
+                                          F.to_json(F.array(F.get(words, 1), F.lit(None).cast("string"), F.col("p_brand"),
+                                                              F.get(words, 1)))))
              .otherwise(F.concat(F.lit(',"categories":'), F.to_json(F.array(t, F.get(words, 0))))))
     # splice the categories member in before the closing brace
     return F.concat(base.substr(F.lit(1), F.length(base) - 1), cats, F.lit("}"))

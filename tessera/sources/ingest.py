@@ -2,21 +2,24 @@
 
 The caller hands over the run's API responses per endpoint (bodies already
 landed or fetched elsewhere); the run stamps them with one time and run id
-(S16), shapes them into raw rows (S3/S4), appends them to the landing zone
-(S8) and strictly loads what it landed into the day-partitioned raw table
-(S9/S10). Endpoints without rows report 0 and load nothing. The loop runs
-over at most five endpoints on the driver; all row work is Spark's.
+(S16), shapes them into raw rows (S3/S4), writes them once into the run's own
+folder of the landing zone (S8) and strictly loads exactly that folder into
+the day-partitioned raw table (S9/S10). Endpoints without rows report 0 and
+load nothing. A retry with the same run id replaces the run's folder and its
+part of the raw table, so nothing is doubled. The loop runs over at most five
+endpoints on the driver; all row work is Spark's.
 """
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from .landing import observed_count, write_landing
-from .load import append_raw, strict_rows
+from ..functions.json import json_value
+from .landing import land_run, new_run_id, run_name
+from .load import load_ndjson
 from .schemas import MODES, OHLC_TABLE
 from .shape import document_rows, ohlc_rows, stamp_run, unwrap_envelope
 
@@ -24,6 +27,16 @@ from .shape import document_rows, ohlc_rows, stamp_run, unwrap_envelope
 ENVELOPES = {"market_global": "data", "trending": "coins"}
 
 
+@dataclass
+class RunResult:
+    """What a run did: its id and name, rows and landing URI per endpoint."""
+
+    run_id: str
+    run: str
+    rows: dict[str, int] = field(default_factory=dict)
+    uris: dict[str, str] = field(default_factory=dict)
+
+
 def shape_endpoint(responses: DataFrame, endpoint: str) -> DataFrame:
     """Raw rows of one endpoint from its stamped responses (``body`` JSON)."""
     if endpoint == OHLC_TABLE:
@@ -33,35 +46,37 @@ def shape_endpoint(responses: DataFrame, endpoint: str) -> DataFrame:
     return document_rows(src)
 
 
-def ingest_run(spark: SparkSession, responses: dict[str, DataFrame], mode: str, ts,
-               landing_root: str, raw_root: str, run_id: str | None = None) -> dict[str, int]:
-    """Run ``mode`` over the given responses; returns rows loaded per endpoint.
+def _restricted(responses: DataFrame, endpoint: str, ids: DataFrame | None) -> DataFrame:
+    """The daily endpoints' responses of the coins in ``ids``."""
+    if ids is None or endpoint not in MODES["daily"]:
+        return responses
+    if endpoint == OHLC_TABLE:
+        return responses.join(ids, "coin_id", "left_semi")
+    marked = responses.withColumn("__id", json_value("body", "$.id"))
+    return marked.join(ids.withColumnRenamed("coin_id", "__id"), "__id", "left_semi").drop("__id")
+
+
+def ingest_run(spark: SparkSession, responses: dict[str, DataFrame], mode: str, ts: dt.datetime,
+               landing_root: str, raw_root: str, run_id: str | None = None,
+               ids: DataFrame | None = None) -> RunResult:
+    """Run ``mode`` over the given responses.
 
     ``responses[endpoint]`` has a ``body`` column (and ``coin_id`` for the
-    candle endpoint). Missing endpoints count as empty.
+    candle endpoint). Missing endpoints count as empty. ``ids`` (a
+    ``coin_id`` column, e.g. ``questions.top_ids``) restricts the daily
+    endpoints, candles and metadata alike.
     """
-    summary: dict[str, int] = {}
+    run_id = run_id or new_run_id()
+    result = RunResult(run_id, run_name(ts, run_id))
     for endpoint in MODES[mode]:
         src = responses.get(endpoint)
         if src is None:
-            summary[endpoint] = 0
-            continue
-        rows = shape_endpoint(stamp_run(src, ts, run_id), endpoint)
-        rows = rows.select(*(c for c in rows.columns if c != "run_id"))
-        # this attempt's lines are written once to their own staging folder
-        # ("_" prefix: invisible to landing listings); the landing zone gets
-        # a copy of them and the load reads exactly them, so a retried run
-        # never loads an earlier attempt's lines and shaping runs once
-        stage = f"{landing_root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-        if write_landing(rows, stage, endpoint) == 0:
-            summary[endpoint] = 0          # nothing landed: nothing to load
+            result.rows[endpoint] = 0
             continue
-        lines = spark.read.text(f"{stage}/{endpoint}")
-        (lines.hint("rebalance", "dt").write.mode("append").partitionBy("dt")
-              .text(f"{landing_root.rstrip('/')}/{endpoint}"))
-        lines = lines.select("value")
-        obs = Observation(f"run_{endpoint}")
-        typed = strict_rows(lines, endpoint).observe(obs, F.count(F.lit(1)).alias("n"))
-        append_raw(typed, f"{raw_root.rstrip('/')}/{endpoint}")
-        summary[endpoint] = observed_count(obs)
-    return summary
+        rows = shape_endpoint(stamp_run(_restricted(src, endpoint, ids), ts, run_id), endpoint).drop("run_id")
+        landed = land_run(rows, landing_root, endpoint, result.run)
+        result.rows[endpoint] = landed.rows
+        if landed.rows:
+            result.uris[endpoint] = landed.uri
+            load_ndjson(spark, landed.uri, endpoint, f"{raw_root.rstrip('/')}/{endpoint}", result.run)
+    return result

@@ -1,38 +1,47 @@
 """Landing zone: immutable NDJSON per endpoint, day and run.
 
-Layout: ``<root>/<endpoint>/dt=YYYY-MM-DD/part-….txt``. Spark names its own
-files; every append (one scheduled run) adds new files to the day
-directory. The reference's object name ``<YYYYMMDDTHHMMSS>_<run_id>`` is
-not needed as a directory: every line carries its exact ``ingestion_time``
-and the run id is a function of the run slot (``landing_path`` and
-``run_id_for`` give both as columns). One directory per day keeps the file
-count proportional to days, not runs (O8). Each line is the reference's row:
+Layout: ``<root>/<endpoint>/dt=YYYY-MM-DD/run=<YYYYMMDDTHHMMSS>_<run id>/part-….txt``.
+A run is a unit: its folder is named by time and run id, written once, and
+its URI is what the loader reads. Writing the same run again (a retry)
+replaces its own folders and nothing else, so neither the landing zone nor a
+replay of it ever holds a run twice. Each line is the reference-shaped row:
 ``{"ingestion_time": "<iso +00:00>", "payload": <the document itself>}``
 (document rows) or the flat candle row.
 
 Writes go through Spark's file commit protocol: a failed task is retried,
-a failed job leaves no committed files, so a lost executor never leaves a
-half-written run behind.
+a failed job leaves no committed files. Row counts are read from the
+committed files, never from metrics of the write.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import iso_utc
+from .files import delete, paths
 from .schemas import RAW_SCHEMAS
 
 
-def run_stamp(ts: Column | str) -> Column:
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(t, "yyyyMMdd'T'HHmmss")
+def new_run_id() -> str:
+    """A random run id (two runs in one second never share it)."""
+    return uuid.uuid4().hex[:12]
+
 
+def run_name(ts: dt.datetime, run_id: str) -> str:
+    """``<YYYYMMDDTHHMMSS>_<run id>``, the time in UTC (a time without zone is UTC)."""
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(dt.timezone.utc)
+    return f"{ts:%Y%m%dT%H%M%S}_{run_id}"
 
-def run_id_for(ts: Column | str) -> Column:
-    """A deterministic 8-hex run id for a run time (replays reproduce it)."""
+
+def run_stamp(ts: Column | str) -> Column:
     t = F.col(ts) if isinstance(ts, str) else ts
-    return F.substring(F.md5(t.cast("string")), 1, 8)
+    return F.date_format(t, "yyyyMMdd'T'HHmmss")
 
 
 def landing_path(endpoint: Column | str, ts: Column | str, run_id: Column | str) -> Column:
@@ -62,34 +71,40 @@ def candle_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"), "ingestion_time")
 
 
-def write_landing(rows: DataFrame, root: str, endpoint: str) -> int:
-    """Append one endpoint's rows to the landing zone (S8); returns the
-    number of rows written.
+@dataclass(frozen=True)
+class LandedRun:
+    """One run of one endpoint: its name, the URI of its folders (a run over
+    several days has one a day, hence the pattern), and its committed rows."""
 
-    One pass: the row count is an observation on the write itself (no
-    separate emptiness probe that would compute the input twice). Empty
-    input creates no day directory and no data file. A multi-run backfill
-    is one job; each row lands in its UTC day.
-    """
-    from pyspark.sql import Observation
+    endpoint: str
+    run: str
+    uri: str
+    rows: int
 
+
+def land_run(rows: DataFrame, root: str, endpoint: str, run: str | None = None) -> LandedRun:
+    """Write one run of an endpoint (S8); a retry with the same ``run`` replaces it.
+
+    Rows land in their UTC day. Empty input writes no folder. The count is
+    that of the committed lines.
+    """
+    run = run or run_name(dt.datetime.now(dt.timezone.utc), new_run_id())
+    spark = rows.sparkSession
     lines = candle_lines(rows) if "open_time" in rows.columns else document_lines(rows)
-    obs = Observation(f"landing_{endpoint}")
-    out = lines.select("value", F.to_date("ingestion_time").alias("dt")).observe(obs, F.count(F.lit(1)).alias("n"))
+    base = f"{root.rstrip('/')}/{endpoint}"
     # REBALANCE: hash on the day, but AQE merges small days into one file
     # and splits a hot day over several tasks (O8, skew-safe)
-    (out.hint("rebalance", "dt")
-        .write.mode("append").partitionBy("dt").text(f"{root.rstrip('/')}/{endpoint}"))
-    return observed_count(obs)
+    (lines.select("value", F.to_date("ingestion_time").alias("dt"), F.lit(run).alias("run"))
+          .hint("rebalance", "dt")
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").text(base))
+    found = paths(spark, f"{base}/dt=*/run={run}")
+    uri = found[0] if len(found) == 1 else f"{base}/dt=*/run={run}"
+    return LandedRun(endpoint, run, uri, spark.read.text(found).count() if found else 0)
 
 
-def observed_count(obs, name: str = "n") -> int:
-    """Row count observed on a write; an input with no partitions reports
-    no metrics at all, which means nothing was written."""
-    try:
-        return int(obs.get.get(name, 0) or 0)
-    except Exception:  # noqa: BLE001 — empty metrics row
-        return 0
+def write_landing(rows: DataFrame, root: str, endpoint: str, run: str | None = None) -> int:
+    """``land_run``, returning the rows only."""
+    return land_run(rows, root, endpoint, run).rows
 
 
 def read_landing(spark: SparkSession, root: str, endpoint: str, with_partitions: bool = True) -> DataFrame:
@@ -103,21 +118,24 @@ def read_landing(spark: SparkSession, root: str, endpoint: str, with_partitions:
 
 
 def replay(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
-    """Rebuild a raw table from all landed files — no API call. The
-    result equals what the appends produced (property-tested)."""
+    """The raw rows of all landed files — no API call. The result equals
+    what the loads produced (property-tested); ``load.rebuild_raw`` replaces
+    a raw table with it."""
     df = read_landing(spark, root, endpoint)
     return df.select(*RAW_SCHEMAS[endpoint].fieldNames(), F.to_date("ingestion_time").alias("dt"))
 
 
-def landing_inventory(spark: SparkSession, root: str, endpoint: str, cadence: str = "hour") -> DataFrame:
-    """Rows and runs per landed day partition (what a lifecycle rule sees).
+def landing_inventory(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
+    """Rows and runs per landed day: lines are counted, not parsed; runs are folders."""
+    path = f"{root.rstrip('/')}/{endpoint}"
+    df = spark.read.option("basePath", path).text(path)
+    return df.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("run").alias("n_runs"))
+
 
-    A run is a job slot at the scheduler's ``cadence``, read from each
-    line's ``ingestion_time``.
-    """
-    df = spark.read.text(f"{root.rstrip('/')}/{endpoint}")
-    slot = F.date_trunc(cadence, F.get_json_object("value", "$.ingestion_time").cast("timestamp"))
-    return df.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(slot).alias("n_runs"))
+def landed_days(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
+    """Days of the landing zone from the folder listing alone (nothing is read)."""
+    found = [p.rsplit("dt=", 1)[1] for p in paths(spark, f"{root.rstrip('/')}/{endpoint}/dt=*")]
+    return spark.createDataFrame([(d,) for d in found], "dt string").select(F.col("dt").cast("date").alias("dt"))
 
 
 def retention(partitions: DataFrame, days: int, as_of: Column | None = None) -> DataFrame:
@@ -131,3 +149,12 @@ def retention(partitions: DataFrame, days: int, as_of: Column | None = None) ->
         return partitions.withColumn("action", F.lit("keep"))
     keep = F.col("dt") > F.date_sub(ref, int(days))
     return partitions.withColumn("action", F.when(keep, F.lit("keep")).otherwise(F.lit("expire")))
+
+
+def expire_landing(spark: SparkSession, root: str, endpoint: str, days: int, as_of: Column | None = None) -> list[str]:
+    """Delete the landed days that ``retention`` expires; returns them (one name a day)."""
+    old = retention(landed_days(spark, root, endpoint), days, as_of).where("action = 'expire'")
+    gone = sorted(str(r["dt"]) for r in old.select("dt").collect())
+    for day in gone:
+        delete(spark, f"{root.rstrip('/')}/{endpoint}/dt={day}")
+    return gone

@@ -3,13 +3,20 @@
 
 A strict load behaves like a warehouse NDJSON load with
 ``ignore_unknown_values=False``: an unknown member, a missing REQUIRED
-value or a malformed line refuses the *whole batch*. Spark's FAILFAST mode
-ignores unknown fields and relaxes NOT NULL, so both checks are explicit
-column expressions (H3).
+value, a value of the wrong type or a malformed line refuses the *whole
+batch*. Spark's JSON reader ignores unknown fields, relaxes NOT NULL and
+turns wrong types into NULL, so all checks are explicit column expressions
+(H3).
+
+Raw tables are Parquet by ``dt`` (UTC day) and ``load``: every load, batch or
+stream, writes its own part of each day and may write it again, so a retry
+replaces itself and all writers' rows are visible to all readers.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +24,9 @@ from pyspark.sql import types as T
 from ..functions.json import is_single_json_document
 from .schemas import MODES, RAW_SCHEMAS, required_fields
 
+#: Characters of a refused line or body shown in an error (diagnostics only; data is never cut).
+SHOWN = 200
+
 
 def _line_checks(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     allowed = F.array(*[F.lit(n) for n in schema.fieldNames()])
@@ -25,19 +35,23 @@ def _line_checks(lines: DataFrame, schema: T.StructType, value: str = "value") -
     keys = F.json_object_keys(v)
     unknown = F.array_size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), allowed)) > 0
     parsed = F.from_json(v, schema)
-    missing = F.lit(False)
-    for name in required_fields(schema):
-        missing = missing | parsed[name].isNull()
+    missing, bad_type = F.lit(False), F.lit(False)
+    for name in schema.fieldNames():
+        there = F.get_json_object(v, f"$.{name}").isNotNull()      # present and not JSON null
+        if name in required_fields(schema):
+            missing = missing | (parsed[name].isNull() & ~there)
+        bad_type = bad_type | (there & parsed[name].isNull())
     return lines.select("*", parsed.alias("__row"),
                         (~well_formed).alias("__malformed"),
                         (well_formed & unknown).alias("__unknown"),
-                        (well_formed & missing).alias("__missing"))
+                        (well_formed & missing).alias("__missing"),
+                        (well_formed & bad_type).alias("__bad_type"))
 
 
 def strict_load_report(lines: DataFrame, table: str, batch: str | None = None,
                        value: str = "value") -> DataFrame:
-    """Per batch: rows, malformed, unknown-member and missing-required
-    counts, and whether the batch would be accepted (all three zero).
+    """Per batch: rows, malformed, unknown-member, missing-required and
+    wrong-type counts, and whether the batch would be accepted (all zero).
 
     One aggregation pass; partial aggregation before the shuffle.
     """
@@ -48,8 +62,9 @@ def strict_load_report(lines: DataFrame, table: str, batch: str | None = None,
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if("__malformed").alias("n_malformed"),
         F.count_if("__unknown").alias("n_unknown_field"),
-        F.count_if("__missing").alias("n_missing_required"))
-    ok = (F.col("n_malformed") + F.col("n_unknown_field") + F.col("n_missing_required")) == 0
+        F.count_if("__missing").alias("n_missing_required"),
+        F.count_if("__bad_type").alias("n_bad_type"))
+    ok = (F.col("n_malformed") + F.col("n_unknown_field") + F.col("n_missing_required") + F.col("n_bad_type")) == 0
     return agg.withColumn("accepted", ok)
 
 
@@ -59,30 +74,45 @@ def strict_rows(lines: DataFrame, table: str, value: str = "value") -> DataFrame
     a failed job commits no file, so the batch is refused as a whole."""
     schema = RAW_SCHEMAS[table]
     chk = _line_checks(lines, schema, value)
-    bad = F.col("__malformed") | F.col("__unknown") | F.col("__missing")
+    bad = F.col("__malformed") | F.col("__unknown") | F.col("__missing") | F.col("__bad_type")
     guarded = F.when(bad, F.raise_error(F.concat(F.lit(f"strict load of {table} refused: "),
-                                                  F.substring(F.col(value), 1, 200)))).otherwise(F.col("__row"))
+                                                  F.substring(F.col(value), 1, SHOWN)))).otherwise(F.col("__row"))
     return chk.select(guarded.alias("r")).select("r.*")
 
 
-def load_ndjson(spark: SparkSession, path: str, table: str, raw_path: str) -> int:
-    """Strict append of landed NDJSON under ``path`` to the raw table at
-    ``raw_path`` (Parquet, partitioned by day). Returns the rows loaded,
-    counted by an observation on the write itself (no second pass)."""
-    from pyspark.sql import Observation
+def load_ndjson(spark: SparkSession, path: str, table: str, raw_path: str, load: str | None = None) -> int:
+    """Strict load of landed NDJSON under ``path`` into the raw table at
+    ``raw_path``, as its load ``load`` (a new name by default; a known one is
+    replaced). Returns the rows: a strict load takes every line or fails."""
+    lines = spark.read.text(path).select("value")
+    append_raw(strict_rows(lines, table), raw_path, load)
+    return lines.count()
+
+
+def append_raw(rows: DataFrame, raw_path: str, load: str | None = None) -> str:
+    """Add rows to a raw table, by day of ``ingestion_time``; returns the load's name.
+
+    Only the load's own part of each day is written; writing it again replaces it.
+    """
+    load = load or uuid.uuid4().hex[:12]
+    df = rows.withColumn("dt", F.to_date("ingestion_time")).withColumn("load", F.lit(load))
+    (df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("dt", "load").parquet(raw_path))
+    return load
 
-    rows = strict_rows(spark.read.text(path), table)
-    obs = Observation(f"load_{table}")
-    out = rows.withColumn("dt", F.to_date("ingestion_time")).observe(obs, F.count(F.lit(1)).alias("n"))
-    append_raw(out, raw_path)
-    from .landing import observed_count
-    return observed_count(obs)
 
+def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
+    """A raw table with its day ``dt``."""
+    return spark.read.parquet(raw_path).drop("load")
 
-def append_raw(rows: DataFrame, raw_path: str) -> None:
-    """Append to a raw table, day-partitioned on ``ingestion_time``."""
-    df = rows if "dt" in rows.columns else rows.withColumn("dt", F.to_date("ingestion_time"))
-    df.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(raw_path)
+
+def rebuild_raw(spark: SparkSession, landing_root: str, table: str, raw_path: str) -> int:
+    """Replace a raw table with a strict load of all landed files; returns its rows."""
+    lines = spark.read.text(f"{landing_root.rstrip('/')}/{table}").select("value")
+    rows = strict_rows(lines, table).withColumn("dt", F.to_date("ingestion_time")).withColumn("load", F.lit("rebuilt"))
+    rows.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy("dt", "load").parquet(raw_path)
+    return read_raw(spark, raw_path).count()
 
 
 def raw_day_counts(raw: DataFrame) -> DataFrame:
@@ -90,25 +120,39 @@ def raw_day_counts(raw: DataFrame) -> DataFrame:
     return raw.groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def newest_day(raw: DataFrame) -> Column:
+    """The newest stored day, as a scalar sub-query that prunes partitions."""
+    return raw.select(F.max("dt")).scalar()
+
+
+def raw_peek(raw: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` newest rows, reading only as many newest days as hold them."""
+    left, since = n, None
+    for r in raw_day_counts(raw).orderBy(F.desc("dt")).collect():      # one row a day
+        since, left = r["dt"], left - r["n_rows"]
+        if left <= 0:
+            break
+    src = raw if since is None else raw.where(F.col("dt") >= F.lit(since))
+    ties = [F.desc(c) for c in ("payload", "close", "coin_id") if c in raw.columns]
+    return src.orderBy(F.desc("ingestion_time"), *ties).limit(n)
+
+
 def mode_summary(raw: dict[str, DataFrame], mode: str = "all", run: Column | None = None) -> DataFrame:
     """Rows per (run, endpoint) for the endpoints of ``mode``.
 
     Every expected endpoint gets a row for every run, 0 when it produced
-    nothing (the reference reports 0 and loads nothing). The expected list
-    is exploded per run (no cross join); counts are pre-aggregated per
-    endpoint before the single left join.
+    nothing. All endpoints are counted in one grouped pass; the counts of a
+    run then fill the expected list (a literal array) without a join.
     """
     endpoints = MODES[mode]
-    counts = None
+    rows = None
     for e in endpoints:
         # default run = UTC day; the stored partition column when present
         # (no per-row computation, only the partition value is read)
         day = F.col("dt") if "dt" in raw[e].columns else F.to_date("ingestion_time")
-        run_col = run if run is not None else day
-        c = raw[e].groupBy(run_col.alias("run")).agg(F.count(F.lit(1)).alias("rows")) \
-                  .withColumn("endpoint", F.lit(e))
-        counts = c if counts is None else counts.unionByName(c)
-    runs = counts.select("run").distinct()
-    grid = runs.select("run", F.explode(F.array(*[F.lit(e) for e in endpoints])).alias("endpoint"))
-    return (grid.join(counts, ["run", "endpoint"], "left")
-                .select("run", "endpoint", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")))
+        part = raw[e].select((run if run is not None else day).alias("run"), F.lit(e).alias("endpoint"))
+        rows = part if rows is None else rows.unionByName(part)
+    counts = rows.groupBy("run", "endpoint").agg(F.count(F.lit(1)).alias("n"))
+    by_run = counts.groupBy("run").agg(F.map_from_entries(F.collect_list(F.struct("endpoint", "n"))).alias("m"))
+    return (by_run.select("run", "m", F.explode(F.array(*[F.lit(e) for e in endpoints])).alias("endpoint"))
+                  .select("run", "endpoint", F.coalesce(F.col("m")[F.col("endpoint")], F.lit(0)).cast("bigint").alias("rows")))

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Endpoint names, their raw tables and the ingestion modes.
-ENDPOINTS = ("coin_markets", "market_global", "trending", "coin_ohlc", "coin_metadata")
-DOCUMENT_TABLES = ("coin_markets", "market_global", "trending", "coin_metadata")
+# Endpoint names (their raw tables are called alike) and the ingestion modes.
 OHLC_TABLE = "coin_ohlc"
 MODES = {
     "hourly": ("coin_markets", "market_global", "trending"),
@@ -44,13 +42,5 @@ def required_fields(schema: T.StructType) -> list[str]:
     return [f.name for f in schema.fields if not f.nullable]
 
 
-# News article (T3) and live-price lookup (T1) shapes.
-NEWS_ARTICLE = T.StructType([
-    T.StructField("title", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("published_at", T.StringType()),
-    T.StructField("source", T.StringType()),
-])
-
+# Live-price lookup (T1): coin -> metric -> figure.
 LIVE_PRICE = T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))

@@ -11,7 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .schemas import NEWS_ARTICLE
+from ..functions.json import is_single_json_document
+from .landing import new_run_id
+
+# Characters of a refused body shown in an error (diagnostics only; data is never cut).
+SHOWN = 200
+MALFORMED = "malformed JSON document"
 
 
 def _col(c: Column | str) -> Column:
@@ -51,13 +56,12 @@ def read_responses(spark, path: str, context_schema: str = "", wholetext: bool =
 def stamp_run(responses: DataFrame, ts, run_id: str | None = None) -> DataFrame:
     """One time stamp and one run id for every row of a run.
 
-    Both are literals fixed by the caller (never ``uuid()`` or
+    Both are literals fixed once for the run (never ``uuid()`` or
     ``current_timestamp()`` per row), so a retried task writes the same
-    values; without ``run_id`` it is derived from the stamp (8 hex).
+    values; without ``run_id`` a random one is drawn.
     """
-    t = F.lit(ts).cast("timestamp")
-    rid = F.lit(run_id) if run_id is not None else F.substring(F.md5(t.cast("string")), 1, 8)
-    return responses.withColumn("ingestion_time", t).withColumn("run_id", rid)
+    return responses.withColumn("ingestion_time", F.lit(ts).cast("timestamp")).withColumn(
+        "run_id", F.lit(run_id or new_run_id()))
 
 
 # ------------------------------------------------------------------ S2
@@ -71,7 +75,7 @@ def unwrap_envelope(body: Column | str, member: str) -> Column:
     inner = F.get_json_object(b, f"$.{member}")
     has = F.coalesce(F.array_contains(F.json_object_keys(b), member), F.lit(False))
     return F.when(has, inner).otherwise(
-        F.raise_error(F.concat(F.lit(f"response has no member '{member}': "), F.substring(b, 1, 200))))
+        F.raise_error(F.concat(F.lit(f"response has no member '{member}': "), F.substring(b, 1, SHOWN))))
 
 
 # ------------------------------------------------------------------ S3
@@ -79,10 +83,17 @@ def document_items(body: Column | str) -> Column:
     """A JSON list -> its items as JSON text; any other value -> itself.
 
     ``json_array_length`` is NULL for non-arrays and 0 for ``[]`` (no rows).
-    A JSON ``null`` item stays a row with a NULL payload.
+    A JSON ``null`` item stays a row with a NULL payload; a string item keeps
+    its quotes (items are JSON, so their kind decides, not their text).
     """
     b = _col(body)
-    return F.when(F.json_array_length(b).isNotNull(), F.from_json(b, "array<string>")).otherwise(F.array(b))
+
+    def item(text: Column, value: Column) -> Column:
+        quoted = F.to_json(F.array(text))
+        return F.when(F.schema_of_variant(value) == "STRING", quoted.substr(F.lit(2), F.length(quoted) - 2)).otherwise(text)
+
+    items = F.zip_with(F.from_json(b, "array<string>"), F.from_json(b, "array<variant>"), item)
+    return F.when(F.json_array_length(b).isNotNull(), items).otherwise(F.array(b))
 
 
 def document_rows(responses: DataFrame, body: str = "body", ts: str = "ingestion_time",
@@ -93,23 +104,45 @@ def document_rows(responses: DataFrame, body: str = "body", ts: str = "ingestion
 
 
 # ------------------------------------------------------------------ S4
+def _candle_error(body: Column) -> Column:
+    """Why a body is no list of candles; NULL for a good one (``[]`` included)."""
+    candles = F.from_json(body, "array<string>")
+    bad = F.exists(candles, lambda c: ~F.coalesce(
+        (F.json_array_length(c) >= 5)
+        & F.forall(F.slice(F.from_json(c, "array<double>"), 1, 5), lambda x: x.isNotNull()), F.lit(False)))
+    return (F.when(~is_single_json_document(body), F.lit(MALFORMED))
+             .when(body.isNull() | F.json_array_length(body).isNull(), F.lit("not a list of candles"))
+             .when(F.json_array_length(body) == 0, F.lit(None).cast("string"))
+             .when(candles.isNull() | bad, F.lit("short candle or a figure that is no number")))
+
+
 def ohlc_rows(responses: DataFrame, body: str = "body", coin: str = "coin_id",
               ts: str = "ingestion_time") -> DataFrame:
     """``[[ms, o, h, l, c], …]`` -> typed candle rows.
 
-    Integers or floats are accepted, extra items ignored, a candle with
-    fewer than five items fails the job (as indexing would in Python).
-    ``open_time`` is epoch milliseconds read as a UTC instant.
+    Integers or floats are accepted and extra items ignored. A body that is
+    no list of candles (malformed, an error object, a candle of fewer than
+    five items, a figure that is no number) fails the job, as it would fail a
+    run; ``ohlc_quarantine`` lists such bodies instead. ``open_time`` is
+    epoch milliseconds read as a UTC instant.
     """
+    b = F.col(body)
+    error = _candle_error(b)
+    good = F.when(error.isNotNull(), F.raise_error(F.concat(
+        F.lit("candles of coin "), F.coalesce(F.col(coin), F.lit("?")), F.lit(": "), error, F.lit(": "),
+        F.coalesce(F.substring(b, 1, SHOWN), F.lit("null"))))).otherwise(F.from_json(b, "array<array<double>>"))
     c = F.col("__c")
-    exploded = responses.select(F.col(ts).alias("ingestion_time"), F.col(coin).alias("coin_id"),
-                                F.explode(F.from_json(F.col(body), "array<array<double>>")).alias("__c"))
-    checked = F.when(F.array_size(c) >= 5, c).otherwise(
-        F.raise_error(F.concat(F.lit("short candle for coin "), F.col("coin_id"))))
-    return (exploded.select("ingestion_time", "coin_id", checked.alias("__c"))
-                    .select("ingestion_time", "coin_id",
-                            F.timestamp_millis(c[0].cast("bigint")).alias("open_time"),
-                            c[1].alias("open"), c[2].alias("high"), c[3].alias("low"), c[4].alias("close")))
+    return (responses.select(F.col(ts).alias("ingestion_time"), F.col(coin).alias("coin_id"), F.explode(good).alias("__c"))
+                     .select("ingestion_time", "coin_id", F.timestamp_millis(c[0].cast("bigint")).alias("open_time"),
+                             c[1].alias("open"), c[2].alias("high"), c[3].alias("low"), c[4].alias("close")))
+
+
+def ohlc_quarantine(responses: DataFrame, body: str = "body", coin: str = "coin_id",
+                    ts: str = "ingestion_time") -> tuple[DataFrame, DataFrame]:
+    """(candle rows of the good bodies, rows (ingestion_time, coin_id, error) of the others)."""
+    marked = responses.withColumn("error", _candle_error(F.col(body)))
+    bad = marked.where("error is not null").select(F.col(ts).alias("ingestion_time"), F.col(coin).alias("coin_id"), "error")
+    return ohlc_rows(marked.where("error is null"), body, coin, ts), bad
 
 
 # ------------------------------------------------------------------ S6
@@ -123,63 +156,82 @@ def to_ndjson_lines(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S15
-def trim_payload(payload: Column | str, keep: tuple[str, ...]) -> Column:
-    """Rebuild a document from the wanted top-level members only.
+def trim_documents(rows: DataFrame, keep: tuple[str, ...], payload: str = "payload") -> DataFrame:
+    """``rows`` with the payload rebuilt from the wanted top-level members.
 
     The metadata call turns off the large subtrees (localization, tickers,
     market data, …); on landed full documents the same is a projection.
     Member text is kept as landed (numbers are not re-typed); strings are
     re-quoted, missing members stay missing, JSON null stays null. The
-    member list is static, so this unrolls into plain column expressions.
+    document is parsed once for the kinds of its members and once, narrowly,
+    for their text; the subtrees that go are never built.
     """
-    from ..functions.json import json_kind
-
-    p = _col(payload)
-    m = F.from_json(p, "map<string,string>")
+    narrow = ", ".join(f"`{k}` string" for k in keep)
+    x = rows.withColumn("__v", F.try_parse_json(payload)).withColumn("__m", F.from_json(payload, narrow))
     parts = []
     for k in keep:
-        raw = m[k]
-        kind = json_kind(p, f"$.{k}")
+        raw = F.col("__m")[k]
+        kind = F.schema_of_variant(F.try_variant_get("__v", f"$.{k}", "variant"))
         quoted = F.to_json(F.array(raw))
         as_json = (F.when(kind == "VOID", F.lit("null"))
                     .when(kind == "STRING", quoted.substr(F.lit(2), F.length(quoted) - 2))
                     .otherwise(raw))
         key = F.to_json(F.array(F.lit(k)))
         parts.append(F.when(kind.isNotNull(), F.concat(key.substr(F.lit(2), F.length(key) - 2), F.lit(":"), as_json)))
-    return F.when(m.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    is_object = F.schema_of_variant("__v").startswith("OBJECT")
+    trimmed = F.when(is_object, F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    return x.withColumn(payload, trimmed).drop("__v", "__m")
+
+
+# ------------------------------------------------------------- T1, T3, T4
+def _body_error(body: Column) -> Column:
+    """A body that is no answer: malformed text, or an object with an ``error`` member; else NULL."""
+    return (F.when(~is_single_json_document(body), F.lit(MALFORMED))
+             .otherwise(F.get_json_object(body, "$.error")))
 
 
-# ------------------------------------------------------------------- T1
 def simple_price_rows(responses: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Live-price body ``{coin: {metric: number}}`` -> (coin_id, metric, value).
 
     Several currencies come as metric names (``usd``, ``usd_market_cap``,
-    ``eur_24h_vol`` …); they are split into currency and measure.
+    ``eur_24h_vol`` …); they are split into currency and measure. A failed
+    answer is a value: one row with ``error`` and nothing else.
     """
     from .schemas import LIVE_PRICE
 
-    coins = responses.select(*keep, F.explode(F.from_json(F.col(body), LIVE_PRICE)).alias("coin_id", "metrics"))
+    b = F.col(body)
+    prices = F.from_json(b, LIVE_PRICE)
+    error = F.coalesce(_body_error(b), F.when(F.json_object_keys(b).isNull() | prices.isNull(), F.lit("not a price object")))
+    x = responses.select(*keep, error.alias("error"), prices.alias("__p"))
+    coins = x.where("error is null").select(*keep, F.explode("__p").alias("coin_id", "metrics"))
     rows = coins.select(*keep, "coin_id", F.explode("metrics").alias("metric", "value"))
     cur = F.split(F.col("metric"), "_", 2)
-    return rows.select(*keep, "coin_id", "metric", cur[0].alias("currency"),
-                       F.coalesce(F.get(cur, 1), F.lit("price")).alias("measure"), "value")
+    good = rows.select(*keep, "coin_id", "metric", cur[0].alias("currency"),
+                       F.coalesce(F.get(cur, 1), F.lit("price")).alias("measure"), "value",
+                       F.lit(None).cast("string").alias("error"))
+    bad = x.where("error is not null").select(*keep, *[F.lit(None).cast("string").alias(c) for c in (
+        "coin_id", "metric", "currency", "measure")], F.lit(None).cast("double").alias("value"), "error")
+    return good.unionByName(bad)
 
 
-# ------------------------------------------------------------------- T3
-def news_articles(responses: DataFrame, per_page: int = 5, body: str = "body",
+def news_articles(responses: DataFrame, per_page: int | None = 5, body: str = "body",
                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """News body -> at most ``min(per_page, 20)`` articles per response.
+    """News body -> its first ``per_page`` articles (None: all) per response.
 
     The body is a list or ``{"data": [...]}`` (absent -> no articles).
     ``source`` is ``news_site`` or else ``author``; empty text counts as
-    absent, as Python's ``or`` does. The cap is the tool's page size, kept
-    per response with ``posexplode`` (no global sort).
+    absent, as Python's ``or`` does. The page is cut per response with
+    ``posexplode`` (no global sort). A failed answer is a value: one row
+    with ``error`` and nothing else.
     """
     b = F.col(body)
+    error = F.coalesce(_body_error(b), F.when(F.json_array_length(b).isNull() & F.json_object_keys(b).isNull(),
+                                              F.lit("neither a list nor an object")))
     items = F.when(F.json_array_length(b).isNotNull(), b).otherwise(F.get_json_object(b, "$.data"))
-    arr = F.from_json(items, "array<string>")
-    cap = min(int(per_page), 20)
-    exploded = responses.select(*keep, F.posexplode(arr).alias("pos", "article")).where(F.col("pos") < cap)
+    x = responses.select(*keep, error.alias("error"), F.from_json(items, "array<string>").alias("__a"))
+    exploded = x.where("error is null").select(*keep, F.posexplode("__a").alias("pos", "article"))
+    if per_page is not None:
+        exploded = exploded.where(F.col("pos") < int(per_page))
     a = F.col("article")
 
     def member(name: str) -> Column:
@@ -188,12 +240,10 @@ def news_articles(responses: DataFrame, per_page: int = 5, body: str = "body",
     def present(c: Column) -> Column:
         return F.when(c != "", c)
 
-    return exploded.select(
-        *keep, "pos",
-        member("title").alias("title"), member("description").alias("description"),
-        member("url").alias("url"), member("published_at").alias("published_at"),
-        F.coalesce(present(member("news_site")), present(member("author"))).alias("source"),
-    )
-
-
-NEWS_COLUMNS = tuple(f.name for f in NEWS_ARTICLE.fields)
+    names = ("title", "description", "url", "published_at")
+    good = exploded.select(*keep, "pos", *[member(n).alias(n) for n in names],
+                           F.coalesce(present(member("news_site")), present(member("author"))).alias("source"),
+                           F.lit(None).cast("string").alias("error"))
+    bad = x.where("error is not null").select(*keep, F.lit(None).cast("int").alias("pos"),
+                                              *[F.lit(None).cast("string").alias(n) for n in (*names, "source")], "error")
+    return good.unionByName(bad)

@@ -1,186 +1,198 @@
 """Incremental loads with Structured Streaming.
 
-The reference appends each hourly/daily batch with a scheduled job. Here a
-file-stream source over the landing zone plays that role: every trigger
-picks up only files it has not seen (tracked in the checkpoint), checks
-them strictly and appends them. ``trigger(availableNow=True)`` processes
-the backlog and stops, so a scheduler can run it like a batch job; a second
-run without new files adds nothing. Sinks are exactly-once (file sink
-metadata log, or an idempotent ``foreachBatch`` keyed by batch id), so a
-restart after a lost executor or driver re-does at most the open batch.
+A file-stream source over the landing zone plays the scheduled job: every
+trigger picks up only files it has not seen (tracked in the checkpoint),
+checks them strictly and loads them. ``trigger(availableNow=True)``
+processes the backlog and stops, so a scheduler can run it like a batch job;
+a second run without new files adds nothing.
+
+Sinks are idempotent: a micro-batch is named by its query's id (kept in the
+checkpoint, new with a new checkpoint) and its batch id. A raw load of that
+name replaces itself; a snapshot remembers the newest batch of each query
+that it holds. A file's age never matters: old files that are copied in late
+are loaded like any other.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import json_value
 from ..operators.latest import latest_by
-from ..sources.load import strict_rows
-
+from ..sources.files import paths
+from ..sources.load import append_raw, strict_rows
 
 # Backlog is consumed in bounded micro-batches (availableNow honours it).
 MAX_FILES_PER_TRIGGER = 1000
+# Longer than any file is old: the source must not skip late or back-filled files.
+MAX_FILE_AGE = "365000d"
 
 
 def _landing_stream(spark: SparkSession, landing_root: str, endpoint: str,
                     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
-    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+    reader = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+              .option("maxFileAge", MAX_FILE_AGE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(f"{landing_root.rstrip('/')}/{endpoint}")
     return strict_rows(lines, endpoint)
 
 
+def _run_batches(rows: DataFrame, checkpoint: str, apply) -> None:
+    """Run ``apply(batch, query id, batch id)`` over the backlog."""
+    started, query = threading.Event(), []
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        started.wait()
+        apply(df, query[0].id, batch_id)
+
+    q = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.append(q)
+    started.set()
+    q.awaitTermination()
+
+
 def incremental_load(spark: SparkSession, landing_root: str, endpoint: str, raw_path: str,
-                     checkpoint: str) -> int:
-    """Append every not-yet-loaded landed file to the raw table.
+                     checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> int:
+    """Load every not-yet-loaded landed file into the raw table.
 
-    Returns the number of rows appended by this run (0 when nothing new).
+    Returns the rows this run committed (0 when nothing is new), counted
+    from the files of each batch.
     """
-    rows = _landing_stream(spark, landing_root, endpoint).withColumn("dt", F.to_date("ingestion_time"))
-    q = (rows.writeStream.format("parquet").partitionBy("dt")
-             .option("checkpointLocation", checkpoint).option("path", raw_path)
-             .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    total = [0]
+
+    def apply(df: DataFrame, query_id: str, batch_id: int) -> None:
+        load = append_raw(df, raw_path, f"stream-{query_id}-{batch_id:010d}")
+        found = paths(df.sparkSession, f"{raw_path.rstrip('/')}/dt=*/load={load}")
+        total[0] += df.sparkSession.read.parquet(*found).count() if found else 0
+
+    _run_batches(_landing_stream(spark, landing_root, endpoint, max_files_per_trigger), checkpoint, apply)
+    return total[0]
 
 
 # ------------------------------------------------------------------ V6
 # Business key and tie-break of each raw table (the curated
-# views' partitioning).
+# views' partitioning). Trending has none: its view shows the newest run.
 SNAPSHOT_KEYS = {
     "coin_markets": (("coin_id",), ("payload",)),
     "coin_metadata": (("coin_id",), ("payload",)),
-    "trending": (("coin_id",), ("payload",)),
     "market_global": (("dt",), ("payload",)),
     "coin_ohlc": (("coin_id", "open_time"), ("close", "open", "high", "low")),
 }
+# Parts of a snapshot of documents, by a hash of the id.
+DOCUMENT_PARTS = 16
+_MANIFEST = "kind string, name string, version long"
 
 
 def _keyed(batch: DataFrame, endpoint: str) -> DataFrame:
     """Raw rows with their business key columns (documents: ``$.id``)."""
     if endpoint == "coin_ohlc":
         return batch.where(F.col("coin_id").isNotNull() & F.col("open_time").isNotNull())
-    if endpoint == "market_global":
-        return batch.withColumn("dt", F.to_date("ingestion_time"))
-    path = "$.item.id" if endpoint == "trending" else "$.id"
-    return batch.withColumn("coin_id", json_value("payload", path))
-
-
-# Document snapshots are one part: every listing restates all coins, so a
-# batch touches every key anyway and the part count would only add files.
-DOCUMENT_PART = "all"
+    batch = batch.withColumn("dt", F.to_date("ingestion_time"))
+    if endpoint in ("market_global", "trending"):
+        return batch
+    return batch.withColumn("coin_id", json_value("payload", "$.id"))
 
 
 def _part(endpoint: str):
-    """Snapshot partition of a keyed row: candles by UTC day of the candle
-    (a daily batch restates only the last days); documents in one part."""
+    """Snapshot part of a keyed row: candles by UTC day of the candle, the
+    global series by month, documents by a hash of their id, one for the
+    newest trending run. A batch rewrites only the parts it touches."""
     if endpoint == "coin_ohlc":
         return F.date_format("open_time", "yyyy-MM-dd")
-    return F.lit(DOCUMENT_PART)
+    if endpoint == "market_global":
+        return F.date_format("dt", "yyyy-MM")
+    if endpoint == "trending":
+        return F.lit("newest")
+    return F.concat(F.lit("p"), F.pmod(F.xxhash64("coin_id"), F.lit(DOCUMENT_PARTS)).cast("string"))
 
 
 def _version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version:010d}"
 
 
+def _manifest_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/_manifest/v={version:010d}"
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
-    try:
-        row = spark.read.schema("version long").json(f"{root.rstrip('/')}/_current").first()
-    except Exception:  # noqa: BLE001 — no snapshot yet
-        return None
-    return None if row is None else int(row["version"])
+    """The newest committed version: manifests are never replaced, and one
+    counts once its write is committed. None only where there is none; any
+    other trouble is raised."""
+    done = paths(spark, f"{root.rstrip('/')}/_manifest/v=*/_SUCCESS")
+    return max((int(p.rsplit("/", 2)[1][2:]) for p in done), default=None)
 
 
-def _manifest(spark: SparkSession, root: str, version: int) -> dict[str, int]:
-    """part -> version holding it (one row per part: bounded by days or
-    DOCUMENT_PARTS, metadata only)."""
-    rows = spark.read.schema("part string, version long").json(f"{root.rstrip('/')}/_manifest/v={version:010d}")
-    return {r["part"]: int(r["version"]) for r in rows.collect()}
+def _read_manifest(spark: SparkSession, root: str, version: int | None) -> tuple[dict[str, int], dict[str, int]]:
+    """(part -> version that holds it, query id -> newest batch applied); one row each."""
+    if version is None:
+        return {}, {}
+    rows = spark.read.schema(_MANIFEST).json(_manifest_path(root, version)).collect()
+    return ({r["name"]: r["version"] for r in rows if r["kind"] == "part"},
+            {r["name"]: r["version"] for r in rows if r["kind"] == "query"})
 
 
-def _paths(root: str, manifest: dict[str, int], parts=None) -> list[str]:
-    return [f"{_version_path(root, v)}/part={p}" for p, v in sorted(manifest.items())
-            if parts is None or p in parts]
+def snapshot_parts(spark: SparkSession, root: str) -> dict[str, int]:
+    return _read_manifest(spark, root, current_version(spark, root))[0]
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest raw row per business key, as of the current version.
-    Feed it to the matching curated view function (idempotent de-dup)."""
-    v = current_version(spark, root)
-    if v is None:
+    """The newest raw rows, as of the current version, with ``dt`` as in the raw
+    table. Feed it to the matching curated view function."""
+    parts = snapshot_parts(spark, root)
+    if not parts:
         return None
-    paths = _paths(root, _manifest(spark, root, v))
-    return spark.read.option("basePath", root).parquet(*paths).drop("v", "part")
-
-
-def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,
-                       current: int | None, endpoint: str = "coin_markets",
-                       manifest: dict[str, int] | None = None) -> int | None:
-    """(touched parts of the snapshot) ∪ batch -> latest per key -> new
-    version of those parts only -> new manifest -> switch.
-
-    Only the partitions the batch touches are read and rewritten (candles:
-    the days a daily run restates), so the cost per batch does not grow with
-    the history. ``current`` is the version the snapshot is at (read once
-    when the stream starts); a batch at or below it was already applied and
-    is skipped; rewriting version ``batch_id`` is idempotent; readers switch
-    only after the new parts and manifest are committed. ``manifest`` is the
-    current version's part map when the caller already holds it (it is
-    updated in place).
+    where = [f"{_version_path(root, v)}/part={p}" for p, v in sorted(parts.items())]
+    df = spark.read.option("basePath", root).parquet(*where).drop("v", "part")
+    return df if "dt" in df.columns else df.withColumn("dt", F.to_date("ingestion_time"))
+
+
+def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, query_id: str, batch_id: int,
+                       endpoint: str = "coin_markets") -> int | None:
+    """(touched parts of the snapshot) ∪ batch -> newest rows -> new version of
+    those parts -> new manifest; returns the current version.
+
+    Only the parts that the batch touches are read and written. Readers see
+    the new version when its manifest is committed, not before; a crash leaves
+    the old one. A batch of a query that the snapshot already holds is skipped.
     """
-    if current is not None and current >= batch_id:
+    current = current_version(spark, root)
+    parts, queries = _read_manifest(spark, root, current)
+    if queries.get(query_id, -1) >= batch_id:
         return current
-    keys, tie = SNAPSHOT_KEYS[endpoint]
     docs = _keyed(batch, endpoint).withColumn("part", _part(endpoint))
-    if endpoint == "coin_ohlc":   # days restated by this batch (bounded: days)
-        touched = {r["part"] for r in docs.select("part").distinct().collect()}
-        if not touched:
-            return current
-    else:
-        touched = {DOCUMENT_PART}
-    if manifest is None:
-        manifest = {} if current is None else _manifest(spark, root, current)
-    old_paths = _paths(root, manifest, touched)
+    touched = [r["part"] for r in docs.select("part").distinct().collect()]     # days, months, or a fixed number
+    if not touched:
+        return current
+    old_paths = [f"{_version_path(root, parts[p])}/part={p}" for p in sorted(touched) if p in parts]
     both = docs
     if old_paths:
         old = (spark.read.option("basePath", root).parquet(*old_paths).drop("v")
                     .withColumn("part", F.col("part").cast("string")))   # inferred int/date
-        both = old.unionByName(docs)
-    merged = latest_by(both, list(keys), [F.desc("ingestion_time")], tie_break=[F.desc(c) for c in tie])
-    merged.write.mode("overwrite").partitionBy("part").parquet(_version_path(root, batch_id))
-    manifest.update({p: batch_id for p in touched})
-    spark.createDataFrame(sorted(manifest.items()), "part string, version long").coalesce(1) \
-         .write.mode("overwrite").json(f"{root.rstrip('/')}/_manifest/v={batch_id:010d}")
-    spark.createDataFrame([(batch_id,)], "version long").coalesce(1) \
-         .write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
-    return batch_id
+        both = old.select(*docs.columns).unionByName(docs)
+    if endpoint == "trending":
+        merged = both.where(F.col("ingestion_time") == both.select(F.max("ingestion_time")).scalar())
+    else:
+        keys, tie = SNAPSHOT_KEYS[endpoint]
+        merged = latest_by(both, list(keys), [F.desc("ingestion_time")], tie_break=[F.desc(c) for c in tie])
+    version = 0 if current is None else current + 1
+    merged.write.mode("overwrite").partitionBy("part").parquet(_version_path(root, version))
+    parts |= dict.fromkeys(touched, version)
+    queries[query_id] = batch_id
+    rows = [("part", p, v) for p, v in sorted(parts.items())] + [("query", q, b) for q, b in sorted(queries.items())]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").json(_manifest_path(root, version))
+    return version
 
 
 def materialize_latest(spark: SparkSession, landing_root: str, endpoint: str, snapshot_root: str,
-                       checkpoint: str, fresh: bool = False) -> int | None:
-    """V6: keep a materialised newest-row-per-key snapshot of one raw table
-    up to date from the landing stream; returns the current version.
-    ``fresh=True`` declares a new, empty snapshot root (no pointer yet)."""
-    version = None if fresh else current_version(spark, snapshot_root)
-    state = {"version": version,
-             "manifest": {} if version is None else _manifest(spark, snapshot_root, version)}
-
-    def apply(df: DataFrame, batch_id: int) -> None:
-        # the micro-batch is read more than once (touched days, merge): keep
-        # it cached for this batch only (bounded by maxFilesPerTrigger; a
-        # lost block is recomputed from the landed files)
-        df.persist()
-        try:
-            state["version"] = merge_latest_batch(df.sparkSession, snapshot_root, df, batch_id,
-                                                  state["version"], endpoint, state["manifest"])
-        finally:
-            df.unpersist()
-
-    rows = _landing_stream(spark, landing_root, endpoint)
-    q = (rows.writeStream.foreachBatch(apply)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return state["version"]
+                       checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> int | None:
+    """V6: keep a materialised newest-rows snapshot of one raw table up to
+    date from the landing stream; returns the current version."""
+    def apply(df: DataFrame, query_id: str, batch_id: int) -> None:
+        merge_latest_batch(df.sparkSession, snapshot_root, df, query_id, batch_id, endpoint)
+
+    _run_batches(_landing_stream(spark, landing_root, endpoint, max_files_per_trigger), checkpoint, apply)
+    return current_version(spark, snapshot_root)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,6 +15,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.ansi.enabled", "true")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-"))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .getOrCreate())

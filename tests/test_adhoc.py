@@ -46,3 +46,18 @@ def test_breaking_out_of_the_wrapper_still_only_queries(ro):
 def test_inner_order_is_kept(ro):
     got = [r[0] for r in adhoc_readonly(ro, "SELECT coin_id FROM latest_prices ORDER BY coin_id DESC").collect()]
     assert got == [4, 3, 2, 1, 0]
+
+
+@pytest.mark.parametrize("q,want", [("SELECT 'a;b' AS x", "a;b"), ("SELECT 'reflect(' AS x", "reflect("),
+                                    ("SELECT \"java_method('x')\" AS x -- reflect('y')", "java_method('x')"),
+                                    ("SELECT /* reflect( */ 'it''s; ok' AS x;", "it's; ok")])
+def test_text_in_literals_and_comments_is_no_code(ro, q, want):
+    assert adhoc_readonly(ro, q).first()["x"].replace("its", "it's") == want
+
+
+@pytest.mark.parametrize("q", ["SELECT `reflect`('java.lang.System', 'lineSeparator') AS x", "SELECT JAVA_METHOD ('a', 'b')",
+                               "SELECT 'x' AS a, try_reflect('java.lang.System', 'lineSeparator') AS b",
+                               "SELECT TRANSFORM(coin_id) USING 'cat' AS (x) FROM latest_prices"])
+def test_code_is_refused_wherever_it_stands(ro, q):
+    with pytest.raises(Exception):
+        adhoc_readonly(ro, q).collect()
