@@ -176,8 +176,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     stars = shared.join(hubs, "p").where("node <> hub").select("node", "hub").distinct()
     groups = written(components(stars, "node", "hub").withColumnRenamed("label", "comp")
                      .join(nodes.drop("prefixes"), "node"), "candidates")
-    blocks = groups.groupBy("comp").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    blocks = written(groups.groupBy("comp").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "blocks")
     groups = groups.join(blocks, "comp").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     texts = base.join(groups, (base.node == groups.node) & base.k.eqNullSafe(groups.rep)).select(
         groups.node, "comp", "copies", "blocks", "mine", F.col("__x"))
