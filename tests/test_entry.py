@@ -60,7 +60,7 @@ def test_answers_about_the_newest_day_read_only_that_day(spark, name):
     df = C.QUERIES[name](spark, SF0001)
     df.collect()
     text = plan_text(df, "formatted")
-    scans = [s for s in text.split("\n\n") if "Scan parquet" in s.split("\n")[0] and "Location" in s]
+    scans = [s.strip() for s in text.split("\n\n") if "Scan parquet" in s.strip().split("\n")[0] and "Location" in s]
     assert scans
     for s in scans:
         schema = s.split("ReadSchema: ")[1].split("\n")[0]

@@ -76,7 +76,7 @@ def test_stamp_run_is_one_literal_per_run(spark):
 
     df = stamp_run(spark.range(5), dt.datetime(2026, 6, 26, 12, 0), None)
     assert df.select("ingestion_time", "run_id").distinct().count() == 1
-    assert len(df.first()["run_id"]) == 8
+    assert df.first()["run_id"].isalnum()
 
 
 def test_price_change_bucket_width_does_not_change_the_answer(spark):
