@@ -14,15 +14,15 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tessera import catalog as C  # noqa: E402
 from tessera.plans.adhoc import plan_text  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 
 
 def summarise(plan: str) -> dict[str, str]:
-    tree = plan.split("\n\n")[0]
-    if "== Final Plan ==" in tree:      # AQE prints the final and the initial tree
-        tree = tree.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    # AQE prints a final and an initial tree, for the query and for each scalar sub-query
+    finals = [t.split("== Initial Plan ==")[0] for t in plan.split("== Final Plan ==")[1:]]
+    tree = "\n".join(finals) or plan.split("\n\n")[0]
     count = lambda pat: len(re.findall(pat, tree))
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     pushed = [p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if p]
@@ -47,14 +47,14 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in C.QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         rows.append((name, summarise(plan_text(df, "formatted"))))
     cols = list(rows[0][1])
     out = ["# Physical plans (final, after AQE)", "",
            f"Generated by `tools/plan_report.py` at `{sf}` on `local[8]`. Sink-writing queries show the plan of",
-           "the DataFrame they return (the read-back side). `shuffles` counts hash/range exchanges,",
+           "the DataFrame they return (the read-back side). Sub-queries count. `shuffles` counts hash/range exchanges,",
            "`scan columns` the columns each parquet scan reads.", "",
            "| query | " + " | ".join(cols) + " |", "|" + "---|" * (len(cols) + 1)]
     for name, s in rows:
