@@ -45,7 +45,7 @@ TREES = 16
 DEPTH = 8
 RECALL = 0.9995
 #: Nodes and shingles in a block; a verification task holds two blocks.
-BLOCK_NODES, BLOCK_SHINGLES = 1024, 1 << 22
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 22
 
 
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
