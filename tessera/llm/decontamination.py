@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import STEP_BYTES, as_row, from_row, mixed, span_hashes, text_steps, word_spans, written
+from tessera.llm.scratch import STEP_BYTES, as_row, from_row, mixed, ship, span_hashes, text_steps, word_spans, written
 
 #: Allowed edits as a part of the item's words.
 EDITS = 0.2
@@ -257,6 +257,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """Rows (key, item, distance, item_words, start_word, n_words): each document's best match of each item in reach."""
     from pyspark.sql.types import LongType, StructField, StructType
 
+    ship(docs.sparkSession)
     queries = (benchmark.select(F.col(item).alias("id"), F.col(item_text).cast("string").alias("text"))
                .where(r"text rlike '[^\\x20\\x09-\\x0D]'"))
     queries = written(queries.withColumn("n", F.monotonically_increasing_id()), "benchmark")

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.scratch import ship
+
 #: Elements that run on within a line.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
@@ -255,6 +257,7 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
     """One row per row of ``pages``: key, url, text, n_chars."""
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+    ship(pages.sparkSession)
     rest = F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"(?s)^.*?://(.*)$", 1)
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.col(html).cast("string").alias("x"),
                         F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("host"),

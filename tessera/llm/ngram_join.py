@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.scratch import appended, as_row, from_row, mixed, shingle_hashes, text_steps, word_hashes, written
+from tessera.llm.scratch import appended, as_row, from_row, mixed, shingle_hashes, ship, text_steps, word_hashes, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -159,6 +159,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     ``n_links`` counts the rows whose text is linked to this row's: equal
     texts, and texts with a Jaccard similarity from ``threshold`` on.
     """
+    ship(docs.sparkSession)
     d = prefix_depth(threshold, trees, depth, recall)
 
     def sign(column):

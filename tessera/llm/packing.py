@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import text_steps, written
+from tessera.llm.scratch import ship, text_steps, written
 
 CAPACITY = 2048
 END_ID = 1
@@ -95,6 +95,8 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, key: str = "doc_id", text
                      capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids: key, start, length, ids_crc32, doc_tokens (and ids)."""
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(vocabulary)
         for batch in batches:
@@ -154,6 +156,7 @@ def pack(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, group
     The pieces are written once, so that a lost executor cannot deal them
     anew; a full piece is a sequence of its own.
     """
+    ship(pieces.sparkSession)
     kept = written(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-kept.where(F.col("length") < capacity).count() // group_size))
     part = kept.withColumn("__group", F.pmod(F.xxhash64(F.lit(seed), "__row"), F.lit(groups)))

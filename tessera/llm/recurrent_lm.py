@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import mixed, span_hashes, text_steps, word_spans, written
+from tessera.llm.scratch import mixed, ship, span_hashes, text_steps, word_spans, written
 
 HIDDEN = 16
 CLASSES = 64
@@ -484,6 +484,7 @@ def score(docs: DataFrame, training, key: str = "doc_id", text: str = "text", ro
 
     ``training`` is a condition on ``docs``; scores are log10 probabilities.
     """
+    ship(docs.sparkSession)
     work = docs.select(F.col(key).alias("__key"), F.coalesce(training, F.lit(False)).alias("__train"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     in_training = F.col("__train")

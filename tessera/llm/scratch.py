@@ -9,8 +9,10 @@ not the batch.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +28,29 @@ _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once an application.
+
+    Tasks import it; where the driver found it, or its working folder, says
+    nothing about the executors.
+    """
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.applicationId in _shipped or not os.path.isdir(package):       # a zip: already sent
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="llm-code-"), f"tessera-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder (local mode may make its own)."""
     sc = spark.sparkContext
@@ -186,6 +211,7 @@ def appended(df: DataFrame, text: str, ddl: str, make, keep_text: bool = True) -
     """
     from pyspark.sql.types import StructType
 
+    ship(df.sparkSession)
     new = StructType.fromDDL(ddl)
     kept = [c for c in df.columns if c not in new.names and (keep_text or c != text)]
     out = StructType([df.schema[c] for c in kept] + new.fields)

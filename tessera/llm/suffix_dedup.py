@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import appended, mixed, powers, prefix_hashes, text_steps, written
+from tessera.llm.scratch import appended, mixed, powers, prefix_hashes, ship, text_steps, written
 
 LENGTH = 200
 GRAM = 80
@@ -182,6 +182,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     """
     if keep not in ("first", "none") or not 0 < gram <= length:
         raise ValueError("keep is 'first' or 'none', and gram from 1 to length")
+    ship(docs.sparkSession)
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = docs.select(F.col(key).alias("k"), F.md5(plain).alias("node"), plain.alias("__x"))
 

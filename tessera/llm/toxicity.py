@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import appended, mixed, prefix_hashes, powers, text_steps, word_spans
+from tessera.llm.scratch import appended, mixed, prefix_hashes, powers, ship, text_steps, word_spans
 
 BITS = 20
 THRESHOLD = 0.7
@@ -159,6 +159,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epoc
 def fit(docs: DataFrame, labels: DataFrame, usable, key: str = "doc_id", text: str = "text", label: str = "toxic",
         max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> FactorizationMachine:
     """Fit on labelled documents; ``usable`` is a condition on the key that training rows meet."""
+    ship(docs.sparkSession)
     marked = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("__y"))
     marked = marked.where(usable).join(docs.select(key).distinct(), key, "left_semi")
     totals = {r["__y"]: r["n"] for r in marked.groupBy("__y").agg(F.count("*").alias("n")).collect()}
