@@ -1,6 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
 
-Texts are sequences of words (A-Z lower-cased). The CGK random walk reads a
+Texts are sequences of words: lower-cased runs of letters, digits and
+non-ASCII characters, so case, punctuation and line breaks make no edit. The CGK random walk reads a
 sequence symbol by symbol, writing the symbol it stands on and then staying or
 moving on by a random bit of (step, symbol); sequences at a small edit
 distance stay in step for most of the walk, so their embeddings agree in most
@@ -46,13 +47,16 @@ SAMPLES = 2
 MOST_REPEATS = 64
 BLOCK_ITEMS = 20_000
 _VOCABULARY_BITS = 22
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_NOT_WORD = np.ones(256, bool)
+_NOT_WORD[128:] = False
+for _a, _b in ((48, 58), (65, 91), (97, 123)):
+    _NOT_WORD[_a:_b] = False
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts, ends, first = word_spans(data, offsets)
-    return span_hashes(_LOWER[data], starts, ends), first
+    """Hash of each word of a piece of lower-cased text, and first word per text."""
+    starts, ends, first = word_spans(data, offsets, _NOT_WORD)
+    return span_hashes(data, starts, ends), first
 
 
 def size_class(n):
@@ -258,14 +262,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     from pyspark.sql.types import LongType, StructField, StructType
 
     ship(docs.sparkSession)
-    queries = (benchmark.select(F.col(item).alias("id"), F.col(item_text).cast("string").alias("text"))
+    queries = (benchmark.select(F.col(item).alias("id"), F.lower(F.col(item_text).cast("string")).alias("text"))
                .where(r"text rlike '[^\\x20\\x09-\\x0D]'"))
     queries = written(queries.withColumn("n", F.monotonically_increasing_id()), "benchmark")
     names = [key, item, "distance", "item_words", "start_word", "n_words"]
     schema = StructType([StructField(key, docs.schema[key].dataType), StructField(item, benchmark.schema[item].dataType)]
                         + [StructField(n, LongType()) for n in names[2:]])
     spark = docs.sparkSession
-    source = docs.select(F.col(key), F.col(text).cast("string").alias("__text"))
+    source = docs.select(F.col(key), F.lower(F.col(text).cast("string")).alias("__text"))
     out, last = None, -1
     while out is None or last is not None:
         rows = queries.where(F.col("n") > last).orderBy("n").limit(block).collect()      # at most ``block`` items

@@ -22,7 +22,7 @@ def edited(rng, text, n):
 
 
 def hashes(text):
-    got = [D.words_of(d, o)[0] for _, _, d, o in text_steps(pa.array([text]))]
+    got = [D.words_of(d, o)[0] for _, _, d, o in text_steps(pa.array([text.lower()]))]
     return got[0] if got else np.zeros(0, np.uint64)
 
 
@@ -77,6 +77,12 @@ def test_distance_and_span():
     assert D.match_length(q, region[1][:6], 1) == 6 and D.match_length(q, region[2][:4], 1) == 4
 
 
+def test_case_and_punctuation_are_no_edits(spark):
+    docs = spark.createDataFrame([(1, "x DOESBO, EL Ñ; \"CIÓNMIÍRR\"\nÄÖÜ!! (QUEN) Y ZZ"), (2, "doesbo el ñ quen y")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "Doesbo el ñ ciónmiírr äöü quen")], "item_id long, text string")
+    assert [tuple(r) for r in D.find_leaks(docs, bench).collect()] == [(1, 7, 0, 6, 1, 6)]
+
+
 def test_repetitions_are_added_until_the_target(monkeypatch):
     _, items = planted()
     made = [hashes(t) for _, t in items]
