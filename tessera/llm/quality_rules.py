@@ -32,6 +32,8 @@ WINDOW = 5
 FIGURES = ["symbol_ratio", "repeat_ratio", "dup_line_ratio", "word_length", "upper_ratio", "digit_ratio",
            "mark_ratio", "bang_ratio", "distinct_ratio", "line_words"]
 BINS = 64
+#: Bad rows that the pruning third must hold; with fewer, growing and pruning share all rows.
+LEAST_JUDGES = 10
 
 
 @dataclass(frozen=True)
@@ -121,7 +123,7 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
 
 
 def learn_rules(labelled: DataFrame, bad: str = "bad", figures: list[str] = FIGURES, key: str = "doc_id",
-                max_rules: int = 8, max_tests: int = 3, least_precision: float = 0.75, least_rows: int = 8,
+                max_rules: int = 8, max_tests: int = 3, least_precision: float = 0.75, least_rows: int = 5,
                 bins: int = BINS) -> list[list[Test]]:
     """Ordered conjunctions that name rows with ``bad`` = 1; labelled rows have ``figures``, ``key`` and ``bad``."""
     rows = labelled.where(F.col(bad).isNotNull()).select(
@@ -161,10 +163,12 @@ def learn_rules(labelled: DataFrame, bad: str = "bad", figures: list[str] = FIGU
             got[r["f"]].setdefault(r["b"], [0, 0])[0 if r["bad"] else 1] += r["n"]
         return got
 
+    # Too few bad rows to judge by a third of them: all rows judge.
+    few = (binned.where("bad and prune").agg(F.sum("n")).first()[0] or 0) < LEAST_JUDGES
     rules: list[list[Test]] = []
     covered = F.lit(False)
     while len(rules) < max_rules:
-        left = ~covered & ~F.col("prune")
+        left = ~covered if few else ~covered & ~F.col("prune")
         tests: list[Test] = []
         while len(tests) < max_tests:
             counts = histogram(tests, left)
@@ -192,7 +196,7 @@ def learn_rules(labelled: DataFrame, bad: str = "bad", figures: list[str] = FIGU
         if not tests:
             break
 
-        held = ~covered & F.col("prune")
+        held = ~covered if few else ~covered & F.col("prune")
         sums = binned.where(held).agg(*[F.sum(F.when(holds(tests[:k]) & (F.col("bad") == b), F.col("n")).otherwise(0))
                                         .alias(f"x{k}_{int(b)}") for k in range(1, len(tests) + 1) for b in (True, False)]).first()
 
