@@ -135,7 +135,8 @@ def count_words(docs: DataFrame, training) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [token_keys(data, offsets)[0] for _, _, data, offsets in text_steps(batch.column(0))]
-            h, n = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_counts=True)
+            keys = np.concatenate([*keys, np.zeros(0, np.int64)])
+            h, n = np.unique(keys, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(np.append(h, END_KEY)), pa.array(np.append(n, batch.num_rows))],
                                              names=["h", "n"])
 
@@ -516,6 +517,7 @@ def score(docs: DataFrame, training, key: str = "doc_id", text: str = "text", ro
                 batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), pa.array(known.astype(np.int64)),
                 pa.array(base), pa.array(p), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(keys[rare]))],
                 names=["key", "trained", "n_tokens", "n_known", "base", "p", "rare"])
+            pa.default_memory_pool().release_unused()                # a worker outlives its task
 
     kind = docs.schema[key].dataType.simpleString()
     scored = work.select("__key", "__train", "__text").mapInArrow(

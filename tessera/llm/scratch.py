@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 #: ``\\x20`` and ``\\x09-\\x0D``: the bytes between words in every contract.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text that one numpy step works on (a longer text is one step).
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 
@@ -119,13 +119,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """First ``n`` powers (mod 2**64) of an odd number and of its inverse."""
     global _powers
     if len(_powers[0]) < n:
-        n = max(n, STEP_BYTES + 1)
+        n = max(n, STEP_BYTES + 2)
         made = []
         for p in (_P, _P_INV):
             a = np.full(n, p, np.uint64)
             a[0] = 1
             made.append(np.multiply.accumulate(a))
-        if n > 8 * STEP_BYTES:           # of a single very long text: not kept
+        if n > STEP_BYTES + 2:           # of a single longer text: not kept
             return made[0], made[1]
         _powers = (made[0], made[1])
     return _powers
@@ -216,13 +216,18 @@ def appended(df: DataFrame, text: str, ddl: str, make, keep_text: bool = True) -
     kept = [c for c in df.columns if c not in new.names and (keep_text or c != text)]
     out = StructType([df.schema[c] for c in kept] + new.fields)
 
+    # A kept text travels once; columns travel by place, so that no name can clash with the text's.
+    at = kept.index(text) if text in kept and df.schema[text].dataType.simpleString() == "string" else len(kept)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *make(batch.column(len(kept)))], names=out.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *make(batch.column(at))], names=out.names)
+            pa.default_memory_pool().release_unused()        # a worker outlives its task
 
-    # Columns travel by place, so that no name can clash with the text's.
     placed = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
-    return df.select(*placed, F.col(text).cast("string").alias("t")).mapInArrow(run, out)
+    if at == len(kept):
+        placed.append(F.col(text).cast("string").alias("t"))
+    return df.select(*placed).mapInArrow(run, out)
 
 
 def as_row(df: DataFrame, **work) -> DataFrame:

@@ -102,7 +102,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epoc
     part ``drop`` of the terms: a text with one telling term must do without
     the others that it mostly comes with.
     """
-    index = np.full(1 << BITS, -1, np.int64)
+    index = np.full(1 << BITS, -1, np.int32)
     total = float(weights.sum())
     share = float((weights * labels).sum() / total) if total else 0.0
     none = FactorizationMachine(float(np.log((share + 1e-9) / (1 - share + 1e-9))), index, np.zeros(0),
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable, key: str = "doc_id", text: s
         frame = frame.sort_values(key, ignore_index=True)
         y = frame["__y"].to_numpy(np.int64)
         w = np.where(y == 1, weight[1], weight[0]).astype(float)
-        model = train([np.frombuffer(s, "<i4").astype(np.int64) for s in frame["slots"]], y, w)
+        model = train([np.frombuffer(s, "<i4") for s in frame["slots"]], y, w)
         return pd.DataFrame({"model": [pickle.dumps((model.bias, np.flatnonzero(model.index >= 0), model.weights,
                                                      model.factors))]})
 
@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable, key: str = "doc_id", text: s
     if made is None:
         return train([], np.zeros(0, np.int64), np.zeros(0))
     bias, chosen, w, v = pickle.loads(bytes(made["model"]))
-    index = np.full(1 << BITS, -1, np.int64)
+    index = np.full(1 << BITS, -1, np.int32)
     index[chosen] = np.arange(len(chosen))
     return FactorizationMachine(bias, index, w, v)
 
