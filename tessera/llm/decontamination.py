@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ RECALL = 0.98
 SAMPLES = 2
 MOST_REPEATS = 64
 BLOCK_ITEMS = 20_000
-_VOCABULARY_BITS = 22
+_VOCABULARY_BITS, _KEY_BITS = 22, 20
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[128:] = False
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
@@ -65,10 +66,12 @@ def size_class(n):
     return np.where(n < 4, n, n // 4 * 4)
 
 
+@lru_cache(None)
 def _odd(rep: int, step: int) -> np.uint64:
     return mixed(np.array([rep * 8191 + step + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0] | np.uint64(1)
 
 
+@lru_cache(None)
 def _places(rep: int, size: int) -> list[int]:
     """Sampled places of the embedding for windows of ``size`` words."""
     u = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) + np.uint64(rep * 131 + 77)).astype(float) / 2.0 ** 64
@@ -166,6 +169,8 @@ class Items:
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         sort = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[sort], owners[sort]
+        self.seen = np.zeros(1 << _KEY_BITS, bool)
+        self.seen[self.keys >> np.uint64(64 - _KEY_BITS)] = True
         return self
 
     def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -189,10 +194,12 @@ class Items:
         found = []
         for rep in range(self.repeats if members else 0):
             for s, h in walk_keys(words, live, stop[live], rep, members, longest[live]).items():
+                near = np.flatnonzero(self.seen[h >> np.uint64(64 - _KEY_BITS)])      # few pass the bit table
+                h = h[near]
                 a, b = np.searchsorted(self.keys, h, "left"), np.searchsorted(self.keys, h, "right")
                 many = b - a
                 if many.any():
-                    which = np.repeat(np.arange(len(h)), many)
+                    which = np.repeat(near, many)
                     owner = self.owners[np.repeat(a - np.concatenate([[0], np.cumsum(many)[:-1]]), many)
                                         + np.arange(many.sum())]
                     start = live[members[s][which]]
@@ -295,7 +302,7 @@ def _search(shared, names, schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
-            for lo, _, data, offsets in text_steps(batch.column(1), 2 * STEP_BYTES):
+            for lo, _, data, offsets in text_steps(batch.column(1), 4 * STEP_BYTES):
                 got = items.matches(*words_of(data, offsets))
                 columns = [batch.column(0).take(pa.array([lo + g[0] for g in got], pa.int64())),
                            pa.array([items.ids[g[1]] for g in got], arrow.field(1).type)]

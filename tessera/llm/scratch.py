@@ -125,7 +125,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             a = np.full(n, p, np.uint64)
             a[0] = 1
             made.append(np.multiply.accumulate(a))
-        if n > STEP_BYTES + 2:           # of a single longer text: not kept
+        if n > 4 * STEP_BYTES + 2:       # of a single longer text: not kept
             return made[0], made[1]
         _powers = (made[0], made[1])
     return _powers
