@@ -13,9 +13,9 @@ documents in windows of ``WINDOW`` tokens, the state carried from window to
 window and reset at each document. Output biases start at the counts, so the
 untrained model is the unigram model. Each round, every task trains a copy on
 its own documents; the copies are averaged by their tokens, level by level in
-tasks, never all at the driver. Documents are trained on in the share
-``train_share``, picked by a hash of the key: the training set grows with
-the input, while counts, vocabulary and scores use all documents.
+tasks, never all at the driver. The rounds split the training documents by a
+hash of the key, so together they learn from every one of them once (a
+``share`` under 1 leaves some out, for trials only).
 
 Scoring carries the state through the whole text. Counts of at most
 ``LOOKUP_WORDS`` frequent words go to the tasks (a bounded table); the rest
@@ -49,7 +49,8 @@ SIGNATURES = 64
 WINDOW = 32
 TRAIN_LANES, SCORE_LANES = 64, 512
 ROUNDS = 2
-TRAIN_SHARE = 0.4
+#: Every training document is learned from.
+TRAIN_SHARE = 1.0
 #: Training reads a longer document as consecutive spans (scoring never does).
 TRAIN_SPAN = 1024
 RATE = 0.1
@@ -436,7 +437,7 @@ def _symbols_of_batch(column, vocab: Vocabulary):
 
 def train(docs: DataFrame, vocab: Vocabulary, training, rounds: int = ROUNDS, share: float = TRAIN_SHARE,
           fan_in: int = 32) -> dict[str, np.ndarray]:
-    """Rounds of local training and averaging over the documents picked for training."""
+    """Rounds of local training and averaging, each over its part of the training documents."""
     sc = docs.sparkSession.sparkContext
     shared_vocab = sc.broadcast(vocab)
     model = new_model(vocab)

@@ -110,3 +110,23 @@ def test_awkward_rows_empty_tables_and_no_training_text(spark):
     assert R.score(empty(spark), F.lit(True)).count() == 0
     none = R.score(docs, F.lit(False)).collect()
     assert len(none) == docs.count() and all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 for r in none)
+
+
+def test_every_training_document_is_learned_from(spark, monkeypatch):
+    docs = awkward(spark).select("doc_id", "text").union(spark.createDataFrame(
+        [(1000 + i, f"a{i} b c") for i in range(200)], "doc_id long, text string"))
+    learned = []
+
+    def written(df, name, real=R.written):
+        out = real(df, name)
+        if name == "models":
+            learned.append(out.agg(F.sum("weight")).first()[0])
+        return out
+
+    monkeypatch.setattr(R, "written", written)
+    train = crc_mod("doc_id", 7) != 2
+    R.score(docs, train).count()
+    want = sum(len(words(r["text"])) + 1 for r in docs.where(train).collect())
+    first = [learned[0]]                                # a round's models, then their averages with the same sum
+    first += [b for a, b in zip(learned, learned[1:]) if b != a]
+    assert sum(first) == want
