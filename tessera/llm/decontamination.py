@@ -7,8 +7,12 @@ moving on by a random bit of (step, symbol); sequences at a small edit
 distance stay in step for most of the walk, so their embeddings agree in most
 places. Each repetition draws one walk and samples two places of the
 embedding, scaled to the item's size; windows of a document that agree with
-an item there are candidates. Repetitions are added until copies of the items
-with the greatest allowed number of edits are found with the target recall.
+an item there are candidates. Each item size has its own repetitions, added
+until the target part of many copies of its items, with the greatest allowed
+number of edits, is found. A size that misses it in ``MOST_REPEATS`` walks is
+searched without loss instead, as are sizes that allow no edits: an item within
+``k`` edits holds one of ``k + 1`` segments unchanged, so stretches that share
+a segment are its candidates.
 
 Every word position of every document starts a window of each item size. A
 window that has too few words of the benchmark's vocabulary to lie within the
@@ -31,7 +35,7 @@ are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -46,6 +50,8 @@ EDITS = 0.2
 RECALL = 0.98
 SAMPLES = 2
 MOST_REPEATS = 64
+#: Edited copies by which a size's repetitions are judged, at least.
+COPIES = 400
 BLOCK_ITEMS = 20_000
 _VOCABULARY_BITS, _KEY_BITS = 22, 20
 _NOT_WORD = np.ones(256, bool)
@@ -107,6 +113,15 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rep: int,
     return out
 
 
+def grams(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each word that has as many after it."""
+    m = max(len(words) - n + 1, 0)
+    h = np.zeros(m, np.uint64)
+    for j in range(n):
+        h = mixed(h * np.uint64(0xD6E8FEB86659FD93) + words[j:j + m])
+    return h
+
+
 @dataclass
 class Items:
     """Benchmark items as word arrays with the sorted keys of all repetitions."""
@@ -117,6 +132,8 @@ class Items:
     repeats: int = 0
     keys: np.ndarray | None = None
     owners: np.ndarray | None = None
+    rounds: dict[int, int] = field(default_factory=dict)        # repetitions of each size; 0: by segments
+    segments: dict[int, tuple] = field(default_factory=dict)    # by length: sorted hashes, owners, places in the item
 
     def __post_init__(self):
         self.sizes = size_class([len(w) for w in self.words]).astype(np.int64)
@@ -127,55 +144,107 @@ class Items:
         if self.words:
             self.vocabulary[np.concatenate(self.words) >> np.uint64(64 - _VOCABULARY_BITS)] = True
 
-    def _windows(self, texts: list[np.ndarray]):
+    @staticmethod
+    def _windows(texts: list[np.ndarray], sizes: np.ndarray):
         flat = np.concatenate(texts)
         stop = np.cumsum([len(t) for t in texts])
         start = stop - [len(t) for t in texts]
-        order = np.argsort(-self.sizes, kind="stable")
-        members = {int(s): np.flatnonzero(self.sizes[order] == s) for s in np.unique(self.sizes)}
-        return flat, start[order], stop[order], members, self.sizes[order], order
+        order = np.argsort(-sizes, kind="stable")
+        members = {int(s): np.flatnonzero(sizes[order] == s) for s in np.unique(sizes)}
+        return flat, start[order], stop[order], members, sizes[order], order
+
+    def _edited(self, rng) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Items and copies of them at the greatest allowed edits: at least ``COPIES`` of each size, one of each item."""
+        pool = np.concatenate(self.words)
+        owners, copies = [], []
+        for s in np.unique(self.sizes):
+            of = np.flatnonzero(self.sizes == s)
+            for i in np.resize(of, max(COPIES, len(of))).tolist():
+                w = list(self.words[i])
+                for _ in range(self.allowed[i]):           # a word replaced, added or left out
+                    at, kind = rng.integers(len(w)), rng.integers(3)
+                    if kind == 0:
+                        w[at] = pool[rng.integers(len(pool))]
+                    elif kind == 1:
+                        w.insert(at, pool[rng.integers(len(pool))])
+                    elif len(w) > 1:
+                        del w[at]
+                owners.append(i)
+                copies.append(np.array(w + list(pool[rng.integers(len(pool), size=16)]), np.uint64))
+        return np.array(owners, np.int64), copies
 
     def indexed(self, recall: float = RECALL, seed: int = 3) -> "Items":
-        """Add repetitions until edited copies of the items are found with ``recall``."""
+        """Add repetitions until edited copies of each size of items are found with ``recall``, or cut it in segments."""
         if not self.words:
             self.keys, self.owners = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             return self
-        rng = np.random.default_rng(seed)
-        pool = np.concatenate(self.words)
-        edited = []
-        for w, most in zip(self.words, self.allowed):
-            w = list(w)
-            for _ in range(most):                      # a word replaced, added or left out
-                at, kind = rng.integers(len(w)), rng.integers(3)
-                if kind == 0:
-                    w[at] = pool[rng.integers(len(pool))]
-                elif kind == 1:
-                    w.insert(at, pool[rng.integers(len(pool))])
-                elif len(w) > 1:
-                    del w[at]
-            edited.append(np.array(w + list(pool[rng.integers(len(pool), size=16)]), np.uint64))
-        own, other = self._windows(self.words), self._windows(edited)
+        of, copies = self._edited(np.random.default_rng(seed))
+        own = self._windows(self.words, self.sizes)
+        same = self._windows([self.words[i] for i in of], self.sizes[of])
+        other = self._windows(copies, self.sizes[of])
         order = own[5]
-        hit = np.zeros(len(self.words), bool)
-        keys, owners = [], []
-        while self.repeats < MOST_REPEATS and (hit.mean() < recall or self.repeats < 8):
-            a = walk_keys(own[0], own[1], own[2], self.repeats, own[3], own[4])
-            b = walk_keys(other[0], other[1], other[2], self.repeats, other[3], other[4])
-            for s, idx in own[3].items():
-                keys.append(a[s])
-                owners.append(order[idx])
-                hit[idx] |= a[s] == b[s]
+        hit = np.zeros(len(of), bool)
+        keys: dict[int, list] = {s: [] for s in own[3]}
+        cut = {s for s in keys if not self.slack[s]}            # no edits: the whole item is one segment
+        open_sizes = set(keys) - cut
+        while open_sizes and self.repeats < MOST_REPEATS:
+            walks = [walk_keys(x[0], x[1], x[2], self.repeats, {s: x[3][s] for s in open_sizes}, x[4])
+                     for x in (own, same, other)]
             self.repeats += 1
-        keys, owners = np.concatenate(keys), np.concatenate(owners)
+            for s in sorted(open_sizes):
+                keys[s].append(walks[0][s])
+                idx = same[3][s]
+                hit[idx] |= walks[1][s] == walks[2][s]
+                if self.repeats >= 8 and hit[idx].mean() >= recall:
+                    self.rounds[s] = self.repeats
+                    open_sizes.discard(s)
+        cut |= open_sizes
+        for s in cut:
+            self.rounds[s], keys[s] = 0, []
+        owners = [np.tile(order[own[3][s]], len(k)) for s, k in keys.items()]
+        keys, owners = np.concatenate([np.zeros(0, np.uint64), *(h for k in keys.values() for h in k)]), np.concatenate(owners)
         sort = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[sort], owners[sort]
         self.seen = np.zeros(1 << _KEY_BITS, bool)
         self.seen[self.keys >> np.uint64(64 - _KEY_BITS)] = True
+        self._cut(np.flatnonzero(np.isin(self.sizes, list(cut))))
         return self
 
+    def _cut(self, items: np.ndarray) -> None:
+        """Segments of the items, one more than the edits allowed, by their length."""
+        found: dict[int, list] = {}
+        for i in items.tolist():
+            n, parts = len(self.words[i]), int(self.allowed[i]) + 1
+            ends = np.arange(parts + 1) * n // parts
+            for lo, hi in zip(ends, ends[1:]):
+                found.setdefault(int(hi - lo), []).append((i, lo))
+        for n, places in found.items():
+            h = grams(np.concatenate([self.words[i][lo:lo + n] for i, lo in places]), n)[::n]
+            sort = np.argsort(h, kind="stable")
+            owner, place = np.array(places, np.int64)[sort].T
+            table = np.zeros(1 << _KEY_BITS, bool)
+            table[h >> np.uint64(64 - _KEY_BITS)] = True
+            self.segments[n] = h[sort], owner, place, table
+
+    def _by_segments(self, words: np.ndarray, first: np.ndarray, row: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+        found = []
+        for n, (hashes, owners, places, table) in self.segments.items():
+            h = grams(words, n)
+            near = np.flatnonzero(table[h >> np.uint64(64 - _KEY_BITS)])
+            near = near[near + n <= stop[near]]
+            a, b = np.searchsorted(hashes, h[near], "left"), np.searchsorted(hashes, h[near], "right")
+            many = b - a
+            if many.any():
+                at = np.repeat(a - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+                which, owner = np.repeat(near, many), owners[at]
+                text = row[which]
+                bucket = (which - first[text] - places[at]) // self.half[owner]
+                found.append(np.unique(np.stack([owner, text, bucket], 1), axis=0))
+        return found
+
     def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Distinct (item, text, bucket) candidates; a bucket is half an item of start positions."""
-        if not len(words) or not len(self.keys):
+        if not len(words) or not self.words:
             return np.zeros((0, 3), np.int64)
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))
         stop = first[row + 1]
@@ -185,15 +254,18 @@ class Items:
         longest = np.zeros(len(words), np.int64)
         held = {}
         for s, slack in self.slack.items():
+            if not self.rounds[s]:
+                continue
             held[s] = known[np.minimum(at + s, stop)] - known[:-1] >= s - slack
             longest[held[s]] = np.maximum(longest[held[s]], s)
         live = np.flatnonzero(longest)
         live = live[np.argsort(-longest[live], kind="stable")]
         members = {s: np.flatnonzero(h[live]) for s, h in held.items()}
         members = {s: m for s, m in members.items() if len(m)}
-        found = []
-        for rep in range(self.repeats if members else 0):
-            for s, h in walk_keys(words, live, stop[live], rep, members, longest[live]).items():
+        found = self._by_segments(words, first, row, stop)
+        for rep in range(max((self.rounds[s] for s in members), default=0)):
+            now = {s: m for s, m in members.items() if rep < self.rounds[s]}
+            for s, h in walk_keys(words, live, stop[live], rep, now, longest[live]).items():
                 near = np.flatnonzero(self.seen[h >> np.uint64(64 - _KEY_BITS)])      # few pass the bit table
                 h = h[near]
                 a, b = np.searchsorted(self.keys, h, "left"), np.searchsorted(self.keys, h, "right")

@@ -100,3 +100,30 @@ def test_awkward_rows_and_empty_tables(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 3
     assert D.find_leaks(empty(spark), bench).count() == 0
     assert D.find_leaks(docs, bench.limit(0)).count() == 0 and D.drop_leaking(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_each_size_of_items_reaches_the_target():
+    rng = random.Random(6)
+    made = [hashes(sentence(rng, n, 10 ** 6)) for n in [16] * 180 + [200] * 20 + [3] * 50]
+    items = D.Items(list(range(len(made))), made, D.EDITS).indexed()
+    assert items.rounds[3] == 0 and 8 <= items.rounds[16] < D.MOST_REPEATS
+    for n, lo, hi in ((16, 0, 180), (200, 180, 200)):     # the short ones must not end the search for the long ones
+        found = total = 0
+        for i in range(lo, hi):
+            for _ in range(10 if n == 200 else 1):
+                w = [str(x) for x in made[i]]
+                w = np.array([int(x) if x.isdigit() else rng.getrandbits(64) for x in edited(rng, " ".join(w), n // 5).split()], np.uint64)
+                total += 1
+                found += any(m[1] == i for m in items.matches(w, np.array([0, len(w)])))
+        assert found >= 0.95 * total, (n, found, total)
+
+
+def test_items_beyond_the_walks_are_all_found():
+    rng = random.Random(7)
+    made = [hashes(sentence(rng, 400, 10 ** 6)) for _ in range(3)]
+    items = D.Items([0, 1, 2], made, D.EDITS).indexed()
+    assert items.rounds[400] == 0
+    for i in [0, 1, 2] * 4:
+        w = edited(rng, " ".join(str(x) for x in made[i]), 80).split()
+        w = np.array([int(x) if x.isdigit() else rng.getrandbits(64) for x in ["q", *w, "q", "q"]], np.uint64)
+        assert [m[1] for m in items.matches(w, np.array([0, len(w)]))] == [i]
