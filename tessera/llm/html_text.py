@@ -2,14 +2,17 @@
 
 A page becomes a list of text lines, one for each block of text, with where it
 stands: in boilerplate (menus, headers, footers, sidebars, notices, adverts,
-forms, comments, by element, role or class name), in running text of an
-``article``, or elsewhere. The pages of a host are sorted by URL path, so
+forms, comments, by element, role or class name), in an ``article`` (running
+text or not), or elsewhere. The pages of a host are sorted by URL path, so
 neighbours share the longest path prefix; each page is aligned with its
-nearest neighbour by the longest common subsequence of their lines, and the
-shared lines are deleted: they belong to the template. Running text of
-an ``article`` is never template, however often it occurs elsewhere (two pages
-may carry the same article), and a neighbour that shares nearly every line
-is a copy, which says nothing about the template: the other neighbour is used.
+nearest neighbour by the longest common subsequence of all their lines, and
+the shared lines are deleted: they belong to the template. The markup is a
+later check: running text of an ``article`` stays, however often it occurs
+elsewhere (two pages may carry the same article), and boilerplate that is the
+page's own (a menu or an advert that its neighbour has not) goes. A neighbour
+that shares nearly every line is a copy, which says nothing about the
+template: the other neighbour is used. A page with no page to compare with is
+read by its markup alone: its articles, or all lines outside boilerplate.
 
 A host of more than ``part_pages`` pages is dealt by a hash of the page into
 parts of about that size, within which neighbours are sought; a task streams
@@ -159,8 +162,6 @@ def read_page(source: str) -> Page:
             art = art or tag == "article"
             stack.append((tag, bad, art, tag in RUNNING or (run and tag not in ("div", "section", "article", "aside"))))
     flush()
-    if any(p % 10 == ARTICLE for _, p in page.lines):
-        page.lines = [(t, p if p % 10 == ARTICLE else DROP) for t, p in page.lines]
     return page
 
 
@@ -228,20 +229,37 @@ def _lcs(a: list, b: list, cells: int) -> list[int]:
     return _lcs(a[:half], b[:cut], cells) + [half + i for i in _lcs(a[half:], b[cut:], cells)]
 
 
-def difference(page: Page, neighbours: list[Page]) -> list[str]:
-    """Texts of the page's lines that its nearest page, not a copy, does not share."""
-    lines = [x for x in page.lines if x[1] != DROP]
-    loose = [i for i, (_, place) in enumerate(lines) if place < 10]        # may be template
-    size = sum(len(t) for t, _ in lines)
-    gone: set[int] = set()
-    if loose:
-        for other in neighbours:
-            theirs = [t for t, place in other.lines if place != DROP]
-            shared = set(lcs([t for t, _ in lines], theirs)) & set(loose)
-            if sum(len(lines[i][0]) for i in shared) <= (1 - COPY_REST) * size:
-                gone = shared
-                break
-    return [t for i, (t, _) in enumerate(lines) if i not in gone]
+def by_markup(page: Page) -> list[int]:
+    """Lines that the markup alone keeps: those of articles, or without one all outside boilerplate."""
+    article = [i for i, (_, place) in enumerate(page.lines) if place % 10 == ARTICLE]
+    return article or [i for i, (_, place) in enumerate(page.lines) if place != DROP]
+
+
+def shared_lines(page: Page, other: Page, markup: bool = True) -> set[int] | None:
+    """Lines of ``page`` in the longest common subsequence with ``other``, or None if ``other`` is a copy of it.
+
+    All lines take part. Boilerplate by markup does not count for what makes a copy.
+    """
+    shared = set(lcs([t for t, _ in page.lines], [t for t, _ in other.lines]))
+    counted = [i for i, (_, place) in enumerate(page.lines) if place != DROP or not markup]
+    size = sum(len(page.lines[i][0]) for i in counted)
+    own = sum(len(page.lines[i][0]) for i in counted if i not in shared)
+    return None if own < COPY_REST * size else shared
+
+
+def difference(page: Page, neighbours: list[Page], markup: bool = True) -> list[str]:
+    """Texts of the page's lines that its nearest page, not a copy, does not share.
+
+    The differencing judges every line; then the markup is checked: running
+    text of an article stays, and of the page's own lines boilerplate goes.
+    Without a page to compare with, the markup alone decides.
+    """
+    for other in neighbours:
+        shared = shared_lines(page, other, markup)
+        if shared is not None:
+            return [t for i, (t, place) in enumerate(page.lines)
+                    if (place >= 10 or i not in shared and place != DROP if markup else i not in shared)]
+    return [page.lines[i][0] for i in by_markup(page)] if markup else [t for t, _ in page.lines]
 
 
 def _common(a: str, b: str) -> int:
@@ -253,8 +271,8 @@ def _common(a: str, b: str) -> int:
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-                      part_pages: int = PART_PAGES) -> DataFrame:
-    """One row per row of ``pages``: key, url, text, n_chars."""
+                      part_pages: int = PART_PAGES, markup: bool = True) -> DataFrame:
+    """One row per row of ``pages``: key, url, text, n_chars; without ``markup`` the differencing alone decides."""
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
     ship(pages.sparkSession)
@@ -291,7 +309,7 @@ def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
             before, now, after = now, after, next(stream, None)
             near = [x for x in (before, after) if x is not None and now[3] and x[3] == now[3]]
             near.sort(key=lambda x: -_common(x[4], now[4]))               # ties: the page before
-            text = " ".join(difference(now[2], [x[2] for x in near]))
+            text = " ".join(difference(now[2], [x[2] for x in near], markup))
             if kinds is None:
                 kinds = now[0].type, now[1].type
             done.append((now[0], now[1], text))

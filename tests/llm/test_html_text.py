@@ -112,3 +112,24 @@ def test_nulls_repeats_and_empty(spark):
     assert text_of(spark, rows) == ["", "", "", "x", ""]
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert H.extract_main_text(none).count() == 0
+
+
+def test_differencing_judges_every_line_of_article_pages(spark):
+    def page(i, note):
+        return (f"<body><nav><ul><li>Home<li>News</ul></nav><div>Edition of the day</div><article><h1>Title {i}</h1>"
+                f"<p>body {i} of the page</article><div>{note}</div><footer>Imprint</footer></body>")
+
+    rows = [(i, f"http://a.org/x/{i}", page(i, f"by author {i}")) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Title {i} body {i} of the page by author {i}" for i in range(4)}      # not the markup's verdict
+    for markup in (True, False):
+        assert {r["page_id"]: r["text"] for r in H.extract_main_text(df, markup=markup).collect()} == want
+
+
+def test_differencing_alone_on_the_tables(spark):
+    """With the markup off, the lines that the nearest page shares go, whatever element holds them."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    alone = {r["page_id"]: r["text"] for r in H.extract_main_text(pages, markup=False).collect()}
+    checked = {r["page_id"]: r["text"] for r in H.extract_main_text(pages).collect()}
+    assert len(alone) == len(checked) and sum(alone[k] != checked[k] for k in alone) > 0.9 * len(alone)
+    assert sum(set(checked[k].split()) <= set(alone[k].split()) for k in alone) >= 0.9 * len(alone)
