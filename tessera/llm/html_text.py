@@ -14,11 +14,12 @@ that shares nearly every line is a copy, which says nothing about the
 template: the other neighbour is used. A page with no page to compare with is
 read by its markup alone: its articles, or all lines outside boilerplate.
 
-A host of more than ``part_pages`` pages is dealt by a hash of the page into
-parts of about that size, within which neighbours are sought; a task streams
-its parts in a window of three pages, so a host of any size is spread over
-tasks. The table of large hosts has at most ``MOST_HOSTS`` rows (the part size
-grows if need be) and is broadcast.
+Pages are compared by hashes of their lines. Equal pages of a host (repeated
+rows, variants of one path) count once and get one verdict. The distinct pages
+are range-partitioned by host, path and URL in parts of about ``part_pages``;
+each part is also handed the rows of the parts on either side, so every page
+meets its true neighbours at any host size. Texts travel only to meet their
+verdict.
 
 Edge cases: null or empty html gives empty text; a null url, or one without
 a host, has no neighbour and only the markup decides; very long pages are
@@ -28,16 +29,18 @@ an empty result; only the three columns are read.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import ship
+from tessera.llm.scratch import ship, written
 
 #: Elements that run on within a line.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small "
@@ -60,8 +63,8 @@ BOILERPLATE_NAMES = frozenset(
 #: A neighbour that leaves less than this part of a page's characters is a copy of it.
 COPY_REST = 0.05
 
-#: Pages of a host that are sorted together, and the most hosts that are dealt into parts.
-PART_PAGES, MOST_HOSTS = 512, 100_000
+#: Distinct pages of a part, and the most parts (larger ones if need be).
+PART_PAGES, MOST_PARTS = 512, 20_000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
                     r"(?:((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^>]*(?:>|\Z))", re.S)
@@ -240,11 +243,20 @@ def shared_lines(page: Page, other: Page, markup: bool = True) -> set[int] | Non
 
     All lines take part. Boilerplate by markup does not count for what makes a copy.
     """
-    shared = set(lcs([t for t, _ in page.lines], [t for t, _ in other.lines]))
-    counted = [i for i, (_, place) in enumerate(page.lines) if place != DROP or not markup]
-    size = sum(len(page.lines[i][0]) for i in counted)
-    own = sum(len(page.lines[i][0]) for i in counted if i not in shared)
-    return None if own < COPY_REST * size else shared
+    return _shared(*([t for t, _ in x.lines] for x in (page, other)), [len(t) for t, _ in page.lines],
+                   [place for _, place in page.lines], markup)
+
+
+def _shared(lines: list, others: list, sizes: list[int], places: list[int], markup: bool) -> set[int] | None:
+    shared = set(lcs(lines, others))
+    counted = [i for i, place in enumerate(places) if place != DROP or not markup]
+    own = sum(sizes[i] for i in counted if i not in shared)
+    return None if own < COPY_REST * sum(sizes[i] for i in counted) else shared
+
+
+def _kept(places: list[int], shared: set[int], markup: bool) -> list[int]:
+    return [i for i, place in enumerate(places)
+            if (place >= 10 or i not in shared and place != DROP if markup else i not in shared)]
 
 
 def difference(page: Page, neighbours: list[Page], markup: bool = True) -> list[str]:
@@ -254,12 +266,13 @@ def difference(page: Page, neighbours: list[Page], markup: bool = True) -> list[
     text of an article stays, and of the page's own lines boilerplate goes.
     Without a page to compare with, the markup alone decides.
     """
+    kept = by_markup(page) if markup else range(len(page.lines))
     for other in neighbours:
         shared = shared_lines(page, other, markup)
         if shared is not None:
-            return [t for i, (t, place) in enumerate(page.lines)
-                    if (place >= 10 or i not in shared and place != DROP if markup else i not in shared)]
-    return [page.lines[i][0] for i in by_markup(page)] if markup else [t for t, _ in page.lines]
+            kept = _kept([place for _, place in page.lines], shared, markup)
+            break
+    return [page.lines[i][0] for i in kept]
 
 
 def _common(a: str, b: str) -> int:
@@ -270,54 +283,106 @@ def _common(a: str, b: str) -> int:
     return n
 
 
+def _digest(page: Page) -> bytes:
+    whole = "\0".join([f"{place} {t}" for t, place in page.lines])
+    return hashlib.blake2b(whole.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _line_id(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _parsed(rows: DataFrame, markup: bool, texts: bool) -> DataFrame:
+    """Pages read: digest ``g`` and the lines as texts and what markup alone keeps, or as ids, sizes and places."""
+    from pyspark.sql.types import ArrayType, BinaryType, ByteType, IntegerType, LongType, StringType, StructType
+
+    carried = ["k", "u", "host"] if texts else ["host", "path", "u"]
+    out = StructType([rows.schema[c] for c in carried]).add("g", BinaryType())
+    arrow = [pa.binary()]
+    if texts:
+        out = out.add("lines", ArrayType(StringType())).add("alone", ArrayType(IntegerType()))
+        arrow += [pa.list_(pa.string()), pa.list_(pa.int32())]
+    else:
+        out = out.add("ids", ArrayType(LongType())).add("sizes", ArrayType(IntegerType())).add("places", ArrayType(ByteType()))
+        arrow += [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int8())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                made = []
+                for source in part.column(len(carried)):
+                    page = read_page(source.as_py() or "")
+                    if texts:
+                        kept = by_markup(page) if markup else list(range(len(page.lines)))
+                        made.append((_digest(page), [t if place != DROP or not markup else "" for t, place in page.lines], kept))
+                    else:
+                        made.append((_digest(page), [_line_id(t) for t, _ in page.lines], [len(t) for t, _ in page.lines],
+                                     [place for _, place in page.lines]))
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(carried)], *(pa.array(c, t) for c, t in zip(zip(*made), arrow))],
+                                                 names=out.names)
+
+    return rows.select(*carried, "x").mapInArrow(run, out)
+
+
+def _judge(pages: list[tuple], markup: bool) -> Iterator[tuple[str, bytes, list[int] | None]]:
+    """(host, digest, lines kept or None) of a part's own pages: (own, host, path, g, ids, sizes, places) in URL order."""
+
+    def shared(i: int, j: int):
+        return _shared(pages[i][4], pages[j][4], pages[i][5], pages[i][6], markup)
+
+    for i, (own, host, path, g, *_, places) in enumerate(pages):
+        if not own:
+            continue
+        near = [j for j in (i - 1, i + 1) if 0 <= j < len(pages) and pages[j][1] == host]
+        near.sort(key=lambda j: -_common(pages[j][2], path))            # ties: the page before
+        found = next((x for x in (shared(i, j) for j in near) if x is not None), None)
+        yield host, g, None if found is None else _kept(places, found, markup)
+
+
+def _verdicts(rows: DataFrame, part_pages: int, markup: bool) -> DataFrame:
+    """(host, g, kept): lines kept of each distinct page that has a page to compare with."""
+    lines = _parsed(rows.where("host != ''"), markup, False)
+    distinct = written(lines.groupBy("host", "g").agg(F.min(F.struct("path", "u", "ids", "sizes", "places")).alias("p"))
+                       .select("host", "g", "p.*"), "pages")
+    n = distinct.count()
+    parts = max(1, min(MOST_PARTS, -(-n // part_pages)))
+    ranged = written(distinct.repartitionByRange(parts, "host", "path", "u", "g")
+                     .withColumn("part", F.spark_partition_id()), "pages-ranged")
+    used = [r["part"] for r in ranged.select("part").distinct().orderBy("part").collect()]      # empty parts left out
+    parts = len(used)
+    pairs = [(used[p], t, p == t) for t in range(parts) for p in range(max(0, t - 1), min(parts, t + 2))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pages():
+            for batch in batches:
+                columns = [c.to_pylist() for c in batch.columns]
+                yield from zip(*columns)
+
+        for _, group in groupby(pages(), key=lambda r: r[0]):
+            made = [x for x in _judge([r[1:] for r in group], markup) if x[2] is not None]
+            if made:
+                host, g, kept = zip(*made)
+                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(g, pa.binary()),
+                                                  pa.array(kept, pa.list_(pa.int32()))], names=["host", "g", "kept"])
+
+    pairs = rows.sparkSession.createDataFrame(pairs, "part int, target int, own boolean")
+    around = (ranged.join(F.broadcast(pairs), "part").repartition(max(1, parts), "target")
+              .sortWithinPartitions("target", "host", "path", "u", "g"))
+    found = around.select("target", "own", "host", "path", "g", "ids", "sizes", "places").mapInArrow(
+        run, "host string, g binary, kept array<int>")
+    return written(found, "verdicts")
+
+
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
                       part_pages: int = PART_PAGES, markup: bool = True) -> DataFrame:
     """One row per row of ``pages``: key, url, text, n_chars; without ``markup`` the differencing alone decides."""
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-
     ship(pages.sparkSession)
     rest = F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"(?s)^.*?://(.*)$", 1)
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.col(html).cast("string").alias("x"),
                         F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("host"),
                         F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path"))
-    size = max(part_pages, -(-pages.count() // MOST_HOSTS))
-    large = rows.groupBy("host").agg(F.ceil(F.count("*") / size).alias("parts")).where("parts > 1")
-    part = F.pmod(F.xxhash64("k", "u", F.length("x")), F.coalesce("parts", F.lit(1)))
-    rows = rows.join(F.broadcast(large), "host", "left").withColumn("part", part)
-    rows = rows.repartition("host", "part").sortWithinPartitions("host", "part", "path", "u", "k")
-    schema = StructType([StructField(key, pages.schema[key].dataType), StructField(url, pages.schema[url].dataType),
-                         StructField("text", StringType()), StructField("n_chars", LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each():
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    source, host, part, path = (batch.column(c)[i].as_py() for c in (2, 3, 4, 5))
-                    yield batch.column(0)[i], batch.column(1)[i], read_page(source or ""), host and (host, part), path
-
-        def made(done):
-            texts = [x[2] for x in done]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[0].as_py() for x in done], kinds[0]), pa.array([x[1].as_py() for x in done], kinds[1]),
-                 pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
-
-        kinds = None
-        before, now, done, size = None, None, [], 0
-        stream = each()
-        after = next(stream, None)
-        while after is not None:
-            before, now, after = now, after, next(stream, None)
-            near = [x for x in (before, after) if x is not None and now[3] and x[3] == now[3]]
-            near.sort(key=lambda x: -_common(x[4], now[4]))               # ties: the page before
-            text = " ".join(difference(now[2], [x[2] for x in near], markup))
-            if kinds is None:
-                kinds = now[0].type, now[1].type
-            done.append((now[0], now[1], text))
-            size += len(text)
-            if size > 4 << 20:
-                yield made(done)
-                done, size = [], 0
-        if done:
-            yield made(done)
-
-    return rows.select("k", "u", "x", "host", "part", "path").mapInArrow(run, schema)
+    out = _parsed(rows, markup, True).join(_verdicts(rows, part_pages, markup), ["host", "g"], "left")
+    text = F.array_join(F.transform(F.coalesce("kept", "alone"), lambda i: F.get("lines", i)), " ")
+    out = out.select(F.col("k").alias(key), F.col("u").alias(url), text.alias("text"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -133,3 +133,12 @@ def test_differencing_alone_on_the_tables(spark):
     checked = {r["page_id"]: r["text"] for r in H.extract_main_text(pages).collect()}
     assert len(alone) == len(checked) and sum(alone[k] != checked[k] for k in alone) > 0.9 * len(alone)
     assert sum(set(checked[k].split()) <= set(alone[k].split()) for k in alone) >= 0.9 * len(alone)
+
+
+@pytest.mark.parametrize("size", [1, 10, 1000])
+def test_pages_of_a_large_host_meet_their_true_neighbours(spark, size):
+    rows = [(i, f"http://a.org/{i // 2:03}/{i}", f"<body><div>Top of section {i // 2}</div><p>text {i}</p></body>") for i in range(200)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in H.extract_main_text(df, part_pages=size).collect()}
+    assert got == {i: f"text {i}" for i in range(200)}       # only the path's neighbour shares the section's line
