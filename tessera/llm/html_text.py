@@ -11,15 +11,15 @@ later check: running text of an ``article`` stays, however often it occurs
 elsewhere (two pages may carry the same article), and boilerplate that is the
 page's own (a menu or an advert that its neighbour has not) goes. A neighbour
 that shares nearly every line is a copy, which says nothing about the
-template: the other neighbour is used. A page with no page to compare with is
-read by its markup alone: its articles, or all lines outside boilerplate.
+template: the nearest page beyond it that is no copy is used. A page with no
+page to compare with is read by its markup alone: its articles, or all lines outside boilerplate.
 
 Pages are compared by hashes of their lines. Equal pages of a host (repeated
 rows, variants of one path) count once and get one verdict. The distinct pages
 are range-partitioned by host, path and URL in parts of about ``part_pages``;
-each part is also handed the rows of the parts on either side, so every page
-meets its true neighbours at any host size. Texts travel only to meet their
-verdict.
+each part is also handed the rows of the parts on either side (of more parts,
+where copies fill those), so every page meets its true neighbours at any host
+size. Texts travel only to meet their verdict.
 
 Edge cases: null or empty html gives empty text; a null url, or one without
 a host, has no neighbour and only the markup decides; very long pages are
@@ -325,19 +325,37 @@ def _parsed(rows: DataFrame, markup: bool, texts: bool) -> DataFrame:
     return rows.select(*carried, "x").mapInArrow(run, out)
 
 
-def _judge(pages: list[tuple], markup: bool) -> Iterator[tuple[str, bytes, list[int] | None]]:
-    """(host, digest, lines kept or None) of a part's own pages: (own, host, path, g, ids, sizes, places) in URL order."""
+def _judge(pages: list[tuple], first: bool, last: bool, markup: bool) -> Iterator[tuple]:
+    """(host, digest, lines kept or None, done) of a part's own pages; ``pages`` are in URL order.
 
-    def shared(i: int, j: int):
-        return _shared(pages[i][4], pages[j][4], pages[i][5], pages[i][6], markup)
-
-    for i, (own, host, path, g, *_, places) in enumerate(pages):
-        if not own:
-            continue
-        near = [j for j in (i - 1, i + 1) if 0 <= j < len(pages) and pages[j][1] == host]
-        near.sort(key=lambda j: -_common(pages[j][2], path))            # ties: the page before
-        found = next((x for x in (shared(i, j) for j in near) if x is not None), None)
-        yield host, g, None if found is None else _kept(places, found, markup)
+    A page is (own, host, path, g, ids, sizes, places). On either side the
+    nearest page that is no copy counts; the search passes over a copy to the
+    page that the copy itself was led to. It is not done if it runs out of
+    ``pages`` and these are not the ``first`` or ``last`` of the table.
+    """
+    own = [i for i, x in enumerate(pages) if x[0]]
+    near: dict[int, list] = {i: [] for i in own}
+    done = dict.fromkeys(own, True)
+    for step, order, whole in ((-1, own, first), (1, own[::-1], last)):
+        led: dict[int, int | None] = {}                     # None: no such page in the host
+        for i in order:
+            _, host, path, _, ids, sizes, places = pages[i]
+            j = i + step
+            while j is not None and 0 <= j < len(pages):
+                if pages[j][1] != host:
+                    j = None
+                    break
+                shared = _shared(ids, pages[j][4], sizes, places, markup)
+                if shared is not None:
+                    near[i].append((_common(pages[j][2], path), shared))
+                    break
+                j = led.get(j, j + step)
+            led[i] = j
+            if j is not None and not 0 <= j < len(pages) and not whole:
+                done[i] = False
+    for i in own:
+        best = max(near[i], key=lambda x: x[0], default=None)           # ties: the page before
+        yield pages[i][1], pages[i][3], None if best is None else _kept(pages[i][6], best[1], markup), done[i]
 
 
 def _verdicts(rows: DataFrame, part_pages: int, markup: bool) -> DataFrame:
@@ -351,8 +369,6 @@ def _verdicts(rows: DataFrame, part_pages: int, markup: bool) -> DataFrame:
                      .withColumn("part", F.spark_partition_id()), "pages-ranged")
     used = [r["part"] for r in ranged.select("part").distinct().orderBy("part").collect()]      # empty parts left out
     parts = len(used)
-    pairs = [(used[p], t, p == t) for t in range(parts) for p in range(max(0, t - 1), min(parts, t + 2))]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pages():
             for batch in batches:
@@ -360,18 +376,29 @@ def _verdicts(rows: DataFrame, part_pages: int, markup: bool) -> DataFrame:
                 yield from zip(*columns)
 
         for _, group in groupby(pages(), key=lambda r: r[0]):
-            made = [x for x in _judge([r[1:] for r in group], markup) if x[2] is not None]
-            if made:
-                host, g, kept = zip(*made)
-                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(g, pa.binary()),
-                                                  pa.array(kept, pa.list_(pa.int32()))], names=["host", "g", "kept"])
-
-    pairs = rows.sparkSession.createDataFrame(pairs, "part int, target int, own boolean")
-    around = (ranged.join(F.broadcast(pairs), "part").repartition(max(1, parts), "target")
-              .sortWithinPartitions("target", "host", "path", "u", "g"))
-    found = around.select("target", "own", "host", "path", "g", "ids", "sizes", "places").mapInArrow(
-        run, "host string, g binary, kept array<int>")
-    return written(found, "verdicts")
+            group = list(group)
+            target, first, last = group[0][:3]
+            made = list(_judge([r[3:] for r in group], first, last, markup))
+            host, g, kept, done = zip(*made)
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(g, pa.binary()), pa.array(kept, pa.list_(pa.int32())),
+                                              pa.array(done), pa.array([target] * len(made), pa.int32())],
+                                             names=["host", "g", "kept", "done", "target"])
+
+    out, targets, width = None, list(range(parts)), 1
+    while out is None or targets:                       # parts whose copies fill all the parts beside them look further
+        pairs = [(used[p], t, t <= width, t + width >= parts - 1, p == t)
+                 for t in targets for p in range(max(0, t - width), min(parts, t + width + 1))]
+        pairs = rows.sparkSession.createDataFrame(pairs, "part int, target int, first boolean, last boolean, own boolean")
+        around = (ranged.join(F.broadcast(pairs), "part").repartition(max(1, len(targets)), "target")
+                  .sortWithinPartitions("target", "host", "path", "u", "g"))
+        found = written(around.select("target", "first", "last", "own", "host", "path", "g", "ids", "sizes", "places").mapInArrow(
+            run, "host string, g binary, kept array<int>, done boolean, target int"), "verdicts")
+        targets = [r["target"] for r in found.where("not done").select("target").distinct().collect()]
+        settled = found.where(~F.col("target").isin(targets)) if targets else found
+        settled = settled.where("kept is not null").select("host", "g", "kept")
+        out = settled if out is None else out.unionByName(settled)
+        width *= 4
+    return out
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",

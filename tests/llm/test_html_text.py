@@ -142,3 +142,18 @@ def test_pages_of_a_large_host_meet_their_true_neighbours(spark, size):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
     got = {r["page_id"]: r["text"] for r in H.extract_main_text(df, part_pages=size).collect()}
     assert got == {i: f"text {i}" for i in range(200)}       # only the path's neighbour shares the section's line
+
+
+@pytest.mark.parametrize("size", [1, 1000])
+def test_runs_of_copies_lose_the_template(spark, size):
+    def page(*body):
+        return "<body><div>Top of the site</div>" + "".join(f"<p>{b}</p>" for b in body) + "</body>"
+
+    long = "the very same long text " * 20
+    rows = [(f"http://a.org/b?utm={i}", page("equal text")) for i in range(5)] + [("http://a.org/b", page("equal text"))] * 3
+    rows += [(f"http://a.org/c/{i:02}", page(long, f"v{i:02}")) for i in range(12)] + [("http://a.org/d", page("another"))]
+    rows += [(f"http://b.org/c/{i:02}", page(long, f"v{i:02}")) for i in range(12)]                # nothing but copies
+    df = spark.createDataFrame([(i, u, x) for i, (u, x) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in H.extract_main_text(df, part_pages=size).collect()}
+    copies = [f"{long.strip()} v{i:02}" for i in range(12)]
+    assert [got[i] for i in range(len(rows))] == ["equal text"] * 8 + copies + ["another"] + ["Top of the site " + t for t in copies]
