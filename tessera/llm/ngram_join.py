@@ -2,10 +2,11 @@
 
 Texts that are equal are one node. A node's word shingles (five words; a
 shorter text is one shingle) give ``trees`` label sequences of MinHash
-values; each tree is a prefix trie of its labels. Matching starts at the full
-label and shortens the matched prefix one value at a time until a pair at the
-threshold is found with the target recall, 1 - (1 - s**d)**trees; nodes that
-share a prefix of that depth in any tree are candidates.
+values. The matched prefix is shortened from ``depth`` values until a pair at the
+threshold is found with the target recall, 1 - (1 - s**d)**trees. This follows
+from the parameters alone, so the depth is fixed beforehand (plain banding) and
+longer labels are never computed; nodes that share a prefix of that depth in
+any tree are candidates.
 
 A prefix's nodes are linked to its least node only (a star, never all pairs),
 components of the stars bring candidates together, and every pair of a
