@@ -61,7 +61,52 @@ select d.doc_id, (select count(*) from l where l.doc_id = d.doc_id and l.text =
 from documents d join kept k using (doc_id, text)
 """
 
+COLLOCATIONS = r"""
+with t as (
+  select row_number() over () as d, coalesce(lang, 'und') as lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[.,;:!?\x0A-\x0D]') as pieces
+  from documents
+), p as (
+  select d, lang, unnest(pieces) as piece, generate_subscripts(pieces, 1) as i from t
+), v as (
+  select d, lang, i, regexp_extract_all(piece, '[^\x20\x09]+') as words from p
+), w as (
+  select d, lang, i, unnest(words) as w1, generate_subscripts(words, 1) as pos from v
+), g as (
+  select lang, w1, lead(w1, 1) over o as w2, lead(w1, 2) over o as w3 from w window o as (partition by d, i order by pos)
+), f as (
+  select lang, [w1] as p, count(*) as f from g group by all
+  union all select lang, [w1, w2], count(*) from g where w2 is not null group by all
+  union all select lang, [w1, w2, w3], count(*) from g where w3 is not null group by all
+), c as (
+  select lang, p, f as a from f where len(p) > 1 and f >= 10
+), cut as (
+  select lang, p, a, unnest(range(1, len(p))) as k from c
+), s as (
+  select cut.*, x.f as l, y.f as r, 1000000 * cut.a::hugeint * cut.a // (x.f::hugeint * y.f) as score
+  from cut join f x on x.lang = cut.lang and x.p = list_slice(cut.p, 1, k)
+           join f y on y.lang = cut.lang and y.p = list_slice(cut.p, k + 1, len(cut.p))
+), b as (
+  select * from (select *, row_number() over (partition by lang, p order by score, k) as o from s) where o = 1
+), long as (
+  select lang, list_slice(p, 1, 2) as p, a from c where len(p) = 3
+  union all select lang, list_slice(p, 2, 3), a from c where len(p) = 3
+), held as (
+  select lang, p, max(a) as a from long group by all
+), q as (
+  select b.*, array_to_string(b.p, ' ') as phrase from b left join held h on h.lang = b.lang and h.p = b.p
+  where h.a is null or 100 * h.a < 50 * b.a
+), n as (
+  select lang, count(*) as n from w group by lang
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from q
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join n using (lang) where rank <= 2000
+"""
+
 ORACLES = {
     "op6_line_dedup": LINE_DEDUP,
     "op7_url_filter": URL_FILTER,
+    "op11_collocations": COLLOCATIONS,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, html_text, line_dedup, ngram_join, packing, quality_rules, recurrent_lm, suffix_dedup, toxicity, url_filter
+from tessera.llm import collocations, decontamination, html_text, line_dedup, ngram_join, packing, quality_rules, recurrent_lm, suffix_dedup, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -87,6 +87,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         failed.alias("base_failed"), (~failed & quality_rules.rules_column(rules)).alias("kept"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of two and three words of every language."""
+    return collocations.mine_phrases(documents(spark, sf_dir)).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -98,4 +103,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_collocations": op11_collocations,
 }

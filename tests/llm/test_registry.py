@@ -7,7 +7,7 @@ from tessera.llm import oracles, queries
 
 def test_one_query_for_each_operator():
     names = [re.match(r"op(\d+)_", n).group(1) for n in queries.QUERIES]
-    assert sorted(map(int, names)) == list(range(1, 11))
+    assert sorted(map(int, names)) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(oracles.ORACLES) <= set(E.oracle_sql())
 
 
