@@ -75,28 +75,32 @@ with t as (
   select d, lang, i, unnest(words) as w1, generate_subscripts(words, 1) as pos from v
 ), g as (
   select lang, w1, lead(w1, 1) over o as w2, lead(w1, 2) over o as w3 from w window o as (partition by d, i order by pos)
-), f as (
-  select lang, [w1] as p, count(*) as f from g group by all
-  union all select lang, [w1, w2], count(*) from g where w2 is not null group by all
-  union all select lang, [w1, w2, w3], count(*) from g where w3 is not null group by all
-), c as (
-  select lang, p, f as a from f where len(p) > 1 and f >= 10
+), f as materialized (
+  select lang || chr(9) || w1 as key, lang, w1 as phrase, w1, null as w2, null as w3, count(*) as f from g group by all
+  union all
+  select lang || chr(9) || w1 || ' ' || w2, lang, w1 || ' ' || w2, w1, w2, null, count(*) from g where w2 is not null group by all
+  union all
+  select lang || chr(9) || w1 || ' ' || w2 || ' ' || w3, lang, w1 || ' ' || w2 || ' ' || w3, w1, w2, w3, count(*)
+  from g where w3 is not null group by all
+), c as materialized (
+  select *, f as a from f where w2 is not null and f >= 10
 ), cut as (
-  select lang, p, a, unnest(range(1, len(p))) as k from c
+  select key, a, 1 as k, lang || chr(9) || w1 as x, lang || chr(9) || w2 || coalesce(' ' || w3, '') as y from c
+  union all
+  select key, a, 2, lang || chr(9) || w1 || ' ' || w2, lang || chr(9) || w3 from c where w3 is not null
 ), s as (
-  select cut.*, x.f as l, y.f as r, 1000000 * cut.a::hugeint * cut.a // (x.f::hugeint * y.f) as score
-  from cut join f x on x.lang = cut.lang and x.p = list_slice(cut.p, 1, k)
-           join f y on y.lang = cut.lang and y.p = list_slice(cut.p, k + 1, len(cut.p))
+  select cut.key, cut.a, k, fx.f as l, fy.f as r, 1000000 * cut.a::hugeint * cut.a // (fx.f::hugeint * fy.f) as score
+  from cut join f fx on fx.key = cut.x join f fy on fy.key = cut.y
 ), b as (
-  select * from (select *, row_number() over (partition by lang, p order by score, k) as o from s) where o = 1
-), long as (
-  select lang, list_slice(p, 1, 2) as p, a from c where len(p) = 3
-  union all select lang, list_slice(p, 2, 3), a from c where len(p) = 3
+  select * from (select *, row_number() over (partition by key order by score, k) as o from s) where o = 1
 ), held as (
-  select lang, p, max(a) as a from long group by all
+  select key, max(a) as longer from (
+    select lang || chr(9) || w1 || ' ' || w2 as key, a from c where w3 is not null
+    union all select lang || chr(9) || w2 || ' ' || w3, a from c where w3 is not null)
+  group by key
 ), q as (
-  select b.*, array_to_string(b.p, ' ') as phrase from b left join held h on h.lang = b.lang and h.p = b.p
-  where h.a is null or 100 * h.a < 50 * b.a
+  select b.*, c.lang, c.phrase from b join c using (key) left join held using (key)
+  where longer is null or 100 * longer < 50 * b.a
 ), n as (
   select lang, count(*) as n from w group by lang
 ), ranked as (
