@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import collocations, decontamination, html_text, line_dedup, ngram_join, packing, quality_rules, recurrent_lm, suffix_dedup, toxicity, url_filter
+from tessera.llm import collocations, decontamination, html_text, line_dedup, ngram_join, packing, pii, quality_rules, recurrent_lm, spelling, suffix_dedup, toxicity, url_filter
 from tessera.llm.scratch import crc_mod, documents, written
 
 #: The rules that the URL query judges by.
@@ -92,6 +92,20 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(documents(spark, sf_dir)).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of seven letters or more that occurs twice."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: pattern counts and digest, and all spans."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit(docs)).drop("text")
+    counts = [F.size(F.filter("base", lambda x, k=kind: x["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.written_out("base"), 256).alias("base_sha256"),
+                        pii.written_out("spans").alias("spans"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -104,4 +118,6 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
     "op11_collocations": op11_collocations,
+    "op12_spelling": op12_spelling,
+    "op13_pii": op13_pii,
 }
