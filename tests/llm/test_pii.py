@@ -182,3 +182,20 @@ def test_awkward_and_empty_tables(spark, field):
     assert P.find_personal_data(empty(spark), field).count() == 0
     nothing = P.fit(empty(spark))
     assert P.Field.unpacked(nothing).spans("call (017) 555-7713") == []
+
+
+def test_registered_query(spark):
+    import hashlib
+
+    from conftest import SF0001
+    from tessera.llm.queries import QUERIES
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
+    rows = QUERIES["op13_pii"](spark, SF0001).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = plain_base(texts[r["doc_id"]] or "")
+        assert [r[f"n_{k}"] for k in P.KINDS] == [sum(x[0] == k for x in base) for k in P.KINDS]
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
