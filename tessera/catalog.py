@@ -237,7 +237,10 @@ def q_simple_price_rows(s, d):
                            F.lit("usd_24h_change"), v - 250, F.lit("eur"), v * 0.9)
     good = F.to_json(F.create_map(F.col("user_id").cast("string"), metrics))
     kind = F.col("event_id") % 50
-    body = (F.when(kind == 7, F.concat(good, F.lit("x"))).when(kind == 8, F.lit('{"error":"rate limit"}')).otherwise(good))
+    some = F.concat(F.lit('{"'), F.col("user_id").cast("string"), F.lit('":{"usd":"abc","eur":'), (v * 0.9).cast("string"),
+                    F.lit('},"other":5}'))                              # one figure and one coin are wrong, one figure stays
+    body = (F.when(kind == 7, F.concat(good, F.lit("x"))).when(kind == 8, F.lit('{"error":"rate limit"}'))
+             .when(kind == 9, some).otherwise(good))
     return S.simple_price_rows(ev.select("event_id", body.alias("body")), keep=("event_id",))
 
 
@@ -256,7 +259,9 @@ def q_news_articles(s, d):
              .otherwise(arr))
     kind = F.col("doc_id") % 50
     body = (F.when(kind == 7, F.concat(body, F.lit("]"))).when(kind == 8, F.lit('{"error":"rate limit"}'))
-             .when(kind == 9, F.lit('{"status":"ok"}')).otherwise(body))
+             .when(kind == 9, F.lit('{"status":"ok"}')).when(kind == 10, F.lit('{"data":{"title":"t"}}'))
+             .when(kind == 11, F.lit('{"data":null}'))
+             .when(kind == 12, F.concat(F.lit('["x",{"title":"'), F.col("lang"), F.lit('"},"{}"]'))).otherwise(body))
     out = S.news_articles(docs.select("doc_id", body.alias("body")), NEWS_PER_PAGE, keep=("doc_id",))
     return ntz(out)
 
@@ -331,9 +336,10 @@ def q_expired_landing(s, d):
     return L.landing_inventory(s, root, "coin_markets").select("dt", "n_rows")
 
 
-def _load_batch_lines(s, d) -> DataFrame:
+def _load_batch_lines(s, d, defects=None) -> DataFrame:
     """Landed market lines with defects: unknown member, missing required
-    value, trailing garbage — each on a data-defined set of events."""
+    value, trailing garbage — each on a data-defined set of events (only where
+    ``defects`` holds, if given)."""
     ev = _events(s, d)
     t = F.col("ts").cast("timestamp")
     doc = FX.market_document()
@@ -344,6 +350,8 @@ def _load_batch_lines(s, d) -> DataFrame:
              .when((et == "purchase") & (v < 2), F.concat(good, F.lit(" x")))
              .when((et == "signup") & (v < 5), F.concat(F.lit('{"ingestion_time":"soon","payload":'), doc, F.lit("}")))
              .otherwise(good))
+    if defects is not None:
+        line = F.when(defects, line).otherwise(good)
     return ev.select(line.alias("value"), F.to_date(t).alias("dt"))
 
 
@@ -390,6 +398,25 @@ def q_mode_summary(s, d):
     return LD.mode_summary(FX.raw_tables(s, d), "all").withColumnRenamed("run", "run_day")
 
 
+def q_load_ledger(s, d):
+    """Files of one day each, every third day with defects, in two scheduled
+    runs: what the ledger says of each day's file, and the rows of it in the
+    raw table after a third run that has lost its checkpoint."""
+    root, raw = shared_dir(s, "landing"), shared_dir(s, "raw")
+    good = _load_batch_lines(s, d, F.dayofmonth(F.to_date(F.col("ts").cast("timestamp"))) % 3 == 0)
+    late = F.dayofmonth("dt") > 15
+    for part, checkpoint in ((good.where(~late), "a"), (good.where(late), "a"), (None, "b")):
+        if part is not None:
+            part.repartition("dt").write.mode("append").partitionBy("dt").text(f"{root}/coin_markets")
+        ST.incremental_load(s, root, "coin_markets", raw, f"{raw}_checkpoint_{checkpoint}")
+    bad = sum(F.col(c) for c in ("n_malformed", "n_unknown_field", "n_missing_required", "n_bad_type"))
+    ledger = LD.read_ledger(s, LD.ledger_path(raw)).select(
+        F.regexp_extract("file", r"dt=([0-9-]+)", 1).cast("date").alias("dt"), "n_rows", bad.alias("n_bad"), "accepted",
+        F.col("first_bad").isNotNull().alias("has_sample"))
+    loaded = LD.raw_day_counts(LD.read_raw(s, raw)).withColumnRenamed("n_rows", "n_loaded")
+    return ledger.join(loaded, "dt", "left").withColumn("n_loaded", F.coalesce("n_loaded", F.lit(0)).cast("long"))
+
+
 # ------------------------------------------------------------ paging / top ids
 def q_markets_page(s, d):
     return Q.markets_page(prices(s, d), PAGE_SIZE, PAGE)
@@ -462,6 +489,44 @@ def q_materialized_ohlc(s, d):
     return ntz(V.ohlc_timeseries(_materialized(s, d, "coin_ohlc")))
 
 
+def q_materialized_two_writers(s, d):
+    """Two writers keep one snapshot: the second merges and commits while the
+    first stands before its commit, with parts in common; a third batch follows."""
+    ensure_utc(s)
+    _, slices = _stream_landing(s, d)
+    snap = shared_dir(s, "snapshot")
+    half = [slices[0].where(F.hour("ingestion_time") % 2 == i) for i in (0, 1)]
+    ST.merge_latest_batch(s, snap, slices[1], "a", 0)
+    ST.merge_latest_batch(s, snap, half[0], "a", 1, before_commit=lambda: ST.merge_latest_batch(s, snap, half[1], "b", 0))
+    ST.merge_latest_batch(s, snap, slices[2], "b", 1)
+    latest = V.latest_prices(ST.read_snapshot(s, snap))
+    return ntz(latest.select("coin_id", "current_price_usd", "market_cap_rank", "ingestion_time"))
+
+
+def q_snapshot_parts_left(s, d):
+    """Parts of a candle snapshot on disk after old versions were removed: each once, with its rows."""
+    ensure_utc(s)
+    _, slices = _stream_landing(s, d, "coin_ohlc")
+    snap = shared_dir(s, "snapshot")
+    for i, part in enumerate(slices):
+        ST.merge_latest_batch(s, snap, part, "a", i, "coin_ohlc")
+    ST.remove_old_versions(s, snap, keep=1)
+    rows = s.read.option("recursiveFileLookup", "true").parquet(f"{snap}/v=*")
+    left = rows.select(F.regexp_extract("_metadata.file_path", r"part=([0-9-]+)", 1).cast("date").alias("part"),
+                       F.regexp_extract("_metadata.file_path", r"(w=[0-9a-f]+)", 1).alias("w"))
+    return left.groupBy("part").agg(F.countDistinct("w").alias("n_copies"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_snapshot_changes(s, d):
+    """Change feed of the last of three batches: per coin, what happened and both prices."""
+    ensure_utc(s)
+    _, slices = _stream_landing(s, d)
+    snap = shared_dir(s, "snapshot")
+    versions = [ST.merge_latest_batch(s, snap, part, "a", i) for i, part in enumerate(slices)]
+    price = [strict_cast(json_value(f"{c}.payload", "$.current_price"), "double").alias(f"{c}_price") for c in ("before", "after")]
+    return ST.snapshot_changes(s, snap, versions[1], versions[2]).select("coin_id", "change", *price)
+
+
 def _materialized_view(name: str) -> Query:
     src, build = V.VIEW_BUILDERS[name]
     return lambda s, d: ntz(build(_materialized(s, d, src)))
@@ -520,6 +585,9 @@ QUERIES: dict[str, Query] = {
     "materialized_dim": _materialized_view("dim_coin"),
     "materialized_global": _materialized_view("market_global_daily"),
     "materialized_trending": _materialized_view("trending_latest"),
+    "materialized_two_writers": q_materialized_two_writers,
+    "snapshot_parts_left": q_snapshot_parts_left,
+    "snapshot_changes": q_snapshot_changes,
     # window / functions
     "latest_per_key": q_latest_per_key,
     "json_value": q_json_value,
@@ -541,6 +609,7 @@ QUERIES: dict[str, Query] = {
     "landed_runs": q_landed_runs,
     "strict_load_report": q_strict_load_report,
     "strict_candle_report": q_strict_candle_report,
+    "load_ledger": q_load_ledger,
     "raw_day_counts": q_raw_day_counts,
     "mode_summary": q_mode_summary,
     "ingest_run_summary": q_ingest_run_summary,
@@ -563,6 +632,10 @@ QUERIES: dict[str, Query] = {
     "price_range": lambda s, d: ntz(Q.price_range(ohlc(s, d))),
     "price_change": lambda s, d: ntz(Q.price_change(ohlc(s, d))),
     "volatility": lambda s, d: ntz(Q.volatility(ohlc(s, d))),
+    "running_high": lambda s, d: ntz(Q.running_high(ohlc(s, d))),
+    "drawdown": lambda s, d: ntz(Q.drawdown(ohlc(s, d))),
+    "moving_average": lambda s, d: ntz(Q.moving_average(ohlc(s, d))),
+    "price_trend": lambda s, d: ntz(Q.price_trend(ohlc(s, d))),
     "daily_candles": lambda s, d: ntz(Q.daily_candles(ohlc(s, d))),
     "dominance_latest": q_dominance_latest,
     "macro_trend": lambda s, d: ntz(Q.macro_trend(global_daily(s, d))),
@@ -573,6 +646,7 @@ QUERIES: dict[str, Query] = {
     "category_dominance": lambda s, d: ntz(Q.category_dominance(dim(s, d), prices(s, d))),
     "compare_coins": lambda s, d: ntz(Q.compare_coins(ohlc(s, d))),
     "candle_coverage": lambda s, d: ntz(Q.candle_coverage(ohlc(s, d))),
+    "candle_gaps": lambda s, d: ntz(Q.candle_gaps(ohlc(s, d))),
     # agent tools re-aimed as table operators
     "simple_price_rows": q_simple_price_rows,
     "price_lookup": lambda s, d: ntz(Q.price_lookup(prices(s, d), _lookup_requests(s, d))),

@@ -267,6 +267,12 @@ SELECT event_id, NULL AS coin_id, NULL AS metric, NULL AS currency, NULL AS meas
        CASE event_id % 50 WHEN 7 THEN 'malformed JSON document' ELSE 'rate limit' END AS error
 FROM events WHERE event_id % 50 IN (7, 8)
 UNION ALL
+SELECT event_id, CAST(user_id AS VARCHAR), 'usd', 'usd', 'price', NULL, 'not a number' FROM events WHERE event_id % 50 = 9
+UNION ALL
+SELECT event_id, CAST(user_id AS VARCHAR), 'eur', 'eur', 'price', value * 0.9, NULL FROM events WHERE event_id % 50 = 9
+UNION ALL
+SELECT event_id, 'other', NULL, NULL, NULL, NULL, 'not an object of figures' FROM events WHERE event_id % 50 = 9
+UNION ALL
 SELECT event_id, CAST(user_id AS VARCHAR) AS coin_id, m.metric, m.currency, m.measure,
        CASE m.metric WHEN 'usd' THEN value WHEN 'usd_market_cap' THEN value * 1000
                      WHEN 'usd_24h_vol' THEN value * 10 WHEN 'usd_24h_change' THEN value - 250
@@ -274,7 +280,7 @@ SELECT event_id, CAST(user_id AS VARCHAR) AS coin_id, m.metric, m.currency, m.me
 FROM events, (VALUES ('usd', 'usd', 'price'), ('usd_market_cap', 'usd', 'market_cap'),
                      ('usd_24h_vol', 'usd', '24h_vol'), ('usd_24h_change', 'usd', '24h_change'),
                      ('eur', 'eur', 'price')) AS m(metric, currency, measure)
-WHERE event_id % 50 NOT IN (7, 8)"""
+WHERE event_id % 50 NOT IN (7, 8, 9)"""
 o["price_lookup"] = PRICES + """
 SELECT r.request_id, p.coin_id, p.current_price_usd, p.market_cap_usd, p.total_volume_usd, p.price_change_pct_24h
 FROM (SELECT DISTINCT c_custkey AS request_id, CAST(k AS VARCHAR) AS coin_id
@@ -282,7 +288,7 @@ FROM (SELECT DISTINCT c_custkey AS request_id, CAST(k AS VARCHAR) AS coin_id
 JOIN latest_prices p USING (coin_id)"""
 o["news_articles"] = """
 WITH d AS (SELECT doc_id, lang, source, string_split(text, chr(10)) AS lines FROM documents
-      WHERE doc_id % 50 NOT IN (7, 8, 9)),
+      WHERE doc_id % 50 NOT IN (7, 8, 9, 10, 11, 12)),
 a AS (SELECT doc_id, lang, source, unnest(lines) AS title, generate_subscripts(lines, 1) - 1 AS pos FROM d)
 SELECT doc_id, pos, title, lang AS description,
        'https://news.invalid/' || doc_id || '/' || pos AS url,
@@ -291,8 +297,11 @@ SELECT doc_id, pos, title, lang AS description,
 FROM a WHERE pos < 25
 UNION ALL
 SELECT doc_id, NULL, NULL, NULL, NULL, NULL, NULL,
-       CASE doc_id % 50 WHEN 7 THEN 'malformed JSON document' ELSE 'rate limit' END
-FROM documents WHERE doc_id % 50 IN (7, 8)"""
+       CASE doc_id % 50 WHEN 7 THEN 'malformed JSON document' WHEN 8 THEN 'rate limit' ELSE 'data is no list' END
+FROM documents WHERE doc_id % 50 IN (7, 8, 10, 11)
+UNION ALL
+SELECT doc_id, p, CASE WHEN p = 1 THEN lang END, NULL, NULL, NULL, NULL, CASE WHEN p <> 1 THEN 'not an article' END
+FROM documents, (VALUES (0), (1), (2)) AS x(p) WHERE doc_id % 50 = 12"""
 o["bad_payloads"] = """
 SELECT ts AS ingestion_time,
        CASE WHEN event_type IN ('purchase', 'signup', 'click') THEN NULL ELSE CAST(user_id AS VARCHAR) END AS coin_id,
@@ -339,3 +348,44 @@ o["bulk_volume_by_category"] = DIM + """, v AS (
   FROM lineitem GROUP BY 1)
 SELECT category, count(*) AS n_coins, CAST(sum(vol) AS DOUBLE) AS total_volume_usd
 FROM (SELECT DISTINCT coin_id, unnest(categories) AS category FROM dim_coin) c JOIN v USING (coin_id) GROUP BY category"""
+
+# ---------------------------------------------------------------- ledger, versions, frames, trend, gaps
+o["load_ledger"] = """
+WITH e AS (
+  SELECT CAST(ts AS DATE) AS dt, day(ts) % 3 = 0 AND ((event_type = 'purchase' AND value < 2) OR (event_type = 'click' AND value > 450)
+         OR (event_type IN ('view', 'signup') AND value < 5)) AS bad FROM events)
+SELECT dt, count(*) AS n_rows, count(*) FILTER (WHERE bad) AS n_bad, count(*) FILTER (WHERE bad) = 0 AS accepted,
+       count(*) FILTER (WHERE bad) > 0 AS has_sample, CASE WHEN count(*) FILTER (WHERE bad) = 0 THEN count(*) ELSE 0 END AS n_loaded
+FROM e GROUP BY dt"""
+o["materialized_two_writers"] = o["materialized_latest"]
+o["snapshot_parts_left"] = OHLC + """
+SELECT CAST(open_time AS DATE) AS part, 1 AS n_copies, count(*) AS n_rows FROM ohlc_timeseries GROUP BY 1"""
+o["snapshot_changes"] = """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS dt FROM events),
+cut AS (SELECT dt FROM days ORDER BY dt OFFSET (SELECT 2 * (count(*) - 1) // 3 FROM days) LIMIT 1),
+b AS (SELECT user_id, arg_max(value, ts) AS v FROM events WHERE CAST(ts AS DATE) <= (SELECT dt FROM cut) GROUP BY 1),
+a AS (SELECT user_id, arg_max(value, ts) AS v, max(CAST(ts AS DATE)) > (SELECT dt FROM cut) AS touched FROM events GROUP BY 1)
+SELECT CAST(a.user_id AS VARCHAR) AS coin_id, CASE WHEN b.user_id IS NULL THEN 'insert' ELSE 'update' END AS change,
+       b.v AS before_price, a.v AS after_price
+FROM a LEFT JOIN b USING (user_id) WHERE touched"""
+o["running_high"] = OHLC + """, h AS (
+  SELECT coin_id, open_time, high, max(high) OVER (PARTITION BY coin_id ORDER BY open_time) AS running_high FROM ohlc_timeseries)
+SELECT *, coalesce(running_high > lag(running_high) OVER (PARTITION BY coin_id ORDER BY open_time), true) AS new_high FROM h"""
+o["drawdown"] = OHLC + """, h AS (
+  SELECT coin_id, open_time, close, max(close) OVER (PARTITION BY coin_id ORDER BY open_time) AS peak FROM ohlc_timeseries)
+SELECT *, CASE WHEN peak <> 0 THEN round(close / peak - 1, 9) END AS drawdown FROM h"""
+o["moving_average"] = OHLC + """
+SELECT coin_id, open_time, close, round(avg(close) OVER w, 9) AS moving_average, round(stddev_samp(close) OVER w, 6) AS moving_volatility,
+       count(close) OVER w AS n_candles
+FROM ohlc_timeseries WINDOW w AS (PARTITION BY coin_id ORDER BY open_time ROWS BETWEEN 41 PRECEDING AND CURRENT ROW)"""
+o["price_trend"] = OHLC + """, t AS (
+  SELECT coin_id, count(*) AS n_candles, round(regr_slope(close, epoch_us(open_time) / 86400000000), 6) AS slope,
+         round(regr_r2(close, epoch_us(open_time) / 86400000000), 6) AS fit
+  FROM ohlc_timeseries GROUP BY coin_id)
+SELECT coin_id, n_candles, slope AS change_per_day, fit, CASE WHEN slope > 0 THEN 'up' WHEN slope < 0 THEN 'down' WHEN slope = 0 THEN 'flat' END AS trend
+FROM t"""
+o["candle_gaps"] = OHLC + """, g AS (
+  SELECT coin_id, open_time, lag(open_time) OVER (PARTITION BY coin_id ORDER BY open_time) AS before FROM ohlc_timeseries)
+SELECT coin_id, before + INTERVAL 4 HOUR AS gap_start, open_time - INTERVAL 4 HOUR AS gap_end,
+       (epoch_ms(open_time) - epoch_ms(before)) // 14400000 - 1 AS n_missing
+FROM g WHERE epoch_ms(open_time) - epoch_ms(before) > 14400000"""

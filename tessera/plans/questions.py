@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.json import format_figure
-from ..operators.series import previous_value, resample_daily
+from ..operators.series import moving_frame, previous_value, resample_daily, running
 
 PRICE_COLUMNS = ("coin_id", "symbol", "name", "current_price_usd", "market_cap_usd", "market_cap_rank")
 
@@ -157,6 +157,45 @@ def volatility(ohlc: DataFrame, bucket: str = "day") -> DataFrame:
                                     F.round(F.stddev_samp("ret"), 9).alias("volatility"))
 
 
+def running_high(ohlc: DataFrame, bucket: str = "day") -> DataFrame:
+    """The highest high so far at each candle, and whether this candle set it."""
+    b = F.date_trunc(bucket, "open_time")
+    x = running(ohlc.select("coin_id", "open_time", "high"), ["coin_id"], "open_time", "high", "running_high", "max", b)
+    x = previous_value(x, ["coin_id"], "open_time", "running_high", "before", b)
+    new = F.coalesce(F.col("running_high") > F.col("before"), F.col("running_high").isNotNull())
+    return x.select("coin_id", "open_time", "high", "running_high", new.alias("new_high"))
+
+
+def drawdown(ohlc: DataFrame, bucket: str = "day") -> DataFrame:
+    """How far each close is below the highest close so far (a share, 0 at a peak)."""
+    x = running(ohlc.select("coin_id", "open_time", "close"), ["coin_id"], "open_time", "close", "peak", "max",
+                F.date_trunc(bucket, "open_time"))
+    return x.withColumn("drawdown", F.when(F.col("peak") != 0, F.round(F.col("close") / F.col("peak") - 1, 9)))
+
+
+def moving_average(ohlc: DataFrame, n: int = 42, bucket: str = "day") -> DataFrame:
+    """Mean and spread of the last ``n`` closes at each candle (42: a week of 4-hour candles)."""
+    x = moving_frame(ohlc.select("coin_id", "open_time", "close"), ["coin_id"], "open_time", n, F.date_trunc(bucket, "open_time"),
+                     mean=F.avg("close"), spread=F.stddev_samp("close"), n_candles=F.count("close"))
+    return x.select("coin_id", "open_time", "close", F.round("mean", 9).alias("moving_average"),
+                    F.round("spread", 6).alias("moving_volatility"), "n_candles")
+
+
+def price_trend(ohlc: DataFrame) -> DataFrame:
+    """Q5: straight line through each coin's closes: change per day, fit (R squared) and direction.
+
+    A grouped aggregate of co-moments, which Spark merges from partial ones
+    around their means, so a hot coin is combined before the shuffle and
+    epoch-sized times lose no digits. A coin with one candle has no line.
+    """
+    days = F.unix_micros("open_time") / 86_400_000_000
+    line = ohlc.where(F.col("close").isNotNull()).groupBy("coin_id").agg(
+        F.count(F.lit(1)).alias("n_candles"), F.regr_slope("close", days).alias("slope"), F.regr_r2("close", days).alias("r2"))
+    slope = F.round("slope", 6)
+    return line.select("coin_id", "n_candles", slope.alias("change_per_day"), F.round("r2", 6).alias("fit"),
+                       F.when(slope > 0, "up").when(slope < 0, "down").when(slope == 0, "flat").alias("trend"))
+
+
 # ------------------------------------------------------------------- Q6
 def daily_candles(ohlc: DataFrame) -> DataFrame:
     """Q6: the "daily" candles the prompts promise, resampled from 4-hour rows."""
@@ -238,6 +277,20 @@ def candle_coverage(ohlc: DataFrame) -> DataFrame:
         F.min("open_time").alias("first_open_time"), F.max("open_time").alias("last_open_time"))
 
 
+def candle_gaps(ohlc: DataFrame, step_hours: int = 4, bucket: str = "day") -> DataFrame:
+    """Q12: the gaps in each coin's series: first and last missing candle and how many are missing.
+
+    The candle before comes from the skew-safe lag (islands inside a bucket,
+    joined at the bucket bounds), so no window group holds a whole coin.
+    """
+    step = F.expr(f"INTERVAL {int(step_hours)} HOURS")
+    x = previous_value(ohlc.select("coin_id", "open_time"), ["coin_id"], "open_time", "open_time", "before",
+                       bucket=F.date_trunc(bucket, "open_time"))
+    slots = F.expr(f"(unix_millis(open_time) - unix_millis(before)) div {int(step_hours) * 3_600_000}")
+    return (x.withColumn("n_missing", slots - 1).where("n_missing > 0")
+             .select("coin_id", (F.col("before") + step).alias("gap_start"), (F.col("open_time") - step).alias("gap_end"), "n_missing"))
+
+
 # ------------------------------------------------------------------- T2
 def split_ids(ids: Column | str) -> Column:
     """``"a, b,c"`` -> ``["a", "b", "c"]`` (trimmed, empty items dropped)."""

@@ -23,20 +23,28 @@ RECOMMENDED_CONF = {
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tessera",
                   checkpoint_dir: str | None = None) -> SparkSession:
     """Session for the bench (a cluster brings its own); scratch tables go to
-    ``checkpoint_dir``, a fresh private folder by default."""
+    ``checkpoint_dir``, in local mode a fresh private folder by default."""
     b = SparkSession.builder.master(master).appName(app)
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
           .config("spark.driver.memory", "16g")
-          .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="tessera-ckpt-"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if checkpoint_dir is None and is_local(master):
+        checkpoint_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    if checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is none)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """All day boundaries are UTC days; pin the session zone (H4)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -56,7 +64,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
+        if not is_local(sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(base)

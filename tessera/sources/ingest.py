@@ -6,7 +6,9 @@ landed or fetched elsewhere); the run stamps them with one time and run id
 folder of the landing zone (S8) and strictly loads exactly that folder into
 the day-partitioned raw table (S9/S10). Endpoints without rows report 0 and
 load nothing. A retry with the same run id replaces the run's folder and its
-part of the raw table, so nothing is doubled. The loop runs over at most five
+part of the raw table, so nothing is doubled and nothing of the first attempt
+stays, an endpoint that is now empty included. Rows are counted from the
+loaded files' footers. The loop runs over at most five
 endpoints on the driver; all row work is Spark's.
 """
 
@@ -18,8 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.json import json_value
-from .landing import land_run, new_run_id, run_name
-from .load import load_ndjson
+from .landing import drop_run, land_run, new_run_id, run_name
+from .load import drop_load, load_ndjson
 from .schemas import MODES, OHLC_TABLE
 from .shape import document_rows, ohlc_rows, stamp_run, unwrap_envelope
 
@@ -69,14 +71,16 @@ def ingest_run(spark: SparkSession, responses: dict[str, DataFrame], mode: str,
     run_id = run_id or new_run_id()
     result = RunResult(run_id, run_name(ts, run_id))
     for endpoint in MODES[mode]:
-        src = responses.get(endpoint)
+        src, raw_path = responses.get(endpoint), f"{raw_root.rstrip('/')}/{endpoint}"
+        result.rows[endpoint] = 0
         if src is None:
-            result.rows[endpoint] = 0
-            continue
-        rows = shape_endpoint(stamp_run(_restricted(src, endpoint, ids), ts, run_id), endpoint).drop("run_id")
-        landed = land_run(rows, landing_root, endpoint, result.run)
-        result.rows[endpoint] = landed.rows
-        if landed.rows:
-            result.uris[endpoint] = landed.uri
-            load_ndjson(spark, landed.uri, endpoint, f"{raw_root.rstrip('/')}/{endpoint}", result.run)
+            drop_run(spark, landing_root, endpoint, result.run)
+        else:
+            rows = shape_endpoint(stamp_run(_restricted(src, endpoint, ids), ts, run_id), endpoint).drop("run_id")
+            landed = land_run(rows, landing_root, endpoint, result.run, count=False)
+            if landed.uri:
+                result.uris[endpoint] = landed.uri
+                result.rows[endpoint] = load_ndjson(spark, landed.uri, endpoint, raw_path, result.run)
+                continue
+        drop_load(spark, raw_path, result.run)                           # an earlier attempt may have had rows
     return result

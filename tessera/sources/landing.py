@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import iso_utc
-from .files import delete, paths
+from .files import delete, paths, replace_folders
 from .schemas import RAW_SCHEMAS
 
 
@@ -74,32 +74,44 @@ def candle_lines(rows: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class LandedRun:
     """One run of one endpoint: its name, the URI of its folders (a run over
-    several days has one a day, hence the pattern), and its committed rows."""
+    several days has one a day, hence the pattern; none if it has no rows),
+    and its committed rows (None if they were not counted)."""
 
     endpoint: str
     run: str
-    uri: str
-    rows: int
+    uri: str | None
+    rows: int | None
 
 
-def land_run(rows: DataFrame, root: str, endpoint: str, run: str | None = None) -> LandedRun:
+def land_run(rows: DataFrame, root: str, endpoint: str, run: str | None = None, count: bool = True) -> LandedRun:
     """Write one run of an endpoint (S8); a retry with the same ``run`` replaces it.
 
-    Rows land in their UTC day. Empty input writes no folder. The count is
-    that of the committed lines.
+    Rows land in their UTC day. Empty input leaves no folder; days of an
+    earlier attempt that a retry does not have go, once the retry is
+    committed. The count is that of the committed lines (a read of the text;
+    ``count=False`` leaves it out).
     """
     run = run or run_name(dt.datetime.now(dt.timezone.utc), new_run_id())
     spark = rows.sparkSession
     lines = candle_lines(rows) if "open_time" in rows.columns else document_lines(rows)
     base = f"{root.rstrip('/')}/{endpoint}"
-    # REBALANCE: hash on the day, but AQE merges small days into one file
-    # and splits a hot day over several tasks (O8, skew-safe)
-    (lines.select("value", F.to_date("ingestion_time").alias("dt"), F.lit(run).alias("run"))
-          .hint("rebalance", "dt")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").text(base))
-    found = paths(spark, f"{base}/dt=*/run={run}")
-    uri = found[0] if len(found) == 1 else f"{base}/dt=*/run={run}"
-    return LandedRun(endpoint, run, uri, spark.read.text(found).count() if found else 0)
+
+    def write() -> None:
+        # REBALANCE: hash on the day, but AQE merges small days into one file
+        # and splits a hot day over several tasks (O8, skew-safe)
+        (lines.select("value", F.to_date("ingestion_time").alias("dt"), F.lit(run).alias("run"))
+              .hint("rebalance", "dt")
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").text(base))
+
+    found = replace_folders(spark, f"{base}/dt=*/run={run}", write)
+    uri = None if not found else found[0] if len(found) == 1 else f"{base}/dt=*/run={run}"
+    return LandedRun(endpoint, run, uri, None if not count else spark.read.text(found).count() if found else 0)
+
+
+def drop_run(spark: SparkSession, root: str, endpoint: str, run: str) -> None:
+    """Remove a run's folders of one endpoint (a retry whose endpoint is now empty)."""
+    for folder in paths(spark, f"{root.rstrip('/')}/{endpoint}/dt=*/run={run}"):
+        delete(spark, folder)
 
 
 def write_landing(rows: DataFrame, root: str, endpoint: str, run: str | None = None) -> int:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import is_single_json_document
+from ..functions.json import is_single_json_document, json_kind
 from .landing import new_run_id
 
 # Characters of a refused body shown in an error (diagnostics only; data is never cut).
@@ -190,28 +190,48 @@ def _body_error(body: Column) -> Column:
              .otherwise(F.get_json_object(body, "$.error")))
 
 
+NOT_A_NUMBER = "not a number"
+_NUMBER_KINDS = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL|TINYINT|SMALLINT|INT)"
+
+
 def simple_price_rows(responses: DataFrame, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
     """Live-price body ``{coin: {metric: number}}`` -> (coin_id, metric, value).
 
     Several currencies come as metric names (``usd``, ``usd_market_cap``,
-    ``eur_24h_vol`` …); they are split into currency and measure. A failed
-    answer is a value: one row with ``error`` and nothing else.
+    ``eur_24h_vol`` …); they are split into currency and measure. Failures are
+    values: a failed answer is one row with ``error`` and nothing else, a coin
+    without figures one row with its ``coin_id``, a figure that is no number a
+    row with its coin and metric; all other figures of the answer stay. A JSON
+    null is a figure without value. Each body is read once.
     """
-    from .schemas import LIVE_PRICE
-
     b = F.col(body)
-    prices = F.from_json(b, LIVE_PRICE)
-    error = F.coalesce(_body_error(b), F.when(F.json_object_keys(b).isNull() | prices.isNull(), F.lit("not a price object")))
-    x = responses.select(*keep, error.alias("error"), prices.alias("__p"))
-    coins = x.where("error is null").select(*keep, F.explode("__p").alias("coin_id", "metrics"))
-    rows = coins.select(*keep, "coin_id", F.explode("metrics").alias("metric", "value"))
+    coins = F.from_json(b, "map<string,string>")
+    error = F.coalesce(_body_error(b), F.when(F.json_object_keys(b).isNull() | coins.isNull(), F.lit("not a price object")))
+    none = F.lit(None).cast("string")
+
+    def row(coin: Column, metric: Column, value: Column, why: Column) -> Column:
+        return F.struct(coin.alias("coin_id"), metric.alias("metric"), value.cast("double").alias("value"), why.alias("error"))
+
+    def figures(coin: Column) -> Column:
+        def figure(entry: Column) -> Column:
+            kind = F.schema_of_variant(entry["value"])
+            number = kind.rlike(_NUMBER_KINDS)
+            value = F.when(number, F.try_variant_get(entry["value"], "$", "double"))
+            return row(coin["key"], entry["key"], value, F.when(~number & (kind != "VOID"), F.lit(NOT_A_NUMBER)))
+
+        metrics = F.when(F.json_object_keys(coin["value"]).isNotNull(), F.from_json(coin["value"], "map<string,variant>"))
+        return F.coalesce(F.transform(F.map_entries(metrics), figure),
+                          F.array(row(coin["key"], none, F.lit(None), F.lit("not an object of figures"))))
+
+    rows = F.when(error.isNotNull(), F.array(row(none, none, F.lit(None), error))).otherwise(
+        F.flatten(F.transform(F.map_entries(coins), figures)))
+    x = responses.select(*keep, F.explode(rows).alias("__r")).select(*keep, "__r.*")
     cur = F.split(F.col("metric"), "_", 2)
-    good = rows.select(*keep, "coin_id", "metric", cur[0].alias("currency"),
-                       F.coalesce(F.get(cur, 1), F.lit("price")).alias("measure"), "value",
-                       F.lit(None).cast("string").alias("error"))
-    bad = x.where("error is not null").select(*keep, *[F.lit(None).cast("string").alias(c) for c in (
-        "coin_id", "metric", "currency", "measure")], F.lit(None).cast("double").alias("value"), "error")
-    return good.unionByName(bad)
+    measure = F.when(F.col("metric").isNotNull(), F.coalesce(F.get(cur, 1), F.lit("price")))
+    return x.select(*keep, "coin_id", "metric", cur[0].alias("currency"), measure.alias("measure"), "value", "error")
+
+
+NOT_AN_ARTICLE = "not an article"
 
 
 def news_articles(responses: DataFrame, per_page: int | None = 5, body: str = "body",
@@ -220,19 +240,30 @@ def news_articles(responses: DataFrame, per_page: int | None = 5, body: str = "b
 
     The body is a list or ``{"data": [...]}`` (absent -> no articles).
     ``source`` is ``news_site`` or else ``author``; empty text counts as
-    absent, as Python's ``or`` does. The page is cut per response with
-    ``posexplode`` (no global sort). A failed answer is a value: one row
-    with ``error`` and nothing else.
+    absent, as Python's ``or`` does. Failures are values: a failed answer, or
+    one whose ``data`` is no list, is one row with ``error`` and nothing else;
+    an item that is no object is a row with its position, and its siblings
+    stay. Each body is read once.
     """
     b = F.col(body)
-    error = F.coalesce(_body_error(b), F.when(F.json_array_length(b).isNull() & F.json_object_keys(b).isNull(),
-                                              F.lit("neither a list nor an object")))
-    items = F.when(F.json_array_length(b).isNotNull(), b).otherwise(F.get_json_object(b, "$.data"))
-    x = responses.select(*keep, error.alias("error"), F.from_json(items, "array<string>").alias("__a"))
-    exploded = x.where("error is null").select(*keep, F.posexplode("__a").alias("pos", "article"))
+    data = F.get_json_object(b, "$.data")
+    listed = F.when(F.substring(data, 1, 1) == "[", json_kind(b, "$.data").startswith("ARRAY"))
+    wrong = F.array_contains(F.json_object_keys(b), "data") & ~F.coalesce(listed, F.lit(False))
+    error = F.coalesce(_body_error(b),
+                       F.when(F.json_array_length(b).isNull() & F.json_object_keys(b).isNull(), F.lit("neither a list nor an object"))
+                        .when(wrong, F.lit("data is no list")))
+    text = F.when(F.json_array_length(b).isNotNull(), b).otherwise(data)
+    items = F.when(text.isNotNull(), document_items(text))
     if per_page is not None:
-        exploded = exploded.where(F.col("pos") < int(per_page))
-    a = F.col("article")
+        items = F.slice(items, 1, int(per_page))
+
+    def row(pos: Column, article: Column, why: Column) -> Column:
+        return F.struct(pos.cast("int").alias("pos"), article.cast("string").alias("article"), why.alias("error"))
+
+    rows = F.when(error.isNotNull(), F.array(row(F.lit(None), F.lit(None), error))).otherwise(F.transform(
+        items, lambda a, i: row(i, a, F.when(F.json_object_keys(a).isNull(), F.lit(NOT_AN_ARTICLE)))))
+    x = responses.select(*keep, F.explode(rows).alias("__r")).select(*keep, "__r.*")
+    a = F.when(F.col("error").isNull(), F.col("article"))
 
     def member(name: str) -> Column:
         return F.get_json_object(a, f"$.{name}")
@@ -240,10 +271,5 @@ def news_articles(responses: DataFrame, per_page: int | None = 5, body: str = "b
     def present(c: Column) -> Column:
         return F.when(c != "", c)
 
-    names = ("title", "description", "url", "published_at")
-    good = exploded.select(*keep, "pos", *[member(n).alias(n) for n in names],
-                           F.coalesce(present(member("news_site")), present(member("author"))).alias("source"),
-                           F.lit(None).cast("string").alias("error"))
-    bad = x.where("error is not null").select(*keep, F.lit(None).cast("int").alias("pos"),
-                                              *[F.lit(None).cast("string").alias(n) for n in (*names, "source")], "error")
-    return good.unionByName(bad)
+    return x.select(*keep, "pos", *[member(n).alias(n) for n in ("title", "description", "url", "published_at")],
+                    F.coalesce(present(member("news_site")), present(member("author"))).alias("source"), "error")

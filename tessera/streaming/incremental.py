@@ -2,7 +2,8 @@
 
 A file-stream source over the landing zone plays the scheduled job: every
 trigger picks up only files it has not seen (tracked in the checkpoint),
-checks them strictly and loads them. ``trigger(availableNow=True)``
+checks each of them strictly, loads the good ones and names the others in a
+ledger: a bad file costs its own rows and never stops a later run. ``trigger(availableNow=True)``
 processes the backlog and stops, so a scheduler can run it like a batch job;
 a second run without new files adds nothing.
 
@@ -10,20 +11,25 @@ Sinks are idempotent: a micro-batch is named by its query's id (kept in the
 checkpoint, new with a new checkpoint) and its batch id. A raw load of that
 name replaces itself; a snapshot remembers the newest batch of each query
 that it holds. A file's age never matters: old files that are copied in late
-are loaded like any other.
+are loaded like any other. Several writers may keep one snapshot: a version is
+committed by creating its manifest where there is none, and who comes second
+merges the parts that changed meanwhile once more.
 """
 
 from __future__ import annotations
 
 import threading
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import json_value
 from ..operators.latest import latest_by
-from ..sources.files import paths
-from ..sources.load import append_raw, strict_rows
+from ..sources.files import delete, paths, rename_new
+from ..sources.load import commit_ledger, judge_files, load_files
+from ..sources.schemas import RAW_SCHEMAS
 
 # Backlog is consumed in bounded micro-batches (availableNow honours it).
 MAX_FILES_PER_TRIGGER = 1000
@@ -38,7 +44,7 @@ def _landing_stream(spark: SparkSession, landing_root: str, endpoint: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(f"{landing_root.rstrip('/')}/{endpoint}")
-    return strict_rows(lines, endpoint)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def _run_batches(rows: DataFrame, checkpoint: str, apply) -> None:
@@ -56,18 +62,20 @@ def _run_batches(rows: DataFrame, checkpoint: str, apply) -> None:
 
 
 def incremental_load(spark: SparkSession, landing_root: str, endpoint: str, raw_path: str,
-                     checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> int:
+                     checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                     ledger: str | None = None) -> int:
     """Load every not-yet-loaded landed file into the raw table.
 
-    Returns the rows this run committed (0 when nothing is new), counted
-    from the files of each batch.
+    Returns the rows this run committed (0 when nothing is new). The file is
+    the unit of refusal (``load.load_files``): refused files and why are in
+    the ledger beside the raw table, the others of their batch are loaded. The
+    ledger also keeps a stream that has lost its checkpoint from loading
+    files again.
     """
     total = [0]
 
     def apply(df: DataFrame, query_id: str, batch_id: int) -> None:
-        load = append_raw(df, raw_path, f"stream-{query_id}-{batch_id:010d}")
-        found = paths(df.sparkSession, f"{raw_path.rstrip('/')}/dt=*/load={load}")
-        total[0] += df.sparkSession.read.parquet(*found).count() if found else 0
+        total[0] += load_files(df, endpoint, raw_path, f"stream-{query_id}-{batch_id:010d}", ledger).rows
 
     _run_batches(_landing_stream(spark, landing_root, endpoint, max_files_per_trigger), checkpoint, apply)
     return total[0]
@@ -84,7 +92,7 @@ SNAPSHOT_KEYS = {
 }
 # Parts of a snapshot of documents, by a hash of the id.
 DOCUMENT_PARTS = 16
-_MANIFEST = "kind string, name string, version long"
+_MANIFEST = "kind string, name string, version long, at string"
 
 
 def _keyed(batch: DataFrame, endpoint: str) -> DataFrame:
@@ -118,81 +126,193 @@ def _manifest_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/_manifest/v={version:010d}"
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    done = paths(spark, f"{root.rstrip('/')}/_manifest/v=*/_SUCCESS")
+    return sorted(int(p.rsplit("/", 2)[1][2:]) for p in done)
+
+
 def current_version(spark: SparkSession, root: str) -> int | None:
     """The newest committed version: manifests are never replaced, and one
     counts once its write is committed. None only where there is none; any
     other trouble is raised."""
-    done = paths(spark, f"{root.rstrip('/')}/_manifest/v=*/_SUCCESS")
-    return max((int(p.rsplit("/", 2)[1][2:]) for p in done), default=None)
+    return max(_versions(spark, root), default=None)
+
+
+class _Manifest:
+    """A committed version: where each part is (version that wrote it, folder),
+    the newest batch applied of each query, and the writer; one row each."""
+
+    def __init__(self, spark: SparkSession, root: str, version: int | None):
+        self.parts: dict[str, tuple[int, str]] = {}
+        self.queries: dict[str, int] = {}
+        self.writer: str | None = None
+        rows = [] if version is None else spark.read.schema(_MANIFEST).json(_manifest_path(root, version)).collect()
+        for r in rows:
+            if r["kind"] == "part":
+                self.parts[r["name"]] = (r["version"], r["at"] or f"v={r['version']:010d}")
+            elif r["kind"] == "query":
+                self.queries[r["name"]] = r["version"]
+            else:
+                self.writer = r["name"]
+
+    def commit(self, spark: SparkSession, root: str, version: int, writer: str) -> bool:
+        """Create version's manifest; False where another writer's is there."""
+        rows = ([("part", p, v, at) for p, (v, at) in sorted(self.parts.items())]
+                + [("query", q, b, None) for q, b in sorted(self.queries.items())] + [("writer", writer, version, None)])
+        mine, target = f"{root.rstrip('/')}/_manifest/_{writer}", _manifest_path(root, version)
+        spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").json(mine)
+        if paths(spark, target) and not paths(spark, f"{target}/_SUCCESS"):
+            delete(spark, target)                    # torn: manifests come whole or not at all
+        won = rename_new(spark, mine, target) and _Manifest(spark, root, version).writer == writer
+        delete(spark, mine)
+        return won
 
 
-def _read_manifest(spark: SparkSession, root: str, version: int | None) -> tuple[dict[str, int], dict[str, int]]:
-    """(part -> version that holds it, query id -> newest batch applied); one row each."""
-    if version is None:
-        return {}, {}
-    rows = spark.read.schema(_MANIFEST).json(_manifest_path(root, version)).collect()
-    return ({r["name"]: r["version"] for r in rows if r["kind"] == "part"},
-            {r["name"]: r["version"] for r in rows if r["kind"] == "query"})
+def snapshot_parts(spark: SparkSession, root: str) -> dict[str, int]:
+    """The version that wrote each part of the current snapshot."""
+    return {p: v for p, (v, _) in _Manifest(spark, root, current_version(spark, root)).parts.items()}
 
 
-def snapshot_parts(spark: SparkSession, root: str) -> dict[str, int]:
-    return _read_manifest(spark, root, current_version(spark, root))[0]
+def _part_paths(root: str, parts: dict[str, tuple[int, str]]) -> list[str]:
+    return [f"{root.rstrip('/')}/{at}/part={p}" for p, (_, at) in sorted(parts.items())]
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest raw rows, as of the current version, with ``dt`` as in the raw
-    table. Feed it to the matching curated view function."""
-    parts = snapshot_parts(spark, root)
+def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
+    """The newest raw rows, as of the current (or an earlier kept) version, with ``dt``
+    as in the raw table. Feed it to the matching curated view function."""
+    parts = _Manifest(spark, root, current_version(spark, root) if version is None else version).parts
     if not parts:
         return None
-    where = [f"{_version_path(root, v)}/part={p}" for p, v in sorted(parts.items())]
-    df = spark.read.option("basePath", root).parquet(*where).drop("v", "part")
+    df = spark.read.parquet(*_part_paths(root, parts))
     return df if "dt" in df.columns else df.withColumn("dt", F.to_date("ingestion_time"))
 
 
+def _newest(both: DataFrame, endpoint: str) -> DataFrame:
+    if endpoint == "trending":
+        return both.where(F.col("ingestion_time") == both.select(F.max("ingestion_time")).scalar())
+    keys, tie = SNAPSHOT_KEYS[endpoint]
+    return latest_by(both, list(keys), [F.desc("ingestion_time")], tie_break=[F.desc(c) for c in tie])
+
+
 def merge_latest_batch(spark: SparkSession, root: str, batch: DataFrame, query_id: str, batch_id: int,
-                       endpoint: str = "coin_markets") -> int | None:
+                       endpoint: str = "coin_markets", before_commit: Callable[[], None] | None = None) -> int | None:
     """(touched parts of the snapshot) ∪ batch -> newest rows -> new version of
-    those parts -> new manifest; returns the current version.
-
-    Only the parts that the batch touches are read and written. Readers see
-    the new version when its manifest is committed, not before; a crash leaves
-    the old one. A batch of a query that the snapshot already holds is skipped.
+    those parts -> new manifest; returns the version that holds the batch.
+
+    The batch is written once, by part; its folders say which parts it
+    touches, and only those are read and written, in a folder of this writer.
+    Readers see the new version when its manifest is committed, not before; a
+    crash leaves the old one. If another writer takes the version's number
+    first, the parts that it changed are merged again on top of its version
+    and the next number is tried, so no batch is lost. A batch of a query that
+    the snapshot already holds is skipped. ``before_commit`` is called once,
+    between merging and committing.
     """
     current = current_version(spark, root)
-    parts, queries = _read_manifest(spark, root, current)
-    if queries.get(query_id, -1) >= batch_id:
-        return current
-    docs = _keyed(batch, endpoint).withColumn("part", _part(endpoint))
-    touched = [r["part"] for r in docs.select("part").distinct().collect()]     # days, months, or a fixed number
-    if not touched:
+    if _Manifest(spark, root, current).queries.get(query_id, -1) >= batch_id:
         return current
-    old_paths = [f"{_version_path(root, parts[p])}/part={p}" for p in sorted(touched) if p in parts]
-    both = docs
-    if old_paths:
-        old = (spark.read.option("basePath", root).parquet(*old_paths).drop("v")
-                    .withColumn("part", F.col("part").cast("string")))   # inferred int/date
-        both = old.select(*docs.columns).unionByName(docs)
-    if endpoint == "trending":
-        merged = both.where(F.col("ingestion_time") == both.select(F.max("ingestion_time")).scalar())
-    else:
-        keys, tie = SNAPSHOT_KEYS[endpoint]
-        merged = latest_by(both, list(keys), [F.desc("ingestion_time")], tie_break=[F.desc(c) for c in tie])
-    version = 0 if current is None else current + 1
-    merged.write.mode("overwrite").partitionBy("part").parquet(_version_path(root, version))
-    parts |= dict.fromkeys(touched, version)
-    queries[query_id] = batch_id
-    rows = [("part", p, v) for p, v in sorted(parts.items())] + [("query", q, b) for q, b in sorted(queries.items())]
-    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").json(_manifest_path(root, version))
-    return version
+    writer = uuid.uuid4().hex[:12]
+    at = f"v={0 if current is None else current + 1:010d}/w={writer}"
+    folder = f"{root.rstrip('/')}/{at}"
+    staged = f"{folder}/_batch"
+    _keyed(batch, endpoint).withColumn("part", _part(endpoint)).write.partitionBy("part").parquet(staged)
+    touched = [p.rsplit("part=", 1)[1] for p in paths(spark, f"{staged}/part=*")]    # days, months, or a fixed number
+    merged_on: dict[str, tuple[int, str] | None] = {}
+    while touched:
+        current = current_version(spark, root)
+        state = _Manifest(spark, root, current)
+        if state.queries.get(query_id, -1) >= batch_id:
+            break
+        stale = [p for p in touched if p not in merged_on or merged_on[p] != state.parts.get(p)]
+        if stale:
+            both = spark.read.parquet(*[f"{staged}/part={p}" for p in stale])
+            held = {p: state.parts[p] for p in stale if p in state.parts}
+            if held:
+                both = spark.read.parquet(*_part_paths(root, held)).select(*both.columns).unionByName(both)
+            (_newest(both, endpoint).withColumn("part", _part(endpoint)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(folder))
+            merged_on |= {p: state.parts.get(p) for p in stale}
+        if before_commit:
+            before_commit()
+            before_commit = None
+        version = 0 if current is None else current + 1
+        state.parts |= dict.fromkeys(touched, (version, at))
+        state.queries[query_id] = batch_id
+        if state.commit(spark, root, version, writer):
+            current = version
+            break
+    delete(spark, staged)
+    return current
+
+
+def snapshot_changes(spark: SparkSession, root: str, since: int, until: int | None = None,
+                     endpoint: str = "coin_markets") -> DataFrame:
+    """Change feed between two kept versions: the key columns, ``change``
+    (insert, update or delete) and the rows ``before`` and ``after``.
+
+    Only parts whose folder differs between the manifests are read; a row that
+    a rewritten part holds unchanged is no change. Trending, which has no key,
+    has no feed.
+    """
+    keys = list(SNAPSHOT_KEYS[endpoint][0])
+    old = _Manifest(spark, root, since).parts
+    new = _Manifest(spark, root, current_version(spark, root) if until is None else until).parts
+    moved = {p for p in old.keys() | new.keys() if old.get(p) != new.get(p)}
+
+    def rows(parts: dict, name: str) -> DataFrame | None:
+        there = {p: parts[p] for p in moved if p in parts}
+        if not there:
+            return None
+        df = spark.read.parquet(*_part_paths(root, there))
+        return df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(name))
+
+    before, after = rows(old, "before"), rows(new, "after")
+    if before is None and after is None:
+        before = after = spark.read.parquet(*_part_paths(root, new)).limit(0)
+        before, after = (df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(n))
+                         for df, n in ((before, "before"), (after, "after")))
+    if before is None:
+        before = after.select(*keys, F.col("after").alias("before")).limit(0)
+    if after is None:
+        after = before.select(*keys, F.col("before").alias("after")).limit(0)
+    same = [F.col(f"b.{k}").eqNullSafe(F.col(f"a.{k}")) for k in keys]
+    both = before.alias("b").join(after.alias("a"), same, "full")
+    change = F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete").otherwise("update")
+    return (both.where(~F.col("before").eqNullSafe(F.col("after")))
+                .select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys], change.alias("change"), "before", "after"))
+
+
+def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete what only versions before the newest ``keep`` hold; returns the deleted part folders.
+
+    Mark: every folder that a kept manifest names. Sweep: folders that older
+    manifests name and no kept one does, then those manifests. Folders that no
+    manifest names yet belong to writers at work and stay.
+    """
+    versions = _versions(spark, root)
+    old, kept = versions[:-max(keep, 1)], versions[-max(keep, 1):]
+    marked = {path for v in kept for path in _part_paths(root, _Manifest(spark, root, v).parts)}
+    known = {path for v in old for path in _part_paths(root, _Manifest(spark, root, v).parts)}
+    gone = sorted(known - marked)
+    for path in gone:
+        delete(spark, path)
+    for v in old:
+        delete(spark, _manifest_path(root, v))
+    return gone
 
 
 def materialize_latest(spark: SparkSession, landing_root: str, endpoint: str, snapshot_root: str,
                        checkpoint: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> int | None:
     """V6: keep a materialised newest-rows snapshot of one raw table up to
-    date from the landing stream; returns the current version."""
+    date from the landing stream; returns the current version. Bad files are
+    refused one by one and named in the ledger inside the snapshot (``_ledger``)."""
     def apply(df: DataFrame, query_id: str, batch_id: int) -> None:
-        merge_latest_batch(df.sparkSession, snapshot_root, df, query_id, batch_id, endpoint)
+        load, ledger = f"stream-{query_id}-{batch_id:010d}", snapshot_root.rstrip("/") + "/_ledger"
+        good, result = judge_files(df, endpoint, ledger, load)
+        rows = good.select(F.from_json("value", RAW_SCHEMAS[endpoint]).alias("r")).select("r.*")
+        if result.accepted:
+            merge_latest_batch(df.sparkSession, snapshot_root, rows, query_id, batch_id, endpoint)
+        commit_ledger(df.sparkSession, ledger, load)
 
     _run_batches(_landing_stream(spark, landing_root, endpoint, max_files_per_trigger), checkpoint, apply)
     return current_version(spark, snapshot_root)
