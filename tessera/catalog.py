@@ -225,6 +225,20 @@ def q_responses_scan(s, d):
     return ntz(S.ohlc_rows(bodies))
 
 
+def q_responses_wholetext(s, d):
+    """S1 from raw bodies, one per file (lists of at most 64 market documents), shaped into rows with the day of their file."""
+    ev = _events(s, d)
+    x = ev.select(F.expr("event_id div 64").alias("b"), F.col("ts").cast("timestamp").alias("ts"),
+                  F.struct("event_id", FX.market_document().alias("doc")).alias("k"))
+    bodies = x.groupBy("b").agg(F.max("ts").alias("ingestion_time"), F.sort_array(F.collect_list("k")).alias("ks")).select(
+        "ingestion_time", F.concat(F.lit("["), F.concat_ws(",", F.col("ks.doc")), F.lit("]")).alias("body"))
+    root = shared_dir(s, "responses")
+    S.write_response_files(bodies, root, "coin_markets")
+    read = S.read_responses(s, f"{root}/coin_markets", wholetext=True)
+    rows = S.document_rows(read.withColumn("ingestion_time", F.col("dt").cast("timestamp")), keep=("dt",))
+    return _market_fields(rows, keep=("dt",)).drop("ingestion_time")
+
+
 def q_trim_payload(s, d):
     raw = FX.raw_metadata(s, d)
     return ntz(S.trim_documents(raw.select("ingestion_time", "payload"), METADATA_MEMBERS))
@@ -503,6 +517,17 @@ def q_materialized_two_writers(s, d):
     return ntz(latest.select("coin_id", "current_price_usd", "market_cap_rank", "ingestion_time"))
 
 
+def q_materialized_daily(s, d):
+    """Daily candles kept beside a candle snapshot over three batches."""
+    ensure_utc(s)
+    _, slices = _stream_landing(s, d, "coin_ohlc")
+    snap, daily = shared_dir(s, "snapshot"), shared_dir(s, "daily")
+    for i, part in enumerate(slices):
+        ST.merge_latest_batch(s, snap, part, "a", i, "coin_ohlc")
+        ST.materialize_daily_candles(s, snap, daily)
+    return ntz(ST.read_daily_candles(s, daily))
+
+
 def q_snapshot_parts_left(s, d):
     """Parts of a candle snapshot on disk after old versions were removed: each once, with its rows."""
     ensure_utc(s)
@@ -586,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "materialized_global": _materialized_view("market_global_daily"),
     "materialized_trending": _materialized_view("trending_latest"),
     "materialized_two_writers": q_materialized_two_writers,
+    "materialized_daily_candles": q_materialized_daily,
     "snapshot_parts_left": q_snapshot_parts_left,
     "snapshot_changes": q_snapshot_changes,
     # window / functions
@@ -602,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "ohlc_rows": q_ohlc_rows,
     "ohlc_quarantine": q_ohlc_quarantine,
     "responses_scan": q_responses_scan,
+    "responses_wholetext": q_responses_wholetext,
     "trim_payload": q_trim_payload,
     "ndjson_roundtrip": q_ndjson_roundtrip,
     "landing_path": q_landing_path,

@@ -389,3 +389,7 @@ o["candle_gaps"] = OHLC + """, g AS (
 SELECT coin_id, before + INTERVAL 4 HOUR AS gap_start, open_time - INTERVAL 4 HOUR AS gap_end,
        (epoch_ms(open_time) - epoch_ms(before)) // 14400000 - 1 AS n_missing
 FROM g WHERE epoch_ms(open_time) - epoch_ms(before) > 14400000"""
+o["materialized_daily_candles"] = o["daily_candles"]
+o["responses_wholetext"] = """
+SELECT CAST(max(ts) OVER (PARTITION BY event_id // 64) AS DATE) AS dt, CAST(user_id AS VARCHAR) AS coin_id, value AS current_price_usd
+FROM events"""

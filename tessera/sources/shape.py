@@ -36,17 +36,26 @@ def write_responses(responses: DataFrame, root: str, endpoint: str, keep: tuple[
               .write.mode("append").partitionBy("dt").text(f"{root.rstrip('/')}/{endpoint}"))
 
 
+def write_response_files(responses: DataFrame, root: str, endpoint: str) -> None:
+    """Land raw API bodies as fetched: one file per response, nothing else in
+    it, under the UTC day of ``ingestion_time``."""
+    (responses.select(F.col("body").alias("value"), F.to_date("ingestion_time").alias("dt"))
+              .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("dt").text(f"{root.rstrip('/')}/{endpoint}"))
+
+
 def read_responses(spark, path: str, context_schema: str = "", wholetext: bool = False) -> DataFrame:
     """Scan landed API bodies — one row per response.
 
-    ``wholetext=True`` reads one response per file (a raw body as fetched);
+    ``wholetext=True`` reads one response per file (a raw body as fetched;
+    Spark packs small files into tasks) with the day of its folder, if any;
     otherwise one response per line as written by ``write_responses``, whose
     context members are typed by ``context_schema`` (DDL) and the body kept
     as JSON text. The source file is kept for lineage.
     """
     if wholetext:
         df = spark.read.text(path, wholetext=True)
-        return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
+        day = [c for c in ("dt",) if c in df.columns]
+        return df.select(F.col("_metadata.file_path").alias("source_file"), F.rtrim("value", F.lit("\n")).alias("body"), *day)
     schema = ", ".join(x for x in (context_schema, "body string") if x)
     df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return df.withColumn("source_file", F.col("_metadata.file_path"))

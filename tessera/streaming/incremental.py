@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json import json_value
 from ..operators.latest import latest_by
+from ..operators.series import resample_daily
 from ..sources.files import delete, paths, rename_new
 from ..sources.load import commit_ledger, judge_files, load_files
 from ..sources.schemas import RAW_SCHEMAS
@@ -140,11 +141,13 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 class _Manifest:
     """A committed version: where each part is (version that wrote it, folder),
-    the newest batch applied of each query, and the writer; one row each."""
+    the newest batch applied of each query, the folders that derived parts
+    were made from, and the writer; one row each."""
 
     def __init__(self, spark: SparkSession, root: str, version: int | None):
         self.parts: dict[str, tuple[int, str]] = {}
         self.queries: dict[str, int] = {}
+        self.sources: dict[str, str] = {}
         self.writer: str | None = None
         rows = [] if version is None else spark.read.schema(_MANIFEST).json(_manifest_path(root, version)).collect()
         for r in rows:
@@ -152,13 +155,16 @@ class _Manifest:
                 self.parts[r["name"]] = (r["version"], r["at"] or f"v={r['version']:010d}")
             elif r["kind"] == "query":
                 self.queries[r["name"]] = r["version"]
+            elif r["kind"] == "source":
+                self.sources[r["name"]] = r["at"]
             else:
                 self.writer = r["name"]
 
     def commit(self, spark: SparkSession, root: str, version: int, writer: str) -> bool:
         """Create version's manifest; False where another writer's is there."""
         rows = ([("part", p, v, at) for p, (v, at) in sorted(self.parts.items())]
-                + [("query", q, b, None) for q, b in sorted(self.queries.items())] + [("writer", writer, version, None)])
+                + [("query", q, b, None) for q, b in sorted(self.queries.items())]
+                + [("source", p, None, at) for p, at in sorted(self.sources.items())] + [("writer", writer, version, None)])
         mine, target = f"{root.rstrip('/')}/_manifest/_{writer}", _manifest_path(root, version)
         spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").json(mine)
         if paths(spark, target) and not paths(spark, f"{target}/_SUCCESS"):
@@ -282,6 +288,39 @@ def snapshot_changes(spark: SparkSession, root: str, since: int, until: int | No
                 .select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys], change.alias("change"), "before", "after"))
 
 
+def materialize_daily_candles(spark: SparkSession, candles_root: str, daily_root: str) -> int | None:
+    """V6/Q6: daily candles kept beside a candle snapshot; returns their current version.
+
+    A part of either is one UTC day. Only days whose part of the candle
+    snapshot moved since they were last made (a new candle, or a provisional
+    close that was replaced) are read and made anew; all others stay where
+    they are. Read the result with ``read_daily_candles``.
+    """
+    writer = uuid.uuid4().hex[:12]
+    while True:
+        candles = _Manifest(spark, candles_root, current_version(spark, candles_root))
+        current = current_version(spark, daily_root)
+        state = _Manifest(spark, daily_root, current)
+        moved = {p: place for p, place in candles.parts.items() if state.sources.get(p) != place[1]}
+        if not moved:
+            return current
+        version = 0 if current is None else current + 1
+        at = f"v={version:010d}/w={writer}"
+        days = resample_daily(spark.read.parquet(*_part_paths(candles_root, moved)))
+        (days.withColumn("part", F.date_format("day", "yyyy-MM-dd")).write.mode("overwrite").partitionBy("part")
+             .parquet(f"{daily_root.rstrip('/')}/{at}"))
+        state.parts |= dict.fromkeys(moved, (version, at))
+        state.sources |= {p: place[1] for p, place in moved.items()}
+        if state.commit(spark, daily_root, version, writer):
+            return version
+
+
+def read_daily_candles(spark: SparkSession, daily_root: str) -> DataFrame | None:
+    """The kept daily candles, as ``questions.daily_candles`` gives them."""
+    parts = _Manifest(spark, daily_root, current_version(spark, daily_root)).parts
+    return spark.read.parquet(*_part_paths(daily_root, parts)) if parts else None
+
+
 def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete what only versions before the newest ``keep`` hold; returns the deleted part folders.
 

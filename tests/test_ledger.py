@@ -159,6 +159,30 @@ def test_the_change_feed_is_the_difference_of_the_versions(spark, tmp_path):
     assert back == {"b": "update", "e": "delete"}
 
 
+def test_daily_candles_are_made_anew_for_touched_days_only(spark, tmp_path):
+    from tessera.plans import curated
+    from tessera.plans import questions as Q
+
+    snap, daily = str(tmp_path / "snap"), str(tmp_path / "daily")
+
+    def candles(run_day, days, close):
+        rows = [(T0 + dt.timedelta(days=run_day), "k", T0 + dt.timedelta(days=d, hours=4 * h), 1.0, 2.0 + h, 0.5, close + h)
+                for d in days for h in range(3)]
+        return spark.createDataFrame(rows, "ingestion_time timestamp, coin_id string, open_time timestamp, open double, high double, "
+                                           "low double, close double")
+
+    seen = None
+    for i, (run_day, days, close) in enumerate([(1, [0, 1], 1.0), (2, [1, 2], 5.0), (3, [3], 9.0)]):
+        batch = candles(run_day, days, close)
+        seen = batch if seen is None else seen.unionByName(batch)
+        ST.merge_latest_batch(spark, snap, batch, "q", i, "coin_ohlc")
+        assert ST.materialize_daily_candles(spark, snap, daily) == i
+        want = Q.daily_candles(curated.ohlc_timeseries(seen))
+        assert sorted(map(str, ST.read_daily_candles(spark, daily).collect())) == sorted(map(str, want.collect()))
+    assert list(ST.snapshot_parts(spark, daily).values()) == [0, 1, 1, 2]          # the first day was made once
+    assert ST.materialize_daily_candles(spark, snap, daily) == 2 and ST.read_daily_candles(spark, str(tmp_path / "none")) is None
+
+
 # ------------------------------------------------------------ frames
 def series(spark):
     rows = [("hot", T0 + dt.timedelta(hours=4 * i), float((i * 7919) % 101) if i % 50 else None) for i in range(900)]
