@@ -187,9 +187,15 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     yield from flushed()
 
 
-def _phrases(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    """N-gram rows of each shard: (w1 .. w<depth> as corpus ids, 0 past the end; n)."""
-    names = [f"w{j + 1}" for j in range(depth)] + ["n"]
+def _packed_columns(depth: int, bits: int) -> list[list[tuple[int, int]]]:
+    """(word, shift) of the words in each long: as many ids of ``bits`` bits to a long as fit, first words highest."""
+    per = max(1, 63 // bits)
+    return [[(j, bits * (min(lo + per, depth) - 1 - j)) for j in range(lo, min(lo + per, depth))] for lo in range(0, depth, per)]
+
+
+def _phrases(batches: Iterator[pa.RecordBatch], depth: int, columns: list) -> Iterator[pa.RecordBatch]:
+    """N-gram rows of each shard: corpus ids, 0 past the end, packed in longs; n."""
+    names = [f"k{i}" for i in range(len(columns))] + ["n"]
     for batch in batches:
         for i in range(batch.num_rows):
             at = batch.column(0).slice(i, 1).flatten().to_numpy()
@@ -202,8 +208,8 @@ def _phrases(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.Recor
             ids = np.concatenate([[0], corpus_ids])
             for lo in range(0, len(rows), 1 << 18):
                 part = ids[rows[lo:lo + (1 << 18)]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, j])) for j in range(depth)]
-                                                 + [pa.array(n[lo:lo + (1 << 18)])], names=names)
+                packed = [sum(part[:, j] << shift for j, shift in words) for words in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(k) for k in packed] + [pa.array(n[lo:lo + (1 << 18)])], names=names)
         pa.default_memory_pool().release_unused()
 
 
@@ -221,21 +227,28 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth
     seen = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
         "shard", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counted = seen.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    vocabulary = written(counted.withColumn("id", F.monotonically_increasing_id() + 1), "phrase-words")
+    vocabulary = written(counted.withColumn("id", F.monotonically_increasing_id()), "phrase-words")
+    # dense ids (place in the part, then part): small numbers shuffle as few bytes
+    part, place = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
+    parts, longest = vocabulary.select(F.coalesce(F.max(part), F.lit(0)) + 1, F.coalesce(F.max(place), F.lit(0)) + 1).first()
+    vocabulary = vocabulary.withColumn("id", place * parts + part + 1)
+    bits = int(parts * longest).bit_length()
     # a shard's frequent words: fewer than its tokens
     kept = (seen.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
                 .groupBy("shard").agg(F.collect_list(F.struct("at", "id")).alias("m")))
     indexed = kept.join(shards.select("shard", "n_ids", "ids"), "shard").select("m.at", "m.id", "n_ids", "ids")
-    columns = [f"w{j + 1}" for j in range(depth)]
-    grams = indexed.mapInArrow(lambda b: _phrases(b, depth), ", ".join(f"{c} long" for c in [*columns, "n"]))
+    packed = _packed_columns(depth, bits)
+    columns = [f"k{i}" for i in range(len(packed))]
+    grams = indexed.mapInArrow(lambda b: _phrases(b, depth, packed), ", ".join(f"{c} long" for c in [*columns, "n"]))
     grams = written(grams.groupBy(*columns).agg(F.sum("n").alias("n")), "phrase-grams")
+    ids = [F.shiftright(c, shift).bitwiseAND((1 << bits) - 1) for c, words in zip(columns, packed) for _, shift in words]
     phrases = vocabulary.select(F.array("id").alias("ids"), "f")
     for length in range(2, depth + 1):
-        counts = grams.where(F.col(columns[length - 1]) != 0)
+        counts = grams.where(ids[length - 1] != 0).select(*[w.alias(f"w{j}") for j, w in enumerate(ids[:length])], "n")
+        names = [f"w{j}" for j in range(length)]
         if length < depth:
-            counts = counts.groupBy(*columns[:length]).agg(F.sum("n").alias("n"))
-        phrases = phrases.unionByName(counts.where(F.col("n") >= min_count).select(F.array(*columns[:length]).alias("ids"),
-                                                                                  F.col("n").alias("f")))
+            counts = counts.groupBy(*names).agg(F.sum("n").alias("n"))
+        phrases = phrases.unionByName(counts.where(F.col("n") >= min_count).select(F.array(*names).alias("ids"), F.col("n").alias("f")))
     return vocabulary, written(phrases, "phrase-counts"), shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 

@@ -107,3 +107,17 @@ def test_scores_pass_64_bits(spark):
     phrases = spark.createDataFrame([(10 ** 11,)], "f long").selectExpr("f", "f l", "f r")
     wide = {c: f"cast({c} as decimal(16,0))" for c in "flr"}
     assert phrases.selectExpr("({f} * {f} * 1000000) div ({l} * {r}) s".format(**wide)).collect()[0]["s"] == 1000000
+
+
+def test_ids_are_packed_as_many_to_a_long_as_fit():
+    assert C._packed_columns(3, 20) == [[(0, 40), (1, 20), (2, 0)]]
+    assert C._packed_columns(3, 31) == [[(0, 31), (1, 0)], [(2, 0)]]
+    assert C._packed_columns(2, 63) == [[(0, 0)], [(1, 0)]]
+
+
+def test_wide_ids_give_the_same(spark, monkeypatch):
+    rows = corpus()
+    packed = C._packed_columns
+    monkeypatch.setattr(C, "_packed_columns", lambda depth, bits: packed(depth, 40))      # one id to a long
+    df = spark.createDataFrame(rows, "lang string, text string")
+    assert got(C.mine_phrases(df, min_count=3)) == brute(rows, least=3)
