@@ -54,6 +54,7 @@ MOST_REPEATS = 64
 COPIES = 400
 BLOCK_ITEMS = 20_000
 _VOCABULARY_BITS, _KEY_BITS = 22, 20
+_PAIR_BITS = 22
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[128:] = False
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
@@ -113,6 +114,11 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rep: int,
     return out
 
 
+def pair_hashes(words: np.ndarray) -> np.ndarray:
+    """Hash of each word with the next one."""
+    return mixed(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:])
+
+
 def grams(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each word that has as many after it."""
     m = max(len(words) - n + 1, 0)
@@ -143,6 +149,9 @@ class Items:
         self.vocabulary = np.zeros(1 << _VOCABULARY_BITS, bool)
         if self.words:
             self.vocabulary[np.concatenate(self.words) >> np.uint64(64 - _VOCABULARY_BITS)] = True
+        self.pairs = np.zeros(1 << _PAIR_BITS, bool)
+        for w in self.words:
+            self.pairs[pair_hashes(w) >> np.uint64(64 - _PAIR_BITS)] = True
 
     @staticmethod
     def _windows(texts: list[np.ndarray], sizes: np.ndarray):
@@ -250,13 +259,20 @@ class Items:
         stop = first[row + 1]
         known = np.zeros(len(words) + 1, np.int64)
         np.cumsum(self.vocabulary[words >> np.uint64(64 - _VOCABULARY_BITS)], out=known[1:])
+        # pairs of neighbours: a word replaced or added breaks two of the text's, one left out breaks one
+        pair = np.zeros(len(words), bool)
+        pair[:-1] = self.pairs[pair_hashes(words) >> np.uint64(64 - _PAIR_BITS)]
+        pair[stop - 1] = False                                   # no pair across texts
+        paired = np.zeros(len(words) + 1, np.int64)
+        np.cumsum(pair, out=paired[1:])
         at = np.arange(len(words))
         longest = np.zeros(len(words), np.int64)
         held = {}
         for s, slack in self.slack.items():
             if not self.rounds[s]:
                 continue
-            held[s] = known[np.minimum(at + s, stop)] - known[:-1] >= s - slack
+            end = np.minimum(at + s, stop)
+            held[s] = (known[end] - known[:-1] >= s - slack) & (paired[np.maximum(end - 1, at)] - paired[:-1] >= s - 1 - 2 * slack)
             longest[held[s]] = np.maximum(longest[held[s]], s)
         live = np.flatnonzero(longest)
         live = live[np.argsort(-longest[live], kind="stable")]
