@@ -6,9 +6,10 @@ rules, and a candidate counts only if the full digests agree. The fitting
 rule with the longest expression decides (ties: block over allow); a URL
 that no rule fits gets the method's default verdict.
 
-Path prefixes are cut where a rule can end: after each ``/`` and at the
-lengths of those rule paths that do not end in ``/``. URLs that are equal are
-judged once, so a hot URL is one row before the join; a hot host only
+Only expressions of a shape that a rule has are made: a shape is a number of
+host labels with a number of path slashes (rules that end in ``/``) or with a
+path length (others), so a URL of any length costs one digest a shape. URLs
+that are equal are judged once, so a hot URL is one row before the join; a hot host only
 repeats expressions, each of which meets at most the few rules that share
 its digest.
 
@@ -49,7 +50,9 @@ def rule_table(rules: DataFrame) -> DataFrame:
             .select(_digest(F.col("host"), F.col("path")).alias("__digest"),
                     (F.char_length("host") + F.char_length("path")).alias("__size"),
                     F.concat("host", "path").alias("rule"), "verdict",
-                    F.char_length("path").alias("__len"), F.col("path").endswith("/").alias("__slash"))
+                    F.struct(F.size(F.split("host", r"\.")).alias("labels"), F.col("path").endswith("/").alias("slash"),
+                             F.when(F.col("path").endswith("/"), F.size(F.split("path", "/")) - 1)
+                              .otherwise(F.char_length("path")).alias("n")).alias("__shape"))
             .withColumn("__key", F.substring("__digest", 1, 2 * PREFIX_BYTES)).distinct())
 
 
@@ -57,22 +60,22 @@ def filter_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: s
                 default: str = "allow") -> DataFrame:
     """One row per row of ``pages``: key, url, host, path, rule, verdict."""
     table = rule_table(rules)
-    stats = table.agg(F.count("*").alias("n"),
-                      F.collect_set(F.when(~F.col("__slash"), F.col("__len"))).alias("lens")).first()
-    cuts = F.array(*[F.lit(int(n)) for n in sorted(stats["lens"])]).cast("array<int>")
+    stats = table.agg(F.count("*").alias("n"), F.collect_set("__shape").alias("shapes")).first()
     base = _split(pages.select(F.col(key).alias("__k"), F.col(url).alias("__url")), "__url")
     rows = (base.groupBy("__k", "__url").agg(F.count("*").alias("__n"),
                                              F.first("__h").alias("__h"), F.first("__p").alias("__p")))
-    labels = F.split("__h", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    slashes = F.filter(F.sequence(F.lit(1), F.char_length("__p")),
-                       lambda i: F.col("__p").substr(i, F.lit(1)) == "/")
-    ends = F.when(F.char_length("__p") > 0, F.array_union(slashes, F.filter(cuts, lambda n: n <= F.char_length("__p"))))
-    ends = F.array_distinct(F.concat(F.array(F.lit(0)) if 0 in stats["lens"] else F.expr("cast(array() as array<int>)"),
-                                     F.coalesce(ends, F.expr("cast(array() as array<int>)"))))
-    exprs = F.flatten(F.transform(suffixes, lambda h: F.transform(
-        ends, lambda n: _digest(h, F.col("__p").substr(F.lit(1), n)))))
+    labels, parts = F.split("__h", r"\."), F.split("__p", "/")
+
+    def expression(shape):
+        n = shape["n"]
+        host = F.array_join(F.slice(labels, F.greatest(F.size(labels) - shape["labels"] + 1, F.lit(1)), shape["labels"]), ".")
+        path = F.when(~shape["slash"] & (F.char_length("__p") >= n), F.substring("__p", F.lit(1), n)).when(
+            shape["slash"] & (F.size(parts) > n), F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")))
+        return F.when(F.size(labels) >= shape["labels"], _digest(host, path))
+
+    shapes = [F.struct(F.lit(s["labels"]).alias("labels"), F.lit(s["slash"]).alias("slash"), F.lit(s["n"]).alias("n"))
+              for s in sorted(stats["shapes"])]
+    exprs = F.array_compact(F.transform(F.array(*shapes), expression)) if shapes else F.array().cast("array<string>")
     wide = (rows.withColumn("__digest", F.explode_outer(exprs))
             .withColumn("__key", F.substring("__digest", 1, 2 * PREFIX_BYTES)))
     right = table.select("__key", F.col("__digest").alias("__full"), "__size", "rule", "verdict")

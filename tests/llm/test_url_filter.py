@@ -50,3 +50,32 @@ def test_rules_joined_by_shuffle_give_the_same(spark, monkeypatch):
     want = judged(spark, URL_RULES, URLS)
     monkeypatch.setattr(url_filter, "BROADCAST_RULES", 0)
     assert judged(spark, URL_RULES, URLS) == want
+
+
+def test_very_long_urls_cost_one_digest_a_shape(spark):
+    import time
+
+    rules = [*URL_RULES, ("x.org", "/a/a/a/", "block"), ("x.org", "/a/a/b", "block"), ("z.y", "", "block")]
+    deep = "h." * 2000 + "x.org"
+    urls = ["http://" + deep + "/" + "a/" * 2000, "http://" + deep + "/a/a/bc", "http://" + deep + "/a/" + "é" * 20000,
+            "http://z.y", "http://q.z.y/" + "/" * 2000, "http://" + "." * 3000 + "/en/"]
+    began = time.time()
+    got = judged(spark, rules, urls)
+    assert time.time() - began < 30
+    assert [got[i]["rule"] for i in range(6)] == ["x.org/a/a/a/", "x.org/a/a/b", None, "z.y", "z.y", None]
+
+
+def test_equals_a_plain_version_under_many_rules(spark):
+    import random
+
+    rng = random.Random(2)
+    hosts = ["com", "a.com", "b.a.com", "org", "", "x..org", ".com"]
+    rules = sorted({(rng.choice(hosts), "".join(rng.choice(["/", "e", "n"]) for _ in range(rng.randrange(0, 4))), rng.choice(["allow", "block"]))
+                    for _ in range(40)})
+    urls = [f"s://{rng.choice(hosts + ['c.b.a.com', 'q.org', 'com.'])}{''.join(rng.choice(['/', 'e', 'n']) for _ in range(rng.randrange(0, 6)))}"
+            for _ in range(200)]
+    for i, r in judged(spark, rules, urls).items():
+        h, p = r["host"], r["path"]
+        fits = [(len(a) + len(b), v == "block", a + b, v) for a, b, v in rules
+                if (h == a or h.endswith("." + a)) and p.startswith(b)]
+        assert (r["rule"], r["verdict"]) == (max(fits)[2:] if fits else (None, "allow")), (urls[i], fits)
