@@ -47,12 +47,13 @@ CLASSES = 64
 SYMBOLS = CLASSES * CLASSES
 SIGNATURES = 64
 WINDOW = 32
-TRAIN_LANES, SCORE_LANES = 64, 512
+TRAIN_LANES, SCORE_LANES = 128, 512
 ROUNDS = 2
 #: Every training document is learned from.
 TRAIN_SHARE = 1.0
-#: Training reads a longer document as consecutive spans (scoring never does).
-TRAIN_SPAN = 1024
+#: Training deals a longer document to the lanes as spans (scoring never does). A span after the first reads the
+#: ``LEAD`` tokens before it, without learning them again, so that it starts with a state and never as a document.
+TRAIN_SPAN, LEAD = 1024, 64
 RATE = 0.1
 #: Words whose counts are sent to the tasks (12 bytes each, in a table twice as large).
 LOOKUP_WORDS = 1 << 19
@@ -304,24 +305,35 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[np.ndarray]:
     return [np.array(out[i], np.int64) for i in np.argsort(-total, kind="stable")]
 
 
-def _grid(symbols: np.ndarray, offset: np.ndarray, lanes: list[np.ndarray]):
-    """Token index grid (lane, time), -1 beyond the lane's end, and where texts start."""
-    lengths = np.diff(offset)
+def _grid(starts: np.ndarray, learned: np.ndarray, ends: np.ndarray, lanes: list[np.ndarray]):
+    """Token index grid (lane, time), -1 beyond the lane's end; where spans start, and are past their lead-in; lane sizes."""
+    lengths = ends - starts
     sizes = np.array([lengths[lane].sum() for lane in lanes])
     grid = np.full((len(lanes), int(sizes.max(initial=0))), -1, np.int64)
-    fresh = np.zeros(grid.shape, bool)
+    fresh, own = np.zeros(grid.shape, bool), np.zeros(grid.shape, bool)
     for i, lane in enumerate(lanes):
-        at = np.concatenate([np.arange(offset[t], offset[t + 1]) for t in lane])
+        n = lengths[lane]
+        age = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = age + np.repeat(starts[lane], n)
         grid[i, :len(at)] = at
-        fresh[i, np.concatenate([[0], np.cumsum(lengths[lane])[:-1]])] = True
-    return grid, fresh, sizes
+        fresh[i, :len(at)] = age == 0
+        own[i, :len(at)] = at >= np.repeat(learned[lane], n)
+    return grid, fresh, own, sizes
+
+
+def training_spans(offset: np.ndarray, span: int = TRAIN_SPAN, lead: int = LEAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token read, first token learned, end) of each span; the learned parts cover every text once."""
+    cuts = np.unique(np.concatenate([offset, *(np.arange(a, b, span) for a, b in zip(offset, offset[1:]) if b - a > span)]))
+    learned, ends = cuts[:-1], cuts[1:]
+    begins = offset[np.searchsorted(offset, learned, "right") - 1]                 # of each span's text
+    return np.maximum(learned - lead, begins), learned, ends
 
 
 def score_texts(model, symbols: np.ndarray, offset: np.ndarray, lanes: int = SCORE_LANES,
                 window: int = WINDOW) -> np.ndarray:
     """Natural log probability of each text's symbols (each text ends in the end symbol)."""
     out = np.zeros(len(symbols), np.float32)
-    grid, fresh, sizes = _grid(symbols, offset, lanes_of(np.diff(offset), lanes))
+    grid, fresh, _, sizes = _grid(offset[:-1], offset[:-1], offset[1:], lanes_of(np.diff(offset), lanes))
     h = np.zeros((len(sizes), HIDDEN), np.float32)
     before = np.zeros(len(sizes), np.int32)              # the end symbol precedes a text
     for lo in range(0, grid.shape[1], window):
@@ -365,57 +377,64 @@ class Trainer:
 
     def learn(self, symbols: np.ndarray, offset: np.ndarray, lanes: int = TRAIN_LANES, window: int = WINDOW) -> None:
         m = self.model
-        offset = np.unique(np.concatenate([offset, *(np.arange(a, b, TRAIN_SPAN) for a, b in zip(offset, offset[1:])
-                                                     if b - a > TRAIN_SPAN)]))
-        grid, fresh, sizes = _grid(symbols, offset, lanes_of(np.diff(offset), lanes))
+        starts, learned, ends = training_spans(offset)
+        grid, fresh, own, sizes = _grid(starts, learned, ends, lanes_of(ends - starts, lanes))
+        prior = np.zeros(len(symbols), np.int32)             # what precedes each token; the end symbol, a text
+        prior[1:] = symbols[:-1]
+        prior[offset[:-1]] = 0
         h = np.zeros((len(sizes), HIDDEN), np.float32)
-        before = np.zeros(len(sizes), np.int32)
         for lo in range(0, grid.shape[1], window):
             hs, keeps, ins, states, at = [], [], [], [], []
             for t in range(lo, min(lo + window, grid.shape[1])):
                 live = int(np.searchsorted(-sizes[:len(h)], -t, "left"))
                 if not live:
                     break
-                h, before = h[:live], before[:live]
+                h = h[:live]
                 new = fresh[:live, t]
                 h = np.where(new[:, None], np.float32(0), h)
-                now = np.where(new, 0, before)
+                now = prior[grid[:live, t]]
                 hs.append(h)
                 ins.append(now)
                 h, keep = step(m, h, now)
                 keeps.append((keep, new))
                 states.append(h)
                 at.append(grid[:live, t])
-                before = symbols[at[-1]]
             if not at:
                 break
-            index = np.concatenate(at)
-            scale = np.float32(1.0 / max(1, len(at[0])))
-            _, dout, grads = output(m, np.concatenate(states), symbols[index], gradient=True)
+            index, states = np.concatenate(at), np.concatenate(states)
+            scale = np.float32(1.0 / len(sizes))             # of all lanes: when few are left, each token weighs as before
+            # A token of a lead-in only carries the state: it is learned as part of the span before.
+            mine = np.concatenate([own[:len(a), lo + i] for i, a in enumerate(at)])
+            dout = np.zeros_like(states)
+            _, dout[mine], grads = output(m, states[mine], symbols[index[mine]], gradient=True)
             cut = np.cumsum([0] + [len(a) for a in at])
-            du, db = np.zeros_like(m["u"]), np.zeros_like(m["b"])
-            dxs: list = [None] * len(at)
+            # What the steps' gradients are multiplied by, for the whole window at once.
+            held = np.concatenate(hs)
+            r, z, n, hun = (np.concatenate([keep[k] for keep, _ in keeps]) for k in range(4))
+            to_n, to_z, to_r = (1 - z) * (1 - n * n), (held - n) * z * (1 - z), hun * r * (1 - r)
+            dx, dhu = np.empty((2, len(held), 3 * HIDDEN), np.float32)
+            u = np.ascontiguousarray(m["u"].T)
             carried = np.zeros((0, HIDDEN), np.float32)
             for i in range(len(at) - 1, -1, -1):
-                d = dout[cut[i]:cut[i + 1]].copy()
+                part = slice(cut[i], cut[i + 1])
+                d = dout[part]
                 d[:len(carried)] += carried
-                (r, z, n, hun), new = keeps[i]
-                dn = d * (1 - z) * (1 - n * n)
-                dz = d * (hs[i] - n) * z * (1 - z)
-                dr = dn * hun * r * (1 - r)
-                dxs[i] = np.concatenate([dr, dz, dn], 1)
-                dhu = np.concatenate([dr, dz, dn * r], 1)
-                du += hs[i].T @ dhu
-                db += dhu.sum(0)
-                carried = d * z + dhu @ m["u"].T
-                carried[new] = 0
-            for name, g in (("u", du), ("b", db), *grads.items()):
+                dn = d * to_n[part]
+                dx[part, :HIDDEN] = dn * to_r[part]
+                dx[part, HIDDEN:2 * HIDDEN] = d * to_z[part]
+                dx[part, 2 * HIDDEN:] = dn
+                dhu[part, :2 * HIDDEN] = dx[part, :2 * HIDDEN]
+                dhu[part, 2 * HIDDEN:] = dn * r[part]
+                carried = d * z[part]
+                carried += dhu[part] @ u
+                carried[keeps[i][1]] = 0
+            for name, g in (("u", held.T @ dhu), ("b", dhu.sum(0)), *grads.items()):
                 self._apply(name, np.clip(g * scale, -1, 1))
-            dx, ids = np.concatenate(dxs), np.concatenate(ins)
+            ids = np.concatenate(ins)
             order = np.argsort(ids, kind="stable")
             rows, first = np.unique(ids[order], return_index=True)
             self._apply("x", np.clip(np.add.reduceat(dx[order], first) * scale, -1, 1), rows)
-            self.tokens += len(index)
+            self.tokens += int(mine.sum())
 
 
 def _symbols_of_batch(column, vocab: Vocabulary):

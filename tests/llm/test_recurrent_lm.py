@@ -82,6 +82,65 @@ def test_gradients_equal_finite_differences(monkeypatch):
             assert abs((pair[0] - pair[1]) / 2e-3 - grad[at]) < 5e-3 + 0.02 * abs(grad[at]), name
 
 
+def test_long_texts_are_learned_once_and_read_on_over_span_bounds(monkeypatch):
+    offset = np.array([0, 3, 2503, 2504, 4552])
+    starts, learned, ends = R.training_spans(offset, 1024, 64)
+    assert np.concatenate([np.arange(a, b) for a, b in zip(learned, ends)]).tolist() == list(range(4552))
+    assert all((s == a) if a in offset else (s == a - 64) for s, a in zip(starts, learned))
+
+    # One text of spans with a lead-in as long as the text equals the same text unbroken, step for step.
+    vocab = vocabulary_of(TEXTS)
+    symbols, offset, *_ = R._symbols_of_batch(pa.array(["the cat sat on the mat and the dog sat on the cat"]), vocab)
+    losses = []
+    real = R.output
+
+    def output(model, h, targets, gradient=False):
+        got = real(model, h, targets, gradient)
+        losses.append(dict(zip(map(tuple, np.round(h, 5).tolist()), got[0].tolist())))
+        return got
+
+    monkeypatch.setattr(R, "output", output)
+    whole = R.Trainer(R.new_model(vocab))
+    whole.learn(symbols, offset, lanes=4, window=64)
+    monkeypatch.setattr(R, "training_spans", lambda o, f=R.training_spans: f(o, 5, 64))
+    cut = R.Trainer(R.new_model(vocab))
+    cut.learn(symbols, offset, lanes=4, window=64)
+    assert whole.tokens == cut.tokens == len(symbols)
+    assert sorted(np.round(list(losses[0].values()), 4)) == sorted(np.round(list(losses[1].values()), 4))
+
+
+def test_a_plain_scorer_gives_the_same_scores(spark):
+    """The model's score of each text, word by word, with the model that the query fitted."""
+    fitted = {}
+    train, score_vocab = R.train, R.vocabulary
+    docs = spark.createDataFrame(list(enumerate(TEXTS * 3)), "doc_id long, text string")
+    try:
+        R.train = lambda *a, **k: fitted.setdefault("model", train(*a, **k))
+        R.vocabulary = lambda *a, **k: fitted.setdefault("vocab", score_vocab(*a, **k))
+        got = {r["doc_id"]: r["score"] for r in R.score(docs, crc_mod("doc_id", 7) != 2).collect()}
+    finally:
+        R.train, R.vocabulary = train, score_vocab
+    model, vocab = fitted["model"], fitted["vocab"]
+    for i, text in docs.collect():
+        symbols, _, keys, rows, _ = R._symbols_of_batch(pa.array([text], pa.string()), vocab)
+        h, before, want = np.zeros(R.HIDDEN), 0, 0.0
+        for s in symbols.tolist():
+            x, hu = model["x"][before].astype(float), h @ model["u"] + model["b"]
+            n = R.HIDDEN
+            r, z = (1 / (1 + np.exp(-(x[k:k + n] + hu[k:k + n]))) for k in (0, n))
+            new = np.tanh(x[2 * n:] + r * hu[2 * n:])
+            h = (1 - z) * new + z * h
+            c, slot = divmod(int(model["place"][s]), R.CLASSES)
+            for logits, at in ((h @ model["wc"] + model["bc"], c), (h @ model["ww"][c] + model["bw"][c], slot)):
+                want += logits[at] - np.log(np.exp(logits).sum())
+            before = s
+        want /= math.log(10)
+        for s, row in zip(symbols.tolist(), rows.tolist()):
+            if 0 < s <= R.SIGNATURES:
+                want += math.log10((vocab.counts[row] if row >= 0 else 0) + 1) - vocab.log_rest[s - 1]
+        assert abs(got[i] - want) < 1e-3 * abs(want), text
+
+
 def test_base_figures_equal_brute_force_and_the_model_beats_them(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     docs = docs.union(spark.createDataFrame([(10 ** 6 + i, t) for i, t in enumerate(TEXTS)], docs.schema)).repartition(2)
