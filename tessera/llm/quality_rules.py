@@ -13,7 +13,7 @@ those bounded counts. ``rules_column`` turns the ordered list into one
 Edge cases: a null text has no words; texts without words have zero ratios;
 repeated rows are judged alike; with no labelled rows (or one class only) the
 list is empty and everything is kept; extra columns are carried through
-``text_statistics`` and may not start with ``__``.
+``text_statistics``, whatever their names; those named as a figure give way.
 """
 
 from __future__ import annotations
@@ -94,13 +94,16 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
                         F.aggregate(w, F.lit(0).cast("long"), lambda s, x: s + F.char_length(x)).alias("chars"))
 
     lines = F.filter(F.split(t, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
-    df = docs.withColumn("__f", F.struct(
+    held = "__f"
+    while held in (c.lower() for c in docs.columns):
+        held += "_"
+    df = docs.withColumn(held, F.struct(
         _let(F.filter(F.split(t, WORD_SPACE), lambda w: w != ""), of_words).alias("w"),
         _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct"))).alias("l"),
         _count_chars(t, r"[#*$%&|<>]").alias("symbols"), _count_chars(t, r"\p{Lu}+").alias("upper"),
         _count_chars(t, r"[0-9]+").alias("digits"), _count_chars(t, r"[!\"'(),.:;?]+").alias("marks"),
         _count_chars(t, r"!+").alias("bangs")))
-    f = F.col("__f")
+    f = F.col(held)
     n_words, word_chars = f["w"]["h"]["n"], f["w"]["chars"]
     words, chars = F.greatest(n_words, F.lit(1)), F.greatest(word_chars, F.lit(1))
     n_lines = F.greatest(f["l"]["n"], F.lit(1))
@@ -112,7 +115,7 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "dup_line_ratio": dups / n_lines, "word_length": word_chars / words, "upper_ratio": f["upper"] / chars,
         "digit_ratio": f["digits"] / chars, "mark_ratio": f["marks"] / chars, "bang_ratio": f["bangs"] / words,
         "distinct_ratio": f["w"]["h"]["distinct"] / words, "line_words": n_words / n_lines,
-    }).drop("__f")
+    }).drop(held)
 
 
 def _gain(p: int, n: int, p0: int, n0: int) -> float:

@@ -66,6 +66,12 @@ def test_the_list_is_ordered_conditionals(spark):
     assert [r[0] for r in rows.select(Q.rules_column([])).collect()] == [True] * 4
 
 
+def test_a_callers_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, 8, 9)], "doc_id long, text string, __f int, __f_ int, n int")
+    row = Q.text_statistics(docs).first()
+    assert (row["__f"], row["__f_"], row["n"], row["n_words"]) == (7, 8, 9, 2)
+
+
 def test_awkward_and_empty_tables(spark):
     assert Q.text_statistics(awkward(spark)).count() == awkward(spark).count()
     none = spark.createDataFrame([], "doc_id long, quality int")
