@@ -7,7 +7,7 @@ packed on its own by first-fit decreasing: pieces by falling length, each
 into the first bin with room, which a tournament tree over the bins' free
 room finds in O(log bins).
 
-Groups are dealt by a hash of the piece's content hash and row position, so
+Groups are dealt by a hash of the piece's row position as written, so
 neither repeated ids nor repeated texts make a large group; their number
 grows with the pieces (``group_size`` pieces each on average), so memory in a
 task stays the same at any size. Padding is what the last bins of each group
