@@ -1,19 +1,23 @@
 """N-gram Jaccard join: a MinHash LSH forest, then exact verification.
 
 Texts that are equal are one node. A node's word shingles (five words; a
-shorter text is one shingle) give ``trees`` label sequences of MinHash
-values. The matched prefix is shortened from ``depth`` values until a pair at the
-threshold is found with the target recall, 1 - (1 - s**d)**trees. This follows
-from the parameters alone, so the depth is fixed beforehand (plain banding) and
-longer labels are never computed; nodes that share a prefix of that depth in
-any tree are candidates.
-
-A prefix's nodes are linked to its least node only (a star, never all pairs),
-components of the stars bring candidates together, and every pair of a
-component is verified on the exact shingle sets: large components are split
-into blocks, and each pair of blocks is a task of bounded size that counts
-shared shingles of all its pairs at once and returns one row per node (links
-and a spanning edge). Classes are the components of verified links.
+shorter text is one shingle) give ``trees`` labels of ``depth`` MinHash values,
+one a prefix trie. Longest prefixes are matched first: the nodes below a trie
+node are linked to one of them (a star, never all pairs), which alone rises to
+the next shorter prefix. Prefixes are shortened level by level for the nodes
+still short of the target recall: a node stops at the longest prefix at which
+its least similar possible partner, which follows from its number of shingles
+(``reachable``), is found with ``recall``, 1 - (1 - s**d)**trees. A pair is
+found at the longer of its two nodes' last prefixes, which serves both. No
+pair at the threshold needs less than ``prefix_depth`` values, so branches with
+one node below such a prefix are cut off before.
+
+The stars' components are put in trie order and cut into blocks of bounded
+size. A task verifies, on the exact shingle sets, all pairs within a block or
+between two blocks that share a prefix, and returns one row per node (links
+and a spanning edge). A set travels once for each block that its own block
+shares a prefix with, however large the component is. Classes are the
+components of verified links.
 
 No link between different texts is lost once its pair is a candidate, and
 none is capped. The rows of texts that the verification moves are those of
@@ -34,11 +38,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.scratch import appended, as_row, from_row, mixed, shingle_hashes, ship, text_steps, word_hashes, written
+from tessera.llm.scratch import appended, as_row, dropped, from_row, mixed, shingle_hashes, ship, text_steps, word_hashes, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -47,6 +52,10 @@ DEPTH = 8
 RECALL = 0.9995
 #: Nodes and shingles in a block; a verification task holds two blocks.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 22
+#: Sets of up to so many shingles have a depth of their own; the possible similarities of larger ones come close to any.
+SMALL = 16
+#: Bits of the first label values that order a component's nodes.
+PLACE_BITS = (32, 16, 16)
 
 
 def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
@@ -62,27 +71,131 @@ def _constants(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return x[:n], x[n:] | np.uint64(1)
 
 
-def forest_prefixes(column, words: int, trees: int, depth: int, seed: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
-    """Per text the hash of each tree's prefix (none without words), and its number of shingles."""
+def reachable(size: int, threshold: float) -> float:
+    """The least Jaccard similarity from ``threshold`` on that a set of ``size`` elements can have to another set."""
+    least = 1.0
+    for both in range(1, size + 1):
+        others = math.floor(both / threshold - size + 1e-9)      # elements of the other set alone
+        if others >= 0:
+            least = min(least, both / (size + others))
+    return least
+
+
+def rest_bits(depth: int, shortest: int) -> int:
+    """Bits of each label value beyond the shortest prefix, all of them in one long."""
+    return min(16, 64 // (depth - shortest)) if depth > shortest else 0
+
+
+def _small_sizes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distinct shingles of each text of at most ``SMALL``, else the number of its shingles."""
+    counts = np.diff(at)
+    row = np.repeat(np.arange(len(counts)), counts)
+    few = counts[row] <= SMALL
+    row, h = row[few], h[few]
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    return np.where(counts <= SMALL, np.bincount(row[new], minlength=len(counts)), counts)
+
+
+def forest_labels(column, words: int, threshold: float, trees: int, depth: int, recall: float, seed: int = 1):
+    """Per text: each tree's hash of the shortest prefix, its further values packed, place, shingles, depth to stop at.
+
+    Texts without words have no labels.
+    """
     flips, odds = _constants(trees * depth, seed)
-    out: list = []
-    sizes = []
+    shortest = prefix_depth(threshold, trees, depth, recall)
+    bits = rest_bits(depth, shortest)
+    stops = np.array([shortest] + [prefix_depth(reachable(m, threshold), trees, depth, recall) for m in range(1, SMALL + 1)])
+    prefixes: list = []
+    rests: list = []
+    places, sizes, deep = [], [], []
     for _, _, data, offsets in text_steps(column):
         h, at = shingle_hashes(*word_hashes(data, offsets), words)
         counts = np.diff(at)
         full = np.flatnonzero(counts)
-        labels = np.zeros((trees, len(full)), np.uint64)
+        label = np.zeros((trees, len(full)), np.uint64)
+        rest = np.zeros((trees, len(full)), np.uint64)
+        place = np.zeros(len(counts), np.uint64)
         if len(full):
+            left = 64
             for t in range(trees):
                 for j in range(depth):
                     k = t * depth + j
                     least = np.minimum.reduceat((h ^ flips[k]) * odds[k], at[full])
-                    labels[t] = mixed(labels[t] + least + np.uint64(k))
-        rows = labels.T.astype(np.int64)
-        found = iter(rows)
-        out += [next(found) if c else None for c in counts]
+                    value = mixed(least + np.uint64(k))
+                    if j < shortest:
+                        label[t] = mixed(label[t] + value)
+                    else:
+                        rest[t] |= (value >> np.uint64(64 - bits)) << np.uint64(bits * (depth - 1 - j))
+                    if t == 0 and j < len(PLACE_BITS):
+                        left -= PLACE_BITS[j]
+                        place[full] |= (value >> np.uint64(64 - PLACE_BITS[j])) << np.uint64(left)
+        for out, values in ((prefixes, label), (rests, rest)):
+            found = iter(values.T.astype(np.int64))
+            out += [next(found) if c else None for c in counts]
+        small = _small_sizes(h, at)
+        deep.append(np.where(small <= SMALL, stops[np.minimum(small, SMALL)], shortest))
+        places.append(place.astype(np.int64))
         sizes.append(counts)
-    return out, np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+    whole = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, sizes, deep)]
+    return prefixes, rests, *whole
+
+
+def trie_edges(tries: DataFrame, depth: int, shortest: int) -> DataFrame:
+    """(node, hub) of nodes that share a prefix, from the longest on; ``tries`` has node, deep, p and rest.
+
+    A level's input is one node for each longer prefix, so a hot prefix sends
+    at most one row a map task through the aggregation and one up a level.
+    """
+    bits = rest_bits(depth, shortest)
+    edges = None
+    rising = tries
+    for d in range(depth, shortest - 1, -1):
+        values = F.lit(0).cast("long") if d == shortest else F.shiftrightunsigned("rest", bits * (depth - d))
+        level = rising.where(F.col("deep") <= d).withColumn("r", values)
+        heads = written(level.groupBy("p", "r").agg(F.min(F.struct("deep", "node", "rest")).alias("h"),
+                                                    F.count("*").alias("n")), "trie-level")
+        hubs = heads.where("n > 1").select("p", "r", F.col("h.node").alias("hub"))
+        found = level.join(hubs, ["p", "r"]).where("node <> hub").select("node", "hub")
+        edges = found if edges is None else edges.unionByName(found)
+        rising = heads.select("h.node", "h.deep", "p", "h.rest")
+    return edges.distinct()
+
+
+def blocked(groups: DataFrame) -> DataFrame:
+    """``groups`` (comp, place, node, shingles, …) with ``block``: a component's nodes in trie order, cut at the bounds."""
+    most_nodes, most_shingles = BLOCK_NODES, BLOCK_SHINGLES
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = (TaskContext.get().partitionId() << 33) - 1
+        comp, n, held = None, 0, 0
+        for frame in frames:
+            out = []
+            for c, size in zip(frame["comp"], frame["shingles"]):
+                if c != comp or n == most_nodes or held + size > most_shingles:
+                    block, comp, n, held = block + 1, c, 0, 0
+                n, held = n + 1, held + size
+                out.append(block)
+            yield frame.assign(block=np.array(out, np.int64))
+
+    order = ["comp", "place", "node"]
+    rows = groups.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.mapInPandas(cut, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in groups.schema) + ", block long")
+
+
+def block_pairs(blocks: DataFrame, tries: DataFrame) -> DataFrame:
+    """(block, i, j), i <= j: the tasks that a block's nodes go to, those of blocks that share a prefix and its own."""
+    own = blocks.select("block").distinct().selectExpr("block", "block as i", "block as j")
+    several = blocks.groupBy("comp").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a < b").select("comp")
+    held = blocks.join(several, "comp", "left_semi").select("node", "block")
+    seen = written(tries.select("node", "p").join(held, "node").select("p", "block").distinct(), "prefix-blocks")
+    other = seen.select("p", F.col("block").alias("j"))
+    cross = seen.join(other, "p").where("block < j").select(F.col("block").alias("i"), "j").distinct()
+    cross = written(cross, "block-pairs")
+    return (own.unionByName(cross.selectExpr("i as block", "i", "j"))
+            .unionByName(cross.selectExpr("j as block", "i", "j")))
 
 
 def shingle_sets(column, words: int) -> list[bytes]:
@@ -161,43 +274,43 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     texts, and texts with a Jaccard similarity from ``threshold`` on.
     """
     ship(docs.sparkSession)
-    d = prefix_depth(threshold, trees, depth, recall)
+    shortest = prefix_depth(threshold, trees, depth, recall)
 
     def sign(column):
-        prefixes, sizes = forest_prefixes(column, words, trees, d)
-        return [pa.array(prefixes, pa.list_(pa.int64())), pa.array(sizes, pa.int64())]
+        prefixes, rests, places, sizes, deep = forest_labels(column, words, threshold, trees, depth, recall)
+        return [pa.array(prefixes, pa.list_(pa.int64())), pa.array(rests, pa.list_(pa.int64())), pa.array(places, pa.int64()),
+                pa.array(sizes, pa.int64()), pa.array(deep, pa.int32())]
 
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = docs.select(F.col(key).alias("k"), F.md5(plain).alias("node"), plain.alias("__x"))
-    signed = written(appended(base, "__x", "prefixes array<long>, shingles long", sign, keep_text=False), "signatures")
+    signed = written(appended(base, "__x", "prefixes array<long>, rests array<long>, place long, shingles long, deep int",
+                              sign, keep_text=False), "signatures")
+    facts = ["place", "shingles", "deep", "prefixes", "rests"]
     nodes = written(signed.groupBy("node").agg(F.min("k").alias("rep"), F.count("*").alias("copies"),
-                                               F.max("shingles").alias("shingles"), F.first("prefixes").alias("prefixes")),
-                    "nodes")
-    shared = nodes.select("node", F.explode("prefixes").alias("p"))
-    hubs = written(shared.groupBy("p").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
-    stars = shared.join(hubs, "p").where("node <> hub").select("node", "hub").distinct()
-    groups = written(components(stars, "node", "hub").withColumnRenamed("label", "comp")
-                     .join(nodes.drop("prefixes"), "node"), "candidates")
-    blocks = written(groups.groupBy("comp").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "blocks")
-    groups = groups.join(blocks, "comp").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = base.join(groups, (base.node == groups.node) & base.k.eqNullSafe(groups.rep)).select(
-        groups.node, "comp", "copies", "blocks", "mine", F.col("__x"))
+                                               *[F.first(c).alias(c) for c in facts]), "nodes")
+    labels = nodes.select("node", "deep", F.explode(F.arrays_zip("prefixes", "rests")).alias("l")).select(
+        "node", "deep", F.col("l.prefixes").alias("p"), F.col("l.rests").alias("rest"))
+    roots = written(labels.groupBy("p").agg(F.count("*").alias("n")).where("n > 1").select("p"), "roots")
+    tries = written(labels.join(roots, "p", "left_semi"), "tries")
+    stars = trie_edges(tries, depth, shortest)
+    groups = written(components(stars, "node", "hub").withColumnRenamed("label", "comp").join(
+        nodes.select("node", "rep", "copies", "place", "shingles"), "node"), "candidates")
+    blocks = written(blocked(groups).drop("place", "shingles"), "blocks")
+    deals = block_pairs(blocks, tries)
+    texts = base.join(blocks, (base.node == blocks.node) & base.k.eqNullSafe(blocks.rep)).select(
+        blocks.node, "copies", "block", F.col("__x"))
 
     def sets(column):
         return [pa.array(shingle_sets(column, words), pa.binary())]
 
     held = appended(texts, "__x", "held binary", sets, keep_text=False)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = held.select("node", "comp", "copies", "mine", "held", other.alias("other"))
-    dealt = dealt.select("node", "comp", "copies", "held", F.least("mine", "other").alias("i"),
-                         F.greatest("mine", "other").alias("j"), "mine")
+    dealt = held.join(deals, "block")
 
     def check(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node").sort_values("node")
         links, roots = verified(list(frame["node"]), frame["copies"].to_numpy(np.int64),
                                 [np.frombuffer(b, np.uint64) for b in frame["held"]],
-                                (frame["mine"] == frame["i"]).to_numpy(), threshold)
+                                (frame["block"] == frame["i"]).to_numpy(), threshold)
         names = frame["node"].to_numpy()
         return pd.DataFrame({"node": names, "root": names[roots], "links": links})
 
@@ -206,7 +319,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         for frame in frames:
             if rest is not None:
                 frame = pd.concat([rest, frame], ignore_index=True)
-            cut = np.flatnonzero((frame[["comp", "i", "j"]] != frame[["comp", "i", "j"]].shift()).any(axis=1))
+            cut = np.flatnonzero((frame[["i", "j"]] != frame[["i", "j"]].shift()).any(axis=1))
             for a, b in zip(cut, cut[1:]):
                 out.append(check(frame.iloc[a:b]))
                 n += b - a
@@ -219,11 +332,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         if out:
             yield pd.concat(out, ignore_index=True)
 
-    tasks = dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+    tasks = dealt.repartition("i", "j").sortWithinPartitions("i", "j")
     found = written(tasks.mapInPandas(run, "node string, root string, links long"), "links")
+    for table in (roots, tries, groups, blocks):
+        dropped(table)
     classes = components(found, "node", "root")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
-    facts = (nodes.drop("prefixes", "shingles").join(counted, "node", "left").join(classes, "node", "left")
+    facts = (nodes.select("node", "rep", "copies").join(counted, "node", "left").join(classes, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     facts = written(facts, "node-facts")
     sums = facts.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))

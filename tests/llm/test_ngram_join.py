@@ -86,6 +86,80 @@ def test_prefix_is_shortened_until_the_recall_is_reached():
     assert N.prefix_depth(1.0, 16, 8, 0.995) == 8 and N.prefix_depth(0.1, 2, 8, 0.995) == 1
 
 
+def test_reachable_similarity_equals_all_set_sizes():
+    for m in range(1, 30):
+        every = [i / (m + n - i) for n in range(1, 60) for i in range(1, min(m, n) + 1)]
+        assert N.reachable(m, 0.8) == min(s for s in every if s >= 0.8 - 1e-9)
+
+
+def tries(spark, texts, **how):
+    import pyarrow as pa
+
+    p, rest, place, sizes, deep = N.forest_labels(pa.array(texts), 5, 0.8, 16, 8, 0.9995, **how)
+    rows = [(f"{i:05d}", int(deep[i]), int(a), int(b)) for i in range(len(texts)) if p[i] is not None for a, b in zip(p[i], rest[i])]
+    nodes = [(f"{i:05d}", "c", int(place[i]), int(sizes[i])) for i in range(len(texts))]
+    return (spark.createDataFrame(rows, "node string, deep int, p long, rest long"),
+            spark.createDataFrame(nodes, "node string, comp string, place long, shingles long"))
+
+
+def test_forest_links_what_shares_a_prefix_that_both_still_match(spark):
+    """The components of the level-by-level stars are those of all pairs with a shared prefix."""
+    texts = [t for _, t in near_copies(seed=5, base=60)]
+    found, _ = tries(spark, texts)
+    rows = [(r["node"], r["deep"], r["p"], r["rest"] % (1 << 64)) for r in found.collect()]
+    by = defaultdict(list)
+    for r in rows:
+        by[r[2]].append(r)
+    parent = {r[0]: r[0] for r in rows}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for group in by.values():
+        for a in group:
+            for b in group:
+                same = 4 + next((j for j in range(4) if (a[3] ^ b[3]) >> (48 - 16 * j)), 4)
+                if same >= max(a[1], b[1]):
+                    parent[find(a[0])] = find(b[0])
+    got = {r["node"]: r["label"] for r in components(N.trie_edges(found, 8, 4), "node", "hub").collect()}
+    want = defaultdict(set)
+    for n in parent:
+        want[find(n)].add(n)
+    assert {n: min(ms) for ms in want.values() if len(ms) > 1 for n in ms} == got
+    assert {r[1] for r in rows} == {4, 8}                      # short texts stop at whole labels
+
+
+def test_a_long_chain_deals_each_set_a_bounded_number_of_times(spark, monkeypatch):
+    """Texts that shift by a word are one component; tasks follow shared prefixes, not its size."""
+    monkeypatch.setattr(N, "BLOCK_NODES", 32)
+    rng = random.Random(3)
+    w = sentence(rng, 2600, 10 ** 6).split()
+    texts = [" ".join(w[i:i + 100]) for i in range(2500)]
+    found, nodes = tries(spark, texts)
+    assert len({r["label"] for r in components(N.trie_edges(found, 8, 4), "node", "hub").collect()}) == 1
+    blocks = N.written(N.blocked(nodes), "test-blocks")
+    deals = N.block_pairs(blocks, found).groupBy("block").count().collect()
+    assert len(deals) >= 79 and sum(r["count"] for r in deals) <= 25 * len(deals)
+    df = spark.createDataFrame(list(enumerate(texts[:400])), "doc_id long, text string")
+    assert result(N.near_duplicates(df)) == sorted(brute(list(enumerate(texts[:400]))), key=str)
+
+
+def test_recall_at_the_threshold():
+    """Pairs at a similarity of 0.8 share a prefix of the depth that they stop at."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = []
+    for _ in range(3000):                                       # 81 shingles, 9 of them differ: 72 of 90
+        w = sentence(rng, 85, 10 ** 6).split()
+        texts += [" ".join(w), " ".join(w[9:] + sentence(rng, 9, 10 ** 6).split())]
+    p = N.forest_labels(pa.array(texts), 5, 0.8, 16, 8, 0.9995)[0]
+    missed = sum(not (p[i] == p[i + 1]).any() for i in range(0, len(texts), 2))
+    assert missed <= 6
+
+
 def test_shared_counts_equal_set_sizes():
     import numpy as np
 
