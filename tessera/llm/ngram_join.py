@@ -297,7 +297,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         nodes.select("node", "rep", "copies", "place", "shingles"), "node"), "candidates")
     blocks = written(blocked(groups).drop("place", "shingles"), "blocks")
     deals = block_pairs(blocks, tries)
-    texts = base.join(blocks, (base.node == blocks.node) & base.k.eqNullSafe(blocks.rep)).select(
+    # One plan at every size: the texts meet their blocks by a shuffle, whether or not the blocks would fit a broadcast.
+    texts = base.join(blocks.hint("merge"), (base.node == blocks.node) & base.k.eqNullSafe(blocks.rep)).select(
         blocks.node, "copies", "block", F.col("__x"))
 
     def sets(column):
