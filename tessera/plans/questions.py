@@ -121,6 +121,12 @@ def coin_last_week(ohlc: DataFrame, days: int = 7, coin_ids: Sequence[str] | Non
 
 
 # ------------------------------------------------------------------- Q5
+def price_ratio(a: Column, b: Column) -> Column:
+    """``a / b`` of doubles as IEEE has it, in every ANSI mode: over a price of 0
+    it is infinite (0 / 0: NaN), where ``/`` fails the job or gives NULL."""
+    return F.when(b == 0, a * F.pow(b, F.lit(-1.0))).otherwise(a / b)
+
+
 def price_range(ohlc: DataFrame) -> DataFrame:
     """Q5: max/min, first open, last close and change over each coin's series."""
     agg = ohlc.groupBy("coin_id").agg(
@@ -252,7 +258,8 @@ def compare_coins(ohlc: DataFrame, coin_ids: Sequence[str] | None = None, wide:
 
     With ``coin_ids`` the comparison is restricted to those coins; the first
     close per coin is a grouped aggregate joined back (strategy chosen by
-    AQE from the measured size, as in ``coin_last_week``). ``wide=True``
+    AQE from the measured size, as in ``coin_last_week``). Over a first close
+    of 0 the index is infinite (NaN on days that close at 0). ``wide=True``
     pivots to one row per day and one ``index_100`` column per coin; the
     pivot values are the given ids, so Spark runs no job to discover them.
     """
@@ -262,7 +269,7 @@ def compare_coins(ohlc: DataFrame, coin_ids: Sequence[str] | None = None, wide:
     first = daily.groupBy("coin_id").agg(F.min_by("close", "day").alias("first_close"))
     long = (daily.join(first, "coin_id")
                  .select("coin_id", "day", "close",
-                         F.round(F.col("close") / F.col("first_close") * 100, 6).alias("index_100")))
+                         F.round(price_ratio(F.col("close"), F.col("first_close")) * 100, 6).alias("index_100")))
     if not wide:
         return long
     return long.groupBy("day").pivot("coin_id", list(coin_ids)).agg(F.first("index_100"))

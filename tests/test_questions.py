@@ -2,6 +2,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -97,3 +98,28 @@ def test_category_count_is_zero_not_minus_one_without_ansi(spark):
         assert Q.prices_with_dim(p, d).first()["n_categories"] == 0
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def _candles_from_zero(spark):
+    base = dt.datetime(2024, 6, 26)
+    rows = [(coin, base + dt.timedelta(days=d), p, p, p, p) for coin, prices in (("nil", [0.0, 0.0, 5.0]), ("one", [2.0, 0.0, 1.0]),
+            ("low", [-0.0, 3.0]), ("flat", [0.0])) for d, p in enumerate(prices)]
+    rows.append(("none", base, None, None, None, None))
+    return spark.createDataFrame(rows, "coin_id string, open_time timestamp, open double, high double, low double, close double")
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_the_index_over_a_first_close_of_zero(spark, ansi):
+    """The oracle's division: infinite over 0, NaN for 0 / 0."""
+    index = {}
+    for r in Q.compare_coins(_candles_from_zero(spark)).orderBy("coin_id", "day").collect():
+        index.setdefault(r["coin_id"], []).append(repr(r["index_100"]))
+    assert index == {"nil": ["nan", "nan", "inf"], "one": ["100.0", "0.0", "50.0"], "low": ["nan", "-inf"], "flat": ["nan"],
+                     "none": ["None"]}
