@@ -128,13 +128,16 @@ def price_ratio(a: Column, b: Column) -> Column:
 
 
 def price_range(ohlc: DataFrame) -> DataFrame:
-    """Q5: max/min, first open, last close and change over each coin's series."""
+    """Q5: max/min, first open, last close and change over each coin's series.
+
+    A series that opens at 0 has an infinite change (NaN if it closes at 0).
+    """
     agg = ohlc.groupBy("coin_id").agg(
         F.max("high").alias("max_high"), F.min("low").alias("min_low"),
         F.min_by("open", "open_time").alias("first_open"), F.max_by("close", "open_time").alias("last_close"),
         F.min("open_time").alias("first_open_time"), F.max("open_time").alias("last_open_time"),
         F.count(F.lit(1)).alias("n_candles"))
-    return agg.withColumn("change_pct", F.round((F.col("last_close") / F.col("first_open") - 1) * 100, 6))
+    return agg.withColumn("change_pct", F.round((price_ratio(F.col("last_close"), F.col("first_open")) - 1) * 100, 6))
 
 
 def price_change(ohlc: DataFrame, bucket: str = "day") -> DataFrame:

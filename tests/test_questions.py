@@ -123,3 +123,8 @@ def test_the_index_over_a_first_close_of_zero(spark, ansi):
         index.setdefault(r["coin_id"], []).append(repr(r["index_100"]))
     assert index == {"nil": ["nan", "nan", "inf"], "one": ["100.0", "0.0", "50.0"], "low": ["nan", "-inf"], "flat": ["nan"],
                      "none": ["None"]}
+
+
+def test_the_change_of_a_series_that_opens_at_zero(spark, ansi):
+    change = {r["coin_id"]: repr(r["change_pct"]) for r in Q.price_range(_candles_from_zero(spark)).collect()}
+    assert change == {"nil": "inf", "one": "-50.0", "low": "-inf", "flat": "nan", "none": "None"}
