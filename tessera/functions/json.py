@@ -117,13 +117,15 @@ def is_single_json_document(text: Column | str) -> Column:
     ``try_parse_json`` accepts trailing garbage, so two wrappers are used:
     as the only item of an array and as the only value of an object. Each
     alone misses a stray closing bracket of its own kind; together they
-    reject it, and duplicate keys are accepted. ``json_array_length`` and
+    reject it, and duplicate keys are accepted. A text without ``]`` needs the
+    first wrapper only. ``json_array_length`` and
     ``json_object_keys`` only tokenise (children are skipped, not built),
     so the check allocates no copy of the document.
     """
     t = _col(text)
     as_item = F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1
     as_value = F.array_size(F.json_object_keys(F.concat(F.lit('{"x":'), t, F.lit("}")))) == 1
+    as_value = F.when(F.contains(t, F.lit("]")), as_value).otherwise(True)
     return t.isNotNull() & F.coalesce(as_item, F.lit(False)) & F.coalesce(as_value, F.lit(False))
 
 

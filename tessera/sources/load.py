@@ -40,13 +40,15 @@ def _line_checks(lines: DataFrame, schema: T.StructType, value: str = "value") -
     well_formed = is_single_json_document(v) & F.json_object_keys(v).isNotNull()
     keys = F.json_object_keys(v)
     unknown = F.array_size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), allowed)) > 0
-    parsed = F.from_json(v, schema)
+    # the mode is the default one: naming it keeps Spark from reading the line once a member
+    parsed = F.from_json(v, schema, {"mode": "PERMISSIVE"})
     missing, bad_type = F.lit(False), F.lit(False)
     for name in schema.fieldNames():
         there = F.get_json_object(v, f"$.{name}").isNotNull()      # present and not JSON null
+        # a typed member is there: the line is read again for the others only
         if name in required_fields(schema):
-            missing = missing | (parsed[name].isNull() & ~there)
-        bad_type = bad_type | (there & parsed[name].isNull())
+            missing = missing | F.when(parsed[name].isNull(), ~there).otherwise(False)
+        bad_type = bad_type | F.when(parsed[name].isNull(), there).otherwise(False)
     return lines.select("*", parsed.alias("__row"),
                         (~well_formed).alias("__malformed"),
                         (well_formed & unknown).alias("__unknown"),

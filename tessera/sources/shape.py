@@ -101,8 +101,12 @@ def document_items(body: Column | str) -> Column:
         quoted = F.to_json(F.array(text))
         return F.when(F.schema_of_variant(value) == "STRING", quoted.substr(F.lit(2), F.length(quoted) - 2)).otherwise(text)
 
-    items = F.zip_with(F.from_json(b, "array<string>"), F.from_json(b, "array<variant>"), item)
-    return F.when(F.json_array_length(b).isNotNull(), items).otherwise(F.array(b))
+    texts = F.from_json(b, "array<string>")
+    items = F.zip_with(texts, F.from_json(b, "array<variant>"), item)
+    # no string of the body begins with a brace: items that do are objects, their text is their JSON
+    plain = ~F.contains(b, F.lit('"{')) & ~F.contains(b, F.lit("'{")) & ~F.contains(b, F.lit("\\"))
+    objects = plain & F.coalesce(F.forall(texts, lambda t: F.coalesce(F.startswith(t, F.lit("{")), F.lit(False))), F.lit(False))
+    return F.when(F.json_array_length(b).isNotNull(), F.when(objects, texts).otherwise(items)).otherwise(F.array(b))
 
 
 def document_rows(responses: DataFrame, body: str = "body", ts: str = "ingestion_time",
@@ -135,13 +139,18 @@ def ohlc_rows(responses: DataFrame, body: str = "body", coin: str = "coin_id",
     run; ``ohlc_quarantine`` lists such bodies instead. ``open_time`` is
     epoch milliseconds read as a UTC instant.
     """
-    b = F.col(body)
-    error = _candle_error(b)
+    # typed once; a body whose candles all have their figures is good, the others are looked into
+    b, typed = F.col("__body"), F.col("__typed")
+    whole = F.forall(typed, lambda c: F.coalesce(sum((F.get(c, F.lit(i)).isNotNull().cast("int") for i in range(5)), F.lit(0)) == 5,
+                                                 F.lit(False)))
+    error = F.when(F.coalesce(whole, F.lit(False)) & is_single_json_document(b), F.lit(None)).otherwise(_candle_error(b))
     good = F.when(error.isNotNull(), F.raise_error(F.concat(
-        F.lit("candles of coin "), F.coalesce(F.col(coin), F.lit("?")), F.lit(": "), error, F.lit(": "),
-        F.coalesce(F.substring(b, 1, SHOWN), F.lit("null"))))).otherwise(F.from_json(b, "array<array<double>>"))
+        F.lit("candles of coin "), F.coalesce(F.col("coin_id"), F.lit("?")), F.lit(": "), error, F.lit(": "),
+        F.coalesce(F.substring(b, 1, SHOWN), F.lit("null"))))).otherwise(typed)
     c = F.col("__c")
-    return (responses.select(F.col(ts).alias("ingestion_time"), F.col(coin).alias("coin_id"), F.explode(good).alias("__c"))
+    return (responses.select(F.col(ts).alias("ingestion_time"), F.col(coin).alias("coin_id"), F.col(body).alias("__body"),
+                             F.from_json(F.col(body), "array<array<double>>").alias("__typed"))
+                     .select("ingestion_time", "coin_id", F.explode(good).alias("__c"))
                      .select("ingestion_time", "coin_id", F.timestamp_millis(c[0].cast("bigint")).alias("open_time"),
                              c[1].alias("open"), c[2].alias("high"), c[3].alias("low"), c[4].alias("close")))
 
