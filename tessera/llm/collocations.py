@@ -10,11 +10,10 @@ and a bidirectional interval search extends every word to the left, and every
 pair and longer phrase to the right. A phrase's count is the size of its
 interval; its right extensions are the rows it gives.
 
-Only the longest phrase at each place (at most ``depth`` words, ended by a
-separator or the depth) is handed out, so a place costs one row at most, and
-counts of shorter phrases are sums over their right extensions. Rows of a
-shard are distinct; they are summed across shards by word ids that are unique
-per language and word, so no hash stands for a phrase.
+Every phrase of two to ``depth`` words is handed out with its count in the
+shard, once, so that one sum across shards gives the counts of all lengths and
+only frequent phrases are stored. The sum is by word ids that are unique per
+language and word, so no hash stands for a phrase.
 """
 
 from __future__ import annotations
@@ -91,30 +90,36 @@ def _extended(index: ShardIndex, lo: np.ndarray, other: np.ndarray, size: np.nda
     return which, symbol, index.first[symbol] + index.rank(symbol, lo[which]), other[which] + before - before[start], n
 
 
-def phrase_rows(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def phrase_rows(s: np.ndarray, depth: int, all_lengths: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(phrases as rows of ``depth`` symbols, 0 past the end; counts) of a sequence.
 
     Every place that begins two words or more counts for one row: its longest
-    phrase of at most ``depth`` words before a separator.
+    phrase of at most ``depth`` words before a separator. With ``all_lengths``
+    it counts for every phrase of two words or more that begins there.
     """
     s = s if len(s) and s[0] == 0 else np.concatenate([[0], s])          # circular: one separator at least
     n_symbols = int(s.max()) + 1
-    forward, backward = ShardIndex(s, depth, n_symbols), ShardIndex(s[::-1], depth, n_symbols)
+    forward = ShardIndex(s, depth, n_symbols)
     words = np.arange(1, n_symbols)
     size = np.bincount(s, minlength=n_symbols)[1:]
     # single words, extended to the left: pairs
-    which, symbol, lo, other, n = _extended(forward, forward.first[words], backward.first[words], size, n_symbols)
+    which, symbol, lo, other, n = _extended(forward, forward.first[words], forward.first[words], size, n_symbols)
+    del forward                                                          # one index at a time; single words begin alike in both
+    backward = ShardIndex(s[::-1], depth, n_symbols)
     real = symbol > 0
-    phrases = np.stack([symbol[real], words[which[real]]], axis=1)
+    phrases = np.stack([symbol[real], words[which[real]]], axis=1).astype(np.int32)      # a shard's ids: below its tokens
     lo, other, n = lo[real], other[real], n[real]
     out, counts = [], []
     for length in range(2, depth):
+        if all_lengths:
+            out.append(phrases)
+            counts.append(n)
         which, symbol, other, lo, m = _extended(backward, other, lo, n, n_symbols)    # to the right
-        ended = symbol == 0
-        out.append(phrases[which[ended]])
-        counts.append(m[ended])
-        real = ~ended
-        phrases = np.concatenate([phrases[which[real]], symbol[real, None]], axis=1)
+        real = symbol > 0
+        if not all_lengths:
+            out.append(phrases[which[~real]])
+            counts.append(m[~real])
+        phrases = np.concatenate([phrases[which[real]], symbol[real, None].astype(np.int32)], axis=1)
         lo, other, n = lo[real], other[real], m[real]
     out.append(phrases)
     counts.append(n)
@@ -194,7 +199,7 @@ def _packed_columns(depth: int, bits: int) -> list[list[tuple[int, int]]]:
 
 
 def _phrases(batches: Iterator[pa.RecordBatch], depth: int, columns: list) -> Iterator[pa.RecordBatch]:
-    """N-gram rows of each shard: corpus ids, 0 past the end, packed in longs; n."""
+    """Phrases of each shard with their counts: corpus ids, 0 past the end, packed in longs; n."""
     names = [f"k{i}" for i in range(len(columns))] + ["n"]
     for batch in batches:
         for i in range(batch.num_rows):
@@ -204,7 +209,7 @@ def _phrases(batches: Iterator[pa.RecordBatch], depth: int, columns: list) -> It
             s = np.frombuffer(pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True), "<i4")
             local = np.zeros(int(s.max(initial=0)) + 1, np.int64)       # rare words: separators
             local[at + 1] = np.arange(1, len(at) + 1)
-            rows, n = phrase_rows(local[s], depth)
+            rows, n = phrase_rows(local[s], depth, all_lengths=True)
             ids = np.concatenate([[0], corpus_ids])
             for lo in range(0, len(rows), 1 << 18):
                 part = ids[rows[lo:lo + (1 << 18)]]
@@ -240,15 +245,11 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth
     packed = _packed_columns(depth, bits)
     columns = [f"k{i}" for i in range(len(packed))]
     grams = indexed.mapInArrow(lambda b: _phrases(b, depth, packed), ", ".join(f"{c} long" for c in [*columns, "n"]))
-    grams = written(grams.groupBy(*columns).agg(F.sum("n").alias("n")), "phrase-grams")
+    # every phrase has its own rows in a shard, so one sum gives all counts and rare phrases are never stored
+    grams = grams.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     ids = [F.shiftright(c, shift).bitwiseAND((1 << bits) - 1) for c, words in zip(columns, packed) for _, shift in words]
-    phrases = vocabulary.select(F.array("id").alias("ids"), "f")
-    for length in range(2, depth + 1):
-        counts = grams.where(ids[length - 1] != 0).select(*[w.alias(f"w{j}") for j, w in enumerate(ids[:length])], "n")
-        names = [f"w{j}" for j in range(length)]
-        if length < depth:
-            counts = counts.groupBy(*names).agg(F.sum("n").alias("n"))
-        phrases = phrases.unionByName(counts.where(F.col("n") >= min_count).select(F.array(*names).alias("ids"), F.col("n").alias("f")))
+    grams = grams.select(F.filter(F.array(*ids), lambda i: i != 0).alias("ids"), F.col("n").alias("f"))
+    phrases = vocabulary.select(F.array("id").alias("ids"), "f").unionByName(grams)
     return vocabulary, written(phrases, "phrase-counts"), shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 

@@ -61,6 +61,30 @@ def test_intervals_count_phrases(symbols, depth):
     assert dict(zip(map(tuple, rows.tolist()), n.tolist())) == want and len(rows) == len(want)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 4), min_size=1, max_size=60), st.integers(2, 5))
+def test_all_lengths_have_their_own_rows(symbols, depth):
+    rows, n = C.phrase_rows(np.array(symbols), depth, all_lengths=True)
+    want = Counter()
+    for i in range(len(symbols)):
+        for j in range(i + 1, min(i + depth, len(symbols)) + 1):
+            if not symbols[j - 1]:
+                break
+            if j - i > 1:
+                want[tuple(symbols[i:j] + [0] * (depth - (j - i)))] += 1
+    assert dict(zip(map(tuple, rows.tolist()), n.tolist())) == want and len(rows) == len(want)
+
+
+def test_rare_phrases_are_not_stored(spark, monkeypatch):
+    stored = {}
+    monkeypatch.setattr(C, "written", lambda df, name, write=C.written: stored.setdefault(name, write(df, name)))
+    words = [f"w{i % 40} w{i * 7 % 41}" for i in range(400)]
+    df = spark.createDataFrame([("en", " ".join(words))], "lang string, text string")
+    C.phrase_counts(df)
+    rare = stored["phrase-counts"].where("f < 10").count()
+    assert "phrase-grams" not in stored and rare == 0
+
+
 def test_wide_alphabets_are_sorted_by_columns():
     rng = np.random.default_rng(1)
     s = rng.integers(0, 3, 300) * 10_000_000 * rng.integers(0, 2, 300)
